@@ -18,9 +18,10 @@ from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statloom.functions.columns import col
-from statloom.operators.features import SCALED, feature_stages
+from statloom.operators.features import feature_stages
 from statloom.operators.moments import Moments, collect_moments, complete_rows
 from statloom.operators.ols import INTERCEPT
 from statloom.operators.split import SEED, hash_position, with_fold
@@ -130,7 +131,7 @@ def _ranked(table: DataFrame, rows: Sequence[tuple], larger_is_better: bool) ->
     spark = table.sparkSession
     values = [r[-1] for r in rows]
     rank = [1 + sum((o > v) if larger_is_better else (o < v) for o in values) for v in values]
-    schema = table.schema.add("rank", "int")
+    schema = T.StructType([*table.schema.fields, T.StructField("rank", T.IntegerType())])
     ordered = sorted(((*r, k) for r, k in zip(rows, rank)), key=lambda r: (r[-1], r))
     return spark.createDataFrame(ordered, schema)
 
