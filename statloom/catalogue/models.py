@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from statloom.catalogue.common import LINE_PREDICTORS, NET, Query, lines, position_sql, r, rounded, table
 from statloom.operators.cluster import Clustering, elbow
-from statloom.operators.features import vectors_from_array
+from statloom.operators.features import column_stats, vectors_from_array
 from statloom.operators.mixture import Mixture
 from statloom.operators.split import stable_layout
 from statloom.operators.trees import KINDS, fit_tree, forest_importance, tree_settings
@@ -96,17 +96,14 @@ def _kmeans_centres(spark, folder):
 
 
 def _kmeans_cost(spark, folder):
-    """The training cost equals the cost recomputed from the rows, and centring does not change distances."""
+    """The cost taken in training equals the one recomputed from the assigned rows, within the last iteration's move."""
     rows = _slice(spark, folder)
-    scaled = Clustering.fit(rows, GROUPED, 6)
-    recomputed = None
-    stats = rows.agg(*[F.stddev_samp(c).alias(c) for c in GROUPED])
-    means = scaled.assign(rows).groupBy("cluster").agg(*[F.var_pop(c).alias(c) for c in GROUPED],
-                                                      F.count(F.lit(1)).alias("n"))
-    joined = means.join(F.broadcast(stats.select(*[F.col(c).alias(f"s_{c}") for c in GROUPED])), F.lit(True))
-    total = sum((F.col(c) / F.col(f"s_{c}") / F.col(f"s_{c}") for c in GROUPED), F.lit(0.0)) * F.col("n")
-    recomputed = joined.agg(F.sum(total).alias("recomputed"), F.sum("n").alias("rows"))
-    return recomputed.select("rows", (F.abs(F.col("recomputed") / F.lit(scaled.cost) - 1) < 0.01).alias("agrees"))
+    found = Clustering.fit(rows, GROUPED, 6)
+    stats = column_stats(rows, GROUPED)
+    spread = sum((F.var_pop(c) / F.lit(stats[c][1] ** 2) for c in GROUPED), F.lit(0.0))
+    per = found.assign(rows).groupBy("cluster").agg(spread.alias("spread"), F.count(F.lit(1)).alias("n"))
+    total = F.sum(F.col("spread") * F.col("n"))
+    return per.agg(F.sum("n").alias("rows"), (F.abs(total / F.lit(found.cost) - 1) < 0.01).alias("agrees"))
 
 
 def _elbow(spark, folder):
@@ -149,8 +146,8 @@ def _gmm_totals(spark, folder):
                                                              F.sum("mean").alias("total"))
     checks = parts.agg(F.round(F.sum("weight"), 6).alias("weights"),
                        (F.max(F.abs(F.col("total") - 1)) < 1e-6).alias("means_sum_to_1"))
-    rows = found.assign(_line_slice(spark, folder)).agg(F.count("component").alias("rows"))
-    return checks.join(F.broadcast(rows), F.lit(True))
+    rows = found.assign(_line_slice(spark, folder)).agg(F.count("component")).head()[0]
+    return checks.withColumn("rows", F.lit(rows).cast("long"))
 
 
 def _study(spark, folder):

@@ -46,7 +46,7 @@ def _wide_prepare(spark, folder):
 def _ingest_counts(spark, folder):
     path = scratch_path(spark, "clean")
     counts = ingest(table(spark, folder, "orders"), _details(spark, folder), _conditions(), _derived(), path,
-                    ["o_orderkey"], count_raw=True)
+                    ["o_orderkey"])
     written = read_parquet(spark, path)
     return written.agg(F.lit(counts["raw_rows"]).alias("raw_rows"), F.lit(counts["clean_rows"]).alias("clean_rows"),
                        F.count(F.lit(1)).alias("read_rows"), F.min("o_orderkey").alias("first_key"))

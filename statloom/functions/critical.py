@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statloom.functions.distributions import t_quantile
+from statloom.sources.tables import literal_rows
 
 # Probabilities of the published table, its last row, and its few entries that are not the
 # exact quantile rounded to three digits.
@@ -52,14 +53,14 @@ def critical_values(spark: SparkSession, probs=PROBABILITIES) -> DataFrame:
     ``dof`` 0 stands for more than 100 degrees of freedom.
     """
     rows = [(d, p, published_value(d, p)) for d in range(0, LAST_DOF + 1) for p in map(table_probability, probs)]
-    return spark.createDataFrame(rows, "dof int, prob double, critical double")
+    return literal_rows(spark, rows, "dof int, prob double, critical double")
 
 
 def t_table(spark: SparkSession) -> DataFrame:
     """Wide form: one row per dof from 1 to 100, one column per probability, named like ``0.975``."""
     names = [str(p) for p in PROBABILITIES]
     rows = [(float(d), *[published_value(d, p) for p in PROBABILITIES]) for d in range(1, LAST_DOF + 1)]
-    return spark.createDataFrame(rows, "df double, " + ", ".join(f"`{n}` double" for n in names))
+    return literal_rows(spark, rows, "df double, " + ", ".join(f"`{n}` double" for n in names))
 
 
 def table_dof(dof: Column) -> Column:

@@ -21,8 +21,7 @@ def _off_diagonal(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
     columns = list(columns or df.columns)
     if len(columns) < 2:
         raise ValueError("at least two columns are needed")
-    pairs = pair_moments(df, columns)
-    return pairs.filter(F.col("col_x") != F.col("col_y"))
+    return pair_moments(df, columns, diagonal=False)
 
 
 def pair_covariance(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -16,6 +16,7 @@ from statloom.functions.columns import col
 from statloom.operators.features import SCALED, feature_stages, fit_stages
 from statloom.operators.moments import complete_rows
 from statloom.operators.split import SEED
+from statloom.sources.tables import literal_rows
 
 CLUSTER = "cluster"
 # Settings of the k-means runs and range of the sweep.
@@ -47,7 +48,7 @@ class Clustering:
         """``cluster, feature, value`` in scaled space."""
         rows = [(i, f, float(v)) for i, centre in enumerate(self.model.stages[-1].clusterCenters())
                 for f, v in zip(self.predictors, centre)]
-        return spark.createDataFrame(rows, "cluster int, feature string, value double")
+        return literal_rows(spark, rows, "cluster int, feature string, value double")
 
     def profile(self, df: DataFrame, row_id: str) -> DataFrame:
         """Rows and averages of the unscaled features per cluster."""
@@ -85,4 +86,4 @@ def elbow(df: DataFrame, predictors: Sequence[str], ks: Sequence[int] = SWEEP, c
             found = pool.map(inheritable_thread_target(df.sparkSession)(cost), list(ks), chunksize=1)
     finally:
         scaled.unpersist()
-    return df.sparkSession.createDataFrame(found, "k int, cost double")
+    return literal_rows(df.sparkSession, found, "k int, cost double")

@@ -18,13 +18,13 @@ from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from statloom.functions.columns import col
 from statloom.operators.features import feature_stages
 from statloom.operators.moments import Moments, collect_moments, complete_rows
 from statloom.operators.ols import INTERCEPT
 from statloom.operators.split import SEED, hash_position, with_fold
+from statloom.sources.tables import literal_rows
 
 # The grid of the tuning run.
 MAX_ITER, REG_PARAM, ELASTIC_NET = (10, 15), (0.0, 0.3), (0.0, 0.4)
@@ -66,7 +66,7 @@ def coefficient_summary(model: PipelineModel | CrossValidatorModel, predictors:
         tests = [[v[-1], *v[:-1]] for v in (summary.coefficientStandardErrors, summary.tValues, summary.pValues)]
     rows = [(t, float(e), *[None if v[i] is None else float(v[i]) for v in tests])
             for i, (t, e) in enumerate(zip((INTERCEPT, *predictors), estimates))]
-    return spark.createDataFrame(rows, "term string, estimate double, std_error double, t_value double, "
+    return literal_rows(spark, rows, "term string, estimate double, std_error double, t_value double, "
                                        "p_value double")
 
 
@@ -81,7 +81,7 @@ def training_summary(model: PipelineModel | CrossValidatorModel, spark: SparkSes
             ("rmse", summary.rootMeanSquaredError), ("mae", summary.meanAbsoluteError),
             ("mse", summary.meanSquaredError), ("iterations", summary.totalIterations)]
     rows += [(f"objective_{i}", value) for i, value in enumerate(summary.objectiveHistory)]
-    return spark.createDataFrame([(k, float(v)) for k, v in rows], "measure string, value double")
+    return literal_rows(spark, [(k, float(v)) for k, v in rows], "measure string, value double")
 
 
 def training_residuals(model: PipelineModel | CrossValidatorModel) -> DataFrame:
@@ -114,8 +114,8 @@ def grid_report(model: CrossValidatorModel, spark: SparkSession) -> DataFrame:
     for settings, value in zip(model.getEstimatorParamMaps(), model.avgMetrics):
         named = {p.name: v for p, v in settings.items()}
         rows.append((*[float(named[n]) for n in names], float(value)))
-    return _ranked(spark.createDataFrame(rows, "max_iter double, reg_param double, elastic_net double, "
-                                               "avg_metric double"), rows, model.getEvaluator().isLargerBetter())
+    return _ranked(spark, rows, "max_iter double, reg_param double, elastic_net double, avg_metric double",
+                   model.getEvaluator().isLargerBetter())
 
 
 def parameter_docs(model: CrossValidatorModel, spark: SparkSession) -> DataFrame:
@@ -123,17 +123,15 @@ def parameter_docs(model: CrossValidatorModel, spark: SparkSession) -> DataFrame
     better = max if model.getEvaluator().isLargerBetter() else min
     best = better(zip(model.avgMetrics, range(len(model.avgMetrics))))[1]
     rows = [(p.parent, p.name, p.doc, float(v)) for p, v in model.getEstimatorParamMaps()[best].items()]
-    return spark.createDataFrame(rows, "owner string, parameter string, description string, value double")
+    return literal_rows(spark, rows, "owner string, parameter string, description string, value double")
 
 
-def _ranked(table: DataFrame, rows: Sequence[tuple], larger_is_better: bool) -> DataFrame:
-    """Add ``rank``: 1 for the best metric, equal metrics share a rank. The table has one row per grid point."""
-    spark = table.sparkSession
+def _ranked(spark: SparkSession, rows: Sequence[tuple], schema: str, larger_is_better: bool) -> DataFrame:
+    """One row per grid point with a ``rank``: 1 for the best metric, equal metrics share a rank."""
     values = [r[-1] for r in rows]
     rank = [1 + sum((o > v) if larger_is_better else (o < v) for o in values) for v in values]
-    schema = T.StructType([*table.schema.fields, T.StructField("rank", T.IntegerType())])
     ordered = sorted(((*r, k) for r, k in zip(rows, rank)), key=lambda r: (r[-1], r))
-    return spark.createDataFrame(ordered, schema)
+    return literal_rows(spark, ordered, schema + ", rank int")
 
 
 # -- tuning by moments -----------------------------------------------------------------------------------------
@@ -175,7 +173,7 @@ class ElasticNet:
         contrast = np.zeros(len(moments.columns))
         contrast[y], contrast[x] = 1.0, -self.slopes
         offset = contrast @ moments.mean - self.intercept
-        return float(contrast @ moments.scatter @ contrast / moments.n + offset * offset)
+        return max(float(contrast @ moments.scatter @ contrast), 0.0) / moments.n + float(offset * offset)
 
     @property
     def prediction(self) -> Column:
@@ -214,8 +212,8 @@ class GridSearch:
     best: ElasticNet
 
     def report(self, spark: SparkSession) -> DataFrame:
-        table = spark.createDataFrame(list(self.rows), "reg_param double, elastic_net double, avg_metric double")
-        return _ranked(table, list(self.rows), self.larger_is_better)
+        return _ranked(spark, self.rows, "reg_param double, elastic_net double, avg_metric double",
+                       self.larger_is_better)
 
 
 def moment_grid_search(df: DataFrame, target: str, predictors: Sequence[str], keys: Sequence[str] | None = None,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from statloom.operators.features import feature_stages
 from statloom.operators.moments import complete_rows
 from statloom.operators.split import SEED
+from statloom.sources.tables import literal_rows
 
 COMPONENT = "component"
 
@@ -39,13 +40,13 @@ class Mixture:
         """``component, weight, feature, mean``."""
         rows = [(i, float(w), f, float(m)) for i, (w, g) in enumerate(self._gaussians())
                 for f, m in zip(self.columns, g["mean"].toArray())]
-        return spark.createDataFrame(rows, "component int, weight double, feature string, mean double")
+        return literal_rows(spark, rows, "component int, weight double, feature string, mean double")
 
     def covariances(self, spark: SparkSession) -> DataFrame:
         """``component, feature_x, feature_y, cov``."""
         rows = [(i, a, b, float(v)) for i, (_, g) in enumerate(self._gaussians())
                 for a, line in zip(self.columns, g["cov"].toArray()) for b, v in zip(self.columns, line)]
-        return spark.createDataFrame(rows, "component int, feature_x string, feature_y string, cov double")
+        return literal_rows(spark, rows, "component int, feature_x string, feature_y string, cov double")
 
     def assign(self, df: DataFrame) -> DataFrame:
         """The complete rows with their likeliest component and the probability of each."""

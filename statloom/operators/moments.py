@@ -18,14 +18,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import combinations_with_replacement
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statloom.functions.columns import col
+from statloom.sources.tables import literal_rows
 
 NATIVE_COLUMNS = 4
 GROUPS_IN_MEMORY = 256  # groups one task keeps before it hands on its partial sums
@@ -33,18 +34,28 @@ GROUPS_IN_MEMORY = 256  # groups one task keeps before it hands on its partial s
 PAIR_FIELDS = "n long, mean_x double, mean_y double, sxx double, syy double, sxy double"
 
 
+def is_missing(df: DataFrame, name: str) -> Column:
+    """Null, or not a number."""
+    value = col(name)
+    kinds = {f.name.lower(): f.dataType for f in df.schema.fields}
+    if isinstance(kinds.get(name.lower()), (T.DoubleType, T.FloatType)):
+        return value.isNull() | F.isnan(value)
+    return value.isNull()
+
+
 def complete_rows(df: DataFrame, columns: Sequence[str], on_null: str = "drop") -> DataFrame:
-    """Rows in which every named column is present.
+    """Rows in which every named column is present; the null part of the test reaches the parquet scan.
 
     ``on_null="error"`` keeps all rows and fails when one of them lacks a value.
     """
     if on_null == "drop":
-        return df.dropna(subset=list(columns))
+        for name in columns:
+            df = df.filter(~is_missing(df, name))
+        return df
     if on_null == "error":
-        first = columns[0]
-        missing = F.lit(False)
+        first, missing = columns[0], F.lit(False)
         for name in columns:
-            missing = missing | col(name).isNull()
+            missing = missing | is_missing(df, name)
         text = f"null in one of {', '.join(columns)}"
         return df.withColumn(first, F.when(missing, F.raise_error(F.lit(text)).cast(df.schema[first].dataType))
                              .otherwise(col(first)))
@@ -52,22 +63,25 @@ def complete_rows(df: DataFrame, columns: Sequence[str], on_null: str = "drop")
 
 
 def pair_moments(df: DataFrame, columns: Sequence[str], by: str | Column | None = None,
-                 pairwise: bool = True) -> DataFrame:
-    """Moments of every unordered pair of ``columns``, diagonal included.
+                 pairwise: bool = True, diagonal: bool = True) -> DataFrame:
+    """Moments of every unordered pair of ``columns``; ``diagonal`` adds the pairs of a column with itself.
 
-    ``by`` adds a grouping column (result column ``part``). ``pairwise=False`` says that no value is null,
-    which saves work; use it after ``complete_rows``.
+    ``by`` adds a grouping column (result column ``part``). ``pairwise=False`` says that no value is missing,
+    which saves work; use it after ``complete_rows``. Values that are not a number count as missing.
     """
     columns = list(columns)
     if not columns:
         raise ValueError("no columns given")
     if len(set(columns)) != len(columns):
         raise ValueError(f"a column is named twice: {columns}")
+    values = [F.when(~is_missing(df, c), col(c)) if pairwise else col(c) for c in columns]
     frame = df.select(*([_part(by).alias("part")] if by is not None else []),
-                      *[col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
-    limit = NATIVE_COLUMNS if not pairwise else NATIVE_COLUMNS - 1
-    build = _native if len(columns) <= limit else _batched
-    found = build(frame, len(columns), by is not None, pairwise)
+                      *[v.cast("double").alias(f"v{i}") for i, v in enumerate(values)])
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i if diagonal else i + 1, len(columns))]
+    if len(columns) <= (NATIVE_COLUMNS - 1 if pairwise else NATIVE_COLUMNS):
+        found = _native(frame, pairs, by is not None, pairwise)
+    else:
+        found = _batched(frame, pairs, by is not None)
     names = F.array(*[F.lit(c) for c in columns])
     return found.select(*(["part"] if by is not None else []),
                         F.get(names, F.col("i")).alias("col_x"), F.get(names, F.col("j")).alias("col_y"),
@@ -78,19 +92,25 @@ def _part(by: str | Column) -> Column:
     return col(by) if isinstance(by, str) else by
 
 
-def _native(frame: DataFrame, p: int, grouped: bool, pairwise: bool) -> DataFrame:
-    pairs = list(combinations_with_replacement(range(p), 2))
+def _native(frame: DataFrame, pairs: list[tuple[int, int]], grouped: bool, pairwise: bool) -> DataFrame:
     aggregates, structs = [], []
     if pairwise:
         for i, j in pairs:
             x, y, tag = F.col(f"v{i}"), F.col(f"v{j}"), f"{i}_{j}"
+            if i == j:
+                aggregates += [F.count(x).alias(f"n{tag}"), F.avg(x).alias(f"mx{tag}"),
+                               F.regr_sxx(x, x).alias(f"sx{tag}")]
+                structs.append(_pair(i, j, *[F.col(f"{k}{tag}") for k in ("n", "mx", "mx", "sx", "sx", "sx")]))
+                continue
             aggregates += [F.regr_count(y, x).alias(f"n{tag}"), F.regr_avgx(y, x).alias(f"mx{tag}"),
                            F.regr_avgy(y, x).alias(f"my{tag}"), F.regr_sxx(y, x).alias(f"sx{tag}"),
                            F.regr_syy(y, x).alias(f"sy{tag}"), F.regr_sxy(y, x).alias(f"sp{tag}")]
             structs.append(_pair(i, j, *[F.col(f"{k}{tag}") for k in ("n", "mx", "my", "sx", "sy", "sp")]))
     else:
-        aggregates += [F.count(F.lit(1)).alias("n"), *[F.avg(f"v{i}").alias(f"m{i}") for i in range(p)],
-                       *[F.covar_pop(f"v{i}", f"v{j}").alias(f"c{i}_{j}") for i, j in pairs]]
+        used = sorted({k for pair in pairs for k in pair})
+        aggregates += [F.count(F.lit(1)).alias("n"), *[F.avg(f"v{i}").alias(f"m{i}") for i in used],
+                       *[F.covar_pop(f"v{i}", f"v{j}").alias(f"c{i}_{j}")
+                         for i, j in sorted({*pairs, *((k, k) for k in used)})]]
         n = F.col("n")
         for i, j in pairs:
             structs.append(_pair(i, j, n, F.col(f"m{i}"), F.col(f"m{j}"), F.col(f"c{i}_{i}") * n,
@@ -130,8 +150,7 @@ class _Sums:
             self.sxx += (shifted ** 2).T @ both
         self.sxy += product
 
-    def rows(self) -> dict[str, np.ndarray]:
-        i, j = np.triu_indices(len(self.centre))
+    def rows(self, i: np.ndarray, j: np.ndarray) -> dict[str, np.ndarray]:
         n, sx, sy = self.n[i, j], self.sx[i, j], self.sx[j, i]
         keep = n > 0
         i, j, n, sx, sy = i[keep], j[keep], n[keep], sx[keep], sy[keep]
@@ -141,8 +160,9 @@ class _Sums:
                 "sxy": self.sxy[i, j] - sx * sy / n}
 
 
-def _batched(frame: DataFrame, p: int, grouped: bool, pairwise: bool) -> DataFrame:
-    names = [f"v{i}" for i in range(p)]
+def _batched(frame: DataFrame, pairs: list[tuple[int, int]], grouped: bool) -> DataFrame:
+    names = [c for c in frame.columns if c != "part"]
+    first, second = (np.array(side) for side in zip(*pairs))
 
     def matrix(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         columns = [batch.column(n) for n in names]
@@ -155,7 +175,7 @@ def _batched(frame: DataFrame, p: int, grouped: bool, pairwise: bool) -> DataFra
 
     def emit(sums: dict, part_type) -> Iterator[pa.RecordBatch]:
         for part, group in sums.items():
-            fields = group.rows()
+            fields = group.rows(first, second)
             if grouped:
                 fields = {"part": pa.array([part] * len(fields["i"]), part_type), **fields}
             yield pa.RecordBatch.from_pydict(fields)
@@ -186,18 +206,21 @@ def _batched(frame: DataFrame, p: int, grouped: bool, pairwise: bool) -> DataFra
 
     part_field = f"part {frame.schema['part'].dataType.simpleString()}, " if grouped else ""
     partial = frame.mapInArrow(fold, f"{part_field}i int, j int, {PAIR_FIELDS}")
+    if not grouped:  # a pair that no row has both values of still gets its row, with n = 0
+        listed = literal_rows(frame.sparkSession, pairs, "i int, j int")
+        partial = partial.unionByName(listed.withColumn("n", F.lit(0).cast("long")), allowMissingColumns=True)
     # Merge of the partial rows: within-task sums plus the spread of the task means about the common mean.
     keys = (["part"] if grouped else []) + ["i", "j"]
     pair = Window.partitionBy(*keys)
     total = F.sum("n").over(pair)
     aligned = partial.withColumns({
-        "dx": F.col("mean_x") - F.sum(F.col("mean_x") * F.col("n")).over(pair) / total,
-        "dy": F.col("mean_y") - F.sum(F.col("mean_y") * F.col("n")).over(pair) / total})
+        "dx": F.col("mean_x") - F.try_divide(F.sum(F.col("mean_x") * F.col("n")).over(pair), total),
+        "dy": F.col("mean_y") - F.try_divide(F.sum(F.col("mean_y") * F.col("n")).over(pair), total)})
     n, dx, dy = F.col("n"), F.col("dx"), F.col("dy")
     return aligned.groupBy(*keys).agg(
         F.sum(n).alias("n"),
-        (F.sum(F.col("mean_x") * n) / F.sum(n)).alias("mean_x"),
-        (F.sum(F.col("mean_y") * n) / F.sum(n)).alias("mean_y"),
+        F.try_divide(F.sum(F.col("mean_x") * n), F.sum(n)).alias("mean_x"),
+        F.try_divide(F.sum(F.col("mean_y") * n), F.sum(n)).alias("mean_y"),
         F.sum(F.col("sxx") + n * dx * dx).alias("sxx"),
         F.sum(F.col("syy") + n * dy * dy).alias("syy"),
         F.sum(F.col("sxy") + n * dx * dy).alias("sxy"))

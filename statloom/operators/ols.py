@@ -18,6 +18,7 @@ from statloom.functions.columns import col
 from statloom.functions.distributions import f_quantile, f_upper_p, t_quantile, t_two_sided_p
 from statloom.operators.association import KEEP, REJECT, UNDEFINED
 from statloom.operators.moments import Moments, collect_moments, complete_rows
+from statloom.sources.tables import literal_rows
 
 INTERCEPT = "(intercept)"
 SINGULAR = 1e-10  # smallest eigenvalue of the correlation matrix that still counts as independent predictors
@@ -151,11 +152,11 @@ class LeastSquares:
 
     def coefficient_table(self, spark: SparkSession) -> DataFrame:
         rows = [(t, float(b)) for t, b in zip(self.terms, self.estimates)]
-        return spark.createDataFrame(rows, "term string, estimate double")
+        return literal_rows(spark, rows, "term string, estimate double")
 
     def coefficient_covariance(self, spark: SparkSession) -> DataFrame:
         rows = [(a, b, float(v)) for a, line in zip(self.terms, self.covariance) for b, v in zip(self.terms, line)]
-        return spark.createDataFrame(rows, "term_x string, term_y string, cov double")
+        return literal_rows(spark, rows, "term_x string, term_y string, cov double")
 
     def anova(self, spark: SparkSession, alpha: float = 0.05) -> DataFrame:
         """Does the regression explain anything? One row with both sums of squares, F, its p-value and verdict."""
@@ -165,8 +166,7 @@ class LeastSquares:
         row = (self.n, k, dof, self.ss_regression, self.ss_error, self.ss_total, self.ss_regression / k,
                _number(self.ms_error), _number(f), critical, f_upper_p(f, k, dof) if tested else None,
                _label(f > critical if tested else None))
-        return spark.createDataFrame(
-            [row], "n long, dof_regression int, dof_error long, ss_regression double, ss_error double, "
+        return literal_rows(spark, [row], "n long, dof_regression int, dof_error long, ss_regression double, ss_error double, "
                    "ss_total double, ms_regression double, ms_error double, f_value double, critical double, "
                    "p_value double, significance string")
 
@@ -181,7 +181,7 @@ class LeastSquares:
             rows.append((term, float(b), _number(error), _number(t), critical,
                          t_two_sided_p(t, self.dof_error) if tested else None,
                          _label(abs(t) > critical if tested else None)))
-        return spark.createDataFrame(rows, "term string, estimate double, std_error double, t_value double, "
+        return literal_rows(spark, rows, "term string, estimate double, std_error double, t_value double, "
                                            "critical double, p_value double, significance string")
 
     def partial_f(self, spark: SparkSession, dropped: Sequence[Sequence[str]] | None = None,
@@ -202,7 +202,7 @@ class LeastSquares:
             critical = f_quantile(1.0 - alpha, r, dof) if dof > 0 else None
             rows.append((", ".join(names), r, dof, extra, _number(f), critical,
                          f_upper_p(f, r, dof) if tested else None, _label(f > critical if tested else None)))
-        return spark.createDataFrame(rows, "dropped string, dof_dropped int, dof_error long, extra_ss double, "
+        return literal_rows(spark, rows, "dropped string, dof_dropped int, dof_error long, extra_ss double, "
                                            "f_value double, critical double, p_value double, significance string")
 
     # -- row-wise results ----------------------------------------------------------------------------------

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from statloom.functions.columns import col
 from statloom.operators.moments import collect_moments
+from statloom.sources.tables import literal_rows
 
 
 @dataclass(frozen=True)
@@ -47,12 +48,12 @@ class Components:
     def explained_variance(self, spark: SparkSession, k: int | None = None) -> DataFrame:
         rows = [(i + 1, float(v), float(c)) for i, (v, c) in
                 enumerate(zip(self.explained, np.cumsum(self.explained)))][:self._first(k)]
-        return spark.createDataFrame(rows, "component int, explained double, cumulative double")
+        return literal_rows(spark, rows, "component int, explained double, cumulative double")
 
     def loading_table(self, spark: SparkSession, k: int | None = None) -> DataFrame:
         rows = [(i + 1, c, float(self.loadings[j, i])) for i in range(self._first(k))
                 for j, c in enumerate(self.columns)]
-        return spark.createDataFrame(rows, "component int, feature string, loading double")
+        return literal_rows(spark, rows, "component int, feature string, loading double")
 
     def project(self, df: DataFrame, k: int | None = None, prefix: str = "pc") -> DataFrame:
         """Add the scores of the first k components as columns ``pc1..``; plain expressions, no shuffle."""

@@ -60,9 +60,9 @@ def with_fold(df: DataFrame, keys: Sequence[str] | None = None, folds: int = 3,
 
 
 def stable_layout(df: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame:
-    """Rows ranged and sorted by key into a fixed number of partitions.
+    """Rows hashed by key into a fixed number of partitions and sorted there.
 
-    A seeded tree, mixture or k-means fit repeats only on the same layout. It costs one shuffle, so use it where
-    the fit must be repeatable.
+    A seeded tree, mixture or k-means fit repeats only on the same layout. Ranges would not do: their bounds are
+    sampled. It costs one shuffle, so use it where the fit must be repeatable; the keys should identify a row.
     """
-    return df.repartitionByRange(partitions, *[col(k) for k in keys]).sortWithinPartitions(*[col(k) for k in keys])
+    return df.repartition(partitions, *[col(k) for k in keys]).sortWithinPartitions(*[col(k) for k in keys])

@@ -19,6 +19,7 @@ from statloom.functions.columns import col
 from statloom.operators.moments import collect_moments, complete_rows
 from statloom.operators.ols import solve_slopes
 from statloom.operators.split import SEED, split_number
+from statloom.sources.tables import literal_rows
 
 MAX_PREDICTORS = 12  # 4,095 subsets; the coefficient matrix sent to the tasks stays under half a megabyte
 
@@ -81,8 +82,7 @@ def best_subset(df: DataFrame, target: str, predictors: Sequence[str], keys: Seq
                1.0 - r["squared"] / spread if spread > 0 else None,
                float(np.sqrt(r["squared"] / test.n)), r["absolute"] / test.n)
               for r in sorted(summed, key=lambda r: r["id"])]
-    return df.sparkSession.createDataFrame(
-        result, "id long, preds string, num_preds double, r2 double, rmse double, mae double")
+    return literal_rows(df.sparkSession, result, "id long, preds string, num_preds double, r2 double, rmse double, mae double")
 
 
 def ranked(subsets: DataFrame) -> DataFrame:

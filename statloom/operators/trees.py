@@ -12,6 +12,7 @@ from statloom.operators.features import feature_stages
 from statloom.operators.linear import prediction_name
 from statloom.operators.moments import complete_rows
 from statloom.operators.split import SEED
+from statloom.sources.tables import literal_rows
 
 KINDS = {"tree": DecisionTreeRegressor, "forest": RandomForestRegressor, "boosted": GBTRegressor}
 # Settings of the importance forest.
@@ -37,7 +38,7 @@ def importance_table(model: PipelineModel, predictors: Sequence[str], spark: Spa
     """``predictor, score``, most important first."""
     scores = model.stages[-1].featureImportances.toArray()
     rows = sorted(((p, float(s)) for p, s in zip(predictors, scores)), key=lambda r: (-r[1], r[0]))
-    return spark.createDataFrame(rows, "predictor string, score double")
+    return literal_rows(spark, rows, "predictor string, score double")
 
 
 def forest_importance(df: DataFrame, target: str, predictors: Sequence[str], seed: int = SEED,
@@ -57,7 +58,7 @@ def tree_settings(model: PipelineModel, spark: SparkSession) -> DataFrame:
         if fitted.hasParam(name):
             rows.append((name, fitted.getOrDefault(name)))
     rows += [(f"weight_{i}", w) for i, w in enumerate(getattr(fitted, "treeWeights", []))]
-    return spark.createDataFrame([(k, float(v)) for k, v in rows], "measure string, value double")
+    return literal_rows(spark, [(k, float(v)) for k, v in rows], "measure string, value double")
 
 
 def tree_text(model: PipelineModel) -> str:

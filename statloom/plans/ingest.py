@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame
 
 from statloom.functions.columns import add_in_order
 from statloom.operators.prepare import Detail, keep, wide_join
-from statloom.sinks.files import save_parquet
+from statloom.sinks.files import save_parquet, written_rows
 
 
 def wide_clean(base: DataFrame, details: Sequence[Detail], conditions: Sequence[Column],
@@ -19,16 +18,14 @@ def wide_clean(base: DataFrame, details: Sequence[Detail], conditions: Sequence[
 
 
 def ingest(base: DataFrame, details: Sequence[Detail], conditions: Sequence[Column],
-           derived: Sequence[tuple[str, Column]], path: str, sort_keys: Sequence[str] = (),
-           count_raw: bool = False) -> dict[str, int | None]:
-    """Write the clean table and return the row counts, both taken while writing.
+           derived: Sequence[tuple[str, Column]], path: str, sort_keys: Sequence[str] = ()) -> dict[str, int]:
+    """Write the clean table and return the row counts before and after cleaning.
 
-    ``count_raw`` also counts the joined rows before the filters. Spark cannot push a filter below that count, so
-    leave it off where only the clean rows matter.
+    The plan runs once, for the write. Left joins to unique keys keep the rows of the base, so the raw count is the
+    base's own, and the clean count comes from the written footers; only a detail of unknown uniqueness ("trust")
+    makes the raw count run the joins.
     """
-    raw = wide_join(base, details)
-    seen = Observation()
-    if count_raw:
-        raw = raw.observe(seen, F.count(F.lit(1)).alias("rows"))
-    clean = save_parquet(add_in_order(keep(raw, *conditions), derived), path, sort_keys)
-    return {"raw_rows": seen.get["rows"] if count_raw else None, "clean_rows": clean}
+    save_parquet(wide_clean(base, details, conditions, derived), path, sort_keys)
+    unsure = any(d.unique == "trust" for d in details)
+    raw = wide_join(base, details).count() if unsure else base.count()
+    return {"raw_rows": raw, "clean_rows": written_rows(base.sparkSession, path)}

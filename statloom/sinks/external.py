@@ -11,7 +11,7 @@ from statloom.functions.columns import col
 from statloom.sources.tables import schema_ddl
 
 # What text files cannot tell apart otherwise.
-CSV_OPTIONS = {"header": "false", "nullValue": "\\N", "emptyValue": "", "escape": '"',
+CSV_OPTIONS = {"header": "false", "nullValue": "\\N", "escape": '"',
                "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
 
 

@@ -5,29 +5,31 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from statloom.functions.columns import col
 
 
 def save_parquet(df: DataFrame, path: str, sort_keys: Sequence[str] = (), partition_by: Sequence[str] = (),
-                 files: int | None = None) -> int:
-    """Overwrite a parquet directory and return the number of rows written, counted during the write.
+                 files: int | None = None) -> None:
+    """Overwrite a parquet directory.
 
     With ``sort_keys`` rows are ranged over the tasks and sorted within them: files follow each other in key
     order, which is what a global sort would give, and readers can skip files by key.
     """
-    counted = Observation()
     if sort_keys:
         keys = [col(k) for k in sort_keys]
         ranged = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
         df = ranged.sortWithinPartitions(*keys)
     elif files:
         df = df.repartition(files)
-    df = df.observe(counted, F.count(F.lit(1)).alias("rows"))
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return counted.get["rows"]
+
+
+def written_rows(spark: SparkSession, path: str) -> int:
+    """Rows of a parquet directory, from the file footers. Unlike a counter kept while writing, it stays exact when
+    lost tasks were run again."""
+    return spark.read.parquet(path).count()
 
 
 def save_csv(df: DataFrame, path: str, header: bool = True, files: int | None = None) -> None:

@@ -25,8 +25,11 @@ def one_per_key(changes: DataFrame, keys: Sequence[str], order: Sequence[str] =
 
 def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Replace rows whose key is among the changes, add the rest of the changes."""
-    last = one_per_key(changes, keys, order)
-    return target.join(last.select(*[col(k) for k in keys]), list(keys), "left_anti").unionByName(last)
+    return _upsert(target, one_per_key(changes, keys, order), keys)
+
+
+def _upsert(target: DataFrame, last: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return delete(target, last, keys).unionByName(last)
 
 
 def insert(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -40,9 +43,12 @@ def insert(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame
 
 def update(target: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Replace rows whose key is among the changes; changes to unknown keys have no effect."""
-    last = one_per_key(changes, keys, order)
+    return _update(target, one_per_key(changes, keys, order), keys)
+
+
+def _update(target: DataFrame, last: DataFrame, keys: Sequence[str]) -> DataFrame:
     known = last.join(target.select(*[col(k) for k in keys]), list(keys), "left_semi")
-    return target.join(last.select(*[col(k) for k in keys]), list(keys), "left_anti").unionByName(known)
+    return delete(target, last, keys).unionByName(known)
 
 
 def delete(target: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -66,16 +72,19 @@ def create_keyed(df: DataFrame, table: str, keys: Sequence[str], buckets: int =
     """
     if not duplicate_keys(df, keys).isEmpty():
         raise ValueError(f"duplicate key: {', '.join(keys)}")
-    _store(df, table, keys, buckets, path)
+    _store(_by_bucket(df, keys, buckets), table, keys, buckets, path)
 
 
 def _store(df: DataFrame, table: str, keys: Sequence[str], buckets: int, path: str | None) -> None:
-    # One task per bucket writes one file; without this every task would write a file per bucket.
-    (df.repartition(buckets, *[col(k) for k in keys]).write.format("parquet")
-     .bucketBy(buckets, *keys).sortBy(*keys)
+    (df.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
      .option("path", path or scratch_path(df.sparkSession, table.replace(".", "-"))).saveAsTable(table))
 
 
+def _by_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Rows hashed as the buckets are, so that one task writes one file instead of a file per bucket."""
+    return df.repartition(buckets, *[col(k) for k in keys])
+
+
 def key_of(spark: SparkSession, table: str) -> tuple[list[str], int]:
     """Key columns and bucket count of a stored table."""
     columns = [c.name for c in spark.catalog.listColumns(table) if c.isBucket]
@@ -94,12 +103,13 @@ def change_keyed(spark: SparkSession, table: str, changes: DataFrame, how: str =
     """
     keys, buckets = key_of(spark, table)
     target = spark.table(table)
-    if how == "upsert":
-        changed = upsert(target, changes, keys, order)
-    elif how == "update":
-        changed = update(target, changes, keys, order)
+    # Only the changes are hashed to the buckets, after they were reduced to one row per key; stored rows are read
+    # and written bucket by bucket as they lie.
+    if how in ("upsert", "update"):
+        last = _by_bucket(one_per_key(changes, keys, order), keys, buckets)
+        changed = _upsert(target, last, keys) if how == "upsert" else _update(target, last, keys)
     elif how == "insert":
-        changed = insert(target, changes, keys)
+        changed = insert(target, _by_bucket(changes, keys, buckets), keys)
     elif how == "delete":
         changed = delete(target, changes, keys)
     else:

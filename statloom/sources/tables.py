@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statloom.functions.columns import col
 
+_ARROW = {"long": pa.int64(), "integer": pa.int32(), "double": pa.float64(), "string": pa.string(),
+          "boolean": pa.bool_()}
+
 
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     df = spark.read.parquet(path)
@@ -32,7 +37,11 @@ def query(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:
 
 
 def literal_rows(spark: SparkSession, rows: Iterable[Sequence], schema: str) -> DataFrame:
-    return spark.createDataFrame([tuple(r) for r in rows], schema)
+    """Driver-side rows as a table. It becomes a local relation of the plan: no tasks run to hold it."""
+    kind = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows)) or [()] * len(kind)
+    arrays = {f.name: pa.array(values, _ARROW[f.dataType.typeName()]) for f, values in zip(kind.fields, columns)}
+    return spark.createDataFrame(pa.table(arrays), kind)
 
 
 def zipped(spark: SparkSession, first: Sequence, second: Sequence, schema: str) -> DataFrame:
@@ -50,7 +59,7 @@ def schema_ddl(df: DataFrame) -> str:
 def schema_rows(df: DataFrame) -> DataFrame:
     """The schema as a table: ``position, name, type, nullable``."""
     rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "position int, name string, type string, nullable boolean")
+    return literal_rows(df.sparkSession, rows, "position int, name string, type string, nullable boolean")
 
 
 def row_count(df: DataFrame) -> DataFrame:

@@ -56,7 +56,7 @@ def test_constant_and_perfect_columns(spark):
 
 
 def test_dotted_names(spark):
-    df = spark.createDataFrame([(1.0, 2.0, 0.0), (2.0, 3.0, 1.0), (4.0, 4.5, 1.0)], "`a.b` double, `c``d` double, e int")
+    df = spark.createDataFrame([(1.0, 2.0, 0.0), (2.0, 3.0, 1.0), (4.0, 4.5, 1.0)], "`a.b` double, `c``d` double, e double")
     assert correlation_report(df).count() == 3
 
 
