@@ -72,3 +72,26 @@ bisect AS (
                  ELSE sin(th) * list_sum(list_transform(c, lambda a, i: a * pow(cos(th), 2 * i - 2))) END AS cdf
         FROM (SELECT *, atan((lo + hi) / 2 / sqrt(v)) AS th FROM bisect WHERE step < 60))),
 t_exact AS (SELECT v, prob, (lo + hi) / 2 AS t FROM bisect WHERE step = 60)"""
+
+
+def fit_sql(tag: str, source: str, target: str, predictors: list[str]) -> tuple[str, str]:
+    """CTEs that fit ``target`` on any number of predictors over the rows of ``source`` with ``train``.
+
+    Gram-Schmidt in SQL: each predictor minus its projections on the ones before. Returns the CTEs and the name of
+    the last one, which holds all rows of ``source`` with the fitted value ``{tag}_p``.
+    """
+    last, ctes = source, []
+    for k, name in enumerate(predictors):
+        step, w = f"{tag}_{k}", f"{tag}_w{k}"
+        done = "".join(f", avg(CASE WHEN train THEN {tag}_z{i} * ({name}) END) / avg(CASE WHEN train THEN {tag}_z{i} "
+                       f"* {tag}_z{i} END) AS c{i}" for i in range(k))
+        ctes.append(f"{w} AS (SELECT avg(CASE WHEN train THEN {name} END) AS m{done} FROM {last})")
+        value = f"{name} - m" + "".join(f" - c{i} * {tag}_z{i}" for i in range(k))
+        ctes.append(f"{step} AS (SELECT t.*, {value} AS {tag}_z{k} FROM {last} t, {w})")
+        last = step
+    slopes = ", ".join(f"avg(CASE WHEN train THEN {tag}_z{i} * {target} END) / avg(CASE WHEN train THEN {tag}_z{i} * "
+                       f"{tag}_z{i} END) AS b{i}" for i in range(len(predictors)))
+    ctes.append(f"{tag}_b AS (SELECT avg(CASE WHEN train THEN {target} END) AS m, {slopes} FROM {last})")
+    fitted = "m" + "".join(f" + b{i} * {tag}_z{i}" for i in range(len(predictors)))
+    ctes.append(f"{tag}_fit AS (SELECT t.*, {fitted} AS {tag}_p FROM {last} t, {tag}_b)")
+    return ",\n".join(ctes), f"{tag}_fit"

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from statloom.catalogue.common import LINE_PREDICTORS, Query, lines, position_sql, r, rounded, table, train_sql
+from statloom.catalogue.common import (LINE_PREDICTORS, NET, Query, fit_sql, lines, position_sql, r, rounded, table,
+                                       train_sql)
 from statloom.operators.evaluate import evaluate, with_residual
 from statloom.operators.linear import (coefficient_summary, cross_validate, fit_linear, grid_report,
                                        moment_grid_search, parameter_docs, training_residuals, training_summary)
 from statloom.operators.ols import LeastSquares
 from statloom.operators.split import SEED, hash_split, split_number, with_fold
-from statloom.operators.subsets import best_subset, ranked, winners
+from statloom.operators.subsets import best_subset, column_subsets, ranked, winners
 
 TARGET, TWO = "p_retailprice", ["p_partkey", "p_size"]
 
@@ -98,7 +99,15 @@ def _winners(spark, folder):
 
 
 def _best_subset_lines(spark, folder):
-    return ranked(best_subset(lines(spark, folder), "net", LINE_PREDICTORS))
+    found = best_subset(lines(spark, folder, "l_orderkey"), "net", LINE_PREDICTORS, ["l_orderkey"])
+    return rounded(ranked(found), {"r2": 8, "rmse": 4, "mae": 4})
+
+
+def _ols_lines(spark, folder):
+    """Four predictors on the whole table, with residuals summed from the rows."""
+    found = LeastSquares.fit(lines(spark, folder), "net", LINE_PREDICTORS, refine=True).anova(spark)
+    return found.select("n", "dof_regression", "dof_error", F.round(F.col("ss_error") / F.col("n"), 3).alias("mean_error"),
+                        F.round("f_value", 2).alias("f_value"), "significance")
 
 
 def _fitted(spark, folder):
@@ -217,7 +226,33 @@ g AS (SELECT *, sign(rho) * greatest(abs(rho) - 0.3 / sy * 0.4, 0) / (1 + 0.3 /
 t AS (SELECT p_retailprice AS y, my + b * (p_partkey - mx) AS p FROM part, g WHERE NOT {train_sql('p_partkey')})
 SELECT {_METRICS.format(by='')} FROM t"""
 
+_LINES = f"(SELECT *, {NET} AS net, {train_sql('l_orderkey')} AS train FROM lineitem)"
+
+
+def _line_subsets() -> str:
+    ctes, rows = [f"lines AS {_LINES}"], []
+    for i, subset in enumerate(column_subsets(LINE_PREDICTORS)):
+        text, name = fit_sql(f"s{i}", "lines", "net", list(subset))
+        ctes.append(text)
+        rows.append(f"""SELECT CAST({i} AS BIGINT) AS id, '{", ".join(subset)}' AS preds,
+            CAST({len(subset)} AS DOUBLE) AS num_preds,
+            {r(f'1 - avg((net - s{i}_p) * (net - s{i}_p)) / var_pop(net)', 8, 'r2')},
+            {r(f'sqrt(avg((net - s{i}_p) * (net - s{i}_p)))', 4, 'rmse')}, {r(f'avg(abs(net - s{i}_p))', 4, 'mae')}
+            FROM {name} WHERE NOT train""")
+    return "WITH " + ", ".join(ctes) + " UNION ALL ".join(rows)
+
+
+def _ols_lines_sql() -> str:
+    text, name = fit_sql("f", "lines", "net", LINE_PREDICTORS)
+    return f"""WITH lines AS (SELECT *, {NET} AS net, true AS train FROM lineitem), {text},
+        e AS (SELECT CAST(count(*) AS BIGINT) AS n, sum((net - f_p) * (net - f_p)) AS sse,
+                     var_pop(net) * count(*) AS syy FROM {name})
+        SELECT n, 4 AS dof_regression, n - 5 AS dof_error, round(sse / n, 3) AS mean_error,
+               round((syy - sse) / 4 / (sse / (n - 5)), 2) AS f_value, 'Reject Null Hyp' AS significance FROM e"""
+
+
 QUERIES: dict[str, Query] = {
+    "ols_lines": (_ols_lines, _ols_lines_sql()),
     "hash_split_counts": (_split_counts, f"""
         SELECT CASE WHEN {train_sql('o_orderkey')} THEN 0 ELSE 1 END AS share, CAST(count(*) AS BIGINT) AS rows,
                {r('avg(o_totalprice)', 6, 'mean_price')} FROM orders GROUP BY 1"""),
@@ -262,7 +297,7 @@ QUERIES: dict[str, Query] = {
         SELECT 'r2' AS best_by, * FROM subsets WHERE r2 = (SELECT max(r2) FROM subsets)
         UNION ALL SELECT 'rmse', * FROM subsets WHERE rmse = (SELECT min(rmse) FROM subsets)
         UNION ALL SELECT 'mae', * FROM subsets WHERE mae = (SELECT min(mae) FROM subsets)"""),
-    "best_subset_lines": (_best_subset_lines, None),
+    "best_subset_lines": (_best_subset_lines, _line_subsets()),
     "linear_coefficients": (_linear_coefficients, f"WITH {_closed_form()} " + " UNION ALL ".join(
         f"SELECT '{t}' AS term, {r(f'{b} * {sd}', 7, 'estimate')}, {r(f'sqrt({v}) * {sd}', 7, 'std_error')}, "
         f"{r(f'{b} / sqrt({v})', 6, 't_value')} FROM f" for t, b, v, sd in (

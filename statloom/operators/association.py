@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statloom.functions.columns import ratio
@@ -17,25 +17,34 @@ REJECT, KEEP, UNDEFINED = "Reject Null Hyp", "Fail to Reject", "Undefined"
 PERFECT = 1e-14
 
 
-def _off_diagonal(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
+def pairs_of(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """The moments behind every table here: one row per unordered pair of different columns."""
     columns = list(columns or df.columns)
     if len(columns) < 2:
         raise ValueError("at least two columns are needed")
     return pair_moments(df, columns, diagonal=False)
 
 
-def pair_covariance(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Sample covariance of every unordered pair: ``col_x, col_y, n, cov``."""
-    return _off_diagonal(df, columns).select("col_x", "col_y", "n", ratio(F.col("sxy"), F.col("n") - 1).alias("cov"))
+def _pearson() -> Column:
+    return ratio(F.col("sxy"), F.sqrt(F.col("sxx")) * F.sqrt(F.col("syy")))
 
 
-def _pearson():
-    return ratio(F.col("sxy"), F.sqrt(F.col("sxx")) * F.sqrt(F.col("syy")))
+def covariance_table(pairs: DataFrame) -> DataFrame:
+    return pairs.select("col_x", "col_y", "n", ratio(F.col("sxy"), F.col("n") - 1).alias("cov"))
+
+
+def correlation_table(pairs: DataFrame) -> DataFrame:
+    return pairs.select("col_x", "col_y", "n", _pearson().alias("corr"))
+
+
+def pair_covariance(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Sample covariance of every unordered pair: ``col_x, col_y, n, cov``."""
+    return covariance_table(pairs_of(df, columns))
 
 
 def pair_correlation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every unordered pair: ``col_x, col_y, n, corr``; null where a column is constant."""
-    return _off_diagonal(df, columns).select("col_x", "col_y", "n", _pearson().alias("corr"))
+    return correlation_table(pairs_of(df, columns))
 
 
 def pair_statistic(df: DataFrame, statistic: str = "corr", columns: Sequence[str] | None = None) -> DataFrame:
@@ -54,11 +63,16 @@ def correlation_report(df: DataFrame, alpha: float = 0.05, test: str = "two-side
     ``n`` and the degrees of freedom are those of the pair. ``mode="table"`` reads the published table,
     ``mode="exact"`` accepts any alpha.
     """
+    return report_on(pairs_of(df, columns), alpha, test, mode)
+
+
+def report_on(pairs: DataFrame, alpha: float = 0.05, test: str = "two-sided", mode: str = "table") -> DataFrame:
+    """The report from moments taken before."""
     prob = test_probability(alpha, test)
     if mode == "table":
         prob = table_probability(prob)
     r, t, critical = F.col("Corr"), F.col("tValue"), F.col("critical")
-    scored = (_off_diagonal(df, columns)
+    scored = (pairs
               .select(F.concat_ws(" vs ", "col_x", "col_y").alias("Columns"), "n", _pearson().alias("Corr"))
               .withColumn("CoefDet", F.pow(r, F.lit(2.0)))
               .withColumn("dof", F.col("n") - 2)

@@ -11,21 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statloom.functions.columns import col
+from statloom.operators.moments import column_moments
 
 RAW, SCALED = "raw_features", "scaled_features"
-# Columns whose mean and deviation one aggregate takes: more would leave generated code.
-STATS_PER_AGGREGATE = 16
-
-
-def column_stats(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
-    """Mean and sample standard deviation of each column; nulls are skipped column by column."""
-    found = {}
-    for start in range(0, len(columns), STATS_PER_AGGREGATE):
-        block = columns[start:start + STATS_PER_AGGREGATE]
-        row = df.agg(*[f(col(c).cast("double")).alias(f"{tag}{i}") for i, c in enumerate(block)
-                       for tag, f in (("m", F.avg), ("s", F.stddev_samp))]).head()
-        found.update({c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(block)})
-    return found
 
 
 def standardize(df: DataFrame, columns: Sequence[str], center: bool = True, suffix: str = "_z") -> DataFrame:
@@ -34,10 +22,10 @@ def standardize(df: DataFrame, columns: Sequence[str], center: bool = True, suff
     A constant column becomes 0. The statistics are 2p numbers, so they enter the plan as literals and the
     scaling itself needs no shuffle.
     """
-    stats = column_stats(df, list(columns))
+    stats = column_moments(df, columns)
     added = {}
     for name in columns:
-        mean, deviation = stats[name]
+        _, mean, deviation = stats[name]
         value = col(name).cast("double")
         if not deviation:
             added[name + suffix] = F.when(value.isNotNull(), F.lit(0.0))

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +29,9 @@ from statloom.functions.columns import col
 from statloom.sources.tables import literal_rows
 
 NATIVE_COLUMNS = 4
-GROUPS_IN_MEMORY = 256  # groups one task keeps before it hands on its partial sums
+NATIVE_SINGLES = 12  # the same bound for moments of single columns
+# Groups one task keeps before it hands on its partial sums, and how many matrix cells they may take together.
+GROUPS_IN_MEMORY, CELLS_IN_MEMORY = 256, 8_000_000
 
 PAIR_FIELDS = "n long, mean_x double, mean_y double, sxx double, syy double, sxy double"
 
@@ -163,6 +165,7 @@ class _Sums:
 def _batched(frame: DataFrame, pairs: list[tuple[int, int]], grouped: bool) -> DataFrame:
     names = [c for c in frame.columns if c != "part"]
     first, second = (np.array(side) for side in zip(*pairs))
+    most = max(1, min(GROUPS_IN_MEMORY, CELLS_IN_MEMORY // len(names) ** 2))
 
     def matrix(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         columns = [batch.column(n) for n in names]
@@ -199,7 +202,7 @@ def _batched(frame: DataFrame, pairs: list[tuple[int, int]], grouped: bool) -> D
                 if part not in sums:
                     sums[part] = _Sums(x, mask)
                 sums[part].add(x, mask)
-            if len(sums) > GROUPS_IN_MEMORY:
+            if len(sums) > most:
                 yield from emit(sums, part_type)
                 sums = {}
         yield from emit(sums, part_type)
@@ -226,6 +229,18 @@ def _batched(frame: DataFrame, pairs: list[tuple[int, int]], grouped: bool) -> D
         F.sum(F.col("sxy") + n * dx * dy).alias("sxy"))
 
 
+def column_moments(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int, float | None, float | None]]:
+    """Count, mean and sample standard deviation of each column over its present values, in one pass."""
+    columns = list(columns)
+    frame = df.select(*[F.when(~is_missing(df, c), col(c)).cast("double").alias(f"v{i}")
+                        for i, c in enumerate(columns)])
+    pairs = [(i, i) for i in range(len(columns))]
+    rows = (_native(frame, pairs, False, True) if len(columns) <= NATIVE_SINGLES else
+            _batched(frame, pairs, False)).collect()
+    return {columns[r["i"]]: (r["n"], r["mean_x"], (r["sxx"] / (r["n"] - 1)) ** 0.5 if r["n"] > 1 else None)
+            for r in rows}
+
+
 @dataclass(frozen=True)
 class Moments:
     """Moments of complete rows on the driver: p numbers and one p x p matrix, whatever the row count."""
@@ -251,13 +266,19 @@ def collect_moments(df: DataFrame, columns: Sequence[str], by: str | Column | No
                     on_null: str = "drop") -> dict:
     """One pass over the complete rows; ``{part: Moments}``, with the single key None when ``by`` is not given."""
     columns = tuple(columns)
-    rows = pair_moments(complete_rows(df, columns, on_null), columns, by, pairwise=False).collect()
+    return moments_from_rows(pair_moments(complete_rows(df, columns, on_null), columns, by, pairwise=False).collect(),
+                             columns, by is not None)
+
+
+def moments_from_rows(rows: Sequence[Row], columns: Sequence[str], grouped: bool = False) -> dict:
+    """Collected rows of ``pair_moments``, diagonal included, as matrices; pairs of other columns are left out."""
+    columns = tuple(columns)
     place = {c: i for i, c in enumerate(columns)}
     found: dict = {}
     for row in rows:
-        if not row["n"]:
+        if not row["n"] or row["col_x"] not in place or row["col_y"] not in place:
             continue
-        part = row["part"] if by is not None else None
+        part = row["part"] if grouped else None
         if part not in found:
             found[part] = Moments(columns, row["n"], np.zeros(len(columns)), np.zeros((len(columns),) * 2))
         i, j = place[row["col_x"]], place[row["col_y"]]

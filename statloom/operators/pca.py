@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statloom.functions.columns import col
-from statloom.operators.moments import collect_moments
+from statloom.operators.moments import Moments, collect_moments
 from statloom.sources.tables import literal_rows
 
 
@@ -26,7 +26,10 @@ class Components:
 
     @classmethod
     def fit(cls, df: DataFrame, columns: Sequence[str], on_null: str = "drop") -> "Components":
-        found = collect_moments(df, columns, on_null=on_null).get(None)
+        return cls.from_moments(collect_moments(df, columns, on_null=on_null).get(None))
+
+    @classmethod
+    def from_moments(cls, found: Moments | None) -> "Components":
         if found is None or found.n < 2:
             raise ValueError("at least two complete rows are needed")
         scale = np.sqrt(np.diag(found.scatter))
@@ -37,7 +40,7 @@ class Components:
         values, vectors = np.clip(values[order], 0.0, None), vectors[:, order]
         sizes = np.round(np.abs(vectors), 9)  # equal sizes must tie whatever the last bits are
         vectors = vectors * np.sign(vectors[np.argmax(sizes, axis=0), np.arange(len(values))])
-        return cls(tuple(columns), found.mean, scale / np.sqrt(found.n - 1), vectors, values / values.sum())
+        return cls(found.columns, found.mean, scale / np.sqrt(found.n - 1), vectors, values / values.sum())
 
     def _first(self, k: int | None) -> int:
         k = len(self.columns) if k is None else k
