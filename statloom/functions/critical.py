@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,21 +68,20 @@ def table_dof(dof: Column) -> Column:
 
 
 def with_critical(df: DataFrame, dof: str, prob: float, name: str = "critical", mode: str = "table") -> DataFrame:
-    """Add the critical value for each row's degrees of freedom (null below 1)."""
+    """Add the critical value for each row's degrees of freedom (null below 1).
+
+    ``mode="exact"`` computes the quantile of each distinct count of degrees of freedom on the driver, so it is
+    meant for report tables, which have a row per column pair.
+    """
     if mode == "table":
         values = critical_values(df.sparkSession, [prob]).select(
             F.col("dof").alias("__key"), F.col("critical").alias(name))
-        return (df.withColumn("__key", table_dof(F.col(dof)))
-                .join(F.broadcast(values), "__key", "left").drop("__key"))
-    if mode == "exact":
-        exact = _exact_quantile(prob)
-        return df.withColumn(name, F.when(F.col(dof) >= 1, exact(F.col(dof).cast("double"))))
-    raise ValueError(f"mode must be 'table' or 'exact', not {mode!r}")
-
-
-def _exact_quantile(prob: float):
-    @F.pandas_udf("double")
-    def quantile(dof: pd.Series) -> pd.Series:
-        return dof.map(lambda d: t_quantile(prob, d) if d >= 1 else None, na_action="ignore")
-
-    return quantile
+        keyed = df.withColumn("__key", table_dof(F.col(dof)))
+    elif mode == "exact":
+        counts = [r[0] for r in df.filter(F.col(dof) >= 1).select(dof).distinct().collect()]
+        values = literal_rows(df.sparkSession, [(n, t_quantile(prob, float(n))) for n in counts],
+                              f"__key long, {name} double")
+        keyed = df.withColumn("__key", F.col(dof).cast("long"))
+    else:
+        raise ValueError(f"mode must be 'table' or 'exact', not {mode!r}")
+    return keyed.join(F.broadcast(values), "__key", "left").drop("__key")

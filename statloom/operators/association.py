@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from statloom.functions.columns import ratio
 from statloom.functions.critical import table_probability, test_probability, with_critical
-from statloom.operators.moments import pair_moments
+from statloom.operators.moments import PAIR_FIELDS, pair_moments
+from statloom.sources.tables import literal_rows
 
 # Labels of the report.
 REJECT, KEEP, UNDEFINED = "Reject Null Hyp", "Fail to Reject", "Undefined"
@@ -71,6 +72,8 @@ def report_on(pairs: DataFrame, alpha: float = 0.05, test: str = "two-sided", mo
     prob = test_probability(alpha, test)
     if mode == "table":
         prob = table_probability(prob)
+    elif mode == "exact":  # the pairs are few; taken once, they serve the quantiles and the report
+        pairs = literal_rows(pairs.sparkSession, pairs.collect(), f"col_x string, col_y string, {PAIR_FIELDS}")
     r, t, critical = F.col("Corr"), F.col("tValue"), F.col("critical")
     scored = (pairs
               .select(F.concat_ws(" vs ", "col_x", "col_y").alias("Columns"), "n", _pearson().alias("Corr"))

@@ -8,10 +8,10 @@ subset search and the closed-form grid search. Its result has one row per unorde
 where ``n`` counts the rows in which both columns are present and the ``s..`` are sums of squares and
 products about the pair's own means. Raw sums of squares are never formed, so large offsets cost no digits.
 
-Up to ``NATIVE_COLUMNS`` columns the aggregate uses Spark's own functions and stays inside generated code.
-Beyond that one aggregate would need several hundred buffer fields and Spark would interpret it row by row, so
-each task instead folds its Arrow batches into p x p matrices and hands on one row per pair; those partial rows
-are merged by one small shuffle on the pair.
+While the buffers of one aggregate fit the session's ``spark.sql.codegen.maxFields``, Spark's own functions are
+used and the whole pass stays inside generated code. Beyond that Spark would interpret the aggregate row by row, so
+each task instead folds its Arrow batches into p x p matrices and hands on one row per pair; those partial rows are
+merged by one small shuffle on the pair.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ from pyspark.sql import types as T
 from statloom.functions.columns import col
 from statloom.sources.tables import literal_rows
 
-NATIVE_COLUMNS = 4
-NATIVE_SINGLES = 12  # the same bound for moments of single columns
+# Buffer fields up to which the native aggregate is also the faster of the two.
+NATIVE_FIELDS = 160
 # Groups one task keeps before it hands on its partial sums, and how many matrix cells they may take together.
 GROUPS_IN_MEMORY, CELLS_IN_MEMORY = 256, 8_000_000
 
@@ -80,7 +80,7 @@ def pair_moments(df: DataFrame, columns: Sequence[str], by: str | Column | None
     frame = df.select(*([_part(by).alias("part")] if by is not None else []),
                       *[v.cast("double").alias(f"v{i}") for i, v in enumerate(values)])
     pairs = [(i, j) for i in range(len(columns)) for j in range(i if diagonal else i + 1, len(columns))]
-    if len(columns) <= (NATIVE_COLUMNS - 1 if pairwise else NATIVE_COLUMNS):
+    if _fits_generated_code(df, pairs, pairwise):
         found = _native(frame, pairs, by is not None, pairwise)
     else:
         found = _batched(frame, pairs, by is not None)
@@ -94,72 +94,45 @@ def _part(by: str | Column) -> Column:
     return col(by) if isinstance(by, str) else by
 
 
+def _fits_generated_code(df: DataFrame, pairs: list[tuple[int, int]], pairwise: bool) -> bool:
+    if pairwise:
+        fields = sum(6 if i == j else 15 for i, j in pairs)
+    else:
+        used = {k for pair in pairs for k in pair}
+        fields = 2 * len(used) + 4 * len({*pairs, *((k, k) for k in used)})
+    limit = int(df.sparkSession.conf.get("spark.sql.codegen.maxFields", "100"))
+    return fields + 2 <= min(limit, NATIVE_FIELDS)
+
+
 def _native(frame: DataFrame, pairs: list[tuple[int, int]], grouped: bool, pairwise: bool) -> DataFrame:
-    aggregates, structs = [], []
+    aggregates: dict[str, str] = {}
+    structs = []
     if pairwise:
         for i, j in pairs:
-            x, y, tag = F.col(f"v{i}"), F.col(f"v{j}"), f"{i}_{j}"
+            x, y, tag = f"v{i}", f"v{j}", f"{i}_{j}"
             if i == j:
-                aggregates += [F.count(x).alias(f"n{tag}"), F.avg(x).alias(f"mx{tag}"),
-                               F.regr_sxx(x, x).alias(f"sx{tag}")]
-                structs.append(_pair(i, j, *[F.col(f"{k}{tag}") for k in ("n", "mx", "mx", "sx", "sx", "sx")]))
-                continue
-            aggregates += [F.regr_count(y, x).alias(f"n{tag}"), F.regr_avgx(y, x).alias(f"mx{tag}"),
-                           F.regr_avgy(y, x).alias(f"my{tag}"), F.regr_sxx(y, x).alias(f"sx{tag}"),
-                           F.regr_syy(y, x).alias(f"sy{tag}"), F.regr_sxy(y, x).alias(f"sp{tag}")]
-            structs.append(_pair(i, j, *[F.col(f"{k}{tag}") for k in ("n", "mx", "my", "sx", "sy", "sp")]))
+                aggregates |= {f"n{tag}": f"count({x})", f"mx{tag}": f"avg({x})", f"sx{tag}": f"regr_sxx({x}, {x})"}
+                values = [f"{k}{tag}" for k in ("n", "mx", "mx", "sx", "sx", "sx")]
+            else:
+                aggregates |= {f"{k}{tag}": f"{f}({y}, {x})" for k, f in (
+                    ("n", "regr_count"), ("mx", "regr_avgx"), ("my", "regr_avgy"), ("sx", "regr_sxx"),
+                    ("sy", "regr_syy"), ("sp", "regr_sxy"))}
+                values = [f"{k}{tag}" for k in ("n", "mx", "my", "sx", "sy", "sp")]
+            structs.append(_pair(i, j, values))
     else:
         used = sorted({k for pair in pairs for k in pair})
-        aggregates += [F.count(F.lit(1)).alias("n"), *[F.avg(f"v{i}").alias(f"m{i}") for i in used],
-                       *[F.covar_pop(f"v{i}", f"v{j}").alias(f"c{i}_{j}")
-                         for i, j in sorted({*pairs, *((k, k) for k in used)})]]
-        n = F.col("n")
-        for i, j in pairs:
-            structs.append(_pair(i, j, n, F.col(f"m{i}"), F.col(f"m{j}"), F.col(f"c{i}_{i}") * n,
-                                 F.col(f"c{j}_{j}") * n, F.col(f"c{i}_{j}") * n))
+        aggregates |= {"n": "count(1)", **{f"m{i}": f"avg(v{i})" for i in used}}
+        aggregates |= {f"c{i}_{j}": f"covar_pop(v{i}, v{j})" for i, j in sorted({*pairs, *((k, k) for k in used)})}
+        structs = [_pair(i, j, ["n", f"m{i}", f"m{j}", f"c{i}_{i} * n", f"c{j}_{j} * n", f"c{i}_{j} * n"])
+                   for i, j in pairs]
     keys = ["part"] if grouped else []
-    return frame.groupBy(*keys).agg(*aggregates).select(*keys, F.inline(F.array(*structs)))
+    measured = frame.groupBy(*keys).agg(*[F.expr(text).alias(name) for name, text in aggregates.items()])
+    return measured.selectExpr(*keys, f"inline(array({', '.join(structs)}))")
 
 
-def _pair(i: int, j: int, n, mean_x, mean_y, sxx, syy, sxy) -> Column:
-    return F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), n.cast("long").alias("n"), mean_x.alias("mean_x"),
-                    mean_y.alias("mean_y"), sxx.alias("sxx"), syy.alias("syy"), sxy.alias("sxy"))
-
-
-class _Sums:
-    """Sums of one group in one task, about a centre near the data so that no digits are lost."""
-
-    def __init__(self, values: np.ndarray, present: np.ndarray):
-        with np.errstate(invalid="ignore", divide="ignore"):
-            centre = np.where(present, values, 0.0).sum(0) / present.sum(0)
-        self.centre = np.nan_to_num(centre)
-        p = values.shape[1]
-        self.n, self.sx, self.sxx, self.sxy = (np.zeros((p, p)) for _ in range(4))
-
-    def add(self, values: np.ndarray, present: np.ndarray) -> None:
-        if present.all():
-            shifted = values - self.centre
-            self.n += len(values)
-            self.sx += shifted.sum(0)[:, None]
-            product = shifted.T @ shifted
-            self.sxx += np.diag(product)[:, None]
-        else:
-            shifted = np.where(present, values - self.centre, 0.0)
-            both = present.astype(float)
-            self.n += both.T @ both
-            self.sx += shifted.T @ both
-            product = shifted.T @ shifted
-            self.sxx += (shifted ** 2).T @ both
-        self.sxy += product
-
-    def rows(self, i: np.ndarray, j: np.ndarray) -> dict[str, np.ndarray]:
-        n, sx, sy = self.n[i, j], self.sx[i, j], self.sx[j, i]
-        keep = n > 0
-        i, j, n, sx, sy = i[keep], j[keep], n[keep], sx[keep], sy[keep]
-        return {"i": i.astype(np.int32), "j": j.astype(np.int32), "n": n.astype(np.int64),
-                "mean_x": self.centre[i] + sx / n, "mean_y": self.centre[j] + sy / n,
-                "sxx": self.sxx[i, j] - sx * sx / n, "syy": self.sxx[j, i] - sy * sy / n,
-                "sxy": self.sxy[i, j] - sx * sy / n}
+def _pair(i: int, j: int, values: Sequence[str]) -> str:
+    names = ("i", "j", "n", "mean_x", "mean_y", "sxx", "syy", "sxy")
+    return f"named_struct({', '.join(f'{k!r}, {v}' for k, v in zip(names, (i, j, *values)))})"
 
 
 def _batched(frame: DataFrame, pairs: list[tuple[int, int]], grouped: bool) -> DataFrame:
@@ -167,6 +140,43 @@ def _batched(frame: DataFrame, pairs: list[tuple[int, int]], grouped: bool) -> D
     first, second = (np.array(side) for side in zip(*pairs))
     most = max(1, min(GROUPS_IN_MEMORY, CELLS_IN_MEMORY // len(names) ** 2))
 
+    # Defined here, not at module level, so that it travels to the workers by value: they need numpy and pyarrow
+    # but not this package.
+    class Sums:
+        """Sums of one group in one task, about a centre near the data so that no digits are lost."""
+
+        def __init__(self, values: np.ndarray, present: np.ndarray):
+            with np.errstate(invalid="ignore", divide="ignore"):
+                centre = np.where(present, values, 0.0).sum(0) / present.sum(0)
+            self.centre = np.nan_to_num(centre)
+            p = values.shape[1]
+            self.n, self.sx, self.sxx, self.sxy = (np.zeros((p, p)) for _ in range(4))
+
+        def add(self, values: np.ndarray, present: np.ndarray) -> None:
+            if present.all():
+                shifted = values - self.centre
+                self.n += len(values)
+                self.sx += shifted.sum(0)[:, None]
+                product = shifted.T @ shifted
+                self.sxx += np.diag(product)[:, None]
+            else:
+                shifted = np.where(present, values - self.centre, 0.0)
+                both = present.astype(float)
+                self.n += both.T @ both
+                self.sx += shifted.T @ both
+                product = shifted.T @ shifted
+                self.sxx += (shifted ** 2).T @ both
+            self.sxy += product
+
+        def rows(self, i: np.ndarray, j: np.ndarray) -> dict[str, np.ndarray]:
+            n, sx, sy = self.n[i, j], self.sx[i, j], self.sx[j, i]
+            keep = n > 0
+            i, j, n, sx, sy = i[keep], j[keep], n[keep], sx[keep], sy[keep]
+            return {"i": i.astype(np.int32), "j": j.astype(np.int32), "n": n.astype(np.int64),
+                    "mean_x": self.centre[i] + sx / n, "mean_y": self.centre[j] + sy / n,
+                    "sxx": self.sxx[i, j] - sx * sx / n, "syy": self.sxx[j, i] - sy * sy / n,
+                    "sxy": self.sxy[i, j] - sx * sy / n}
+
     def matrix(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         columns = [batch.column(n) for n in names]
         values = np.column_stack([c.to_numpy(zero_copy_only=False) for c in columns])
@@ -200,7 +210,7 @@ def _batched(frame: DataFrame, pairs: list[tuple[int, int]], grouped: bool) -> D
             for part, rows in slices:
                 x, mask = values[rows], present[rows]
                 if part not in sums:
-                    sums[part] = _Sums(x, mask)
+                    sums[part] = Sums(x, mask)
                 sums[part].add(x, mask)
             if len(sums) > most:
                 yield from emit(sums, part_type)
@@ -235,7 +245,7 @@ def column_moments(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int
     frame = df.select(*[F.when(~is_missing(df, c), col(c)).cast("double").alias(f"v{i}")
                         for i, c in enumerate(columns)])
     pairs = [(i, i) for i in range(len(columns))]
-    rows = (_native(frame, pairs, False, True) if len(columns) <= NATIVE_SINGLES else
+    rows = (_native(frame, pairs, False, True) if _fits_generated_code(df, pairs, True) else
             _batched(frame, pairs, False)).collect()
     return {columns[r["i"]]: (r["n"], r["mean_x"], (r["sxx"] / (r["n"] - 1)) ** 0.5 if r["n"] > 1 else None)
             for r in rows}

@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -80,9 +84,11 @@ def brute(values):
     return found
 
 
-@pytest.mark.parametrize("p", [2, 3, 4, 6, 9])
+@pytest.mark.parametrize("p", [2, 4, 7])
 @pytest.mark.parametrize("gaps", [False, True])
-def test_both_moment_paths_against_brute_force(spark, p, gaps):
+@pytest.mark.parametrize("native", [False, True])
+def test_both_moment_paths_against_brute_force(spark, monkeypatch, p, gaps, native):
+    monkeypatch.setattr(moments, "_fits_generated_code", lambda *_: native)
     rng = np.random.default_rng(5)
     values = rng.normal(size=(300, p)) * rng.uniform(0.01, 1e3, p) + rng.uniform(-1e6, 1e6, p)
     if gaps:
@@ -91,7 +97,9 @@ def test_both_moment_paths_against_brute_force(spark, p, gaps):
     rows = [tuple(None if np.isnan(v) else float(v) for v in row) for row in values]
     df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)).repartition(5)
     truth = brute(values)
-    for row in pair_moments(df, names).collect():
+    found = pair_moments(df, names, pairwise=gaps).collect()
+    assert len(found) == p * (p + 1) // 2
+    for row in found:
         expected = truth[names.index(row["col_x"]), names.index(row["col_y"])]
         assert row["n"] == expected[0]
         assert [row[k] for k in ("mean_x", "mean_y", "sxx", "syy")] == pytest.approx(expected[1:5], rel=1e-9)
@@ -100,6 +108,7 @@ def test_both_moment_paths_against_brute_force(spark, p, gaps):
 
 def test_grouped_moments_flush_and_merge(spark, monkeypatch):
     monkeypatch.setattr(moments, "GROUPS_IN_MEMORY", 2)
+    monkeypatch.setattr(moments, "_fits_generated_code", lambda *_: False)
     df = spark.range(5000).selectExpr("id % 9 as g", *[f"(id * {k}) % 97 + {k} * 1e4 as c{k}" for k in range(1, 7)])
     names = [f"c{k}" for k in range(1, 7)]
     found = collect_moments(df.repartition(4), names, by="g")
@@ -127,3 +136,35 @@ def test_null_rules(spark):
         collect_moments(df, ["a", "b"], on_null="error")
     with pytest.raises(ValueError):
         complete_rows(df, ["a"], "ignore")
+
+
+def test_workers_need_no_package(tmp_path):
+    """The package may be importable on the driver only."""
+    script = tmp_path / "elsewhere.py"
+    script.write_text(f"""
+import sys
+sys.path.insert(0, {os.path.join(os.path.dirname(__file__), "..")!r})
+from statloom.session import build_session
+from statloom.operators.moments import pair_moments
+from statloom.operators.subsets import best_subset
+spark = build_session("elsewhere", "local[2]", spark__ui__enabled="false")
+df = spark.range(500).selectExpr("id", *[f"cast((id * {{k}}) % 31 as double) c{{k}}" for k in (2, 3, 5, 7, 11)])
+assert pair_moments(df, ["c2", "c3", "c5", "c7", "c11"]).count() == 15
+assert best_subset(df, "c2", ["c3", "c5"], ["id"]).count() == 3
+""")
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr[-2000:]
+
+
+def test_empty_input_has_the_same_rows_on_both_paths(spark, monkeypatch):
+    df = spark.range(0).selectExpr("cast(id as double) a", "cast(id as double) b")
+    for native in (True, False):
+        monkeypatch.setattr(moments, "_fits_generated_code", lambda *_, n=native: n)
+        assert [(r["n"], r["sxy"]) for r in pair_moments(df, ["a", "b"]).collect()] == [(0, None)] * 3
+
+
+def test_not_a_number_counts_as_missing(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, float("nan")), (3.0, 5.0), (None, 4.0)], "a double, b double")
+    assert pair_moments(df, ["a", "b"], diagonal=False).head()["n"] == 2
+    assert complete_rows(df, ["a", "b"]).count() == 2
+    assert moments.column_moments(df, ["a", "b"])["b"][:2] == (3, pytest.approx(11 / 3))
