@@ -10,7 +10,7 @@ from statloom.operators.cluster import Clustering, elbow
 from statloom.operators.features import vectors_from_array
 from statloom.operators.mixture import Mixture
 from statloom.operators.moments import column_moments
-from statloom.operators.split import stable_layout
+from statloom.operators.split import portable_key, stable_layout
 from statloom.operators.trees import fit_tree, forest_importance, tree_settings
 from statloom.plans.clustering import run_clustering, slice_of
 from statloom.plans.regression import run_regression
@@ -35,7 +35,7 @@ ORDER_PREDICTORS = ["price", "discount", "tax", "quantity"]
 
 def _trial(kind, **settings):
     def run(spark, folder):
-        return run_regression(_orders(spark, folder), kind, "net", ORDER_PREDICTORS, ["l_orderkey"],
+        return run_regression(_orders(spark, folder), kind, "net", ORDER_PREDICTORS, portable_key("l_orderkey"),
                               **settings).metrics
     return run
 

@@ -10,7 +10,7 @@ from statloom.operators.evaluate import evaluate, with_residual
 from statloom.operators.linear import (coefficient_summary, cross_validate, fit_linear, grid_report,
                                        moment_grid_search, parameter_docs, training_residuals, training_summary)
 from statloom.operators.ols import LeastSquares
-from statloom.operators.split import SEED, hash_split, split_number, with_fold
+from statloom.operators.split import SEED, hash_split, portable_key, split_number, with_fold
 from statloom.operators.subsets import best_subset, column_subsets, ranked, winners
 
 TARGET, TWO = "p_retailprice", ["p_partkey", "p_size"]
@@ -26,12 +26,12 @@ def _two(spark, folder):
 
 def _split_counts(spark, folder):
     return rounded(table(spark, folder, "orders", "o_orderkey", "o_totalprice")
-                   .groupBy(split_number(["o_orderkey"]).alias("share"))
+                   .groupBy(split_number(portable_key("o_orderkey")).alias("share"))
                    .agg(F.count(F.lit(1)).alias("rows"), F.avg("o_totalprice").alias("mean_price")), {"mean_price": 6})
 
 
 def _fold_counts(spark, folder):
-    return (with_fold(table(spark, folder, "orders", "o_orderkey"), ["o_orderkey"]).groupBy("fold")
+    return (with_fold(table(spark, folder, "orders", "o_orderkey"), portable_key("o_orderkey")).groupBy("fold")
             .agg(F.count(F.lit(1)).alias("rows")))
 
 
@@ -69,7 +69,7 @@ def _leverage(spark, folder):
 
 
 def _predicted(spark, folder, *extra):
-    training, testing = hash_split(_part(spark, folder, *extra), ["p_partkey"])
+    training, testing = hash_split(_part(spark, folder, *extra), portable_key("p_partkey"))
     return LeastSquares.fit(training, TARGET, TWO[:1]).predict(testing)
 
 
@@ -91,15 +91,15 @@ SUBSET_DIGITS = {"r2": 8, "rmse": 7, "mae": 7}
 
 
 def _best_subset(spark, folder):
-    return rounded(ranked(best_subset(_part(spark, folder), TARGET, TWO, ["p_partkey"])), SUBSET_DIGITS)
+    return rounded(ranked(best_subset(_part(spark, folder), TARGET, TWO, portable_key("p_partkey"))), SUBSET_DIGITS)
 
 
 def _winners(spark, folder):
-    return rounded(winners(best_subset(_part(spark, folder), TARGET, TWO, ["p_partkey"])), SUBSET_DIGITS)
+    return rounded(winners(best_subset(_part(spark, folder), TARGET, TWO, portable_key("p_partkey"))), SUBSET_DIGITS)
 
 
 def _best_subset_lines(spark, folder):
-    found = best_subset(lines(spark, folder, "l_orderkey"), "net", LINE_PREDICTORS, ["l_orderkey"])
+    found = best_subset(lines(spark, folder, "l_orderkey"), "net", LINE_PREDICTORS, portable_key("l_orderkey"))
     return rounded(ranked(found), {"r2": 8, "rmse": 4, "mae": 4})
 
 
@@ -131,18 +131,18 @@ def _linear_residuals(spark, folder):
 
 
 def _grid_moments(spark, folder):
-    found = moment_grid_search(_part(spark, folder), TARGET, TWO[:1], ["p_partkey"]).report(spark)
+    found = moment_grid_search(_part(spark, folder), TARGET, TWO[:1], portable_key("p_partkey")).report(spark)
     return rounded(found, {"avg_metric": 7})
 
 
 def _grid_moments_best(spark, folder):
-    training, testing = hash_split(_part(spark, folder), ["p_partkey"])
-    best = moment_grid_search(training, TARGET, TWO[:1], ["p_partkey"], reg_param=(0.3,), elastic_net=(0.4,)).best
+    training, testing = hash_split(_part(spark, folder), portable_key("p_partkey"))
+    best = moment_grid_search(training, TARGET, TWO[:1], portable_key("p_partkey"), reg_param=(0.3,), elastic_net=(0.4,)).best
     return rounded(evaluate(best.predict(testing), TARGET, f"pred_{TARGET}"), METRIC_DIGITS)
 
 
 def _tuned(spark, folder):
-    return cross_validate(_part(spark, folder), TARGET, TWO[:1], ["p_partkey"])
+    return cross_validate(_part(spark, folder), TARGET, TWO[:1], portable_key("p_partkey"))
 
 
 def _grid_refit(spark, folder):
@@ -151,7 +151,7 @@ def _grid_refit(spark, folder):
 
 
 def _grid_docs(spark, folder):
-    model = cross_validate(_part(spark, folder), TARGET, TWO, ["p_partkey"], max_iter=(10,), reg_param=(0.0, 0.3),
+    model = cross_validate(_part(spark, folder), TARGET, TWO, portable_key("p_partkey"), max_iter=(10,), reg_param=(0.0, 0.3),
                            elastic_net=(0.0,))
     return parameter_docs(model, spark).select("parameter", "description", "value")
 

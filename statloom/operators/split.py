@@ -17,11 +17,27 @@ SEED = 1069  # fixed value: seed of all splits and fits
 RESOLUTION = 10_000
 
 
+class PortableKey(tuple):
+    """Key columns to be hashed by md5 of their text, which any SQL engine can repeat.
+
+    Plain lists of names are hashed by xxhash64, which costs about a tenth.
+    """
+
+
+def portable_key(*columns: str) -> PortableKey:
+    return PortableKey(columns)
+
+
 def hash_position(keys: Sequence[str], seed: int = SEED, resolution: int = RESOLUTION) -> Column:
-    """A whole number in [0, resolution) from the first 32 bits of md5("seed:key1|key2...")."""
-    text = F.concat_ws("|", *[F.coalesce(col(k).cast("string"), F.lit("")) for k in keys])
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), text))
-    return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % resolution).cast("int")
+    """A whole number in [0, resolution) that depends on the key values, their types and the seed only.
+
+    For a ``PortableKey`` it is the first 32 bits of md5("seed:key1|key2...") modulo the resolution.
+    """
+    if isinstance(keys, PortableKey):
+        text = F.concat_ws("|", *[F.coalesce(col(k).cast("string"), F.lit("")) for k in keys])
+        digest = F.md5(F.concat(F.lit(f"{seed}:"), text))
+        return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % resolution).cast("int")
+    return F.pmod(F.xxhash64(F.lit(seed), *[col(k) for k in keys]), F.lit(resolution)).cast("int")
 
 
 def split_number(keys: Sequence[str], weights: Sequence[float] = (0.7, 0.3), seed: int = SEED) -> Column:

@@ -11,7 +11,7 @@ from statloom.operators.linear import (ElasticNet, coefficient_summary, cross_va
 from statloom.operators.mixture import Mixture
 from statloom.operators.moments import collect_moments
 from statloom.operators.ols import LeastSquares
-from statloom.operators.split import hash_split, random_split, split_number, stable_layout, with_fold
+from statloom.operators.split import hash_split, portable_key, random_split, split_number, stable_layout, with_fold
 from statloom.operators.trees import fit_tree, forest_importance, tree_settings, tree_text
 from statloom.plans.clustering import run_clustering
 from statloom.plans.regression import run_regression
@@ -42,7 +42,16 @@ def test_hash_split_is_stable_and_whole(data):
 
 def test_hash_split_keeps_null_keys(spark):
     df = spark.createDataFrame([(None,), ("a",), ("b",)], "k string")
-    assert sum(p.count() for p in hash_split(df, ["k"])) == 3
+    for keys in (["k"], portable_key("k")):
+        assert sum(p.count() for p in hash_split(df, keys)) == 3
+
+
+def test_shares_of_the_split(spark):
+    df = spark.range(200_000)
+    for keys in (["id"], portable_key("id")):
+        assert hash_split(df, keys)[0].count() == pytest.approx(140_000, rel=0.01)
+        other = hash_split(df, keys, seed=7)[0].join(hash_split(df, keys)[0], "id").count()
+        assert other == pytest.approx(98_000, rel=0.02)
 
 
 def test_scaling_agrees_with_spark_ml(data):
