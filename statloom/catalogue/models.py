@@ -124,8 +124,8 @@ def _elbow(spark, folder):
 
 def _elbow_embeddings(spark, folder):
     df = table(spark, folder, "embeddings", "embedding")
-    wide = df.select(*[F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(8)])
-    return elbow(wide, wide.columns, (2, 4, 8))
+    wide = df.select(*[F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(64)])
+    return elbow(wide, wide.columns, (5, 10, 20))
 
 
 def _array_vectors(spark, folder):

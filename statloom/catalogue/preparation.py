@@ -53,13 +53,14 @@ def _ingest_counts(spark, folder):
 
 
 def _sql_text(spark, folder):
-    register({n: table(spark, folder, n) for n in ("orders", "customer", "nation")})
-    return query(spark, _SQL_TEXT)
+    register({f"raw_{n}": table(spark, folder, n) for n in ("orders", "customer", "nation")})
+    return query(spark, _SQL_TEXT.format(prefix="raw_"))
 
 
 _SQL_TEXT = """
 SELECT a.o_orderkey, a.o_orderdate, a.o_totalprice, b.c_custkey, b.c_mktsegment, c.n_nationkey, c.n_name
-FROM orders a LEFT JOIN customer b ON a.o_custkey = b.c_custkey LEFT JOIN nation c ON b.c_nationkey = c.n_nationkey"""
+FROM {prefix}orders a LEFT JOIN {prefix}customer b ON a.o_custkey = b.c_custkey
+LEFT JOIN {prefix}nation c ON b.c_nationkey = c.n_nationkey"""
 
 
 def _repeated(spark, folder):
@@ -194,7 +195,7 @@ QUERIES: dict[str, Query] = {
     "ingest_counts": (_ingest_counts, f"""
         SELECT (SELECT CAST(count(*) AS BIGINT) {_JOINED}) AS raw_rows, CAST(count(*) AS BIGINT) AS clean_rows,
                CAST(count(*) AS BIGINT) AS read_rows, min(o_orderkey) AS first_key {_CLEAN}"""),
-    "sql_text": (_sql_text, _SQL_TEXT),
+    "sql_text": (_sql_text, _SQL_TEXT.format(prefix="")),
     "wide_unique_key": (_unique_key, f"""
         SELECT o_orderkey, o_custkey, c_custkey, {r('c_acctbal', 2, 'c_acctbal')}, c_nationkey FROM orders LEFT JOIN
         (SELECT c_custkey, max(c_acctbal) AS c_acctbal, max(c_nationkey) AS c_nationkey FROM {_REPEATED}

@@ -47,16 +47,28 @@ def _external_plain(spark, folder):
     return publish_csv(df, _name("embeddings"), scratch_path(spark, "embeddings"), reserved=["location"])
 
 
+def _all_customers(spark, folder):
+    return table(spark, folder, "customer", "c_custkey", "c_name", "c_acctbal", "c_mktsegment", "c_nationkey")
+
+
+KEPT = ["c_custkey", "c_name", "c_acctbal"]
+
+
 def _customers(spark, folder):
-    return table(spark, folder, "customer", "c_custkey", "c_name", "c_acctbal")
+    return _all_customers(spark, folder).select(*KEPT)
 
 
 def _changes(spark, folder):
-    """Tenth of the keys changed twice (the larger balance counts), and as many new keys."""
-    changed = _customers(spark, folder).filter("c_custkey % 10 = 0")
+    """One market segment changed twice (the larger balance counts), and another one copied under new keys."""
+    segment = F.col("c_mktsegment")
+    customers = _all_customers(spark, folder)
+    changed = customers.filter(segment == "BUILDING").select(*KEPT)
     more = changed.withColumn("c_acctbal", F.expr("c_acctbal + 500"))
-    new = changed.withColumn("c_custkey", F.expr("c_custkey + 100000000"))
-    return changed.unionByName(more).unionByName(new)
+    return changed.unionByName(more).unionByName(_new(customers.filter(segment == "MACHINERY")))
+
+
+def _new(customers):
+    return customers.select(*KEPT).withColumn("c_custkey", F.expr("c_custkey + 100000000000"))
 
 
 def _upsert(spark, folder):
@@ -70,8 +82,7 @@ def _update(spark, folder):
 
 
 def _insert(spark, folder):
-    new = _changes(spark, folder).filter("c_custkey >= 100000000")
-    return insert(_customers(spark, folder), new, ["c_custkey"])
+    return insert(_customers(spark, folder), _new(_all_customers(spark, folder)), ["c_custkey"])
 
 
 def _delete(spark, folder):
@@ -83,27 +94,28 @@ def _stored(spark, folder):
     name = _name("keyed")
     drop_table(spark, name)
     create_keyed(_customers(spark, folder), name, ["c_custkey"], buckets=3)
-    changes = _changes(spark, folder)
-    change_keyed(spark, name, changes, "upsert", ["c_acctbal"])
-    change_keyed(spark, name, changes.filter("c_custkey < 50"), "delete")
-    change_keyed(spark, name, _customers(spark, folder).filter("c_custkey < 50 AND c_custkey % 10 = 0"), "insert")
-    change_keyed(spark, name, _customers(spark, folder).filter("c_custkey = 7").withColumn("c_acctbal", F.lit(1.0)),
-                 "update")
+    customers, nation = _all_customers(spark, folder), F.col("c_nationkey")
+    change_keyed(spark, name, _changes(spark, folder), "upsert", ["c_acctbal"])
+    change_keyed(spark, name, customers.filter(nation < 12), "delete")
+    change_keyed(spark, name, customers.filter(nation < 5).select(*KEPT), "insert")
+    change_keyed(spark, name, customers.filter(nation < 8).select(*KEPT).withColumn("c_acctbal", F.lit(1.0)), "update")
     return rounded(read_keyed(spark, name), {"c_acctbal": 2})
 
 
 def _zipped(spark, folder):
-    """Names and sizes of the part brands: two lists on the driver (one entry per brand) made a table."""
-    rows = (table(spark, folder, "part", "p_brand", "p_size").groupBy("p_brand")
-            .agg(F.max("p_size").alias("largest")).collect())
-    return zipped(spark, [r_["p_brand"] for r_ in rows], [r_["largest"] for r_ in rows], "p_brand string, largest int")
+    """Column names and their means: two lists on the driver made a table."""
+    names = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    found = table(spark, folder, "lineitem", *names).agg(*[F.round(F.avg(c), 6).alias(c) for c in names]).head()
+    return zipped(spark, names, [found[c] for c in names], "name string, mean double")
 
 
 # -- SQL -------------------------------------------------------------------------------------------------------
 
-_CHANGED = """(SELECT c_custkey, c_name, c_acctbal + 500 AS c_acctbal FROM customer WHERE c_custkey % 10 = 0)"""
-_NEW = """(SELECT c_custkey + 100000000 AS c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 10 = 0)"""
-_KEPT = "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 10 <> 0"
+_CHANGED = """(SELECT c_custkey, c_name, c_acctbal + 500 AS c_acctbal, c_nationkey FROM customer
+                WHERE c_mktsegment = 'BUILDING')"""
+_COPIED = """(SELECT c_custkey + 100000000000 AS c_custkey, c_name, c_acctbal, c_mktsegment FROM customer)"""
+_NEW = f"(SELECT c_custkey, c_name, c_acctbal FROM {_COPIED} WHERE c_mktsegment = 'MACHINERY')"
+_KEPT = "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_mktsegment <> 'BUILDING'"
 _BALANCE = r("c_acctbal", 2, "c_acctbal")
 
 QUERIES: dict[str, Query] = {
@@ -112,16 +124,19 @@ QUERIES: dict[str, Query] = {
                               FROM customer GROUP BY c_mktsegment"""),
     "csv_external_roundtrip": (_external, "SELECT * FROM customer"),
     "csv_external_plain": (_external_plain, "SELECT vec_id, label FROM embeddings"),
-    "keyed_upsert": (_upsert, f"""SELECT c_custkey, c_name, {_BALANCE} FROM ({_KEPT} UNION ALL SELECT * FROM {_CHANGED}
-                                  UNION ALL SELECT * FROM {_NEW})"""),
+    "keyed_upsert": (_upsert, f"""SELECT c_custkey, c_name, {_BALANCE} FROM ({_KEPT} UNION ALL SELECT * EXCLUDE
+                                  c_nationkey FROM {_CHANGED} UNION ALL SELECT * FROM {_NEW})"""),
     "keyed_update": (_update, f"""SELECT c_custkey, c_name, {_BALANCE} FROM
-                                  ({_KEPT} UNION ALL SELECT * FROM {_CHANGED})"""),
-    "keyed_insert": (_insert, f"SELECT c_custkey, c_name, c_acctbal FROM customer UNION ALL SELECT * FROM {_NEW}"),
+                                  ({_KEPT} UNION ALL SELECT * EXCLUDE c_nationkey FROM {_CHANGED})"""),
+    "keyed_insert": (_insert, f"""SELECT c_custkey, c_name, c_acctbal FROM customer
+                                  UNION ALL SELECT c_custkey, c_name, c_acctbal FROM {_COPIED}"""),
     "keyed_delete": (_delete, _KEPT),
-    "keyed_stored": (_stored, f"""
-        SELECT c_custkey, c_name, CASE WHEN c_custkey = 7 THEN 1.0 ELSE round(c_acctbal, 2) + 0.0 END AS c_acctbal FROM
-        ({_KEPT} UNION ALL SELECT * FROM {_CHANGED} WHERE c_custkey >= 50
-         UNION ALL SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey < 50 AND c_custkey % 10 = 0
-         UNION ALL SELECT * FROM {_NEW})"""),
-    "zipped_lists": (_zipped, "SELECT p_brand, CAST(max(p_size) AS INTEGER) AS largest FROM part GROUP BY p_brand"),
+    "keyed_stored": (_stored, f"""SELECT c_custkey, c_name, {_BALANCE} FROM (
+        {_KEPT} AND c_nationkey >= 12
+        UNION ALL SELECT * EXCLUDE c_nationkey FROM {_CHANGED} WHERE c_nationkey >= 12
+        UNION ALL SELECT c_custkey, c_name, 1.0 FROM customer WHERE c_nationkey < 5
+        UNION ALL SELECT * FROM {_NEW})"""),
+    "zipped_lists": (_zipped, " UNION ALL ".join(
+        f"SELECT '{c}' AS name, round(avg({c}), 6) AS mean FROM lineitem"
+        for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax"))),
 }
