@@ -36,7 +36,7 @@ def _csv(spark, folder):
 
 def _external(spark, folder):
     database = "statloom_publish"
-    use_database(spark, database)
+    use_database(spark, database, location=scratch_path(spark, database))
     return publish_csv(table(spark, folder, "customer"), f"{database}.{_name('customer')}",
                        scratch_path(spark, "customer"))
 

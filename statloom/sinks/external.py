@@ -23,9 +23,9 @@ def publishable(df: DataFrame, reserved: Sequence[str] = ()) -> DataFrame:
                        if not isinstance(f.dataType, unfit) and f.name.lower() not in words])
 
 
-def use_database(spark: SparkSession, name: str, select: bool = False) -> list[str]:
+def use_database(spark: SparkSession, name: str, select: bool = False, location: str | None = None) -> list[str]:
     """Create the database if needed, optionally make it current, and return all database names."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`" + (f" LOCATION '{location}'" if location else ""))
     if select:
         spark.catalog.setCurrentDatabase(name)
     return sorted(d.name for d in spark.catalog.listDatabases())

@@ -58,9 +58,15 @@ def delete(target: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame
 
 # -- on stored tables ------------------------------------------------------------------------------------------
 
-def drop_table(spark: SparkSession, table: str) -> bool:
-    """Drop a table if it exists; tells whether it did."""
+def drop_table(spark: SparkSession, table: str, purge: bool = False) -> bool:
+    """Drop a table if it exists; tells whether it did. ``purge`` also removes the files of a table stored at a path
+    of its own, which a plain drop leaves."""
     existed = spark.catalog.tableExists(table)
+    if existed and purge:
+        described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+        if described.get("Type") == "EXTERNAL":
+            # Overwriting with no rows is how a writer removes files wherever they lie.
+            spark.createDataFrame([], spark.table(table).schema).write.mode("overwrite").parquet(described["Location"])
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     return existed
 
@@ -99,7 +105,8 @@ def change_keyed(spark: SparkSession, table: str, changes: DataFrame, how: str =
     """Apply changes to a stored table. ``how``: "upsert", "insert", "update" or "delete".
 
     The new version is written in full beside the old one, and the name moves over only when that has worked, so
-    a failed job leaves the table as it was.
+    a failed job leaves the table as it was. The files of the old version are removed last; frames read from the
+    table before are of no use afterwards.
     """
     keys, buckets = key_of(spark, table)
     target = spark.table(table)
@@ -119,8 +126,9 @@ def change_keyed(spark: SparkSession, table: str, changes: DataFrame, how: str =
     _store(changed.select(*[col(c) for c in target.columns]), fresh, keys, buckets, path)
     spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
-    spark.sql(f"DROP TABLE {old}")
+    drop_table(spark, old, purge=True)
 
 
 def read_keyed(spark: SparkSession, table: str) -> DataFrame:
+    """The current rows; joins and aggregates on the key need no shuffle."""
     return spark.table(table)

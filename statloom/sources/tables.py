@@ -25,6 +25,11 @@ def read_csv(spark: SparkSession, path: str, schema, header: bool = True) -> Dat
     return spark.read.schema(schema).option("header", header).csv(path)
 
 
+def read_source(spark: SparkSession, kind: str, **options: str) -> DataFrame:
+    """Any source Spark knows by name, with the options of its connector (``path`` among them)."""
+    return spark.read.format(kind).options(**options).load()
+
+
 def register(tables: Mapping[str, DataFrame]) -> None:
     """Make frames addressable by name in SQL text."""
     for name, df in tables.items():

@@ -11,7 +11,7 @@ from statloom.sinks.external import create_external_csv, publish_csv, publishabl
 from statloom.sinks.files import save_csv, save_parquet, written_rows
 from statloom.sinks.keyed import (change_keyed, create_keyed, delete, drop_table, insert, key_of, read_keyed, update,
                                   upsert)
-from statloom.sources.tables import (literal_rows, query, read_csv, read_parquet, register, row_count, schema_ddl,
+from statloom.sources.tables import (literal_rows, query, read_csv, read_parquet, read_source, register, row_count, schema_ddl,
                                      schema_rows, zipped)
 
 
@@ -109,6 +109,7 @@ def test_sources(spark, base, tmp_path):
     save_parquet(base, str(tmp_path / "p"), ["id"], files=2)
     assert written_rows(spark, str(tmp_path / "p")) == 4
     assert read_parquet(spark, str(tmp_path / "p"), ["id"]).columns == ["id"]
+    assert read_source(spark, "parquet", path=str(tmp_path / "p")).count() == 4
     save_csv(base, str(tmp_path / "c"), files=1)
     assert len(list((tmp_path / "c").glob("part-*"))) == 1
     assert rows(read_csv(spark, str(tmp_path / "c"), base.schema).select("id")) == [(1,), (2,), (3,), (4,)]
@@ -179,6 +180,17 @@ def test_keyed_table(spark):
     assert drop_table(spark, "keyed_test") and not drop_table(spark, "keyed_test")
 
 
+def test_old_versions_leave_no_rows_behind(spark, tmp_path):
+    df = spark.range(50).selectExpr("id as k", "cast(id as string) as v")
+    first, second = str(tmp_path / "first"), str(tmp_path / "second")
+    create_keyed(df, "keyed_purge", ["k"], buckets=2, path=first)
+    change_keyed(spark, "keyed_purge", df.limit(5).withColumn("v", F.lit("x")), path=second)
+    assert read_keyed(spark, "keyed_purge").filter("v = 'x'").count() == 5
+    assert spark.read.parquet(first).count() == 0 and spark.read.parquet(second).count() == 50
+    assert drop_table(spark, "keyed_purge")
+    assert spark.read.parquet(second).count() == 50
+
+
 def test_stored_rows_are_not_shuffled(spark):
     df = spark.range(100).selectExpr("id as k", "cast(id as string) as v")
     drop_table(spark, "keyed_plan")
