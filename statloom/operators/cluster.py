@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statloom.functions.columns import col
-from statloom.operators.features import SCALED, feature_stages, fit_stages
+from statloom.operators.features import feature_stages, fit_stages
 from statloom.operators.moments import complete_rows
 from statloom.operators.split import SEED
 from statloom.sources.tables import literal_rows
@@ -63,27 +63,32 @@ def cluster_profile(assigned: DataFrame, row_id: str, features: Sequence[str], c
 def elbow(df: DataFrame, predictors: Sequence[str], ks: Sequence[int] = SWEEP, center: bool = True,
           seed: int = SEED, max_iter: int = MAX_ITER, tol: float = TOLERANCE, parallelism: int = 4,
           merge_equal_rows: bool = False) -> DataFrame:
-    """``k, cost`` for every k. The scaled vectors are computed once and kept for all fits.
+    """``k, cost`` for every k. The columns are read and their scale is fitted once for all k.
+
+    What is kept are the plain columns; each fit keeps its own vectors while it iterates.
 
     ``merge_equal_rows`` replaces equal vectors by one weighted row. The cost is defined alike, and columns with
     few distinct values shrink to a small table; leave it off for continuous columns.
     """
     rows = complete_rows(df, predictors).select(*[col(p) for p in predictors])
     stages, features = feature_stages(predictors, "z" if center else "sd")
-    scaler = fit_stages(rows, stages)
     weight = {}
+    if not merge_equal_rows:
+        rows.persist(StorageLevel.MEMORY_AND_DISK)
+    scaler = fit_stages(rows, stages)
     if merge_equal_rows:
         rows = rows.groupBy(*[col(p) for p in predictors]).agg(F.count(F.lit(1)).cast("double").alias("__weight"))
         weight = {"weightCol": "__weight"}
-    scaled = scaler.transform(rows).select(features, *weight.values()).persist(StorageLevel.MEMORY_AND_DISK)
+        rows.persist(StorageLevel.MEMORY_AND_DISK)
+    scaled = scaler.transform(rows).select(features, *weight.values())
 
     def cost(k: int) -> tuple[int, float]:
-        model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol=SCALED, **weight).fit(scaled)
+        model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol=features, **weight).fit(scaled)
         return k, float(model.summary.trainingCost)
 
     try:
         with ThreadPool(max(1, min(parallelism, len(ks)))) as pool:
             found = pool.map(inheritable_thread_target(df.sparkSession)(cost), list(ks), chunksize=1)
     finally:
-        scaled.unpersist()
+        rows.unpersist()
     return literal_rows(df.sparkSession, found, "k int, cost double")
