@@ -1,5 +1,5 @@
 """The registered queries of this subpackage: name -> (Spark query, equivalent SQL or None)."""
 
-from statloom.llm import exact, lines
+from statloom.llm import exact, lines, mixing, urls
 
-QUERIES = {**lines.QUERIES, **exact.QUERIES}
+QUERIES = {**lines.QUERIES, **exact.QUERIES, **urls.QUERIES, **mixing.QUERIES}
