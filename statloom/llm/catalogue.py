@@ -1,5 +1,5 @@
 """The registered queries of this subpackage: name -> (Spark query, equivalent SQL or None)."""
 
-from statloom.llm import exact, lines, mixing, urls
+from statloom.llm import exact, lines, mixing, secrets, shards, urls
 
-QUERIES = {**lines.QUERIES, **exact.QUERIES, **urls.QUERIES, **mixing.QUERIES}
+QUERIES = {**shards.QUERIES, **lines.QUERIES, **exact.QUERIES, **urls.QUERIES, **mixing.QUERIES, **secrets.QUERIES}
