@@ -44,7 +44,7 @@ def high_entropy(string: str, threshold: float, window: int = WINDOW) -> list[tu
     """
     if len(string) < window or threshold == math.inf:
         return []
-    plogp = [0.0] + [c * math.log2(c) for c in range(1, window + 1)]
+    plogp = [0.0] + [c * math.log2(c) for c in range(1, window + 2)]
     counts: dict[str, int] = {}
     total, digits, letters, spans = 0.0, 0, 0, []
     most = (math.log2(window) - threshold) * window + 1e-9
