@@ -1,6 +1,6 @@
 """The registered queries of this subpackage: name -> (Spark query, equivalent SQL or None)."""
 
-from statloom.llm import exact, fingerprints, lines, mixing, packing, secrets, shards, urls
+from statloom.llm import exact, fingerprints, lines, mixing, neardup, packing, secrets, shards, urls
 
 QUERIES = {**packing.QUERIES, **fingerprints.QUERIES, **shards.QUERIES, **lines.QUERIES, **exact.QUERIES,
-           **urls.QUERIES, **mixing.QUERIES, **secrets.QUERIES}
+           **urls.QUERIES, **mixing.QUERIES, **neardup.QUERIES, **secrets.QUERIES}
