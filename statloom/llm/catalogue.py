@@ -1,6 +1,7 @@
 """The registered queries of this subpackage: name -> (Spark query, equivalent SQL or None)."""
 
-from statloom.llm import exact, fingerprints, lines, mixing, neardup, packing, secrets, shards, urls
+from statloom.llm import exact, fingerprints, lines, mixing, neardup, packing, secrets, shards, toxicity, urls
 
-QUERIES = {**packing.QUERIES, **fingerprints.QUERIES, **shards.QUERIES, **lines.QUERIES, **exact.QUERIES,
-           **urls.QUERIES, **mixing.QUERIES, **neardup.QUERIES, **secrets.QUERIES}
+QUERIES = {}
+for module in (packing, fingerprints, toxicity, shards, lines, exact, urls, mixing, neardup, secrets):
+    QUERIES.update(module.QUERIES)
