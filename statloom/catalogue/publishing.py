@@ -41,6 +41,24 @@ def _external(spark, folder):
                        scratch_path(spark, "customer"))
 
 
+def _published(name, *columns):
+    def run(spark, folder):
+        """Free text with line breaks through an external text table."""
+        return publish_csv(table(spark, folder, name, *columns), _name(name), scratch_path(spark, name))
+    return run
+
+
+def _csv_text(spark, folder):
+    """Text files of documents and of hard values made from them: empty, null, quotes, both line breaks, backslashes."""
+    docs = table(spark, folder, "documents", "doc_id", "text", "lang")
+    hard = docs.select("doc_id", F.element_at(F.array(*[F.lit(x) for x in HARD]), (F.col("doc_id") % len(HARD) + 1).cast("int"))
+                       .alias("text"), F.when(F.col("doc_id") % 2 == 0, F.col("lang")).alias("lang"))
+    path = scratch_path(spark, "texts")
+    both = docs.unionByName(hard)
+    save_csv(both, path)
+    return read_csv(spark, path, both.schema)
+
+
 def _external_plain(spark, folder):
     """Array, vector and reserved columns stay behind."""
     df = vectors_from_array(table(spark, folder, "embeddings"), "embedding").withColumn("location", F.lit("here"))
@@ -51,6 +69,7 @@ def _all_customers(spark, folder):
     return table(spark, folder, "customer", "c_custkey", "c_name", "c_acctbal", "c_mktsegment", "c_nationkey")
 
 
+HARD = ["", " x ", '"', 'a "b", c', "line\r\nbreak", "\r", "\n", "\\", "\\N", "\\n", "\\s\\", ",", "'", "tab\t"]
 KEPT = ["c_custkey", "c_name", "c_acctbal"]
 
 
@@ -118,11 +137,17 @@ _NEW = f"(SELECT c_custkey, c_name, c_acctbal FROM {_COPIED} WHERE c_mktsegment
 _KEPT = "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_mktsegment <> 'BUILDING'"
 _BALANCE = r("c_acctbal", 2, "c_acctbal")
 
+_HARD = "[" + ", ".join(" || ".join(["''"] + [f"chr({ord(c)})" for c in x]) for x in HARD) + "]"
+
 QUERIES: dict[str, Query] = {
     "parquet_roundtrip": (_parquet, "SELECT * FROM orders"),
     "csv_one_file": (_csv, """SELECT c_mktsegment, CAST(count(*) AS BIGINT) AS rows, round(avg(c_acctbal), 6) AS balance
                               FROM customer GROUP BY c_mktsegment"""),
     "csv_external_roundtrip": (_external, "SELECT * FROM customer"),
+    "csv_documents": (_published("documents"), "SELECT * FROM documents"),
+    "csv_pages": (_published("pages"), "SELECT * FROM pages"),
+    "csv_text": (_csv_text, f"""SELECT doc_id, text, lang FROM documents UNION ALL
+        SELECT doc_id, {_HARD}[doc_id % {len(HARD)} + 1], CASE WHEN doc_id % 2 = 0 THEN lang END FROM documents"""),
     "csv_external_plain": (_external_plain, "SELECT vec_id, label FROM embeddings"),
     "keyed_upsert": (_upsert, f"""SELECT c_custkey, c_name, {_BALANCE} FROM ({_KEPT} UNION ALL SELECT * EXCLUDE
                                   c_nationkey FROM {_CHANGED} UNION ALL SELECT * FROM {_NEW})"""),

@@ -8,6 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from statloom.functions.columns import col
+from statloom.functions.linetext import CSV_OPTIONS, one_line
 
 
 def save_parquet(df: DataFrame, path: str, sort_keys: Sequence[str] = (), partition_by: Sequence[str] = (),
@@ -34,10 +35,11 @@ def written_rows(spark: SparkSession, path: str) -> int:
 
 def save_csv(df: DataFrame, path: str, header: bool = True, files: int | None = None) -> None:
     """Overwrite a CSV directory. ``files=1`` gives one file and is meant for result tables: it sends all rows
-    through one writer, while the computation before it keeps its parallelism."""
+    through one writer, while the computation before it keeps its parallelism. Text with line breaks, quotes, spaces at
+    the ends, nulls and empty text come back as they were with ``read_csv``."""
     if files:
         df = df.repartition(files)
-    df.write.mode("overwrite").option("header", header).csv(path)
+    one_line(df).write.mode("overwrite").options(**CSV_OPTIONS).option("header", header).csv(path)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statloom.functions.columns import col
+from statloom.functions.linetext import CSV_OPTIONS, many_lines
 
 _ARROW = {"long": pa.int64(), "integer": pa.int32(), "double": pa.float64(), "string": pa.string(),
           "boolean": pa.bool_()}
@@ -21,8 +22,8 @@ def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None =
 
 
 def read_csv(spark: SparkSession, path: str, schema, header: bool = True) -> DataFrame:
-    """CSV with a declared schema: no extra pass to infer one."""
-    return spark.read.schema(schema).option("header", header).csv(path)
+    """CSV as ``save_csv`` writes it, with a declared schema: no extra pass to infer one."""
+    return many_lines(spark.read.schema(schema).options(**CSV_OPTIONS).option("header", header).csv(path))
 
 
 def read_source(spark: SparkSession, kind: str, **options: str) -> DataFrame:

@@ -227,3 +227,37 @@ def test_scratch_folder_on_a_cluster():
     assert shared_folder(_Session("/shared/place/")) == "/shared/place"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(_Session(None))
+
+
+HARD_TEXT = ["", " x ", '"', 'a "b", c', "line\r\nbreak", "\r", "\n", "\\", "\\N", "\\n", "\\s\\", "\\\\n", ",", "tab\t", None]
+
+
+def test_text_files_keep_every_value(spark, tmp_path):
+    df = spark.createDataFrame(list(enumerate(HARD_TEXT)), "id int, text string")
+    want = dict(enumerate(HARD_TEXT))
+    save_csv(df, str(tmp_path / "c"))
+    assert {r["id"]: r["text"] for r in read_csv(spark, str(tmp_path / "c"), df.schema).collect()} == want
+    back = publish_csv(df, "hard_text", str(tmp_path / "t"))
+    assert {r["id"]: r["text"] for r in back.collect()} == want
+    # one record is one line, so the files can be split anywhere
+    folder = next((tmp_path / "t").glob("v-*"))
+    assert sum(len(f.read_bytes().splitlines()) for f in folder.glob("part-*")) == len(HARD_TEXT)
+    spark.sql("DROP VIEW hard_text_text")
+    spark.sql("DROP TABLE hard_text")
+
+
+def test_publishing_again(spark, tmp_path):
+    """A table may be published from itself, and a failed publish leaves it as it was."""
+    place = str(tmp_path / "again")
+    publish_csv(spark.range(5), "again", place)
+    back = publish_csv(spark.table("again_text").selectExpr("id + 10 AS id"), "again", place)
+    assert sorted(r["id"] for r in back.collect()) == [10, 11, 12, 13, 14]
+    with pytest.raises(Exception):
+        publish_csv(spark.range(3).selectExpr("id DIV (id - 1) AS id"), "again", place)
+    assert sorted(r["id"] for r in spark.table("again_text").collect()) == [10, 11, 12, 13, 14]
+    with pytest.raises(Exception):
+        publish_csv(spark.range(3).selectExpr("CAST(id DIV (id - 1) AS STRING) AS other"), "again", place)
+    assert spark.table("again_text").columns == ["id"]
+    assert publish_csv(spark.range(2).selectExpr("CAST(id AS STRING) AS other"), "again", place).columns == ["other"]
+    spark.sql("DROP VIEW again_text")
+    spark.sql("DROP TABLE again")
