@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from statloom.catalogue.common import (LINE_PREDICTORS, NET, Query, lines, r, rounded, t_quantile_sql, table)
 from statloom.functions.critical import critical_values, table_dof
 from statloom.operators.association import correlation_report, pair_covariance, pair_correlation, pair_statistic
+from statloom.operators.moments import pair_moments
 from statloom.operators.pca import Components
 
 REPORT_DIGITS = {"Corr": 9, "CoefDet": 9, "tValue": 6, "abs_tValue": 6}
@@ -69,11 +70,12 @@ def _one_sided(spark, folder):
 
 
 def _t_critical(spark, folder):
-    """The critical values that apply to each customer's orders: n - 2 degrees of freedom, six probabilities."""
+    """The critical values that apply to each customer's orders: n - 2 degrees of freedom, six probabilities. Customers
+    with too few orders for any have nulls."""
     per = (table(spark, folder, "orders", "o_custkey").groupBy("o_custkey")
            .agg(F.count(F.lit(1)).alias("n")).withColumn("dof", F.col("n") - 2))
     values = critical_values(spark).withColumnRenamed("dof", "key")
-    return (per.join(F.broadcast(values), table_dof(F.col("dof")) == F.col("key"))
+    return (per.join(F.broadcast(values), table_dof(F.col("dof")) == F.col("key"), "left")
             .select("o_custkey", "n", "dof", "prob", "critical"))
 
 
@@ -86,6 +88,22 @@ def _wide_covariance(spark, folder):
     return rounded(pair_covariance(_embedding_columns(spark, folder)), {"cov": 9})
 
 
+def _moments_by_group(spark, folder, columns, form):
+    """Moments per source with gaps: one group has no complete pair at all, and both ways of counting meet them."""
+    df = table(spark, folder, "documents", "doc_id", "n_chars", "source").select(
+        "source", F.when(F.col("source") != "src3", F.col("doc_id").cast("double")).alias("a"),
+        F.when(F.col("doc_id") % 3 != 0, F.col("n_chars").cast("double")).alias("b"),
+        *[F.col("n_chars").cast("double").alias(f"x{i}") for i in range(columns)])
+    found = pair_moments(df, ["a", "b", *[f"x{i}" for i in range(columns)]], "source")
+    return (found.where("col_x IN ('a', 'b') AND col_y IN ('a', 'b')")
+            .select(F.lit(form).alias("form"), F.col("part").alias("source"), "col_x", "col_y", "n",
+                    *[(F.round(c, 4) + F.lit(0.0)).alias(c) for c in ("mean_x", "mean_y", "sxx", "syy", "sxy")]))
+
+
+def _grouped(spark, folder):
+    return _moments_by_group(spark, folder, 0, "narrow").unionByName(_moments_by_group(spark, folder, 8, "wide"))
+
+
 def _pca_two(spark, folder):
     found = Components.fit(table(spark, folder, "part", "p_partkey", "p_retailprice"), ["p_partkey", "p_retailprice"])
     joined = found.explained_variance(spark).join(found.loading_table(spark), "component")
@@ -143,7 +161,7 @@ published AS (
                                      (0.995, 2.576), (0.999, 3.090)))
 SELECT o_custkey, n, n - 2 AS dof, prob, critical
 FROM (SELECT o_custkey, CAST(count(*) AS BIGINT) AS n FROM orders GROUP BY o_custkey)
-JOIN published ON v = CASE WHEN n - 2 > 100 THEN 0 WHEN n - 2 >= 1 THEN n - 2 END"""
+LEFT JOIN published ON v = CASE WHEN n - 2 > 100 THEN 0 WHEN n - 2 >= 1 THEN n - 2 END"""
 
 _REPORT_EXACT = f"WITH RECURSIVE {t_quantile_sql([0.965])} " + _report(
     ["s_suppkey", "s_nationkey", "s_acctbal"], "supplier", "(SELECT t FROM t_exact WHERE v = n - 2)", digits=8)
@@ -191,6 +209,16 @@ QUERIES: dict[str, Query] = {
     "correlation_one_sided": (_one_sided, " UNION ALL ".join(
         f"SELECT *, '{test}' AS test FROM ({_report(_ONE_SIDED, _PART, '1.645', rejected, corr_digits=8)})"
         for test, rejected in (("upper one-sided", "t > critical"), ("lower one-sided", "t < -critical")))),
+    "moments_by_group": (_grouped, """
+WITH d AS (SELECT source, CASE WHEN source <> 'src3' THEN doc_id::DOUBLE END AS a,
+                  CASE WHEN doc_id % 3 <> 0 THEN n_chars::DOUBLE END AS b FROM documents),
+pairs AS (SELECT source, 'a' AS col_x, 'a' AS col_y, a AS x, a AS y FROM d
+          UNION ALL SELECT source, 'a', 'b', CASE WHEN b IS NOT NULL THEN a END, CASE WHEN a IS NOT NULL THEN b END FROM d
+          UNION ALL SELECT source, 'b', 'b', b, b FROM d)
+SELECT form, source, col_x, col_y, count(x) AS n, """ + ", ".join(r(e, 4, n) for e, n in (
+        ("avg(x)", "mean_x"), ("avg(y)", "mean_y"), ("var_pop(x) * count(x)", "sxx"), ("var_pop(y) * count(y)", "syy"),
+        ("covar_pop(x, y) * count(x)", "sxy"))) + """
+FROM pairs, (VALUES ('narrow'), ('wide')) AS f(form) GROUP BY form, source, col_x, col_y"""),
     "t_critical": (_t_critical, _T_CRITICAL),
     "pca_two": (_pca_two, _PCA_TWO),
     "pca_projection": (_pca_projection, _PCA_PROJECTION),

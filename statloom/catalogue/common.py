@@ -39,11 +39,11 @@ def r(expression: str, digits: int, name: str) -> str:
 
 def position_sql(key: str, seed: int = SEED) -> str:
     """SQL of ``hash_position`` for one whole-number key."""
-    return f"(('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 8))::BIGINT % 10000)"
+    return f"(('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 8))::BIGINT)"
 
 
 def train_sql(key: str) -> str:
-    return f"({position_sql(key)} < 7000)"
+    return f"({position_sql(key)} < {round(0.7 * 2 ** 32)})"
 
 
 def t_quantile_sql(probs: list[float], last_dof: int = 100) -> str:

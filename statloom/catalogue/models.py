@@ -3,9 +3,10 @@ which rows were scored, and that clusters and components account for all of them
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from statloom.catalogue.common import NET, Query, fit_sql, lines, position_sql, r, rounded, table
+from statloom.catalogue.common import NET, Query, fit_sql, lines, r, rounded, table, train_sql
 from statloom.operators.cluster import Clustering, elbow
 from statloom.operators.features import vectors_from_array
 from statloom.operators.mixture import Mixture
@@ -72,7 +73,7 @@ def _importance_scaled(spark, folder):
 
 
 def _settings(spark, folder):
-    return tree_settings(fit_tree(_orders(spark, folder), "boosted", "net", ORDER_PREDICTORS, maxIter=5), spark)
+    return tree_settings(fit_tree(_orders(spark, folder), "boosted", "net", ORDER_PREDICTORS), spark)
 
 
 def _saved(spark, folder):
@@ -107,25 +108,63 @@ def _kmeans_centres(spark, folder):
     return Clustering.fit(_slice(spark, folder), GROUPED, 10, center=False).centres(spark)
 
 
+def _from_centres(spark, found, rows):
+    """The rows with their squared distance to each centre, from the centres and the scale as tables: no model code."""
+    stats = column_moments(rows, GROUPED)
+    wide = found.centres(spark).groupBy("cluster").pivot("feature", GROUPED).agg(F.first("value"))
+    centres = wide.select("cluster", *[F.col(c).alias(f"c_{c}") for c in GROUPED])  # k rows
+    apart = sum((F.pow((F.col(c) - F.lit(stats[c][1])) / F.lit(stats[c][2]) - F.col(f"c_{c}"), 2) for c in GROUPED), F.lit(0.0))
+    return apart, centres
+
+
 def _kmeans_cost(spark, folder):
-    """The cost taken in training equals the one recomputed from the assigned rows, within the last iteration's move."""
+    """The cost equals the one recomputed from assigned rows and the centres as a table."""
     rows = _slice(spark, folder)
-    found = Clustering.fit(rows, GROUPED, 6)
-    stats = column_moments(rows, GROUPED)
-    spread = sum((F.var_pop(c) / F.lit(stats[c][2] ** 2) for c in GROUPED), F.lit(0.0))
-    per = found.assign(rows).groupBy("cluster").agg(spread.alias("spread"), F.count(F.lit(1)).alias("n"))
-    total = F.sum(F.col("spread") * F.col("n"))
-    return per.agg(F.sum("n").alias("rows"), (F.abs(total / F.lit(found.cost) - 1) < 0.01).alias("agrees"))
+    found = Clustering.fit(rows, GROUPED, 10)
+    apart, centres = _from_centres(spark, found, rows)
+    total = found.assign(rows).join(F.broadcast(centres), "cluster").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(apart).alias("cost"))
+    return total.select("rows", (F.abs(F.col("cost") / F.lit(found.cost) - 1) < 1e-9).alias("agrees"))
+
+
+def _kmeans_assign(spark, folder):
+    """How much farther each row's own centre is than the nearest of all centres, to nine digits."""
+    rows = slice_of(table(spark, folder, "lineitem", *GROUPED, "l_orderkey", "l_linenumber", *SLICE), SLICE)
+    found = Clustering.fit(rows, GROUPED, 10)
+    apart, centres = _from_centres(spark, found, rows)
+    listed = F.array_sort(F.collect_list(F.struct(*centres.columns)))
+    centres = F.broadcast(centres.agg(listed.alias("centres")))  # one row holds all k
+    named = found.assign(rows).join(centres, F.lit(True))
+    each = F.transform("centres", lambda c: sum((F.pow((F.col(f) - F.lit(m)) / F.lit(sd) - c[f"c_{f}"], 2)
+                                                 for f, (_, m, sd) in column_moments(rows, GROUPED).items()), F.lit(0.0)))
+    return named.withColumn("each", each).select(
+        "l_orderkey", "l_linenumber",
+        (F.round(F.get("each", F.col("cluster")) - F.array_min("each"), 9) + F.lit(0.0)).alias("excess"))
+
+
+def _distinct_points(spark, folder):
+    """The tax rates of all lines: nine distinct points in two columns."""
+    return table(spark, folder, "lineitem", "l_tax").select("l_tax", (1 - F.col("l_tax") * 2).alias("rest"))
+
+
+def _kmeans_exact(spark, folder):
+    """As many centres as distinct points: they are the points, and the cost is zero."""
+    rows = _distinct_points(spark, folder)
+    found = Clustering.fit(rows, ["l_tax", "rest"], 9)
+    return (found.assign(rows).groupBy("cluster").agg(F.min("l_tax").alias("least"), F.max("l_tax").alias("most"),
+                                                      F.count(F.lit(1)).alias("rows"))
+            .select(F.round("least", 6).alias("least"), F.round("most", 6).alias("most"), "rows",
+                    F.lit(round(found.cost, 9) + 0.0).alias("cost")))
 
 
 def _elbow(spark, folder):
-    return elbow(_slice(spark, folder), GROUPED, range(2, 7), merge_equal_rows=True)
+    return elbow(_slice(spark, folder), GROUPED)
 
 
 def _elbow_embeddings(spark, folder):
     df = table(spark, folder, "embeddings", "embedding")
     wide = df.select(*[F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(64)])
-    return elbow(wide, wide.columns, (5, 10, 20))
+    return elbow(wide, wide.columns)
 
 
 def _array_vectors(spark, folder):
@@ -140,7 +179,7 @@ MIXED = ["l_extendedprice", *GROUPED]
 
 
 def _mixture(spark, folder):
-    return Mixture.fit(_line_slice(spark, folder), MIXED, k=4, max_iter=20)
+    return Mixture.fit(_line_slice(spark, folder), MIXED)
 
 
 def _line_slice(spark, folder):
@@ -162,6 +201,40 @@ def _gmm_totals(spark, folder):
     return checks.withColumn("rows", F.lit(rows).cast("long"))
 
 
+def _gmm_responsibilities(spark, folder):
+    """The probabilities of each row against those recomputed from weights, means and covariances as tables."""
+    columns = [*MIXED, "l_orderkey", "l_linenumber"]
+    rows = slice_of(table(spark, folder, "lineitem", *columns, *SLICE), SLICE)
+    found = Mixture.fit(rows, MIXED)
+    k = len(found.model.stages[-1].weights)
+    weights, means, covariances = np.zeros(k), np.zeros((k, len(MIXED))), np.zeros((k, len(MIXED), len(MIXED)))
+    for row in found.components(spark).collect():
+        weights[row["component"]] = row["weight"]
+        means[row["component"], MIXED.index(row["feature"])] = row["mean"]
+    for row in found.covariances(spark).collect():
+        covariances[row["component"], MIXED.index(row["feature_x"]), MIXED.index(row["feature_y"])] = row["cov"]
+
+    def apart(batches):
+        # Features that sum to 1 make every covariance singular; as in the fit, null directions do not count.
+        parts = []
+        for w, m, cov in zip(weights, means, covariances):
+            values, vectors = np.linalg.eigh(cov)
+            used = values > np.finfo(float).eps * len(MIXED) * values.max()
+            parts.append((np.log(w) - np.log(values[used]).sum() / 2, m,
+                          vectors[:, used] / np.sqrt(values[used])))
+        for batch in batches:
+            x = batch[MIXED].to_numpy(float)
+            x = x / np.abs(x).sum(1, keepdims=True)
+            logs = np.column_stack([c - (((x - m) @ root) ** 2).sum(1) / 2 for c, m, root in parts])
+            p = np.exp(logs - logs.max(1, keepdims=True))
+            p /= p.sum(1, keepdims=True)
+            gap = np.abs(p - np.stack(batch["probability"].to_numpy())).max(1)
+            yield batch[["l_orderkey", "l_linenumber"]].assign(agrees=gap < 1e-6)
+
+    return found.assign(rows).select(*columns, "probability").mapInPandas(
+        apart, "l_orderkey long, l_linenumber int, agrees boolean")
+
+
 def _study(spark, folder):
     found = feature_study(_orders(spark, folder), "net", ORDER_PREDICTORS, ["l_orderkey"])
     return (found.best.select("best_by", "preds", F.lit(None).cast("string").alias("predictor"),
@@ -176,7 +249,7 @@ _SLICED = "lineitem WHERE l_returnflag = 'N' AND l_linestatus = 'O'"
 _ORDERS = f"(SELECT l_orderkey, sum({NET}) AS net FROM lineitem GROUP BY l_orderkey)"
 
 _TOTALS = f"""(SELECT l_orderkey, sum({NET}) AS net, sum(l_extendedprice) AS price, avg(l_discount) AS discount,
-    avg(l_tax) AS tax, sum(l_quantity) AS quantity, {position_sql('l_orderkey')} < 7000 AS train
+    avg(l_tax) AS tax, sum(l_quantity) AS quantity, {train_sql('l_orderkey')} AS train
     FROM lineitem GROUP BY l_orderkey)"""
 _CTES, _FIT = fit_sql("f", "totals", "net", ORDER_PREDICTORS)
 _LINEAR_METRICS = f"""WITH totals AS {_TOTALS}, {_CTES}
@@ -190,11 +263,11 @@ QUERIES: dict[str, Query] = {
     "least_squares_metrics": (_least_squares_metrics, _LINEAR_METRICS),
     "tree_metrics": (_trial("tree"), None),
     "forest_metrics": (_trial("forest"), None),
-    "gbt_metrics": (_trial("boosted", maxIter=10), None),
+    "gbt_metrics": (_trial("boosted"), None),
     "model_scored_rows": (_scored_rows, f"""
         SELECT kind, CAST(count(*) AS BIGINT) AS "count", round(avg(net), 4) AS mtv, true AS useful
         FROM {_ORDERS}, (VALUES ('linear'), ('tree'), ('forest')) AS k(kind)
-        WHERE {position_sql('l_orderkey')} >= 7000 GROUP BY kind"""),
+        WHERE NOT {train_sql('l_orderkey')} GROUP BY kind"""),
     "forest_importance": (_importance, None),
     "forest_importance_scaled": (_importance_scaled, """
         SELECT CAST(4 AS BIGINT) AS predictors, 1.0::DOUBLE AS total, true AS not_negative, 'price' AS first"""),
@@ -206,6 +279,11 @@ QUERIES: dict[str, Query] = {
         f"round(avg({c}), 7) AS {c}" for c in GROUPED) + f" FROM {_SLICED}"),
     "kmeans_centres": (_kmeans_centres, None),
     "kmeans_cost": (_kmeans_cost, f"SELECT CAST(count(*) AS BIGINT) AS rows, true AS agrees FROM {_SLICED}"),
+    "kmeans_assign": (_kmeans_assign, f"SELECT l_orderkey, l_linenumber, 0.0::DOUBLE AS excess FROM {_SLICED}"),
+    "kmeans_centres_exact": (_kmeans_exact, """
+        SELECT round(l_tax, 6) AS least, round(l_tax, 6) AS most, CAST(count(*) AS BIGINT) AS rows, 0.0::DOUBLE AS cost
+        FROM lineitem GROUP BY l_tax"""),
+    "gmm_responsibilities": (_gmm_responsibilities, f"SELECT l_orderkey, l_linenumber, true AS agrees FROM {_SLICED}"),
     "kmeans_elbow": (_elbow, None),
     "kmeans_elbow_embeddings": (_elbow_embeddings, None),
     "array_vectors": (_array_vectors, f"""

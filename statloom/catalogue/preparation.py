@@ -133,7 +133,7 @@ def _columns(spark, folder):
 
 def _array_columns(spark, folder):
     df = table(spark, folder, "embeddings", "vec_id", "embedding")
-    return rounded(array_to_columns(df, "embedding", ["v0", "v1", "v2", "v3"]), {f"v{i}": 9 for i in range(4)})
+    return rounded(array_to_columns(df, "embedding", [f"v{i}" for i in range(64)]), {f"v{i}": 9 for i in range(64)})
 
 
 def _join_using(spark, folder):
@@ -227,7 +227,7 @@ QUERIES: dict[str, Query] = {
         SELECT p_partkey AS part, p_retailprice AS list_price, CAST(p_size AS DOUBLE) AS p_size, true AS has_id
         FROM part"""),
     "array_to_columns": (_array_columns, "SELECT vec_id, " + ", ".join(
-        r(f"CAST(embedding[{i + 1}] AS DOUBLE)", 9, f"v{i}") for i in range(4)) + " FROM embeddings"),
+        r(f"CAST(embedding[{i + 1}] AS DOUBLE)", 9, f"v{i}") for i in range(64)) + " FROM embeddings"),
     "join_using": (_join_using, """
         SELECT custkey, o_orderkey, c_name FROM (SELECT o_custkey AS custkey, o_orderkey FROM orders)
         JOIN (SELECT c_custkey AS custkey, c_name FROM customer) USING (custkey)"""),

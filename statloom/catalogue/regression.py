@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import comb
+
 from pyspark.sql import functions as F
 
 from statloom.catalogue.common import (LINE_PREDICTORS, NET, Query, fit_sql, lines, position_sql, r, rounded, table,
@@ -30,6 +32,16 @@ def _split_counts(spark, folder):
                    .agg(F.count(F.lit(1)).alias("rows"), F.avg("o_totalprice").alias("mean_price")), {"mean_price": 6})
 
 
+SMALL = (0.9, 0.0999, 0.0001)
+
+
+def _split_small(spark, folder):
+    """A share of one in ten thousand."""
+    number = split_number(portable_key("l_orderkey", "l_linenumber"), SMALL)
+    return (table(spark, folder, "lineitem", "l_orderkey", "l_linenumber").groupBy(number.alias("share"))
+            .agg(F.count(F.lit(1)).alias("rows")))
+
+
 def _fold_counts(spark, folder):
     return (with_fold(table(spark, folder, "orders", "o_orderkey"), portable_key("o_orderkey")).groupBy("fold")
             .agg(F.count(F.lit(1)).alias("rows")))
@@ -103,6 +115,26 @@ def _best_subset_lines(spark, folder):
     return rounded(ranked(found), {"r2": 8, "rmse": 4, "mae": 4})
 
 
+THIRTEEN = [f"e{i}" for i in range(13)]
+
+
+def _best_subset_wide(spark, folder):
+    """Thirteen predictors: all 8,191 sets, each with its size, and the metrics of the largest one."""
+    df = table(spark, folder, "embeddings", "vec_id", "embedding")
+    df = df.select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(n) for i, n in enumerate(THIRTEEN)],
+                   F.get("embedding", F.lit(13)).cast("double").alias("target"))
+    found = best_subset(df, "target", THIRTEEN, portable_key("vec_id"))
+    best = F.when(F.col("num_preds") == 13, F.col("r2"))
+    return found.groupBy("num_preds").agg(F.count(F.lit(1)).alias("sets"), F.round(F.max(best), 8).alias("r2"))
+
+
+def _best_subset_collinear(spark, folder):
+    """One predictor is a multiple of another: the sets with both fit as well as with either."""
+    df = _part(spark, folder).withColumn("double_size", F.col("p_size") * 2)
+    found = best_subset(df, TARGET, ["p_partkey", "p_size", "double_size"], portable_key("p_partkey"))
+    return rounded(found, SUBSET_DIGITS)
+
+
 def _ols_lines(spark, folder):
     """Four predictors on the whole table, with residuals summed from the rows."""
     found = LeastSquares.fit(lines(spark, folder), "net", LINE_PREDICTORS, refine=True).anova(spark)
@@ -251,11 +283,25 @@ def _ols_lines_sql() -> str:
                round((syy - sse) / 4 / (sse / (n - 5)), 2) AS f_value, 'Reject Null Hyp' AS significance FROM e"""
 
 
+def _wide_subset() -> str:
+    names = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS {n}" for i, n in enumerate([*THIRTEEN, "target"]))
+    text, name = fit_sql("w", "rows", "target", THIRTEEN)
+    sizes = ", ".join(f"({k}::DOUBLE, {comb(13, k)}::BIGINT)" for k in range(1, 14))
+    return f"""WITH rows AS (SELECT vec_id, {names}, {train_sql('vec_id')} AS train FROM embeddings), {text}
+        SELECT num_preds, sets, CASE WHEN num_preds = 13 THEN r2 END AS r2 FROM (VALUES {sizes}) AS s(num_preds, sets),
+        (SELECT {r("1 - avg((target - w_p) * (target - w_p)) / var_pop(target)", 8, "r2")} FROM {name} WHERE NOT train)"""
+
+
 QUERIES: dict[str, Query] = {
     "ols_lines": (_ols_lines, _ols_lines_sql()),
     "hash_split_counts": (_split_counts, f"""
         SELECT CASE WHEN {train_sql('o_orderkey')} THEN 0 ELSE 1 END AS share, CAST(count(*) AS BIGINT) AS rows,
                {r('avg(o_totalprice)', 6, 'mean_price')} FROM orders GROUP BY 1"""),
+    "hash_split_small_share": (_split_small, f"""
+        SELECT CASE WHEN p < {round(0.9 * 2 ** 32)} THEN 0 WHEN p < {round(0.9999 * 2 ** 32)} THEN 1 ELSE 2 END AS share,
+               CAST(count(*) AS BIGINT) AS rows
+        FROM (SELECT ('0x' || substr(md5('{SEED}:' || l_orderkey || '|' || l_linenumber), 1, 8))::BIGINT AS p FROM lineitem)
+        GROUP BY 1"""),
     "fold_counts": (_fold_counts, f"SELECT {_FOLD.format(key='o_orderkey')} AS fold, CAST(count(*) AS BIGINT) AS rows "
                                   f"FROM orders GROUP BY 1"),
     "ols_one": (_ols_one, f"""
@@ -298,6 +344,13 @@ QUERIES: dict[str, Query] = {
         UNION ALL SELECT 'rmse', * FROM subsets WHERE rmse = (SELECT min(rmse) FROM subsets)
         UNION ALL SELECT 'mae', * FROM subsets WHERE mae = (SELECT min(mae) FROM subsets)"""),
     "best_subset_lines": (_best_subset_lines, _line_subsets()),
+    "best_subset_wide": (_best_subset_wide, _wide_subset()),
+    "best_subset_collinear": (_best_subset_collinear, f"{_SUBSETS} " + " UNION ALL ".join(
+        f"SELECT CAST({i} AS BIGINT) AS id, '{names}' AS preds, CAST({k} AS DOUBLE) AS num_preds, r2, rmse, mae FROM subsets "
+        f"WHERE id = {same}" for i, names, k, same in (
+            (0, "p_partkey", 1, 0), (1, "p_size", 1, 1), (2, "double_size", 1, 1), (3, "p_partkey, p_size", 2, 2),
+            (4, "p_partkey, double_size", 2, 2), (5, "p_size, double_size", 2, 1),
+            (6, "p_partkey, p_size, double_size", 3, 2)))),
     "linear_coefficients": (_linear_coefficients, f"WITH {_closed_form()} " + " UNION ALL ".join(
         f"SELECT '{t}' AS term, {r(f'{b} * {sd}', 7, 'estimate')}, {r(f'sqrt({v}) * {sd}', 7, 'std_error')}, "
         f"{r(f'{b} / sqrt({v})', 6, 't_value')} FROM f" for t, b, v, sd in (

@@ -38,9 +38,21 @@ def verdict(condition: Column, yes: str, no: str) -> Column:
 
 
 def array_to_columns(df: DataFrame, array: str, names: Sequence[str], type_name: str = "double",
-                     keep_array: bool = False) -> DataFrame:
-    """Spread the leading elements of an array column over typed columns."""
-    wide = df.withColumns({n: F.get(col(array), F.lit(i)).cast(type_name) for i, n in enumerate(names)})
+                     keep_array: bool = False, positions: Sequence[int] | None = None) -> DataFrame:
+    """Spread an array column over typed columns, one name per element; a row of another length is an error.
+
+    ``positions`` picks elements instead, one per name, counted from 0; a position beyond the end gives null. A null
+    array gives nulls.
+    """
+    source = col(array)
+    if positions is None:
+        positions = range(len(names))
+        kind = df.select(source).schema[0].dataType
+        text = F.format_string(f"{array} has %d elements, not {len(names)}", F.size(source))
+        source = F.when(source.isNull() | (F.size(source) == len(names)), source).otherwise(F.raise_error(text).cast(kind))
+    if len(positions) != len(names):
+        raise ValueError(f"{len(names)} names for {len(positions)} positions")
+    wide = df.withColumns({n: F.get(source, F.lit(i)).cast(type_name) for n, i in zip(names, positions)})
     return wide if keep_array else wide.drop(array)
 
 
@@ -60,10 +72,6 @@ def add_in_order(df: DataFrame, columns: Sequence[tuple[str, Column]]) -> DataFr
     return df
 
 
-def finite_or_null(value: Column) -> Column:
-    return F.when(~F.isnan(value), value)
-
-
 def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(dict(names))
 

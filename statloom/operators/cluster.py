@@ -6,11 +6,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statloom.functions.columns import col
 from statloom.operators.features import feature_stages, fit_stages
@@ -24,19 +28,45 @@ MAX_ITER, TOLERANCE = 40, 1e-5
 SWEEP = range(5, 91)
 
 
+def squared_distances(features: str, centres: Sequence[np.ndarray]) -> Column:
+    """Squared distances of a vector column to every centre, as an array, one matrix product per Arrow batch."""
+    matrix = np.asarray(centres, float)
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def distances(vectors: pd.Series) -> pd.Series:
+        if not len(vectors):
+            return pd.Series([], dtype=object)
+        x = np.stack(vectors.to_numpy())
+        step = max(1, 2_000_000 // matrix.size)
+        parts = [((x[i:i + step, None, :] - matrix[None]) ** 2).sum(2) for i in range(0, len(x), step)]
+        return pd.Series(list(np.concatenate(parts)))
+
+    return distances(vector_to_array(F.col(features)))
+
+
+def total_cost(scaled: DataFrame, features: str, centres: Sequence[np.ndarray], weight: Column | None = None) -> float:
+    """Sum of the squared distances to the nearest centre. What k-means reports belongs to the centres before their
+    last move, so it is measured anew."""
+    nearest = F.array_min(squared_distances(features, centres))
+    total = scaled.select((nearest if weight is None else nearest * weight).alias("d")).agg(F.sum("d")).first()[0]
+    return float(total or 0.0)
+
+
 @dataclass(frozen=True)
 class Clustering:
     model: PipelineModel
     predictors: tuple[str, ...]
-    cost: float  # within-cluster sum of squares in scaled space, taken during training
+    cost: float  # within-cluster sum of squares in scaled space, about the final centres
 
     @classmethod
     def fit(cls, df: DataFrame, predictors: Sequence[str], k: int, center: bool = True, seed: int = SEED,
             max_iter: int = MAX_ITER, tol: float = TOLERANCE, cluster: str = CLUSTER) -> "Clustering":
         stages, features = feature_stages(predictors, "z" if center else "sd")
         algorithm = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol=features, predictionCol=cluster)
-        model = Pipeline(stages=[*stages, algorithm]).fit(complete_rows(df, predictors))
-        return cls(model, tuple(predictors), float(model.stages[-1].summary.trainingCost))
+        rows = complete_rows(df, predictors)
+        model = Pipeline(stages=[*stages, algorithm]).fit(rows)
+        scaled = PipelineModel(model.stages[:-1]).transform(rows).select(features)
+        return cls(model, tuple(predictors), total_cost(scaled, features, model.stages[-1].clusterCenters()))
 
     def assign(self, df: DataFrame) -> DataFrame:
         """The complete rows with their cluster number; the vector columns are not kept."""
@@ -44,6 +74,16 @@ class Clustering:
         vectors = [s.getOutputCol() for s in stages[:-1]]
         return self.model.transform(complete_rows(df, self.predictors)).drop(*vectors)
 
+    def distances(self, df: DataFrame) -> DataFrame:
+        """The assigned rows with ``distance`` (squared, scaled, to the own centre) and ``nearest`` (to any centre)."""
+        algorithm = self.model.stages[-1]
+        features = algorithm.getFeaturesCol()
+        rows = self.model.transform(complete_rows(df, self.predictors))
+        rows = rows.withColumn("__all", squared_distances(features, algorithm.clusterCenters()))
+        vectors = [s.getOutputCol() for s in self.model.stages[:-1]]
+        return rows.withColumns({"distance": F.get("__all", col(algorithm.getPredictionCol())),
+                                 "nearest": F.array_min("__all")}).drop("__all", *vectors)
+
     def centres(self, spark: SparkSession) -> DataFrame:
         """``cluster, feature, value`` in scaled space."""
         rows = [(i, f, float(v)) for i, centre in enumerate(self.model.stages[-1].clusterCenters())
@@ -84,7 +124,7 @@ def elbow(df: DataFrame, predictors: Sequence[str], ks: Sequence[int] = SWEEP, c
 
     def cost(k: int) -> tuple[int, float]:
         model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol=features, **weight).fit(scaled)
-        return k, float(model.summary.trainingCost)
+        return k, total_cost(scaled, features, model.clusterCenters(), F.col("__weight") if weight else None)
 
     try:
         with ThreadPool(max(1, min(parallelism, len(ks)))) as pool:

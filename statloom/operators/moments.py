@@ -8,10 +8,10 @@ subset search and the closed-form grid search. Its result has one row per unorde
 where ``n`` counts the rows in which both columns are present and the ``s..`` are sums of squares and
 products about the pair's own means. Raw sums of squares are never formed, so large offsets cost no digits.
 
-While the buffers of one aggregate fit the session's ``spark.sql.codegen.maxFields``, Spark's own functions are
-used and the whole pass stays inside generated code. Beyond that Spark would interpret the aggregate row by row, so
-each task instead folds its Arrow batches into p x p matrices and hands on one row per pair; those partial rows are
-merged by one small shuffle on the pair.
+While the buffers of one aggregate fit generated code at Spark's default ``spark.sql.codegen.maxFields``, Spark's own
+functions are used. Beyond that Spark would interpret the aggregate row by row, so each task instead folds its Arrow
+batches into p x p matrices about a common centre, taken from the first rows; sums about one centre simply add, so the
+partial rows of all tasks are merged by a plain aggregate. Both forms give the same rows.
 """
 
 from __future__ import annotations
@@ -21,15 +21,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statloom.functions.columns import col
 from statloom.sources.tables import literal_rows
 
-# Buffer fields up to which the native aggregate is also the faster of the two.
-NATIVE_FIELDS = 160
+# Buffer fields up to which the aggregate stays in generated code.
+NATIVE_FIELDS = 100
+# Rows that give the common centre.
+CENTRE_ROWS = 1000
 # Groups one task keeps before it hands on its partial sums, and how many matrix cells they may take together.
 GROUPS_IN_MEMORY, CELLS_IN_MEMORY = 256, 8_000_000
 
@@ -80,7 +82,7 @@ def pair_moments(df: DataFrame, columns: Sequence[str], by: str | Column | None
     frame = df.select(*([_part(by).alias("part")] if by is not None else []),
                       *[v.cast("double").alias(f"v{i}") for i, v in enumerate(values)])
     pairs = [(i, j) for i in range(len(columns)) for j in range(i if diagonal else i + 1, len(columns))]
-    if _fits_generated_code(df, pairs, pairwise):
+    if _fits_generated_code(pairs, pairwise):
         found = _native(frame, pairs, by is not None, pairwise)
     else:
         found = _batched(frame, pairs, by is not None)
@@ -94,14 +96,13 @@ def _part(by: str | Column) -> Column:
     return col(by) if isinstance(by, str) else by
 
 
-def _fits_generated_code(df: DataFrame, pairs: list[tuple[int, int]], pairwise: bool) -> bool:
+def _fits_generated_code(pairs: list[tuple[int, int]], pairwise: bool) -> bool:
     if pairwise:
         fields = sum(6 if i == j else 15 for i, j in pairs)
     else:
         used = {k for pair in pairs for k in pair}
         fields = 2 * len(used) + 4 * len({*pairs, *((k, k) for k in used)})
-    limit = int(df.sparkSession.conf.get("spark.sql.codegen.maxFields", "100"))
-    return fields + 2 <= min(limit, NATIVE_FIELDS)
+    return fields + 2 <= NATIVE_FIELDS
 
 
 def _native(frame: DataFrame, pairs: list[tuple[int, int]], grouped: bool, pairwise: bool) -> DataFrame:
@@ -140,27 +141,26 @@ def _batched(frame: DataFrame, pairs: list[tuple[int, int]], grouped: bool) -> D
     first, second = (np.array(side) for side in zip(*pairs))
     most = max(1, min(GROUPS_IN_MEMORY, CELLS_IN_MEMORY // len(names) ** 2))
 
+    near = frame.select(*names).limit(CENTRE_ROWS).agg(*[F.avg(n).alias(n) for n in names]).first()
+    centre = np.array([near[n] if near[n] is not None and np.isfinite(near[n]) else 0.0 for n in names])
+
     # Defined here, not at module level, so that it travels to the workers by value: they need numpy and pyarrow
     # but not this package.
     class Sums:
-        """Sums of one group in one task, about a centre near the data so that no digits are lost."""
+        """Sums of one group in one task about the common centre, which is near the data so that no digits are lost."""
 
-        def __init__(self, values: np.ndarray, present: np.ndarray):
-            with np.errstate(invalid="ignore", divide="ignore"):
-                centre = np.where(present, values, 0.0).sum(0) / present.sum(0)
-            self.centre = np.nan_to_num(centre)
-            p = values.shape[1]
-            self.n, self.sx, self.sxx, self.sxy = (np.zeros((p, p)) for _ in range(4))
+        def __init__(self):
+            self.n, self.sx, self.sxx, self.sxy = (np.zeros((len(names),) * 2) for _ in range(4))
 
         def add(self, values: np.ndarray, present: np.ndarray) -> None:
             if present.all():
-                shifted = values - self.centre
+                shifted = values - centre
                 self.n += len(values)
                 self.sx += shifted.sum(0)[:, None]
                 product = shifted.T @ shifted
                 self.sxx += np.diag(product)[:, None]
             else:
-                shifted = np.where(present, values - self.centre, 0.0)
+                shifted = np.where(present, values - centre, 0.0)
                 both = present.astype(float)
                 self.n += both.T @ both
                 self.sx += shifted.T @ both
@@ -169,13 +169,9 @@ def _batched(frame: DataFrame, pairs: list[tuple[int, int]], grouped: bool) -> D
             self.sxy += product
 
         def rows(self, i: np.ndarray, j: np.ndarray) -> dict[str, np.ndarray]:
-            n, sx, sy = self.n[i, j], self.sx[i, j], self.sx[j, i]
-            keep = n > 0
-            i, j, n, sx, sy = i[keep], j[keep], n[keep], sx[keep], sy[keep]
-            return {"i": i.astype(np.int32), "j": j.astype(np.int32), "n": n.astype(np.int64),
-                    "mean_x": self.centre[i] + sx / n, "mean_y": self.centre[j] + sy / n,
-                    "sxx": self.sxx[i, j] - sx * sx / n, "syy": self.sxx[j, i] - sy * sy / n,
-                    "sxy": self.sxy[i, j] - sx * sy / n}
+            return {"i": i.astype(np.int32), "j": j.astype(np.int32), "n": self.n[i, j].astype(np.int64),
+                    "sx": self.sx[i, j], "sy": self.sx[j, i], "sxx": self.sxx[i, j], "syy": self.sxx[j, i],
+                    "sxy": self.sxy[i, j]}
 
     def matrix(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         columns = [batch.column(n) for n in names]
@@ -187,11 +183,14 @@ def _batched(frame: DataFrame, pairs: list[tuple[int, int]], grouped: bool) -> D
         return values, present
 
     def emit(sums: dict, part_type) -> Iterator[pa.RecordBatch]:
-        for part, group in sums.items():
-            fields = group.rows(first, second)
-            if grouped:
-                fields = {"part": pa.array([part] * len(fields["i"]), part_type), **fields}
-            yield pa.RecordBatch.from_pydict(fields)
+        if not sums:
+            return
+        found = [group.rows(first, second) for group in sums.values()]
+        fields = {name: np.concatenate([f[name] for f in found]) for name in found[0]}
+        if grouped:
+            parts = pa.array(list(sums), part_type)
+            fields = {"part": parts.take(pa.array(np.repeat(np.arange(len(sums)), len(first)))), **fields}
+        yield pa.RecordBatch.from_pydict(fields)
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict = {}
@@ -204,39 +203,38 @@ def _batched(frame: DataFrame, pairs: list[tuple[int, int]], grouped: bool) -> D
                 coded = batch.column("part").dictionary_encode(null_encoding="encode")
                 part_type = batch.column("part").type
                 codes = coded.indices.to_numpy(zero_copy_only=False)
-                slices = [(part.as_py(), codes == k) for k, part in enumerate(coded.dictionary)]
+                order = np.argsort(codes, kind="stable")
+                values, present = values[order], np.broadcast_to(present, values.shape)[order]
+                ends = np.searchsorted(codes[order], np.arange(len(coded.dictionary) + 1))
+                slices = [(part.as_py(), slice(ends[k], ends[k + 1])) for k, part in enumerate(coded.dictionary)]
             else:
                 slices = [(None, slice(None))]
             for part, rows in slices:
-                x, mask = values[rows], present[rows]
                 if part not in sums:
-                    sums[part] = Sums(x, mask)
-                sums[part].add(x, mask)
-            if len(sums) > most:
-                yield from emit(sums, part_type)
-                sums = {}
+                    if len(sums) >= most:
+                        yield from emit(sums, part_type)
+                        sums = {}
+                    sums[part] = Sums()
+                sums[part].add(values[rows], present[rows])
         yield from emit(sums, part_type)
 
     part_field = f"part {frame.schema['part'].dataType.simpleString()}, " if grouped else ""
-    partial = frame.mapInArrow(fold, f"{part_field}i int, j int, {PAIR_FIELDS}")
-    if not grouped:  # a pair that no row has both values of still gets its row, with n = 0
+    sums = "n long, sx double, sy double, sxx double, syy double, sxy double"
+    partial = frame.mapInArrow(fold, f"{part_field}i int, j int, {sums}")
+    if not grouped:  # a table without rows still gets a row per pair, with n = 0
         listed = literal_rows(frame.sparkSession, pairs, "i int, j int")
         partial = partial.unionByName(listed.withColumn("n", F.lit(0).cast("long")), allowMissingColumns=True)
-    # Merge of the partial rows: within-task sums plus the spread of the task means about the common mean.
-    keys = (["part"] if grouped else []) + ["i", "j"]
-    pair = Window.partitionBy(*keys)
-    total = F.sum("n").over(pair)
-    aligned = partial.withColumns({
-        "dx": F.col("mean_x") - F.try_divide(F.sum(F.col("mean_x") * F.col("n")).over(pair), total),
-        "dy": F.col("mean_y") - F.try_divide(F.sum(F.col("mean_y") * F.col("n")).over(pair), total)})
-    n, dx, dy = F.col("n"), F.col("dx"), F.col("dy")
-    return aligned.groupBy(*keys).agg(
-        F.sum(n).alias("n"),
-        F.try_divide(F.sum(F.col("mean_x") * n), F.sum(n)).alias("mean_x"),
-        F.try_divide(F.sum(F.col("mean_y") * n), F.sum(n)).alias("mean_y"),
-        F.sum(F.col("sxx") + n * dx * dx).alias("sxx"),
-        F.sum(F.col("syy") + n * dy * dy).alias("syy"),
-        F.sum(F.col("sxy") + n * dx * dy).alias("sxy"))
+    total = partial.groupBy(*(["part"] if grouped else []), "i", "j").agg(
+        *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    known, n, sx, sy = F.col("n") > 0, F.col("n"), F.col("sx"), F.col("sy")
+    at = F.array(*[F.lit(float(c)) for c in centre])
+    return total.select(
+        *(["part"] if grouped else []), "i", "j", "n",
+        F.when(known, F.get(at, F.col("i")) + sx / n).alias("mean_x"),
+        F.when(known, F.get(at, F.col("j")) + sy / n).alias("mean_y"),
+        F.when(known, F.greatest(F.col("sxx") - sx * sx / n, F.lit(0.0))).alias("sxx"),
+        F.when(known, F.greatest(F.col("syy") - sy * sy / n, F.lit(0.0))).alias("syy"),
+        F.when(known, F.col("sxy") - sx * sy / n).alias("sxy"))
 
 
 def column_moments(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int, float | None, float | None]]:
@@ -245,7 +243,7 @@ def column_moments(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int
     frame = df.select(*[F.when(~is_missing(df, c), col(c)).cast("double").alias(f"v{i}")
                         for i, c in enumerate(columns)])
     pairs = [(i, i) for i in range(len(columns))]
-    rows = (_native(frame, pairs, False, True) if _fits_generated_code(df, pairs, True) else
+    rows = (_native(frame, pairs, False, True) if _fits_generated_code(pairs, True) else
             _batched(frame, pairs, False)).collect()
     return {columns[r["i"]]: (r["n"], r["mean_x"], (r["sxx"] / (r["n"] - 1)) ** 0.5 if r["n"] > 1 else None)
             for r in rows}

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from statloom.functions.columns import col
 
 SEED = 1069  # fixed value: seed of all splits and fits
-RESOLUTION = 10_000
+RESOLUTION = 1 << 32  # of a position: the smallest share a split can tell apart is one in four billion
 
 
 class PortableKey(tuple):
@@ -28,20 +28,20 @@ def portable_key(*columns: str) -> PortableKey:
     return PortableKey(columns)
 
 
-def hash_position(keys: Sequence[str], seed: int = SEED, resolution: int = RESOLUTION) -> Column:
-    """A whole number in [0, resolution) that depends on the key values, their types and the seed only.
+def hash_position(keys: Sequence[str], seed: int = SEED) -> Column:
+    """A whole number in [0, ``RESOLUTION``) that depends on the key values, their types and the seed only.
 
-    For a ``PortableKey`` it is the first 32 bits of md5("seed:key1|key2...") modulo the resolution.
+    For a ``PortableKey`` it is the first 32 bits of md5("seed:key1|key2...").
     """
     if isinstance(keys, PortableKey):
         text = F.concat_ws("|", *[F.coalesce(col(k).cast("string"), F.lit("")) for k in keys])
         digest = F.md5(F.concat(F.lit(f"{seed}:"), text))
-        return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % resolution).cast("int")
-    return F.pmod(F.xxhash64(F.lit(seed), *[col(k) for k in keys]), F.lit(resolution)).cast("int")
+        return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+    return F.pmod(F.xxhash64(F.lit(seed), *[col(k) for k in keys]), F.lit(RESOLUTION))
 
 
 def split_number(keys: Sequence[str], weights: Sequence[float] = (0.7, 0.3), seed: int = SEED) -> Column:
-    """0 for the first share, 1 for the second, and so on."""
+    """0 for the first share, 1 for the second, and so on. A share too small for the resolution is an error."""
     if not weights or min(weights) <= 0:
         raise ValueError(f"weights must be positive: {weights}")
     position = hash_position(keys, seed)
@@ -50,6 +50,9 @@ def split_number(keys: Sequence[str], weights: Sequence[float] = (0.7, 0.3), see
     for weight in weights[:-1]:
         bound += weight / total * RESOLUTION
         bounds.append(round(bound))
+    edges = [0, *bounds, RESOLUTION]
+    if any(a >= b for a, b in zip(edges, edges[1:])):
+        raise ValueError(f"a share is below 1 / {RESOLUTION}: {weights}")
     for k in reversed(range(len(bounds))):
         number = F.when(position < bounds[k], F.lit(k)).otherwise(number)
     return number

@@ -1,8 +1,8 @@
 """Best-subset regression: every non-empty set of predictors, fitted on one share and measured on the other.
 
-Two passes over the data whatever the number of subsets: one takes the moments of both shares, from which every
-subset is solved on the driver, and one takes the test errors of all subsets together, as a matrix product per
-Arrow batch. Each task hands on one row per subset.
+One pass takes the moments of both shares, from which every subset is solved on the driver, and one pass takes the
+test errors of up to ``BLOCK`` subsets together, as a matrix product per Arrow batch. Each task hands on one row per
+subset.
 """
 
 from __future__ import annotations
@@ -16,29 +16,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statloom.functions.columns import col
-from statloom.operators.moments import collect_moments, complete_rows
-from statloom.operators.ols import solve_slopes
+from statloom.operators.moments import Moments, collect_moments, complete_rows
+from statloom.operators.ols import SINGULAR
 from statloom.operators.split import SEED, split_number
 from statloom.sources.tables import literal_rows
 
-MAX_PREDICTORS = 12  # 4,095 subsets; the coefficient matrix sent to the tasks stays under half a megabyte
+BLOCK = 4096  # subsets that one pass over the test share measures
 
 
 def column_pairs(columns: Sequence[str]) -> list[tuple[str, str]]:
     return list(combinations(columns, 2))
 
 
-def column_subsets(columns: Sequence[str], limit: int = MAX_PREDICTORS) -> list[tuple[str, ...]]:
-    """All non-empty subsets, the smaller ones first."""
+def column_subsets(columns: Sequence[str], limit: int | None = None) -> list[tuple[str, ...]]:
+    """All non-empty subsets, the smaller ones first. ``limit`` refuses longer lists of columns."""
     columns = list(columns)
-    if len(columns) > limit:
+    if limit is not None and len(columns) > limit:
         raise ValueError(f"{len(columns)} predictors give 2^{len(columns)} - 1 subsets; the limit is {limit}")
     return [c for size in range(1, len(columns) + 1) for c in combinations(columns, size)]
 
 
+def least_norm_slopes(scatter: np.ndarray, cross: np.ndarray) -> np.ndarray:
+    """Slopes in correlation form; of collinear or constant predictors the ones of least norm, whose predictions are
+    those of every other solution."""
+    scale = np.sqrt(np.diag(scatter))
+    scale = np.where(scale > 0, scale, 1.0)
+    return np.linalg.pinv(scatter / np.outer(scale, scale), rcond=SINGULAR, hermitian=True) @ (cross / scale) / scale
+
+
 def best_subset(df: DataFrame, target: str, predictors: Sequence[str], keys: Sequence[str] | None = None,
-                weights: Sequence[float] = (0.7, 0.3), seed: int = SEED, limit: int = MAX_PREDICTORS) -> DataFrame:
-    """``id, preds, num_preds, r2, rmse, mae`` for every subset; metrics are those of the test share."""
+                weights: Sequence[float] = (0.7, 0.3), seed: int = SEED, limit: int | None = None) -> DataFrame:
+    """``id, preds, num_preds, r2, rmse, mae`` for every subset; metrics are those of the test share.
+
+    A set of collinear predictors gets the fit of least norm. The rows are read once for the moments and once more
+    for every ``BLOCK`` subsets.
+    """
     predictors = list(predictors)
     subsets = column_subsets(predictors, limit)
     columns = [*predictors, target]
@@ -51,38 +63,50 @@ def best_subset(df: DataFrame, target: str, predictors: Sequence[str], keys: Seq
         raise ValueError("a share of the split is empty")
     train, test = parts[True], parts[False]
     p = len(predictors)
+    spread = float(test.scatter[p, p])
+    held = rows.filter(~F.col("train")).select(*names)
+    result = []
+    for start in range(0, len(subsets), BLOCK):
+        block = [[predictors.index(c) for c in subset] for subset in subsets[start:start + BLOCK]]
+        for k, absolute, squared in _errors(held, names, _coefficients(train, block, p)):
+            subset = subsets[start + k]
+            result.append((start + k, ", ".join(subset), float(len(subset)), 1.0 - squared / spread if spread > 0 else None,
+                           float(np.sqrt(squared / test.n)), absolute / test.n))
+    return literal_rows(df.sparkSession, result, "id long, preds string, num_preds double, r2 double, rmse double, mae double")
 
-    weights_matrix = np.zeros((p + 1, len(subsets)))  # slopes, then the intercept, one column per subset
-    for k, subset in enumerate(subsets):
-        x = [predictors.index(c) for c in subset]
-        slopes, _ = solve_slopes(train.scatter[np.ix_(x, x)], train.scatter[x, p])
-        weights_matrix[x, k] = slopes
-        weights_matrix[p, k] = train.mean[p] - slopes @ train.mean[x]
+
+def _coefficients(train: Moments, subsets: Sequence[Sequence[int]], p: int) -> np.ndarray:
+    """Slopes, then the intercept, one column per subset."""
+    found = np.zeros((p + 1, len(subsets)))
+    for k, x in enumerate(subsets):
+        slopes = least_norm_slopes(train.scatter[np.ix_(x, x)], train.scatter[x, p])
+        found[x, k] = slopes
+        found[p, k] = train.mean[p] - slopes @ train.mean[x]
+    return found
+
+
+def _errors(held: DataFrame, names: Sequence[str], coefficients: np.ndarray) -> list[tuple[int, float, float]]:
+    """Subset number, sum of absolute errors and sum of squared errors, one row per subset from each task."""
+    p, count = len(names) - 1, coefficients.shape[1]
 
     def errors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        absolute, squared, seen = np.zeros(len(subsets)), np.zeros(len(subsets)), 0
-        step = max(1, 4_000_000 // len(subsets))
+        absolute, squared, seen = np.zeros(count), np.zeros(count), 0
+        step = max(1, 4_000_000 // count)
         for batch in batches:
             values = np.column_stack([batch.column(n).to_numpy(zero_copy_only=False) for n in names])
             for start in range(0, len(values), step):
                 block = values[start:start + step]
-                missed = block[:, :p] @ weights_matrix[:p] + weights_matrix[p] - block[:, p:]
+                missed = block[:, :p] @ coefficients[:p] + coefficients[p] - block[:, p:]
                 squared += np.einsum("ij,ij->j", missed, missed)
                 absolute += np.abs(missed, out=missed).sum(0)
                 seen += len(block)
         if seen:
             yield pa.RecordBatch.from_pydict(
-                {"id": np.arange(len(subsets), dtype=np.int64), "absolute": absolute, "squared": squared})
+                {"id": np.arange(count, dtype=np.int64), "absolute": absolute, "squared": squared})
 
-    summed = (rows.filter(~F.col("train")).select(*names)
-              .mapInArrow(errors, "id long, absolute double, squared double")
+    summed = (held.mapInArrow(errors, "id long, absolute double, squared double")
               .groupBy("id").agg(F.sum("absolute").alias("absolute"), F.sum("squared").alias("squared")).collect())
-    spread = float(test.scatter[p, p])
-    result = [(r["id"], ", ".join(subsets[r["id"]]), float(len(subsets[r["id"]])),
-               1.0 - r["squared"] / spread if spread > 0 else None,
-               float(np.sqrt(r["squared"] / test.n)), r["absolute"] / test.n)
-              for r in sorted(summed, key=lambda r: r["id"])]
-    return literal_rows(df.sparkSession, result, "id long, preds string, num_preds double, r2 double, rmse double, mae double")
+    return [(r["id"], r["absolute"], r["squared"]) for r in sorted(summed, key=lambda r: r["id"])]
 
 
 def ranked(subsets: DataFrame) -> DataFrame:

@@ -14,8 +14,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Aggregates of up to seven columns' moments stay in generated code (the default of 100 allows six).
-    "spark.sql.codegen.maxFields": "200",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

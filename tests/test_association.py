@@ -168,3 +168,38 @@ def test_not_a_number_counts_as_missing(spark):
     assert pair_moments(df, ["a", "b"], diagonal=False).head()["n"] == 2
     assert complete_rows(df, ["a", "b"]).count() == 2
     assert moments.column_moments(df, ["a", "b"])["b"][:2] == (3, pytest.approx(11 / 3))
+
+
+def test_both_forms_of_grouped_moments_agree(spark, monkeypatch):
+    """Groups without any complete pair, gaps, large offsets: the same rows whichever form runs."""
+    from pyspark.sql import functions as F
+
+    from statloom.operators import moments
+    df = spark.range(3000).select(
+        (F.col("id") % 7).alias("g"), F.when(F.col("id") % 7 != 3, F.col("id") * 0.5 + 1e7).alias("a"),
+        F.when(F.col("id") % 5 != 0, F.sin(F.col("id").cast("double"))).alias("b"), (F.col("id") % 11).cast("double").alias("c"))
+
+    def rows():
+        return {(r["part"], r["col_x"], r["col_y"]): tuple(r)[3:]
+                for r in moments.pair_moments(df, ["a", "b", "c"], "g").collect()}
+
+    native = rows()
+    monkeypatch.setattr(moments, "NATIVE_FIELDS", 0)
+    batched = rows()
+    assert native.keys() == batched.keys() and len(native) == 7 * 6
+    for key, values in native.items():
+        assert batched[key][0] == values[0]
+        for x, y in zip(values[1:], batched[key][1:]):
+            assert (x is None) == (y is None) and (x is None or y == pytest.approx(x, rel=1e-9, abs=1e-6)), key
+
+
+def test_many_groups_are_fast(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from statloom.operators.moments import pair_moments
+    df = spark.range(40_000).select("id", *[(F.col("id") * (i + 1) % 13).cast("double").alias(f"c{i}") for i in range(8)])
+    start = time.time()
+    assert pair_moments(df, [f"c{i}" for i in range(8)], "id").count() == 40_000 * 36
+    assert time.time() - start < 60

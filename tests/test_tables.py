@@ -85,8 +85,13 @@ def test_column_helpers(spark):
                     c.null_to(F.lit(None).cast("int"), 0).alias("zero"),
                     c.verdict(c.col("z") > 0, "yes", "no").alias("v")).head()
     assert tuple(out) == (None, 3.0, 7, None, 0, "no")
-    wide = c.array_to_columns(df, "arr", ["p", "q", "r"])
-    assert tuple(wide.select("p", "q", "r").head()) == (1.5, 2.5, None) and "arr" not in wide.columns
+    wide = c.array_to_columns(df, "arr", ["p", "q", "r"], positions=[1, 0, 2])
+    assert tuple(wide.select("p", "q", "r").head()) == (2.5, 1.5, None) and "arr" not in wide.columns
+    assert tuple(c.array_to_columns(df, "arr", ["p", "q"]).select("p", "q").head()) == (1.5, 2.5)
+    with pytest.raises(Exception, match="has 2 elements, not 1"):
+        c.array_to_columns(df, "arr", ["p"]).collect()
+    with pytest.raises(ValueError):
+        c.array_to_columns(df, "arr", ["p"], positions=[0, 1])
     chained = c.add_in_order(df, [("one", F.lit(1)), ("two", F.col("one") + 1)]).head()
     assert chained["two"] == 2
     assert c.rename(df, {"t": "text"}).columns[0] == "text"
