@@ -75,19 +75,19 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", gram:
 
 
 def neighbours(keys: DataFrame) -> DataFrame:
-    """For each row of ``keys`` (key, ask; keys distinct) the row before it: ``key, before, before_ask``; the first
-    key follows the last one.
+    """For each row of ``keys`` (key, id, ask; ids distinct) the row before it by id: ``key, before, before_ask``; the
+    first follows the last one.
 
     Keys are range partitioned and staged with their partition; order is then local to a partition, and one row per
     partition links the partitions.
     """
-    parts = staged(keys.repartitionByRange("key").withColumn("part", F.spark_partition_id()), "order")
-    local = Window.partitionBy("part").orderBy("key")
-    lines = parts.select("key", "part", F.lag(F.struct("key", "ask")).over(local).alias("last"))
-    ends = parts.groupBy("part").agg(F.max(F.struct("key", "ask")).alias("end"))
+    parts = staged(keys.repartitionByRange("id").withColumn("part", F.spark_partition_id()), "order")
+    row = F.struct("id", "key", "ask")
+    lines = parts.select("key", "part", F.lag(row).over(Window.partitionBy("part").orderBy("id")).alias("last"))
     every = Window.orderBy("part")
     wrap = F.last("end").over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    ends = ends.select("part", F.coalesce(F.lag("end").over(every), wrap).alias("end"))  # a row per partition
+    ends = (parts.groupBy("part").agg(F.max(row).alias("end"))  # a row per partition
+            .select("part", F.coalesce(F.lag("end").over(every), wrap).alias("end")))
     last = F.coalesce("last", "end")
     return (lines.join(F.broadcast(ends), "part")
             .select("key", last["key"].alias("before"), last["ask"].alias("before_ask")))
@@ -104,21 +104,23 @@ def edited_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text")
 
     Texts are shuffled once by id; what moves on to the document before is the needed head and the distinct hashes.
     """
-    base = docs.select(F.struct(col(id).alias("id")).alias("key"), whole(text).alias("text"),
-                       F.xxhash64(whole(text)).alias("seal"))
+    key = F.coalesce(F.concat(F.lit("i"), col(id).cast("string")), F.lit(""))
     quarter = F.floor(F.char_length("text") / 4).cast("int")
-    keys = base.groupBy("key").agg(F.struct(F.max(quarter).alias("need"), F.min("seal").alias("seal")).alias("ask"))
+    keys = docs.select(key.alias("key"), col(id).alias("id"), whole(text).alias("text")).groupBy("key", "id").agg(F.max(quarter).alias("ask"), F.min(F.xxhash64("text")).alias("seal"))
     keys = staged(keys, "keys")
-    chain = (neighbours(keys).join(keys, "key")
-             .select("key", "before", F.col("before_ask.need").alias("need"), F.col("ask.seal").alias("chosen")))
-    heads = (base.join(chain, "key").where(F.col("seal") == F.col("chosen"))
-             .dropDuplicates(["key"])
-             .select(F.col("before").alias("key"), F.substring("text", F.lit(1), F.col("need")).alias("head"),
-                     hashes(winnow(F.col("text"))).alias("next_hashes")))
+    chain = neighbours(keys.drop("seal")).join(keys.select("key", "seal"), "key")
+    # Both joins below take the same two columns dealt by the same key, so Spark shuffles the texts once and reads that
+    # shuffle twice; an equality of seals would become a second key, so it is written as a plain condition.
+    base = docs.select(key.alias("key"), whole(text).alias("text"))
+    heads = (base.join(chain, "key").where(F.xxhash64("text").bitwiseXOR(F.col("seal")) == 0)
+             .select(F.col("before").alias("key"), F.substring("text", F.lit(1), F.col("before_ask")).alias("head"),
+                     hashes(winnow(F.col("text"))).alias("next_hashes"))
+             .groupBy("key").agg(F.first("head").alias("head"), F.first("next_hashes").alias("next_hashes")))
     size = F.char_length("text")
     edited = F.concat(F.substring("text", F.lit(1), size - quarter), F.substring("head", F.lit(1), quarter))
     rows = (base.join(heads, "key")
-            .select(F.col("key.id").alias(id), size.cast("long").alias("n_chars"), edited.alias("edited"),
+            .select(F.when(F.col("key") != "", F.substring("key", F.lit(2), F.length("key")).cast(docs.schema[id].dataType))
+                    .alias(id), size.cast("long").alias("n_chars"), edited.alias("edited"),
                     winnow(F.col("text")).alias("own"), "next_hashes")
             .withColumn("changed", winnow(F.col("edited"))))
     own = hashes(F.col("own"))

@@ -85,8 +85,8 @@ def test_odd_rows(odd, none):
 
 def test_neighbours_cross_partitions(spark):
     from pyspark.sql import functions as F
-    keys = spark.range(0, 5000, 7).repartition(13).select(F.struct("id").alias("key"), F.col("id").alias("ask"))
-    found = {r["key"]["id"]: (r["before"]["id"], r["before_ask"]) for r in neighbours(keys).collect()}
+    keys = spark.range(0, 5000, 7).repartition(13).select(F.col("id").cast("string").alias("key"), "id", F.col("id").alias("ask"))
+    found = {int(r["key"]): (int(r["before"]), r["before_ask"]) for r in neighbours(keys).collect()}
     ids = list(range(0, 5000, 7))
     assert found == {x: (ids[i - 1], ids[i - 1]) for i, x in enumerate(ids)}
 
