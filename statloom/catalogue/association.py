@@ -121,6 +121,25 @@ def _pca_embeddings(spark, folder):
     return rounded(Components.fit(df, df.columns).explained_variance(spark), {"explained": 9, "cumulative": 9})
 
 
+def _pca_norms(spark, folder):
+    """All 64 scores of every vector: their squares add up to those of the z-scores."""
+    df = table(spark, folder, "embeddings", "vec_id", "embedding")
+    df = df.select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(64)])
+    scored = Components.fit(df, df.columns[1:]).project(df)
+    return scored.select("vec_id", F.round(sum((F.pow(F.col(f"pc{i + 1}"), 2) for i in range(64)), F.lit(0.0)), 6).alias("norm"))
+
+
+def _pca_variances(spark, folder):
+    """The variance of each score is its share of the total variance of 64 z-scores; scores do not correlate."""
+    df = _embedding_columns(spark, folder)
+    found = Components.fit(df, df.columns)
+    names = [f"pc{i + 1}" for i in range(64)]
+    scored = found.project(df).select(*names)
+    variances = scored.select(F.posexplode(F.array(*names)).alias("at", "v")).groupBy("at").agg(F.var_samp("v").alias("v"))
+    return (found.explained_variance(spark).join(variances, F.col("component") == F.col("at") + 1)
+            .select("component", (F.abs(F.col("v") / (64 * F.col("explained")) - 1) < 1e-8).alias("agrees")))
+
+
 # -- SQL -------------------------------------------------------------------------------------------------------
 
 def _pairs(columns: list[str], source: str, value: str) -> str:
@@ -222,5 +241,11 @@ FROM pairs, (VALUES ('narrow'), ('wide')) AS f(form) GROUP BY form, source, col_
     "t_critical": (_t_critical, _T_CRITICAL),
     "pca_two": (_pca_two, _PCA_TWO),
     "pca_projection": (_pca_projection, _PCA_PROJECTION),
+    "pca_projection_embeddings": (_pca_norms, f"""
+WITH long AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
+m AS (SELECT i, avg(v) AS a, stddev_samp(v) AS s FROM long GROUP BY i)
+SELECT vec_id, {r('sum(pow((v - a) / s, 2))', 6, 'norm')} FROM long JOIN m USING (i) GROUP BY vec_id"""),
+    "pca_variance_embeddings": (_pca_variances, """SELECT DISTINCT CAST(i AS INTEGER) AS component, true AS agrees
+        FROM (SELECT generate_subscripts(embedding, 1) AS i FROM embeddings)"""),
     "pca_embeddings": (_pca_embeddings, None),
 }

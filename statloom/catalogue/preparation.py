@@ -14,7 +14,7 @@ from statloom.operators.prepare import (Detail, duplicate_keys, inside, join_on,
 from statloom.operators.subsets import equal_to_extreme
 from statloom.plans.ingest import ingest, wide_clean
 from statloom.session import scratch_path
-from statloom.sources.tables import query, read_parquet, register, row_count
+from statloom.sources.tables import query, read_parquet, register, row_count, schema_rows
 
 
 def _details(spark, folder):
@@ -136,6 +136,11 @@ def _array_columns(spark, folder):
     return rounded(array_to_columns(df, "embedding", [f"v{i}" for i in range(64)]), {f"v{i}": 9 for i in range(64)})
 
 
+def _schema(spark, folder):
+    """The schemas of two tables as rows."""
+    return schema_rows(table(spark, folder, "part")).unionByName(schema_rows(table(spark, folder, "events")))
+
+
 def _join_using(spark, folder):
     orders = rename(table(spark, folder, "orders", "o_orderkey", "o_custkey"), {"o_custkey": "custkey"})
     customers = rename(table(spark, folder, "customer", "c_custkey", "c_name"), {"c_custkey": "custkey"})
@@ -228,6 +233,11 @@ QUERIES: dict[str, Query] = {
         FROM part"""),
     "array_to_columns": (_array_columns, "SELECT vec_id, " + ", ".join(
         r(f"CAST(embedding[{i + 1}] AS DOUBLE)", 9, f"v{i}") for i in range(64)) + " FROM embeddings"),
+    "schema_rows": (_schema, """
+        SELECT CAST(ordinal_position - 1 AS INTEGER) AS position, column_name AS name, CASE data_type
+               WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double'
+               WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END AS type, true AS nullable
+        FROM information_schema.columns WHERE table_name IN ('part', 'events')"""),
     "join_using": (_join_using, """
         SELECT custkey, o_orderkey, c_name FROM (SELECT o_custkey AS custkey, o_orderkey FROM orders)
         JOIN (SELECT c_custkey AS custkey, c_name FROM customer) USING (custkey)"""),

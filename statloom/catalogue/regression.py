@@ -13,6 +13,7 @@ from statloom.operators.linear import (coefficient_summary, cross_validate, fit_
                                        moment_grid_search, parameter_docs, training_residuals, training_summary)
 from statloom.operators.ols import LeastSquares
 from statloom.operators.split import SEED, hash_split, portable_key, split_number, with_fold
+from statloom.sources.tables import literal_rows
 from statloom.operators.subsets import best_subset, column_subsets, ranked, winners
 
 TARGET, TWO = "p_retailprice", ["p_partkey", "p_size"]
@@ -60,19 +61,19 @@ def _ols_covariance(spark, folder):
 
 
 def _ols_anova(spark, folder):
-    found = _two(spark, folder).anova(spark).drop("critical", "p_value")
-    return rounded(found, {"ss_regression": 3, "ss_error": 3, "ss_total": 3, "ms_regression": 3, "ms_error": 6,
+    found = _two(spark, folder).anova(spark)
+    return rounded(found, {"critical": 8, "p_value": 10, "ss_regression": 3, "ss_error": 3, "ss_total": 3, "ms_regression": 3, "ms_error": 6,
                            "f_value": 6})
 
 
 def _ols_t_tests(spark, folder):
-    found = _two(spark, folder).t_tests(spark).drop("critical", "p_value")
-    return rounded(found, {"estimate": 8, "std_error": 8, "t_value": 6})
+    found = _two(spark, folder).t_tests(spark)
+    return rounded(found, {"critical": 8, "p_value": 8, "estimate": 8, "std_error": 8, "t_value": 6})
 
 
 def _partial_f(spark, folder):
-    found = _two(spark, folder).partial_f(spark, [["p_partkey"], ["p_size"], TWO]).drop("critical", "p_value")
-    return rounded(found, {"extra_ss": 3, "f_value": 6})
+    found = _two(spark, folder).partial_f(spark, [["p_partkey"], ["p_size"], TWO])
+    return rounded(found, {"critical": 7, "p_value": 8, "extra_ss": 3, "f_value": 6})
 
 
 def _leverage(spark, folder):
@@ -142,6 +143,21 @@ def _ols_lines(spark, folder):
                         F.round("f_value", 2).alias("f_value"), "significance")
 
 
+def _equation(spark, folder):
+    """The fitted equation as text."""
+    return literal_rows(spark, [(_two(spark, folder).equation,)], "equation string").select(
+        F.regexp_extract("equation", r"^(\w+) = ", 1).alias("target"),
+        *[F.round(F.replace(F.regexp_extract("equation", pattern, 1), F.lit(" "), F.lit("")).cast("double"), 3).alias(name)
+          for name, pattern in (("intercept", r"= (\S+)"), ("b1", r"([+-] \S+) p_partkey"), ("b2", r"([+-] \S+) p_size"))])
+
+
+def _best_coefficients(spark, folder):
+    """The coefficients of the best of all grid points."""
+    best = moment_grid_search(_part(spark, folder), TARGET, TWO[:1], portable_key("p_partkey")).best
+    rows = [("(intercept)", best.intercept), *zip(best.predictors, map(float, best.slopes))]
+    return rounded(literal_rows(spark, rows, "term string, estimate double"), {"estimate": 6})
+
+
 def _fitted(spark, folder):
     return fit_linear(_part(spark, folder), TARGET, TWO)
 
@@ -169,7 +185,7 @@ def _grid_moments(spark, folder):
 
 def _grid_moments_best(spark, folder):
     training, testing = hash_split(_part(spark, folder), portable_key("p_partkey"))
-    best = moment_grid_search(training, TARGET, TWO[:1], portable_key("p_partkey"), reg_param=(0.3,), elastic_net=(0.4,)).best
+    best = moment_grid_search(training, TARGET, TWO[:1], portable_key("p_partkey")).best
     return rounded(evaluate(best.predict(testing), TARGET, f"pred_{TARGET}"), METRIC_DIGITS)
 
 
@@ -183,9 +199,10 @@ def _grid_refit(spark, folder):
 
 
 def _grid_docs(spark, folder):
-    model = cross_validate(_part(spark, folder), TARGET, TWO, portable_key("p_partkey"), max_iter=(10,), reg_param=(0.0, 0.3),
-                           elastic_net=(0.0,))
-    return parameter_docs(model, spark).select("parameter", "description", "value")
+    """The chosen value and the documentation of every tuned parameter, over all grid points."""
+    return parameter_docs(_tuned(spark, folder), spark).select("parameter", F.length("description") > 20, "value").toDF(
+        "parameter", "described", "value").withColumn(
+        "value", F.when(F.col("parameter") == "regParam", F.col("value")))  # the others tie where nothing is penalised
 
 
 # -- SQL -------------------------------------------------------------------------------------------------------
@@ -250,12 +267,24 @@ a AS (SELECT reg, mix, avg(rmse) AS score FROM s GROUP BY reg, mix)
 SELECT {extra} reg AS reg_param, mix AS elastic_net, {r('score', digits, 'avg_metric')} {rank} FROM a"""
 
 
+def _grid_best(where: str) -> str:
+    """CTEs ending in ``best``: slope and means of the best grid point, refitted on all rows of the condition."""
+    return f"""
+d AS (SELECT p_partkey AS x, p_retailprice AS y, {_FOLD.format(key='p_partkey')} AS fold FROM part WHERE {where}),
+k AS (SELECT f.fold, avg(x) AS mx, avg(y) AS my, stddev_pop(x) AS sx, stddev_pop(y) AS sy, corr(x, y) AS rho
+      FROM d JOIN (SELECT DISTINCT fold FROM d) f ON d.fold <> f.fold GROUP BY f.fold
+      UNION ALL SELECT -1, avg(x), avg(y), stddev_pop(x), stddev_pop(y), corr(x, y) FROM d),
+g AS (SELECT *, sign(rho) * greatest(abs(rho) - reg / sy * mix, 0) / (1 + reg / sy * (1 - mix)) * sy / sx AS b
+      FROM k, (VALUES (0.0::DOUBLE), (0.3)) AS r(reg), (VALUES (0.0::DOUBLE), (0.4)) AS e(mix)),
+s AS (SELECT reg, mix, fold, sqrt(avg(pow(y - my - b * (x - mx), 2))) AS rmse FROM g JOIN d USING (fold)
+      GROUP BY reg, mix, fold),
+w AS (SELECT reg, mix FROM s GROUP BY reg, mix ORDER BY round(avg(rmse), 9), reg, mix LIMIT 1),
+best AS (SELECT b, mx, my FROM g JOIN w USING (reg, mix) WHERE fold = -1)"""
+
+
 _GRID_BEST = f"""
-WITH k AS (SELECT avg(p_partkey) AS mx, avg(p_retailprice) AS my, stddev_pop(p_partkey) AS sx,
-                  stddev_pop(p_retailprice) AS sy, corr(p_partkey, p_retailprice) AS rho FROM part
-           WHERE {train_sql('p_partkey')}),
-g AS (SELECT *, sign(rho) * greatest(abs(rho) - 0.3 / sy * 0.4, 0) / (1 + 0.3 / sy * 0.6) * sy / sx AS b FROM k),
-t AS (SELECT p_retailprice AS y, my + b * (p_partkey - mx) AS p FROM part, g WHERE NOT {train_sql('p_partkey')})
+WITH {_grid_best(train_sql('p_partkey'))},
+t AS (SELECT p_retailprice AS y, my + b * (p_partkey - mx) AS p FROM part, best WHERE NOT {train_sql('p_partkey')})
 SELECT {_METRICS.format(by='')} FROM t"""
 
 _LINES = f"(SELECT *, {NET} AS net, {train_sql('l_orderkey')} AS train FROM lineitem)"
@@ -292,6 +321,32 @@ def _wide_subset() -> str:
         (SELECT {r("1 - avg((target - w_p) * (target - w_p)) / var_pop(target)", 8, "r2")} FROM {name} WHERE NOT train)"""
 
 
+def _area(t: str) -> str:
+    """P(|T| < t) for d degrees of freedom as a finite sum, from the terms of ``_t_area``."""
+    angle = f"atan({t} / sqrt(d))"
+    return f"""(CASE WHEN d % 2 = 1
+        THEN 2 / pi() * ({angle} + sin({angle}) * list_sum(list_transform(c, lambda a, i: a * pow(cos({angle}), 2 * i - 1))))
+        ELSE sin({angle}) * list_sum(list_transform(c, lambda a, i: a * pow(cos({angle}), 2 * i - 2))) END)"""
+
+
+def _t_area() -> str:
+    """CTEs: the coefficients of the sum for n - 3 degrees of freedom, and the critical value by bisection."""
+    return f"""
+t_terms AS (
+  SELECT d, list(CASE WHEN d % 2 = 1 THEN exp(lgamma(k + 1) + lgamma(1.5) - lgamma(k + 1.5))
+                      ELSE exp(lgamma(k + 0.5) - lgamma(0.5) - lgamma(k + 1)) END ORDER BY k) AS c
+  FROM (SELECT CAST(n - 3 AS BIGINT) AS d FROM f), (SELECT unnest(range(0, 1000000)) AS k)
+  WHERE 2 * k <= d - 2 - d % 2 GROUP BY d),
+t_bisect AS (
+  SELECT CAST(0 AS DOUBLE) AS lo, CAST(100 AS DOUBLE) AS hi, 0 AS step
+  UNION ALL SELECT CASE WHEN {_area('((lo + hi) / 2)')} < 0.95 THEN (lo + hi) / 2 ELSE lo END,
+                   CASE WHEN {_area('((lo + hi) / 2)')} < 0.95 THEN hi ELSE (lo + hi) / 2 END, step + 1
+  FROM t_bisect, t_terms WHERE step < 60),
+t_found AS (SELECT (lo + hi) / 2 AS t_critical FROM t_bisect WHERE step = 60)"""
+
+
+_ONE = "(t_critical * t_critical)"  # the critical F of one degree of freedom
+
 QUERIES: dict[str, Query] = {
     "ols_lines": (_ols_lines, _ols_lines_sql()),
     "hash_split_counts": (_split_counts, f"""
@@ -319,16 +374,27 @@ QUERIES: dict[str, Query] = {
         WITH {_closed_form()} SELECT CAST(n AS BIGINT) AS n, 2 AS dof_regression, CAST(n - 3 AS BIGINT) AS dof_error,
         {r('ssr', 3, 'ss_regression')}, {r('sse', 3, 'ss_error')}, {r('syy', 3, 'ss_total')},
         {r('ssr / 2', 3, 'ms_regression')}, {r('mse', 6, 'ms_error')}, {r('ssr / 2 / mse', 6, 'f_value')},
+        {r('(n - 3) / 2 * (pow(0.05, -2 / (n - 3)) - 1)', 8, 'critical')},
+        {r('pow(1 + ssr / sse, -(n - 3) / 2)', 10, 'p_value')},
         {_label('ssr / 2 / mse > 3.0')} FROM f"""),
-    "ols_t_tests": (_ols_t_tests, f"WITH {_closed_form()} " + " UNION ALL ".join(
+    "equation": (_equation, f"""WITH {_closed_form()} SELECT 'p_retailprice' AS target, """ + ", ".join(
+        # six significant digits, as the text has
+        r(f"round({e}, 5 - CAST(floor(log10(abs({e}))) AS INTEGER))", 3, n)
+        for e, n in (("b0", "intercept"), ("b1", "b1"), ("b2", "b2"))) + " FROM f"),
+    "ols_t_tests": (_ols_t_tests, f"WITH RECURSIVE {_closed_form()}, {_t_area()} " + " UNION ALL ".join(
         f"SELECT '{t}' AS term, {r(b, 8, 'estimate')}, {r(f'sqrt({v})', 8, 'std_error')}, "
-        f"{r(f'{b} / sqrt({v})', 6, 't_value')}, {_label(f'abs({b}) / sqrt({v}) > 1.965')} FROM f"
+        f"{r(f'{b} / sqrt({v})', 6, 't_value')}, {r('t_critical', 8, 'critical')}, "
+        f"{r('1 - ' + _area(f'(abs({b}) / sqrt({v}))'), 8, 'p_value')}, "
+        f"{_label(f'abs({b}) / sqrt({v}) > t_critical')} FROM f, t_terms, t_found"
         for t, b, v in (("(intercept)", "b0", "v0"), ("p_partkey", "b1", "v1"), ("p_size", "b2", "v2")))),
-    "partial_f": (_partial_f, f"WITH {_closed_form()} " + " UNION ALL ".join(
+    "partial_f": (_partial_f, f"WITH RECURSIVE {_closed_form()}, {_t_area()} " + " UNION ALL ".join(
         f"SELECT '{t}' AS dropped, {k} AS dof_dropped, CAST(n - 3 AS BIGINT) AS dof_error, {r(x, 3, 'extra_ss')}, "
-        f"{r(f'({x}) / {k} / mse', 6, 'f_value')}, {_label(f'({x}) / {k} / mse > {c}')} FROM f"
-        for t, k, x, c in (("p_partkey", 1, "ssr - s2y * s2y / s22", 3.86), ("p_size", 1, "ssr - s1y * s1y / s11", 3.86),
-                           ("p_partkey, p_size", 2, "ssr", 3.0)))),
+        f"{r(f'({x}) / {k} / mse', 6, 'f_value')}, {r(c, 7, 'critical')}, {r(q, 8, 'p_value')}, "
+        f"{_label(f'({x}) / {k} / mse > {c}')} FROM f, t_terms, t_found"
+        for t, k, x, c, q in (
+            ("p_partkey", 1, "ssr - s2y * s2y / s22", _ONE, "1 - " + _area("sqrt((ssr - s2y * s2y / s22) / mse)")),
+            ("p_size", 1, "ssr - s1y * s1y / s11", _ONE, "1 - " + _area("sqrt((ssr - s1y * s1y / s11) / mse)")),
+            ("p_partkey, p_size", 2, "ssr", "((n - 3) / 2 * (pow(0.05, -2 / (n - 3)) - 1))", "pow(1 + ssr / sse, -(n - 3) / 2)")))),
     "leverage": (_leverage, f"""
         WITH {_closed_form()} SELECT p_partkey, {r('''1 / n + (p_partkey - m1) * (p_partkey - m1) * i11
         + 2 * (p_partkey - m1) * (p_size - m2) * i12 + (p_size - m2) * (p_size - m2) * i22''', 10, 'leverage')}
@@ -367,8 +433,13 @@ QUERIES: dict[str, Query] = {
         SELECT CAST(count(*) AS BIGINT) AS rows, round(sum(e), 4) + 0.0 AS total, round(sum(e * e), 4) AS squares
         FROM t"""),
     "cv_grid": (_grid_moments, _grid("", 7, ", CAST(rank() OVER (ORDER BY round(score, 10)) AS INTEGER) AS rank")),
+    "best_model_coefficients": (_best_coefficients, f"""WITH {_grid_best('true')}
+        SELECT '(intercept)' AS term, {r('my - b * mx', 6, 'estimate')} FROM best
+        UNION ALL SELECT 'p_partkey', {r('b', 6, 'estimate')} FROM best"""),
     "cv_grid_best": (_grid_moments_best, _GRID_BEST),
     "cv_grid_refit": (_grid_refit, " UNION ALL ".join(
         f"SELECT * FROM ({_grid(f'{i}::DOUBLE AS max_iter,', 3, '')})" for i in (10, 15))),
-    "cv_grid_docs": (_grid_docs, None),
+    "cv_grid_docs": (_grid_docs, f"""WITH {_grid_best('true')}
+        SELECT n AS parameter, true AS described, CASE WHEN n = 'regParam' THEN reg END AS value
+        FROM w, (VALUES ('maxIter'), ('regParam'), ('elasticNetParam')) AS p(n)"""),
 }

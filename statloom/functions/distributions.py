@@ -48,8 +48,8 @@ def upper_gamma(s: float, x: float) -> float:
             term *= x / (s + k)
             total += term
             if term < total * 1e-16:
-                break
-        return 1.0 - front * total
+                return 1.0 - front * total
+        raise ArithmeticError("the incomplete gamma series did not converge")
     b, c = x + 1.0 - s, 1e300
     d = value = 1.0 / b
     for k in range(1, 10_000):
@@ -58,8 +58,8 @@ def upper_gamma(s: float, x: float) -> float:
         c = b - k * (k - s) / c
         value *= c * d
         if abs(c * d - 1.0) < 1e-15:
-            break
-    return front * value
+            return front * value
+    raise ArithmeticError("the incomplete gamma fraction did not converge")
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
@@ -79,8 +79,8 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
             step = c * d
             value *= step
         if abs(step - 1.0) < 1e-15:
-            break
-    return value
+            return value
+    raise ArithmeticError("the incomplete beta fraction did not converge")
 
 
 def t_two_sided_p(t: float, dof: float) -> float:

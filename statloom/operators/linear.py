@@ -199,8 +199,8 @@ def _coordinate_descent(inner: np.ndarray, cross: np.ndarray, l1: float, l2: flo
             moved = max(moved, abs(new - b[j]))
             b[j] = new
         if moved < 1e-13:
-            break
-    return b
+            return b
+    raise ArithmeticError("coordinate descent did not converge")
 
 
 @dataclass(frozen=True)

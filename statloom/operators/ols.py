@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statloom.functions.columns import col
+from statloom.functions.products import row_products
 from statloom.functions.distributions import f_quantile, f_upper_p, t_quantile, t_two_sided_p
 from statloom.operators.association import KEEP, REJECT, UNDEFINED
 from statloom.operators.moments import Moments, collect_moments, complete_rows
@@ -213,13 +214,8 @@ class LeastSquares:
     def leverage(self, df: DataFrame, name: str = "leverage") -> DataFrame:
         """Each row's diagonal entry of the hat matrix, 1/n + |L'(x - mean)|^2 with L L' the inverse scatter."""
         factor = np.linalg.cholesky(self._solved[1])
-        centred = [col(x).cast("double") - F.lit(float(m)) for x, m in zip(self.predictors, self.means)]
-        value = F.lit(1.0 / self.n)
-        for k in range(len(centred)):
-            part = F.lit(0.0)
-            for j in range(k, len(centred)):
-                part = part + F.lit(float(factor[j, k])) * centred[j]
-            value = value + part * part
+        parts = row_products(self.predictors, factor, -np.asarray(self.means) @ factor)
+        value = F.lit(1.0 / self.n) + F.aggregate(parts, F.lit(0.0), lambda total, part: total + part * part)
         return df.withColumn(name, value)
 
 

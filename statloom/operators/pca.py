@@ -7,9 +7,8 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from statloom.functions.columns import col
+from statloom.functions.products import with_products
 from statloom.operators.moments import Moments, collect_moments
 from statloom.sources.tables import literal_rows
 
@@ -59,12 +58,8 @@ class Components:
         return literal_rows(spark, rows, "component int, feature string, loading double")
 
     def project(self, df: DataFrame, k: int | None = None, prefix: str = "pc") -> DataFrame:
-        """Add the scores of the first k components as columns ``pc1..``; plain expressions, no shuffle."""
-        scores = {}
-        for i in range(self._first(k)):
-            score = F.lit(0.0)
-            for j, name in enumerate(self.columns):
-                z = (col(name).cast("double") - F.lit(float(self.mean[j]))) / F.lit(float(self.deviation[j]))
-                score = score + F.lit(float(self.loadings[j, i])) * z
-            scores[f"{prefix}{i + 1}"] = score
-        return df.withColumns(scores)
+        """Add the scores of the first k components as columns ``pc1..``: mean and deviation are folded into one matrix
+        and an offset, and each Arrow batch is one matrix product. A row with a null has null scores. No shuffle."""
+        k = self._first(k)
+        matrix = self.loadings[:, :k] / self.deviation[:, None]
+        return with_products(df, self.columns, matrix, -self.mean @ matrix, [f"{prefix}{i + 1}" for i in range(k)])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from statloom.functions.columns import col
@@ -30,7 +31,8 @@ def run_regression(df: DataFrame, kind: str, target: str, predictors: Sequence[s
                    weights: Sequence[float] = (0.7, 0.3), seed: int = SEED, split: str = "hash",
                    **settings) -> Trial:
     """``kind``: "linear" and "tuned" (cross-validated) fit with ``pyspark.ml``; "least_squares" and "elastic_net"
-    do the same from one pass of moments; "tree", "forest" and "boosted" are the tree models.
+    do the same from one pass of moments; "tree", "forest" and "boosted" are the tree models. The models of
+    ``pyspark.ml`` read the training share many times; it is kept (memory, then disk) while they fit.
 
     ``keys`` identify a row and decide its share; ``by`` adds one metrics row per slice.
     """
@@ -51,12 +53,16 @@ def run_regression(df: DataFrame, kind: str, target: str, predictors: Sequence[s
         model = moment_grid_search(training, target, predictors, keys, seed=seed, **settings)
         scored = model.best.predict(testing, prediction)
     else:
-        if kind == "linear":
-            model = fit_linear(training, target, predictors, **settings)
-        elif kind == "tuned":
-            model = cross_validate(training, target, predictors, keys, seed=seed, **settings)
-        else:
-            model = fit_tree(training, kind, target, predictors, seed=seed, **settings)
+        training = training.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if kind == "linear":
+                model = fit_linear(training, target, predictors, **settings)
+            elif kind == "tuned":
+                model = cross_validate(training, target, predictors, keys, seed=seed, **settings)
+            else:
+                model = fit_tree(training, kind, target, predictors, seed=seed, **settings)
+        finally:
+            training.unpersist()
         scored = model.transform(testing)
     shown = list(dict.fromkeys([*(keys or []), *by, target, prediction, *predictors]))
     predictions = scored.select(*[col(c) for c in shown])

@@ -8,19 +8,30 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from statloom.functions.columns import col
 from statloom.operators.prepare import duplicate_keys, keep_latest
 from statloom.session import scratch_path
 
 
+def no_null_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows, failing when they are read if a key is null: a null equals nothing, so it would never be replaced."""
+    missing = reduce(or_, [col(k).isNull() for k in keys])
+    text = F.lit(f"null in the key {', '.join(keys)}")
+    kind = rows.schema[keys[0]].dataType
+    return rows.withColumn(keys[0], F.when(missing, F.raise_error(text).cast(kind)).otherwise(col(keys[0])))
+
+
 # -- on frames -------------------------------------------------------------------------------------------------
 
 def one_per_key(changes: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """The last change of each key by ``order`` (ties by the other columns)."""
-    return keep_latest(changes, keys, order)
+    return keep_latest(no_null_keys(changes, keys), keys, order)
 
 
 def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
@@ -34,6 +45,7 @@ def _upsert(target: DataFrame, last: DataFrame, keys: Sequence[str]) -> DataFram
 
 def insert(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add rows; fails when a key exists already or comes twice."""
+    rows = no_null_keys(rows, keys)
     if not duplicate_keys(rows, keys).isEmpty():
         raise ValueError(f"duplicate key among the new rows: {', '.join(keys)}")
     if not target.select(*[col(k) for k in keys]).join(rows, list(keys), "left_semi").isEmpty():
@@ -76,6 +88,7 @@ def create_keyed(df: DataFrame, table: str, keys: Sequence[str], buckets: int =
 
     Choose ``buckets`` so that one bucket fits a task: rows / buckets stays in the low millions.
     """
+    df = no_null_keys(df, keys)
     if not duplicate_keys(df, keys).isEmpty():
         raise ValueError(f"duplicate key: {', '.join(keys)}")
     _store(_by_bucket(df, keys, buckets), table, keys, buckets, path)
@@ -110,8 +123,7 @@ def change_keyed(spark: SparkSession, table: str, changes: DataFrame, how: str =
     """
     keys, buckets = key_of(spark, table)
     target = spark.table(table)
-    # Only the changes are hashed to the buckets, after they were reduced to one row per key; stored rows are read
-    # and written bucket by bucket as they lie.
+    # The changes are reduced to one row per key before they are hashed to the buckets.
     if how in ("upsert", "update"):
         last = _by_bucket(one_per_key(changes, keys, order), keys, buckets)
         changed = _upsert(target, last, keys) if how == "upsert" else _update(target, last, keys)
