@@ -59,7 +59,8 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame, id: str, text: str, width: i
                                              ["node", "shingles"])
 
     read = docs.select(col(id).alias("_id"), F.xxhash64(whole(text)).alias("_seal"), whole(text).alias("text"))
-    wanted = nodes.select("node", "id", "seal")
+    # A shuffle join at every size: the nodes grow with the documents, so a broadcast would only serve small tables.
+    wanted = nodes.select("node", "id", "seal").hint("merge")
     found = read.join(wanted, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_seal") == F.col("seal")))
     # A row that repeats id and text comes back more than once with the same set.
     return found.select("node", "text").mapInArrow(shingles, "node long, shingles array<long>").dropDuplicates(["node"])
