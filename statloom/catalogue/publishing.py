@@ -112,7 +112,7 @@ def _stored(spark, folder):
     """The four changes in a row on a stored table."""
     name = _name("keyed")
     drop_table(spark, name)
-    create_keyed(_customers(spark, folder), name, ["c_custkey"], buckets=3)
+    create_keyed(_customers(spark, folder), name, ["c_custkey"], scratch_path(spark, name), buckets=16)
     customers, nation = _all_customers(spark, folder), F.col("c_nationkey")
     change_keyed(spark, name, _changes(spark, folder), "upsert", ["c_acctbal"])
     change_keyed(spark, name, customers.filter(nation < 12), "delete")
@@ -121,6 +121,19 @@ def _stored(spark, folder):
     return rounded(read_keyed(spark, name), {"c_acctbal": 2})
 
 
+def _dropped(spark, folder):
+    """A keyed table before and after it is dropped, with what the drop says, and what is left of its database."""
+    name, path = _name("dropped"), scratch_path(spark, "dropped")
+    create_keyed(_customers(spark, folder), name, ["c_custkey"], path)
+    rows = read_keyed(spark, name).count()
+    told = (drop_table(spark, name, purge=True), drop_table(spark, name))
+    listed = use_database(spark, "statloom_listed", location=scratch_path(spark, "listed"))
+    return (table(spark, folder, "customer").limit(1)
+            .select(F.lit(rows).cast("long").alias("rows"), F.lit(told[0]).alias("first"), F.lit(told[1]).alias("second"),
+                    F.lit(spark.catalog.tableExists(name)).alias("exists"),
+                    F.lit("statloom_listed" in listed and "default" in listed).alias("listed")))
+
+
 def _zipped(spark, folder):
     """Column names and their means: two lists on the driver made a table."""
     names = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -161,6 +174,8 @@ QUERIES: dict[str, Query] = {
         UNION ALL SELECT * EXCLUDE c_nationkey FROM {_CHANGED} WHERE c_nationkey >= 12
         UNION ALL SELECT c_custkey, c_name, 1.0 FROM customer WHERE c_nationkey < 5
         UNION ALL SELECT * FROM {_NEW})"""),
+    "keyed_drop": (_dropped, """SELECT CAST(count(*) AS BIGINT) AS rows, true AS first, false AS second, false AS exists,
+                                       true AS listed FROM customer"""),
     "zipped_lists": (_zipped, " UNION ALL ".join(
         f"SELECT '{c}' AS name, round(avg({c}), 6) AS mean FROM lineitem"
         for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax"))),

@@ -1,22 +1,23 @@
 """Tables with a primary key: insert, upsert, update and delete, as frames and as stored tables.
 
-The frame operators are plain joins on the key. The stored form is a bucketed parquet table: both the stored rows
-and the changes are hashed by key into the same buckets, so a change shuffles the changes only.
+The frame operators are plain joins on the key. The stored form is a parquet table partitioned by a hash of the key;
+a change reads and rewrites only the partitions that hold a changed key.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statloom.functions.columns import col
 from statloom.operators.prepare import duplicate_keys, keep_latest
-from statloom.session import scratch_path
+from statloom.sources.tables import schema_ddl
 
 
 def no_null_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -70,77 +71,143 @@ def delete(target: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame
 
 # -- on stored tables ------------------------------------------------------------------------------------------
 
+BUCKET = "__bucket"  # partition column: a hash of the key modulo the number of buckets
+ROWS_PER_BUCKET = 1_000_000
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it wants it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
 def drop_table(spark: SparkSession, table: str, purge: bool = False) -> bool:
-    """Drop a table if it exists; tells whether it did. ``purge`` also removes the files of a table stored at a path
+    """Drop a table if it exists; tells whether it did. ``purge`` also removes the folder of a table stored at a path
     of its own, which a plain drop leaves."""
     existed = spark.catalog.tableExists(table)
     if existed and purge:
         described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
         if described.get("Type") == "EXTERNAL":
-            # Overwriting with no rows is how a writer removes files wherever they lie.
-            spark.createDataFrame([], spark.table(table).schema).write.mode("overwrite").parquet(described["Location"])
+            files, where = _files(spark, described["Location"])
+            files.delete(where, True)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     return existed
 
 
-def create_keyed(df: DataFrame, table: str, keys: Sequence[str], buckets: int = 3, path: str | None = None) -> None:
-    """Store the rows of ``df`` as a table bucketed and sorted by its key; fails when a key comes twice.
+def _bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[col(k) for k in keys]), F.lit(buckets)).cast("int")
 
-    Choose ``buckets`` so that one bucket fits a task: rows / buckets stays in the low millions.
-    """
-    df = no_null_keys(df, keys)
-    if not duplicate_keys(df, keys).isEmpty():
-        raise ValueError(f"duplicate key: {', '.join(keys)}")
-    _store(_by_bucket(df, keys, buckets), table, keys, buckets, path)
 
+def _write(df: DataFrame, keys: Sequence[str], buckets: int, path: str) -> None:
+    """A folder per bucket, its rows sorted by key."""
+    placed = df.withColumn(BUCKET, _bucket(keys, buckets))
+    (placed.repartition(buckets, BUCKET).sortWithinPartitions(BUCKET, *[col(k) for k in keys])
+     .write.partitionBy(BUCKET).parquet(path))
 
-def _store(df: DataFrame, table: str, keys: Sequence[str], buckets: int, path: str | None) -> None:
-    (df.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
-     .option("path", path or scratch_path(df.sparkSession, table.replace(".", "-"))).saveAsTable(table))
 
+def create_keyed(df: DataFrame, table: str, keys: Sequence[str], path: str, buckets: int | None = None) -> None:
+    """Store the rows of ``df`` below ``path`` as a table partitioned by a hash of its key.
 
-def _by_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
-    """Rows hashed as the buckets are, so that one task writes one file instead of a file per bucket."""
-    return df.repartition(buckets, *[col(k) for k in keys])
+    Fails when a key is null or comes twice, or when the table exists. A change rewrites the buckets that it touches;
+    by default a bucket is made for every ``ROWS_PER_BUCKET`` rows.
+    """
+    spark, root = df.sparkSession, path.rstrip("/")
+    df = no_null_keys(df, keys)
+    if not duplicate_keys(df, keys).isEmpty():
+        raise ValueError(f"duplicate key: {', '.join(keys)}")
+    buckets = buckets or max(1, -(-df.count() // ROWS_PER_BUCKET))
+    properties = ", ".join(f"'{k}' = '{v}'" for k, v in (("keyed.keys", json.dumps(list(keys))), ("keyed.buckets", buckets)))
+    spark.sql(f"CREATE TABLE {table} ({schema_ddl(df)}, `{BUCKET}` INT) USING parquet PARTITIONED BY (`{BUCKET}`) "
+              f"LOCATION '{root}' TBLPROPERTIES ({properties})")
+    fresh = f"{root}/v-{uuid.uuid4().hex[:12]}"
+    _write(df, keys, buckets, fresh)
+    _switch(spark, table, fresh, range(buckets))
+
+
+def _switch(spark: SparkSession, table: str, fresh: str, touched: Sequence[int]) -> None:
+    """Point the touched buckets to their folders below ``fresh``; a bucket without a folder has no rows."""
+    files, where = _files(spark, fresh)
+    made = {f.getPath().getName() for f in files.listStatus(where)}
+    known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    for bucket in touched:
+        name, part = f"{BUCKET}={bucket}", f"PARTITION (`{BUCKET}` = {bucket})"
+        if name in made and name in known:
+            spark.sql(f"ALTER TABLE {table} {part} SET LOCATION '{fresh}/{name}'")
+        elif name in made:
+            spark.sql(f"ALTER TABLE {table} ADD {part} LOCATION '{fresh}/{name}'")
+        elif name in known:
+            spark.sql(f"ALTER TABLE {table} DROP {part}")
+    spark.catalog.refreshTable(table)
 
 
 def key_of(spark: SparkSession, table: str) -> tuple[list[str], int]:
     """Key columns and bucket count of a stored table."""
-    columns = [c.name for c in spark.catalog.listColumns(table) if c.isBucket]
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Num Buckets'").collect()
-    if not columns or not rows:
+    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    if "keyed.keys" not in found:
         raise ValueError(f"{table} has no key")
-    return columns, int(rows[0]["data_type"])
+    return json.loads(found["keyed.keys"]), int(found["keyed.buckets"])
+
+
+def touched_buckets(changes: DataFrame, keys: Sequence[str], buckets: int) -> list[int]:
+    """The buckets that hold a changed key: at most all of them."""
+    return sorted(r[0] for r in changes.select(_bucket(keys, buckets).alias("b")).distinct().collect())
 
 
 def change_keyed(spark: SparkSession, table: str, changes: DataFrame, how: str = "upsert",
-                 order: Sequence[str] = (), path: str | None = None) -> None:
-    """Apply changes to a stored table. ``how``: "upsert", "insert", "update" or "delete".
+                 order: Sequence[str] = ()) -> list[int]:
+    """Apply changes to a stored table and return the buckets rewritten. ``how``: "upsert", "insert", "update" or "delete".
 
-    The new version is written in full beside the old one, and the name moves over only when that has worked, so
-    a failed job leaves the table as it was. The files of the old version are removed last; frames read from the
-    table before are of no use afterwards.
+    Only buckets with a changed key are read and written. Their new versions are written beside the old ones, and each
+    bucket moves over in one catalog call after all are written, so a failed write leaves the table as it was; should
+    the moves be interrupted, every bucket is whole, old or new, and the same upsert, update or delete run again
+    completes them. Folders of replaced versions are removed last; frames read from the table before are of no use then.
     """
     keys, buckets = key_of(spark, table)
     target = spark.table(table)
-    # The changes are reduced to one row per key before they are hashed to the buckets.
-    if how in ("upsert", "update"):
-        last = _by_bucket(one_per_key(changes, keys, order), keys, buckets)
-        changed = _upsert(target, last, keys) if how == "upsert" else _update(target, last, keys)
+    kept = [c for c in target.columns if c != BUCKET]
+    kinds = {f.name: f.dataType for f in target.schema.fields}
+    changes = no_null_keys(changes, keys).withColumns({k: col(k).cast(kinds[k]) for k in keys})
+    touched = touched_buckets(changes, keys, buckets)
+    part = target.where(col(BUCKET).isin(touched)).select(*[col(c) for c in kept])
+    if how == "upsert":
+        changed = upsert(part, changes, keys, order)
+    elif how == "update":
+        changed = update(part, changes, keys, order)
     elif how == "insert":
-        changed = insert(target, _by_bucket(changes, keys, buckets), keys)
+        changed = insert(part, changes, keys)
     elif how == "delete":
-        changed = delete(target, changes, keys)
+        changed = delete(part, changes, keys)
     else:
         raise ValueError(f"how must be 'upsert', 'insert', 'update' or 'delete', not {how!r}")
-    mark = uuid.uuid4().hex[:8]
-    fresh, old = f"{table}_new_{mark}", f"{table}_old_{mark}"
-    _store(changed.select(*[col(c) for c in target.columns]), fresh, keys, buckets, path)
-    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
-    drop_table(spark, old, purge=True)
+    if not touched:
+        return touched
+    described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    root = described["Location"].rstrip("/")
+    fresh = f"{root}/v-{uuid.uuid4().hex[:12]}"
+    _write(changed.select(*[col(c) for c in kept]), keys, buckets, fresh)
+    _switch(spark, table, fresh, touched)
+    _remove_replaced(spark, root, fresh, touched)
+    return touched
+
+
+def _remove_replaced(spark: SparkSession, root: str, fresh: str, touched: Sequence[int]) -> None:
+    files, where = _files(spark, root)
+    name = fresh.rsplit("/", 1)[1]
+    gone = {f"{BUCKET}={b}" for b in touched}
+    for version in files.listStatus(where):
+        folder = version.getPath()
+        if not folder.getName().startswith("v-") or folder.getName() == name:
+            continue
+        left = False
+        for child in files.listStatus(folder):
+            if child.getPath().getName() in gone:
+                files.delete(child.getPath(), True)
+            else:
+                left = left or child.isDirectory()
+        if not left:
+            files.delete(folder, True)
 
 
 def read_keyed(spark: SparkSession, table: str) -> DataFrame:
-    """The current rows; joins and aggregates on the key need no shuffle."""
-    return spark.table(table)
+    """The current rows."""
+    return spark.table(table).drop(BUCKET)

@@ -162,10 +162,10 @@ def test_keyed_frames(spark):
         insert(target, changes, ["k"])
 
 
-def test_keyed_table(spark):
+def test_keyed_table(spark, tmp_path):
     df = spark.range(100).selectExpr("id as k", "cast(id as string) as v")
     drop_table(spark, "keyed_test")
-    create_keyed(df, "keyed_test", ["k"], buckets=4)
+    create_keyed(df, "keyed_test", ["k"], str(tmp_path / "t"), buckets=4)
     assert key_of(spark, "keyed_test") == (["k"], 4)
     changes = spark.range(95, 105).selectExpr("id as k", "'new' as v")
     change_keyed(spark, "keyed_test", changes)
@@ -178,37 +178,46 @@ def test_keyed_table(spark):
     found = dict((r["k"], r["v"]) for r in read_keyed(spark, "keyed_test").collect())
     assert found == {**{k: "again" for k in range(3)}, **{k: str(k) for k in range(10, 95)},
                      **{k: "new" for k in range(95, 105)}}
-    assert key_of(spark, "keyed_test") == (["k"], 4)
     assert [t.name for t in spark.catalog.listTables() if t.name.startswith("keyed_test")] == ["keyed_test"]
     with pytest.raises(ValueError, match="duplicate"):
-        create_keyed(df.unionByName(df), "keyed_twice", ["k"])
-    assert drop_table(spark, "keyed_test") and not drop_table(spark, "keyed_test")
-
-
-def test_old_versions_leave_no_rows_behind(spark, tmp_path):
-    df = spark.range(50).selectExpr("id as k", "cast(id as string) as v")
-    first, second = str(tmp_path / "first"), str(tmp_path / "second")
-    create_keyed(df, "keyed_purge", ["k"], buckets=2, path=first)
-    change_keyed(spark, "keyed_purge", df.limit(5).withColumn("v", F.lit("x")), path=second)
-    assert read_keyed(spark, "keyed_purge").filter("v = 'x'").count() == 5
-    assert spark.read.parquet(first).count() == 0 and spark.read.parquet(second).count() == 50
-    assert drop_table(spark, "keyed_purge")
-    assert spark.read.parquet(second).count() == 50
-
-
-def test_stored_rows_are_not_shuffled(spark):
-    df = spark.range(100).selectExpr("id as k", "cast(id as string) as v")
-    drop_table(spark, "keyed_plan")
-    create_keyed(df, "keyed_plan", ["k"], buckets=4)
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        changed = upsert(read_keyed(spark, "keyed_plan"), spark.range(5).selectExpr("id as k", "'n' as v"), ["k"])
-        plan = changed._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        drop_table(spark, "keyed_plan")
-    left = plan[plan.index("SortMergeJoin"):plan.index("keyed_plan")]
-    assert "Exchange" not in left
+        create_keyed(df.unionByName(df), "keyed_twice", ["k"], str(tmp_path / "twice"))
+    change_keyed(spark, "keyed_test", spark.range(200).selectExpr("id as k"), "delete")
+    assert read_keyed(spark, "keyed_test").count() == 0
+    change_keyed(spark, "keyed_test", changes)
+    assert read_keyed(spark, "keyed_test").count() == 10
+    assert drop_table(spark, "keyed_test", purge=True) and not drop_table(spark, "keyed_test")
+    assert not (tmp_path / "t").exists()
+
+
+def test_null_keys_are_refused(spark, tmp_path):
+    good = spark.range(5).selectExpr("id as k", "'v' as v")
+    bad = spark.createDataFrame([(None, "x"), (7, "y")], "k long, v string")
+    for change in (upsert, update, insert):
+        with pytest.raises(Exception, match="null in the key k"):
+            change(good, bad, ["k"]).collect()
+    with pytest.raises(Exception, match="null in the key k"):
+        create_keyed(bad, "keyed_null", ["k"], str(tmp_path / "null"))
+    create_keyed(good, "keyed_good", ["k"], str(tmp_path / "good"))
+    with pytest.raises(Exception, match="null in the key k"):
+        change_keyed(spark, "keyed_good", bad)
+    assert read_keyed(spark, "keyed_good").count() == 5
+    drop_table(spark, "keyed_good", purge=True)
+
+
+def test_a_change_reads_and_writes_touched_buckets_only(spark, tmp_path):
+    df = spark.range(1000).selectExpr("id as k", "cast(id as string) as v")
+    create_keyed(df, "keyed_touch", ["k"], str(tmp_path / "t"), buckets=64)
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "t").rglob("*.parquet")}
+    touched = change_keyed(spark, "keyed_touch", df.limit(10).withColumn("v", F.lit("x")))
+    after = set((tmp_path / "t").rglob("*.parquet"))
+    assert 1 <= len(touched) <= 10
+    assert len(set(before) - after) == len(after - set(before)) == len(touched)
+    assert read_keyed(spark, "keyed_touch").where("v = 'x'").count() == 10 and read_keyed(spark, "keyed_touch").count() == 1000
+    plan = spark.table("keyed_touch").where(F.col("__bucket").isin(touched))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [__bucket" in plan.replace("isnotnull(__bucket#", "__bucket#")
+    change_keyed(spark, "keyed_touch", df.withColumn("v", F.lit("y")))
+    assert len(list((tmp_path / "t").glob("v-*"))) == 1  # nothing is left of replaced versions
+    drop_table(spark, "keyed_touch", purge=True)
 
 
 def test_scratch_folder_is_the_checkpoint_folder(spark):
