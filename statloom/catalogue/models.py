@@ -12,7 +12,7 @@ from statloom.operators.features import vectors_from_array
 from statloom.operators.mixture import Mixture
 from statloom.operators.moments import column_moments
 from statloom.operators.split import portable_key, stable_layout
-from statloom.operators.trees import fit_tree, forest_importance, tree_settings
+from statloom.operators.trees import fit_tree, forest_importance, importance_table, tree_settings
 from statloom.plans.clustering import run_clustering, slice_of
 from statloom.plans.regression import run_regression
 from statloom.plans.study import feature_study
@@ -88,6 +88,25 @@ def _saved(spark, folder):
                      F.sum((F.col("before") == F.col("pred_net")).cast("long")).alias("same"))
 
 
+def _exact(kind, **settings):
+    """A model whose every possible split is a candidate (at most 50 distinct values a column): groups of predictions."""
+    def run(spark, folder):
+        df = lines(spark, folder)
+        model = fit_tree(df, kind, "net", GROUPED, maxBins=64, **settings)
+        return (model.transform(df).groupBy(F.round("pred_net", 3).alias("prediction"))
+                .agg(F.count(F.lit(1)).alias("rows")))
+    return run
+
+
+def _importance_exact(spark, folder):
+    """A single split gives all importance to its column."""
+    model = fit_tree(lines(spark, folder), "forest", "net", GROUPED, maxBins=64, maxDepth=1, **ONE_TREE)
+    return importance_table(model, GROUPED, spark)
+
+
+ONE_TREE = {"numTrees": 1, "bootstrap": False, "featureSubsetStrategy": "all"}
+
+
 def _slice(spark, folder):
     return slice_of(table(spark, folder, "lineitem", *GROUPED, "l_orderkey", *SLICE), SLICE)
 
@@ -258,6 +277,26 @@ _LINEAR_METRICS = f"""WITH totals AS {_TOTALS}, {_CTES}
     {r('sqrt(avg((net - f_p) * (net - f_p)))', 4, 'rmse')}, {r('avg(abs(net - f_p))', 4, 'mae')},
     {r('avg(net)', 4, 'mtv')} FROM {_FIT} WHERE NOT train"""
 
+def _best_split(tag: str, source: str, y: str, node: str) -> str:
+    """CTEs: for each node of ``source`` the split of least squares over all values of all columns, and every row with
+    its side (``{tag}_side``) and the mean of that side (``{tag}_p``)."""
+    long = " UNION ALL ".join(f"SELECT {node} AS node, '{c}' AS f, {c} AS x, {y} AS y FROM {source}" for c in GROUPED)
+    value = "CASE b.f " + " ".join(f"WHEN '{c}' THEN {c}" for c in GROUPED) + " END"
+    return f"""
+{tag}_g AS (SELECT node, f, x, count(*) AS n, sum(y) AS s FROM ({long}) GROUP BY node, f, x),
+{tag}_c AS (SELECT *, sum(n) OVER (PARTITION BY node, f ORDER BY x) AS nl, sum(s) OVER (PARTITION BY node, f ORDER BY x) AS sl,
+                   sum(n) OVER (PARTITION BY node, f) AS nt, sum(s) OVER (PARTITION BY node, f) AS st FROM {tag}_g),
+{tag}_b AS (SELECT node, arg_max(struct_pack(f := f, x := x, l := sl / nl, r := (st - sl) / (nt - nl)),
+                                 sl * sl / nl + (st - sl) * (st - sl) / (nt - nl)) AS b
+            FROM {tag}_c WHERE nl < nt GROUP BY node),
+{tag} AS (SELECT s.*, CASE WHEN {value} <= b.x THEN 0 ELSE 1 END AS {tag}_side,
+                 CASE WHEN {value} <= b.x THEN b.l ELSE b.r END AS {tag}_p FROM {source} s JOIN {tag}_b ON {node} = {tag}_b.node)"""
+
+
+_ROOT = f"rows AS (SELECT {', '.join(GROUPED)}, {NET} AS net FROM lineitem), " + _best_split("a", "rows", "net", "0")
+_TWO_LEVELS = f"""WITH {_ROOT}, {_best_split('b', 'a', 'net', 'a_side')}
+    SELECT {r('b_p', 3, 'prediction')}, CAST(count(*) AS BIGINT) AS rows FROM b GROUP BY 1"""
+
 QUERIES: dict[str, Query] = {
     "linear_metrics": (_linear_metrics, _LINEAR_METRICS),
     "least_squares_metrics": (_least_squares_metrics, _LINEAR_METRICS),
@@ -268,9 +307,20 @@ QUERIES: dict[str, Query] = {
         SELECT kind, CAST(count(*) AS BIGINT) AS "count", round(avg(net), 4) AS mtv, true AS useful
         FROM {_ORDERS}, (VALUES ('linear'), ('tree'), ('forest')) AS k(kind)
         WHERE NOT {train_sql('l_orderkey')} GROUP BY kind"""),
+    "tree_exact": (_exact("tree", maxDepth=2), _TWO_LEVELS),
+    "forest_exact": (_exact("forest", maxDepth=2, **ONE_TREE), _TWO_LEVELS),
+    "boosted_exact": (_exact("boosted", maxDepth=1, maxIter=2), f"""
+        WITH {_ROOT}, rest AS (SELECT *, 2 * (net - a_p) AS residual FROM a), {_best_split('b', 'rest', 'residual', '0')}
+        SELECT {r('a_p + 0.1 * b_p', 3, 'prediction')}, CAST(count(*) AS BIGINT) AS rows FROM b GROUP BY 1"""),
+    "importance_exact": (_importance_exact, f"""WITH {_ROOT}
+        SELECT c AS predictor, CASE WHEN c = b.f THEN 1.0 ELSE 0.0 END::DOUBLE AS score
+        FROM a_b, (VALUES {', '.join(f"('{c}')" for c in GROUPED)}) AS k(c)"""),
     "forest_importance": (_importance, None),
-    "forest_importance_scaled": (_importance_scaled, """
-        SELECT CAST(4 AS BIGINT) AS predictors, 1.0::DOUBLE AS total, true AS not_negative, 'price' AS first"""),
+    "forest_importance_scaled": (_importance_scaled, f"""
+        WITH totals AS {_TOTALS} SELECT count(*) AS predictors, 1.0::DOUBLE AS total, true AS not_negative,
+               arg_max(p, strength) AS first  -- the column that goes with the target most closely
+        FROM (""" + " UNION ALL ".join(f"SELECT '{p}' AS p, abs(corr({p}, net)) AS strength FROM totals"
+                                      for p in ORDER_PREDICTORS) + ")"),
     "gbt_settings": (_settings, None),
     "model_save_load": (_saved, f"SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(*) AS BIGINT) AS same "
                                 f"FROM {_ORDERS}"),

@@ -112,7 +112,7 @@ def _stored(spark, folder):
     """The four changes in a row on a stored table."""
     name = _name("keyed")
     drop_table(spark, name)
-    create_keyed(_customers(spark, folder), name, ["c_custkey"], scratch_path(spark, name), buckets=16)
+    create_keyed(_customers(spark, folder), name, ["c_custkey"], scratch_path(spark, name), buckets=8)
     customers, nation = _all_customers(spark, folder), F.col("c_nationkey")
     change_keyed(spark, name, _changes(spark, folder), "upsert", ["c_acctbal"])
     change_keyed(spark, name, customers.filter(nation < 12), "delete")
