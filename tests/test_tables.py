@@ -120,6 +120,17 @@ def test_sources(spark, base, tmp_path):
     assert rows(read_csv(spark, str(tmp_path / "c"), base.schema).select("id")) == [(1,), (2,), (3,), (4,)]
 
 
+def test_a_frequent_sort_key_is_spread(spark, tmp_path):
+    df = spark.range(20_000).select(F.when(F.col("id") < 18_000, 5).otherwise(F.col("id") % 10).alias("k"), "id")
+    save_parquet(df, str(tmp_path / "s"), ["k"], files=8)
+    sizes = [r["n"] for r in spark.read.parquet(str(tmp_path / "s")).groupBy(F.input_file_name()).agg(
+        F.count(F.lit(1)).alias("n")).collect()]
+    assert len(sizes) == 8 and max(sizes) < 6_000
+    for f in sorted((tmp_path / "s").glob("part-*")):
+        keys = [r["k"] for r in spark.read.parquet(str(f)).collect()]
+        assert keys == sorted(keys)
+
+
 def test_ingest_counts(spark, base, detail, tmp_path):
     counts = ingest(base, [Detail(detail, "id", "key")], [present("size")], [("double_size", F.col("size") * 2)],
                     str(tmp_path / "clean"), ["id"])
