@@ -163,8 +163,8 @@ def _fitted(spark, folder):
 
 
 def _linear_coefficients(spark, folder):
-    found = coefficient_summary(_fitted(spark, folder), TWO, spark).drop("p_value")
-    return rounded(found, {"estimate": 7, "std_error": 7, "t_value": 6})
+    found = coefficient_summary(_fitted(spark, folder), TWO, spark)
+    return rounded(found, {"p_value": 8, "estimate": 7, "std_error": 7, "t_value": 6})
 
 
 def _linear_summary(spark, folder):
@@ -417,9 +417,10 @@ QUERIES: dict[str, Query] = {
             (0, "p_partkey", 1, 0), (1, "p_size", 1, 1), (2, "double_size", 1, 1), (3, "p_partkey, p_size", 2, 2),
             (4, "p_partkey, double_size", 2, 2), (5, "p_size, double_size", 2, 1),
             (6, "p_partkey, p_size, double_size", 3, 2)))),
-    "linear_coefficients": (_linear_coefficients, f"WITH {_closed_form()} " + " UNION ALL ".join(
+    "linear_coefficients": (_linear_coefficients, f"WITH RECURSIVE {_closed_form()}, {_t_area()} " + " UNION ALL ".join(
         f"SELECT '{t}' AS term, {r(f'{b} * {sd}', 7, 'estimate')}, {r(f'sqrt({v}) * {sd}', 7, 'std_error')}, "
-        f"{r(f'{b} / sqrt({v})', 6, 't_value')} FROM f" for t, b, v, sd in (
+        f"{r(f'{b} / sqrt({v})', 6, 't_value')}, {r('1 - ' + _area(f'(abs({b}) / sqrt({v}))'), 8, 'p_value')} "
+        f"FROM f, t_terms" for t, b, v, sd in (
             ("(intercept)", "b0", "v0", "1"), ("p_partkey", "b1", "v1", "sd1"), ("p_size", "b2", "v2", "sd2")))),
     "linear_summary": (_linear_summary, f"""WITH {_closed_form()},
         t AS (SELECT p_retailprice AS y, p_retailprice - b0 - b1 * p_partkey - b2 * p_size AS e FROM part, f),

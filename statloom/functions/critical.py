@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statloom.functions.distributions import t_quantile
 from statloom.sources.tables import literal_rows
@@ -70,18 +72,20 @@ def table_dof(dof: Column) -> Column:
 def with_critical(df: DataFrame, dof: str, prob: float, name: str = "critical", mode: str = "table") -> DataFrame:
     """Add the critical value for each row's degrees of freedom (null below 1).
 
-    ``mode="exact"`` computes the quantile of each distinct count of degrees of freedom on the driver, so it is
-    meant for report tables, which have a row per column pair.
+    ``mode="exact"`` computes the quantile of each distinct count of degrees of freedom, in tasks.
     """
     if mode == "table":
-        values = critical_values(df.sparkSession, [prob]).select(
-            F.col("dof").alias("__key"), F.col("critical").alias(name))
+        values = F.broadcast(critical_values(df.sparkSession, [prob]).select(  # a row per entry of the table
+            F.col("dof").alias("__key"), F.col("critical").alias(name)))
         keyed = df.withColumn("__key", table_dof(F.col(dof)))
     elif mode == "exact":
-        counts = [r[0] for r in df.filter(F.col(dof) >= 1).select(dof).distinct().collect()]
-        values = literal_rows(df.sparkSession, [(n, t_quantile(prob, float(n))) for n in counts],
-                              f"__key long, {name} double")
+        @F.pandas_udf(T.DoubleType())
+        def quantile(counts: pd.Series) -> pd.Series:
+            return counts.map(lambda n: t_quantile(prob, float(n)))
+
+        counts = df.filter(F.col(dof) >= 1).select(F.col(dof).cast("long").alias("__key")).distinct()
+        values = counts.withColumn(name, quantile("__key"))
         keyed = df.withColumn("__key", F.col(dof).cast("long"))
     else:
         raise ValueError(f"mode must be 'table' or 'exact', not {mode!r}")
-    return keyed.join(F.broadcast(values), "__key", "left").drop("__key")
+    return keyed.join(values, "__key", "left").drop("__key")
