@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from statloom.catalogue.common import table
 from statloom.functions.columns import col
-from statloom.llm.text import SPACES, ascii_lower, whole
+from statloom.llm.text import SPACES, ascii_lower, staged, whole
 
 LEAST_CHARS, LEAST_DOCS = 10, 2
 
@@ -55,6 +55,9 @@ def repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", leas
         found = found.join(held, "key").where(F.col("held") >= least_docs)
     repeated = (found.where(F.col("first").isNotNull() & ((F.col("first") < F.col("last")) | F.col("void")))
                 .select("key", "first"))
+    # Staged, so that both sides of the join are plain inputs: a small one goes to the lines, and where it is large Spark
+    # can split the partition of a hot key, which it cannot below an aggregate.
+    repeated = staged(repeated, "repeated")
     return (lines.join(repeated, "key").where(~F.col("id").eqNullSafe(F.col("first")))
             .groupBy("id", "seal").agg(F.collect_set("at").alias("dropped")))
 
