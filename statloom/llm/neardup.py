@@ -18,7 +18,7 @@ from statloom.llm.text import staged, whole
 
 WIDTH, PERCENT = 5, 80
 BAND_ROWS = 5  # 32 bands of 5 coordinates; see near_groups for what they miss
-BLOCK = 128  # documents on either side of a block comparison
+BLOCK_SHINGLES = 500_000  # about as many shingles stand on either side of a block comparison
 SHELLS = 10  # distance shells around a hub
 
 
@@ -76,19 +76,20 @@ def _compared(tested: DataFrame, sets: DataFrame, labels: DataFrame, percent: in
     ``tested`` has every member of a bucket with its hub and their distance. Members connected with the hub need no
     further test among themselves; every other one (asking) is compared with all members of the hub that the triangle
     inequality leaves: distances to the hub may differ by at most 1 - percent / 100, so only neighbouring shells
-    meet. Both sides are cut into blocks of about ``BLOCK`` rows; a pair of blocks is one small group, which returns
-    at most one link per label it joins, never all pairs.
+    meet. Both sides are cut into blocks by the number of their shingles, which bounds the memory of a comparison
+    whatever the length of the texts; a pair of blocks is one group, which returns at most one link per label it
+    joins, never all pairs.
     """
     reach = int(np.ceil((100 - percent) * SHELLS / 100)) + 1
     marked = (tested.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
               .join(labels.select(F.col("node").alias("hub"), F.col("label").alias("hub_label")), "hub", "left")
               .withColumn("asks", F.col("label") != F.coalesce("hub_label", "hub"))
               .withColumn("shell", F.least(F.floor(F.col("distance") * SHELLS), F.lit(SHELLS - 1)).cast("int"))
-              .select("node", "hub", "label", "asks", "shell"))
+              .select("node", "hub", "label", "asks", "shell", "n"))
     marked = staged(marked, "tested")
     sizes = staged(marked.groupBy("hub", "shell").agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("held"),
-        F.ceil(F.count_if("asks") / BLOCK).cast("int").alias("asked")), "blocks")
+        F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("held"),
+        F.ceil(F.sum(F.when(F.col("asks"), F.col("n")).otherwise(0)) / BLOCK_SHINGLES).cast("int").alias("asked")), "blocks")
     open_hubs = sizes.groupBy("hub").agg(F.max("asked").alias("most")).where("most > 0").select("hub")
     near = [(a, b) for a in range(SHELLS) for b in range(max(0, a - reach), min(SHELLS, a + reach + 1))]
     spark = tested.sparkSession
@@ -177,10 +178,10 @@ def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", width:
     verified = (pairs.join(sets, "node").join(of_hub, "hub")
                 .select("node", "hub", both.alias("both"), n.alias("n"), m.alias("m")))
     verified = staged(verified.select("node", "hub", (1 - F.col("both") / (F.col("n") + F.col("m") - F.col("both"))).alias("distance"),
-                                      _alike(F.col("both"), F.col("n"), F.col("m"), percent).alias("linked")), "verified")
+                                      _alike(F.col("both"), F.col("n"), F.col("m"), percent).alias("linked"), "n"), "verified")
     links = verified.where("linked").select(F.col("node").alias("u"), F.col("hub").alias("v"))
     labels = staged(components(links), "labels")
-    more = staged(_compared(verified.select("node", "hub", "distance"), sets, labels, percent), "links")
+    more = staged(_compared(verified.select("node", "hub", "distance", "n"), sets, labels, percent), "links")
     labels = staged(components(labels.select(F.col("node").alias("u"), F.col("label").alias("v")).unionByName(more)), "labels")
 
     named = classes.drop("bands").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
