@@ -16,21 +16,24 @@ def _to_least(edges: DataFrame, include_self: bool) -> tuple[DataFrame, DataFram
     return edges.join(found, "u"), found
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node has one edge to a smaller node, and that one none: then each star is a component."""
+    ends = (edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("root"))
+            .unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("root")))
+            .groupBy("node").agg(F.sum("out").alias("out"), F.max("root").alias("root")))
+    return ends.where((F.col("out") > 1) | ((F.col("out") > 0) & (F.col("root") > 0))).isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, label`` for every node of ``links`` (longs ``u, v``); the label is the least node it is connected with.
 
     Large star: every greater neighbour of a node moves to the node's least neighbour. Small star: every smaller
-    neighbour, and the node, do. Both keep the components and never add edges; a star on the least node is what no
-    round changes. The number of rounds grows with the logarithm of the nodes. Each round is staged.
+    neighbour, and the node, do. Both keep the components and never add edges; rounds end when only stars are left.
+    Their number grows with the logarithm of the nodes. Each round is staged.
     """
     edges = staged(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(),
                    "edges")
-    mark = None
-    while True:
-        now = tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
-        if now == mark or not now[0]:
-            break
-        mark = now
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         joined, _ = _to_least(both, True)
         large = staged(joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
