@@ -32,7 +32,7 @@ CLASSES = (("digits", re.compile(r"[0-9.-]+\Z"), math.inf),  # numbers, dates, p
 MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])", re.S)  # a window without a digit or without a letter is prose or a number
 ALLOW = (r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}",  # UUIDs
          r"(?:[A-Za-z0-9_-]+\.)+(?:com|org|net|html?|json|py|js|css|png|jpg)(?:/\S*)?",  # hosts, paths and file names
-         r"(?:/?[A-Za-z_.-]+){2,}/[A-Za-z0-9_.-]*",  # folders
+         r"/?[A-Za-z_.-]+(?:/[A-Za-z_.-]+)+/[A-Za-z0-9_.-]*",  # folders; every slash is mandatory, so matching is linear
          r"0123456789abcdef\w*|abcdefghijklmnopqrstuvwxyz\w*")
 
 

@@ -1,6 +1,9 @@
 import math
+import os
 import random
 import re
+import subprocess
+import sys
 from collections import Counter
 
 import pytest
@@ -73,6 +76,17 @@ def test_scan(spark, odd, none):
     assert clean[1] == "[secret]'" and clean[99] is None and clean[7] == "[secret]"
 
 
+def test_leaders_and_rulers_end_in_time():
+    """In a process of its own: with nested quantifiers the matching never ended."""
+    code = ("import re; from statloom.llm import secrets as S\n"
+            "allow = re.compile('|'.join(f'(?:{p})' for p in S.ALLOW))\n"
+            "for text in ('Introduction' + '.' * 200 + '12', '-' * 500 + ' 7', 'a' + '_-.' * 400 + '2024',\n"
+            "             'a/' * 400 + '=7', 'a.' * 50_000 + '1', 'a=' * 50_000 + '1'):\n"
+            "    assert S.entropy_spans(text, [], allow) == []\n")
+    root = os.path.join(os.path.dirname(os.path.abspath(__file__)), "..", "..")
+    subprocess.run([sys.executable, "-c", code], cwd=root, timeout=60, check=True)
+
+
 def padded(lengths, counts, ends):
     total, at = 0, 0
     for x, n in zip(lengths, counts):
