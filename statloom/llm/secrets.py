@@ -24,12 +24,14 @@ KINDS = ("assign", "access", "hex", "entropy")
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.-]{20,}")
 WINDOW = 20
-# Character classes, narrowest first, with the entropy (bits per character) a window of 20 must reach.
-CLASSES = (("digits", re.compile(r"[0-9.-]+\Z"), math.inf),  # numbers, dates, phone numbers: never a secret by entropy
-           ("hex", re.compile(r"[0-9A-Fa-f-]+\Z"), 3.2),
-           ("word", re.compile(r"[a-z0-9]+\Z"), 3.7),
-           ("base64", re.compile(r"[A-Za-z0-9+/_=.-]+\Z"), 3.9))
-MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])", re.S)  # a window without a digit or without a letter is prose or a number
+MARGIN = 1.5  # standard deviations below the expected entropy of random windows; most random windows reach that
+PART = re.compile(r"[A-Za-z0-9+/_.-]+(?:=+\Z)?")  # a candidate is cut at "=", unless it is padding at the end
+# Letter pairs that are common in English, German, French and Spanish: 16 of the 19 in a window of prose, 4 of random letters.
+PAIRS = frozenset("""th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me
+ de hi ri ro ic ne ea ra ce li ch ll be ma si om ur ca el ta la ns di fo ho pe ec pr no ct us ac ot il tr ly nc et ut ss
+ so rs un lo ge ie em ad ol rt po na ul ni ts mo pa im mi ai sh ir su id os iv ia am fi ci vi ig tu ld mp fe ab ap gr
+ sc ei au ht ke ze nz tz lt hr zu ue qu da do br bu st nn rd gh""".split())
+PROSE = 8  # common pairs from which a window of letters alone is words and not a key
 ALLOW = (r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}",  # UUIDs
          r"(?:[A-Za-z0-9_-]+\.)+(?:com|org|net|html?|json|py|js|css|png|jpg)(?:/\S*)?",  # hosts, paths and file names
          r"/?[A-Za-z_.-]+(?:/[A-Za-z_.-]+)+/[A-Za-z0-9_.-]*",  # folders; every slash is mandatory, so matching is linear
@@ -70,6 +72,96 @@ def high_entropy(string: str, threshold: float, window: int = WINDOW) -> list[tu
     return spans
 
 
+def _threshold(alphabet: int, window: int = WINDOW) -> float:
+    """Expected entropy of ``window`` random characters of an alphabet, less ``MARGIN`` standard deviations.
+
+    Both moments of sum(c * log2(c)) over the characters are exact, from the binomial and trinomial counts.
+    """
+    n, p = window, 1 / alphabet
+    plogp = [c * math.log2(c) if c else 0.0 for c in range(n + 1)]
+    one = [math.comb(n, c) * p ** c * (1 - p) ** (n - c) for c in range(n + 1)]
+    mean = sum(q * x for q, x in zip(one, plogp))
+    square = sum(q * x * x for q, x in zip(one, plogp))
+    cross = sum(math.comb(n, c) * math.comb(n - c, d) * p ** (c + d) * (1 - 2 * p) ** (n - c - d) * plogp[c] * plogp[d]
+                for c in range(n + 1) for d in range(n + 1 - c))
+    variance = alphabet * square + alphabet * (alphabet - 1) * cross - (alphabet * mean) ** 2
+    return math.log2(n) - (alphabet * mean + MARGIN * math.sqrt(max(variance, 0.0))) / n
+
+
+# What a window of each alphabet must reach, in bits per character.
+IN_DIGITS, IN_HEX, IN_CASE, IN_BASE32, IN_ALNUM, IN_LETTERS, IN_BASE62, IN_BASE64 = map(_threshold, (10, 16, 26, 32, 36, 52, 62, 64))
+
+
+def _kind(char: str) -> int:
+    """0 digit of base32, 1 other digit, 2 and 3 small letter (hexadecimal, other), 4 and 5 capital, 6 dash, 7 sign."""
+    if char.isdigit():
+        return 0 if "2" <= char <= "7" else 1
+    if char.isalpha():
+        return (2 if char.islower() else 4) + (char.lower() > "f")
+    return 6 if char == "-" else 7
+
+
+CHARACTERS = {chr(c): _kind(chr(c)) for c in range(128)}
+
+
+def window_threshold(kinds: Sequence[int], pairs: int) -> float:
+    """The threshold of a window by the narrowest alphabet that holds it; ``kinds`` has its characters per ``_kind``,
+    ``pairs`` the number of its common letter pairs.
+
+    Windows with signs must mix letters and digits: else they are prose, paths, dates or phone numbers. Windows of
+    letters alone must not look like words.
+    """
+    digits, small, capital = kinds[0] + kinds[1], kinds[2] + kinds[3], kinds[4] + kinds[5]
+    if kinds[6] or kinds[7]:
+        if not digits or not (small or capital):
+            return math.inf
+        if kinds[7] or (small and kinds[3] + kinds[5]):
+            return IN_BASE64
+        return IN_HEX if not kinds[3] + kinds[5] else IN_ALNUM
+    if not digits:
+        return math.inf if pairs > PROSE else IN_LETTERS if small and capital else IN_CASE
+    if not small and not capital:
+        return IN_DIGITS
+    if not kinds[3] + kinds[5]:
+        return IN_HEX
+    if small and capital:
+        return IN_BASE62
+    return IN_BASE32 if capital and not kinds[1] else IN_ALNUM
+
+
+def random_windows(string: str, window: int = WINDOW) -> list[tuple[int, int]]:
+    """Joined spans of the windows whose entropy reaches the threshold of their own alphabet.
+
+    Entropy and alphabet move with the window, as in ``high_entropy``.
+    """
+    if len(string) < window:
+        return []
+    plogp = [0.0] + [c * math.log2(c) for c in range(1, window + 2)]
+    counts: dict[str, int] = {}
+    kinds, total, spans, bits = [0] * 8, 0.0, [], math.log2(window)
+    small, pairs = string.lower(), 0
+    for at, char in enumerate(string):
+        n = counts.get(char, 0)
+        total += plogp[n + 1] - plogp[n]
+        counts[char] = n + 1
+        kinds[CHARACTERS[char]] += 1
+        pairs += at > 0 and small[at - 1:at + 1] in PAIRS
+        if at >= window:
+            old = string[at - window]
+            n = counts[old]
+            total += plogp[n - 1] - plogp[n]
+            counts[old] = n - 1
+            kinds[CHARACTERS[old]] -= 1
+            pairs -= small[at - window:at - window + 2] in PAIRS
+        if at >= window - 1 and bits - total / window >= window_threshold(kinds, pairs) - 1e-9:
+            start, end = at - window + 1, at + 1
+            if spans and spans[-1][1] >= start:
+                spans[-1] = (spans[-1][0], end)
+            else:
+                spans.append((start, end))
+    return spans
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """``(start, kind, end)`` of the base kinds; kind is the position in ``KINDS``."""
     found = []
@@ -87,13 +179,13 @@ def entropy_spans(text: str, base: Sequence[tuple[int, int, int]], allow: re.Pat
     found = []
     for m in CANDIDATE.finditer(text):
         string = m.group()
-        if not MIXED.match(string) or (allow and allow.fullmatch(string)):
+        if allow and allow.fullmatch(string):
             continue
-        threshold = next(t for _, pattern, t in CLASSES if pattern.match(string))
-        for start, end in high_entropy(string, threshold):
-            start, end = start + m.start(), end + m.start()
-            if all(end <= s or start >= e for s, _, e in base):
-                found.append((start, 3, end))
+        for part in PART.finditer(string):
+            for start, end in random_windows(part.group()):
+                start, end = start + m.start() + part.start(), end + m.start() + part.start()
+                if all(end <= s or start >= e for s, _, e in base):
+                    found.append((start, 3, end))
     return found
 
 
@@ -101,8 +193,8 @@ def scan_secrets(docs: DataFrame, id: str = "doc_id", text: str = "text", allow:
     """One row per document: ``id, spans`` (array of kind, start, end; code points, end exclusive) in order of start.
 
     Kinds: ``assign`` (a named value), ``access`` (access key ids), ``hex`` (24 or more hexadecimal digits), and
-    ``entropy``: candidate strings of 20 or more key characters are scanned by a sliding window, whose entropy must
-    reach the threshold of the string's character class. ``allow`` lists patterns; a candidate that one of them
+    ``entropy``: candidate strings of 20 or more key characters, cut at "=", are scanned by a sliding window, whose
+    entropy must reach what is expected of random characters of the window's own alphabet. ``allow`` lists patterns; a candidate that one of them
     matches whole adds nothing. Base kinds are never suppressed, and an entropy span never touches one of them. A null
     or empty text has no spans; repeated rows stay, each with its spans; an empty table gives no rows; other columns
     are not read.

@@ -87,6 +87,23 @@ def test_leaders_and_rulers_end_in_time():
     subprocess.run([sys.executable, "-c", code], cwd=root, timeout=60, check=True)
 
 
+@pytest.mark.parametrize("alphabet", ["0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+                                      "0123456789", "abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"])
+@pytest.mark.parametrize("name", ["", "sig="])
+def test_random_keys_of_every_alphabet(alphabet, name):
+    random.seed(11)
+    keys = [name + "".join(random.choices(alphabet, k=32)) for _ in range(300)]
+    found = [S.entropy_spans(k, [], None) for k in keys]
+    assert sum(bool(f) for f in found) >= 0.98 * len(keys)
+    assert all(start >= len(name) for f in found for start, _, _ in f)
+
+
+def test_words_and_numbers_are_no_keys():
+    for text in ("Bundesverfassungsgericht", "bundesverfassungsgerichtlich", "AbstractSingletonProxyFactoryBean", "INTERNATIONALIZATION",
+                 "internationalstandardsorganization", "2024-11-30-12.15.59.123", "+49-170-123-45-67-89-0", "00000000000000000000000"):
+        assert S.entropy_spans(text, [], None) == [], text
+
+
 def padded(lengths, counts, ends):
     total, at = 0, 0
     for x, n in zip(lengths, counts):
