@@ -32,10 +32,14 @@ PAIRS = frozenset("""th he in er an re on at en nd ti es or te of ed is it al ar
  so rs un lo ge ie em ad ol rt po na ul ni ts mo pa im mi ai sh ir su id os iv ia am fi ci vi ig tu ld mp fe ab ap gr
  sc ei au ht ke ze nz tz lt hr zu ue qu da do br bu st nn rd gh""".split())
 PROSE = 8  # common pairs from which a window of letters alone is words and not a key
-ALLOW = (r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}",  # UUIDs
-         r"(?:[A-Za-z0-9_-]+\.)+(?:com|org|net|html?|json|py|js|css|png|jpg)(?:/\S*)?",  # hosts, paths and file names
-         r"/?[A-Za-z_.-]+(?:/[A-Za-z_.-]+)+/[A-Za-z0-9_.-]*",  # folders; every slash is mandatory, so matching is linear
-         r"0123456789abcdef\w*|abcdefghijklmnopqrstuvwxyz\w*")
+_NAME = r"(?:[A-Z]?[a-z]{1,18}(?:[A-Z][a-z]{2,18})*|[A-Z]{2,12})"  # a word, words in CamelCase, or capitals: no word fills a window
+_NAMES = rf"(?=[^/=]{{3}}){_NAME}(?:[_.-]+{_NAME})*"
+# What is harmless in a candidate, and only that; no pattern has an open end.
+ALLOW = (r"(?<![0-9A-Za-z])[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}(?![0-9A-Za-z])",  # UUIDs
+         r"(?:\A|(?<==))/{0,2}(?:[A-Za-z0-9_-]+\.)+(?:com|org|net)(?=/|\Z)",  # the host of a URL
+         # Folders and files named in words. Shorter names are scanned, since base64 has them between its slashes.
+         rf"(?:\A|(?<=[/=])){_NAMES}(?=/)|(?<=/){_NAMES}\Z",
+         r"(?i:(?:0123456789)?abcdefghijklmnopqrstuvwxyz(?:0123456789)?|0123456789(?:abcdef)?|(?:1234567890){2,})")
 
 
 def high_entropy(string: str, threshold: float, window: int = WINDOW) -> list[tuple[int, int]]:
@@ -174,16 +178,26 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def pieces(string: str, allow: re.Pattern | None) -> Iterator[tuple[int, int]]:
+    """What remains of a candidate without the characters the allow-list matches, cut at "="."""
+    last, ends = 0, []
+    for m in allow.finditer(string) if allow else ():
+        if m.end() > m.start():
+            ends.append((last, m.start()))
+            last = m.end()
+    for start, end in [*ends, (last, len(string))]:
+        for part in PART.finditer(string, start, end):
+            yield part.span()
+
+
 def entropy_spans(text: str, base: Sequence[tuple[int, int, int]], allow: re.Pattern | None) -> list[tuple[int, int, int]]:
-    """Spans the method adds: windows of high entropy that no base span touches and no allow-list entry covers."""
+    """Spans the method adds: windows of high entropy that no base span touches, outside what the allow-list matches."""
     found = []
     for m in CANDIDATE.finditer(text):
         string = m.group()
-        if allow and allow.fullmatch(string):
-            continue
-        for part in PART.finditer(string):
-            for start, end in random_windows(part.group()):
-                start, end = start + m.start() + part.start(), end + m.start() + part.start()
+        for first, stop in pieces(string, allow):
+            for start, end in random_windows(string[first:stop]):
+                start, end = start + first + m.start(), end + first + m.start()
                 if all(end <= s or start >= e for s, _, e in base):
                     found.append((start, 3, end))
     return found
@@ -194,8 +208,8 @@ def scan_secrets(docs: DataFrame, id: str = "doc_id", text: str = "text", allow:
 
     Kinds: ``assign`` (a named value), ``access`` (access key ids), ``hex`` (24 or more hexadecimal digits), and
     ``entropy``: candidate strings of 20 or more key characters, cut at "=", are scanned by a sliding window, whose
-    entropy must reach what is expected of random characters of the window's own alphabet. ``allow`` lists patterns; a candidate that one of them
-    matches whole adds nothing. Base kinds are never suppressed, and an entropy span never touches one of them. A null
+    entropy must reach what is expected of random characters of the window's own alphabet. ``allow`` lists patterns; the characters that
+    they match in a candidate are not scanned, the rest of it is. Base kinds are never suppressed, and an entropy span never touches one of them. A null
     or empty text has no spans; repeated rows stay, each with its spans; an empty table gives no rows; other columns
     are not read.
 

@@ -104,6 +104,23 @@ def test_words_and_numbers_are_no_keys():
         assert S.entropy_spans(text, [], None) == [], text
 
 
+def test_allowed_parts_do_not_hide_the_rest():
+    allow = re.compile("|".join(f"(?:{p})" for p in S.ALLOW))
+    key, hard = "q7Zx0Lr9Kp2Vt8Wm4Yb6Nc1D", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzLx9PpLq2Ek7Y"
+    for text in (f"https://hooks.slack.com/services/T0AB12CD3/B0EF45GH6/{key}", f"https://cdn.example.com/{key}", f"src/main/resources/{key}",
+                 f"/home/user/{key}.json", f"abcdefghijklmnopqrstuvwxyz{key}", f"{key}/services/index.html", f"url=//a.example.org/{key}",
+                 f"123e4567-e89b-12d3-a456-426614174000/{key}", "bqzxkvjwpyrtbnmhgfdslc", "keys/bqzxkvjwpyrtbnmhgfdslc"):
+        key = "bqzxkvjwpyrtbnmhgfdslc" if key not in text else key
+        spans = S.entropy_spans(text, [], allow)
+        at = text.index(key)
+        assert any(s <= at and at + len(key) <= e for s, _, e in spans), text
+    assert S.entropy_spans(hard, [], allow)[0][1:] == (3, len(hard))  # short names between slashes are not cut out
+    for text in ("https://www.example.com/some/long/path/with1digit.html", "/usr/share/common-licenses/GPL3",
+                 "src/main/java/AbstractSingletonProxyFactoryBean.java", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+                 "123e4567-e89b-12d3-a456-426614174000", "0123456789abcdef"):
+        assert S.entropy_spans(text, [], allow) == [], text
+
+
 def padded(lengths, counts, ends):
     total, at = 0, 0
     for x, n in zip(lengths, counts):
