@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -10,7 +12,10 @@ from statloom.functions.columns import col
 from statloom.llm.text import SPACES, WORD, ascii_lower, let, staged, whole
 
 GRAM, WINDOW = 5, 16  # words: every shared run of GRAM + WINDOW - 1 = 20 words leaves a shared fingerprint
+# Bytes without spaces: every shared run of BYTES + SPAN - 1 = 11 bytes leaves a shared fingerprint.
+BYTES, SPAN = 6, 6
 POSITION = (1 << 31) - 1
+HASH = ((1 << 32) - 1) << 31
 
 
 def winnow(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
@@ -38,6 +43,46 @@ def winnow(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
     return let(let(F.transform(words, lambda w: F.xxhash64(w)), grams), minima)
 
 
+def bytes_of(text: Column) -> Column:
+    """The UTF-8 bytes of a text, A-Z in small letters, without spaces."""
+    text = ascii_lower(text)
+    for space in SPACES:
+        text = F.replace(text, F.lit(space), F.lit(""))
+    return text.cast("binary")
+
+
+def byte_minima(data: Column, gram: int = BYTES, window: int = SPAN) -> Column:
+    """The selected k-gram of every window over bytes, in the form and with the ties of ``winnow``.
+
+    Fewer than ``gram`` bytes are one k-gram, fewer than ``window``
+    k-grams one window, no bytes none. Each k-gram is hashed anew, since expressions carry nothing from one position
+    to the next; minima of 2, 4, 8 ... positions give that of the window.
+    """
+    def grams(b: Column) -> Column:
+        return F.when(F.octet_length(b) > 0, F.transform(
+            F.sequence(F.lit(1), F.greatest(F.octet_length(b) - (gram - 1), F.lit(1))),
+            lambda i: F.xxhash64(F.substring(b, i, F.lit(gram))).bitwiseAND(F.lit(HASH)).bitwiseOR(F.lit(POSITION + 1) - i))) \
+            .otherwise(F.array().cast("array<bigint>"))
+
+    def ahead(e: Column, by: int) -> Column:
+        """The smaller of each element and the one ``by`` further on, where there is one."""
+        return let(e, lambda x: F.zip_with(x, F.slice(x, F.lit(by + 1), F.size(x)), lambda a, b: F.least(a, b)))
+
+    def minima(e: Column) -> Column:
+        least, reach = e, 1
+        while reach < window:
+            by = min(reach, window - reach)
+            least, reach = ahead(least, by), reach + by
+        return F.slice(least, F.lit(1), F.greatest(F.size(e) - (window - 1), F.lit(1)))
+
+    return let(let(data, grams), minima)
+
+
+def winnow_bytes(text: Column, gram: int = BYTES, window: int = SPAN) -> Column:
+    """Like ``winnow``, over the bytes of a text without its spaces, so that short and unspaced texts have several."""
+    return F.array_distinct(byte_minima(bytes_of(text), gram, window))
+
+
 def hashes(selected: Column) -> Column:
     """The distinct hashes of a fingerprint."""
     return F.array_distinct(F.transform(selected, lambda x: F.shiftright(x, 31)))
@@ -61,15 +106,17 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(union == 0, 1.0).otherwise(both / union)
 
 
-def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", gram: int = GRAM,
-                 window: int = WINDOW) -> DataFrame:
+def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", gram: int | None = None,
+                 window: int | None = None, select: Callable[..., Column] = winnow) -> DataFrame:
     """One row per document: ``id, hashes, positions`` (arrays in order of position).
 
-    Equal texts have equal fingerprints, and two texts that share ``gram + window - 1`` consecutive words share one of
+    ``select`` is ``winnow`` (words) or ``winnow_bytes``, whose ``gram`` and ``window`` are taken where none are given.
+    Equal texts have equal fingerprints, and two texts that share ``gram + window - 1`` consecutive units share one of
     them. A null text is the empty text and has empty arrays. Repeated rows stay, an empty table gives no rows, other
     columns are not read. No shuffle.
     """
-    return (docs.select(col(id).alias("id"), winnow(whole(text), gram, window).alias("s"))
+    given = {k: v for k, v in (("gram", gram), ("window", window)) if v is not None}
+    return (docs.select(col(id).alias("id"), select(whole(text), **given).alias("s"))
             .select(F.col("id").alias(id), F.transform("s", lambda x: F.shiftright(x, 31)).alias("hashes"),
                     positions(F.col("s")).alias("positions")))
 
@@ -93,7 +140,8 @@ def neighbours(keys: DataFrame) -> DataFrame:
             .select("key", last["key"].alias("before"), last["ask"].alias("before_ask")))
 
 
-def edited_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def edited_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text",
+                        select: Callable[[Column], Column] = winnow) -> DataFrame:
     """``id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``, a row per document.
 
     The edited text has the last floor(n_chars / 4) code points replaced by the first as many (or all) of the next
@@ -101,8 +149,9 @@ def edited_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text")
     the document's hashes with those of the edited text and of the next document; two empty fingerprints are alike
     (1). Null ids are one id before all others. Where rows repeat an id, the row with the smallest text hash stands for
     it as a next document, and every row has the next id as its next document. A single id is its own next document.
+    ``select`` is ``winnow`` (words) or ``winnow_bytes``.
 
-    Texts are shuffled once by id; what moves on to the document before is the needed head and the distinct hashes.
+    Texts are shuffled once by id and once more to the document before, where they take less room than their hashes.
     """
     key = F.coalesce(F.concat(F.lit("i"), col(id).cast("string")), F.lit(""))
     quarter = F.floor(F.char_length("text") / 4).cast("int")
@@ -113,16 +162,15 @@ def edited_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text")
     # shuffle twice; an equality of seals would become a second key, so it is written as a plain condition.
     base = docs.select(key.alias("key"), whole(text).alias("text"))
     heads = (base.join(chain, "key").where(F.xxhash64("text").bitwiseXOR(F.col("seal")) == 0)
-             .select(F.col("before").alias("key"), F.substring("text", F.lit(1), F.col("before_ask")).alias("head"),
-                     hashes(winnow(F.col("text"))).alias("next_hashes"))
-             .groupBy("key").agg(F.first("head").alias("head"), F.first("next_hashes").alias("next_hashes")))
+             .select(F.col("before").alias("key"), "text")
+             .groupBy("key").agg(F.first("text").alias("next")))
     size = F.char_length("text")
-    edited = F.concat(F.substring("text", F.lit(1), size - quarter), F.substring("head", F.lit(1), quarter))
+    edited = F.concat(F.substring("text", F.lit(1), size - quarter), F.substring("next", F.lit(1), quarter))
     rows = (base.join(heads, "key")
             .select(F.when(F.col("key") != "", F.substring("key", F.lit(2), F.length("key")).cast(docs.schema[id].dataType))
                     .alias(id), size.cast("long").alias("n_chars"), edited.alias("edited"),
-                    winnow(F.col("text")).alias("own"), "next_hashes")
-            .withColumn("changed", winnow(F.col("edited"))))
+                    select(F.col("text")).alias("own"), hashes(select(F.col("next"))).alias("next_hashes"))
+            .withColumn("changed", select(F.col("edited"))))
     own = hashes(F.col("own"))
     return rows.select(id, "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
                        as_text(F.col("own")).alias("fingerprint"), as_text(F.col("changed")).alias("edited_fingerprint"),
@@ -131,7 +179,7 @@ def edited_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text")
 
 
 def op2_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edited_fingerprints(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return edited_fingerprints(table(spark, sf_dir, "documents", "doc_id", "text"), select=winnow_bytes)
 
 
 QUERIES = {"op2_winnow": (op2_winnow, None)}

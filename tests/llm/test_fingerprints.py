@@ -3,7 +3,8 @@ import re
 
 import xxhash
 
-from statloom.llm.fingerprints import GRAM, WINDOW, edited_fingerprints, fingerprints, neighbours
+from statloom.llm.fingerprints import (BYTES, GRAM, SPAN, WINDOW, edited_fingerprints, fingerprints, neighbours, op2_winnow,
+                                       winnow_bytes)
 
 from .conftest import ROWS
 
@@ -103,3 +104,48 @@ def test_native(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     plan = edited_fingerprints(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def winnowed_bytes(text, gram=BYTES, window=SPAN):
+    data = re.sub(r"[\x20\x09-\x0D]", "", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")).encode()
+    grams = [(h64(data[i:i + gram]) >> 31) & 0xFFFFFFFF for i in range(max(len(data) - gram, 0) + 1)] if data else []
+    selected = []
+    for i in range(max(len(grams) - window, 0) + 1) if grams else ():
+        part = grams[i:i + window]
+        at = i + max(j for j, x in enumerate(part) if x == min(part))
+        if (grams[at], at) not in selected[-1:]:
+            selected.append((grams[at], at))
+    return selected
+
+
+def test_bytes_against_the_definition(spark, texts, monkeypatch):
+    monkeypatch.setitem(globals(), "winnowed", winnowed_bytes)
+    want = expected(texts)
+    found = {r[0]: tuple(r)[1:] for r in op2_winnow(spark, "/root/testdata/sf0.001").collect()}
+    assert found.keys() == want.keys()
+    for id in want:
+        assert found[id][:4] == want[id][:4]
+        assert abs(found[id][4] - want[id][4]) < 1e-12 and abs(found[id][5] - want[id][5]) < 1e-12
+
+
+def test_odd_texts_in_bytes(spark, odd, none):
+    rows = [(0, None), (1, ""), (2, " \t\n"), (3, "a"), (4, "İſK ünïcödé 😀"), (5, "AAAA" * 40), (6, "abcdefgh"), (7, "A b C d E f G h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for gram, window in ((BYTES, SPAN), (3, 1), (1, 2), (5, 13)):
+        found = {r["doc_id"]: list(zip(r["hashes"], r["positions"])) for r in
+                 fingerprints(docs, gram=gram, window=window, select=winnow_bytes).collect()}
+        assert found == {i: winnowed_bytes(t, gram, window) for i, t in rows}
+    assert edited_fingerprints(odd, select=winnow_bytes).count() == len(ROWS)
+    assert edited_fingerprints(none, select=winnow_bytes).count() == 0
+    plan = edited_fingerprints(docs, select=winnow_bytes)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_short_and_unspaced_texts_stay_alike(spark, tmp_path):
+    short = [f"the {w} sat quietly on this old mat" for w in ("cat", "dog", "hen", "fox")]
+    unspaced = ["".join(chr(0x4E00 + (i * 7919 + j * 104729) % 20000) for j in range(200)) for i in range(3)]
+    rows = list(enumerate(short + unspaced + ["red green blue", "one two three four"]))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r["doc_id"]: r for r in op2_winnow(spark, str(tmp_path)).collect()}
+    assert all(found[i]["near_edited"] > 0 for i in range(7)) and all(found[i]["near_next"] > 0 for i in range(3))
+    assert all(len(found[i]["fingerprint"].split()) > 20 for i in (4, 5, 6))
