@@ -21,7 +21,7 @@ HASH = ((1 << 32) - 1) << 31
 def winnow(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
     """The selected k-grams of a text in order of position, as longs: 32 bits of hash, then 31 bits of position.
 
-    The hash rolls over the words (A-Z in small letters) one word at a time. Of every ``window`` consecutive hashes
+    Every k-gram of words (A-Z in small letters) is hashed anew from the hashes of its words; nothing rolls. Of every ``window`` consecutive hashes
     the smallest is selected, of equal ones the rightmost: positions are stored from the top down, so that the
     smallest long is that one. A text of fewer than ``gram`` words has one k-gram of all its words, one with fewer
     than ``window`` k-grams has one window, and one without words has none.
