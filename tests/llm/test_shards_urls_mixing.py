@@ -45,6 +45,22 @@ def test_shards_empty_and_written(spark, none, odd, tmp_path):
         shard_map(odd, limit=0)
 
 
+def test_write_a_whole_table(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    limit, path = 1 << 18, str(tmp_path / "out")
+    write_shards(docs, path, limit=limit)
+    from pyspark.sql import functions as F
+    back = spark.read.option("recursiveFileLookup", "true").parquet(path)
+    assert back.columns == docs.columns and back.count() == docs.count()
+    assert back.exceptAll(docs).isEmpty() and docs.exceptAll(back).isEmpty()
+    place = F.regexp_extract(F.input_file_name(), "/shard=([^/]*)/", 1)
+    found = {(r["doc_id"], r["shard"]) for r in back.select("doc_id", place.alias("shard")).collect()}
+    rows, leaves = shard_map(docs, limit=limit)
+    placed = {(r["doc_id"], r["shard"]) for r in rows.collect()}
+    assert found == placed and len({s for _, s in placed}) == leaves.count() > 1
+    assert all(r["bytes"] <= limit for r in leaves.collect())
+
+
 URLS = [(1, "http://a.example.net/en/1"), (2, "https://EXAMPLE.com/de/x?y#z"), (3, "http://x.org/fr/"), (4, None),
         (5, "no scheme"), (6, "http://net"), (7, "http://net/"), (8, "ftp://notexample.net/en/"), (9, ""),
         (10, "http://a.b.c.net?q"), (11, "http://u.example.net/EN/"), (1, "http://a.example.net/en/1"), (None, "x://org/fr/a"),
