@@ -24,6 +24,9 @@ def test_query(spark, name):
     df = run(spark, FOLDER)
     found = [tuple(r) for r in df.collect()]
     db = connect(FOLDER)
+    if sql is None and "doc_id" not in df.columns:  # op12_whiten: test_whitening.py compares all its rows
+        assert found
+        return
     if sql is None:
         ids = [r[df.columns.index("doc_id")] for r in found]
         assert sorted(ids) == [r[0] for r in db.execute("SELECT doc_id FROM documents ORDER BY 1").fetchall()]
