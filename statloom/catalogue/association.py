@@ -47,6 +47,23 @@ def _constant_column(spark, folder):
                               ).select("Columns", "n", F.round("Corr", 9).alias("Corr"), "Significance")
 
 
+FAR = ["l_quantity", "l_linenumber", "l_partkey", "l_suppkey", "price", "day", "order", "both"]
+
+
+def _far_groups(spark, folder):
+    """Eight columns whose values lie a thousand million apart from group to group, in order of the groups."""
+    df = table(spark, folder, "lineitem", "l_quantity", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate",
+               "l_orderkey", "l_returnflag")
+    df = df.withColumns({"price": F.expr("floor(l_extendedprice / 100)"), "day": F.expr("dayofyear(l_shipdate)"),
+                         "order": F.expr("l_orderkey % 1000"), "both": F.expr("l_quantity * l_linenumber")})
+    far = F.expr("1000000000L * (ascii(l_returnflag) - 65)")
+    far = df.select("l_returnflag", *[(F.col(c) + far).cast("double").alias(c) for c in FAR]).sortWithinPartitions("l_returnflag")
+    n = F.col("n")
+    return rounded(pair_moments(far, FAR, "l_returnflag").select("part", "col_x", "col_y", "n", "mean_x", "mean_y", *[
+        (F.col(s) / n).alias(v) for s, v in (("sxx", "var_x"), ("syy", "var_y"), ("sxy", "cov"))]),
+        {"mean_x": 4, "mean_y": 4, "var_x": 3, "var_y": 3, "cov": 3})
+
+
 def _report_large(spark, folder):
     return rounded(correlation_report(lines(spark, folder).select("net", *LINE_PREDICTORS)), REPORT_DIGITS)
 
@@ -204,7 +221,22 @@ WITH m AS (SELECT avg(p_partkey) AS ma, stddev_samp(p_partkey) AS sa, avg(p_reta
 z AS (SELECT p_partkey, (p_partkey - ma) / sa AS a, (p_retailprice - mb) / sb AS b, d FROM part, m)
 SELECT p_partkey, {r('(a + d * b) / sqrt(2)', 6, 'pc1')}, {r('(a - d * b) / sqrt(2)', 6, 'pc2')} FROM z"""
 
+# Whole numbers near zero, summed without rounding: the distance between groups is added to the means only.
+_FAR_SQL = """
+WITH d AS (SELECT l_returnflag, l_quantity::HUGEINT AS l_quantity, l_linenumber::HUGEINT AS l_linenumber, l_partkey::HUGEINT AS l_partkey,
+                  l_suppkey::HUGEINT AS l_suppkey, floor(l_extendedprice / 100)::HUGEINT AS price, dayofyear(l_shipdate)::HUGEINT AS day,
+                  (l_orderkey % 1000)::HUGEINT AS "order", (l_quantity * l_linenumber)::HUGEINT AS "both" FROM lineitem),
+sums AS (""" + " UNION ALL ".join(
+    f"""SELECT l_returnflag AS part, '{a}' AS col_x, '{b}' AS col_y, count(*) AS n, sum("{a}") AS sx, sum("{b}") AS sy,
+               sum("{a}" * "{a}") AS xx, sum("{b}" * "{b}") AS yy, sum("{a}" * "{b}") AS xy FROM d GROUP BY l_returnflag"""
+    for i, a in enumerate(FAR) for b in FAR[i:]) + """)
+SELECT part, col_x, col_y, n, """ + ", ".join(r(e, d, v) for e, d, v in (
+    ("sx / n + 1000000000.0 * (ascii(part) - 65)", 4, "mean_x"), ("sy / n + 1000000000.0 * (ascii(part) - 65)", 4, "mean_y"),
+    ("(n * xx - sx * sx)::DOUBLE / n / n", 3, "var_x"), ("(n * yy - sy * sy)::DOUBLE / n / n", 3, "var_y"),
+    ("(n * xy - sx * sy)::DOUBLE / n / n", 3, "cov"))) + " FROM sums"
+
 QUERIES: dict[str, Query] = {
+    "moments_far_groups": (_far_groups, _FAR_SQL),
     "pair_covariance": (_covariance, _pairs(LINE_PREDICTORS, "lineitem", r("covar_samp({b}, {a})", 6, "cov"))),
     "pair_correlation": (_correlation, _pairs(LINE_PREDICTORS, "lineitem", _CORR)),
     "pair_correlation_gaps": (_correlation_gaps, _pairs(["l_extendedprice", "quantity", "tax"], _GAPPED, _CORR)),

@@ -10,8 +10,10 @@ products about the pair's own means. Raw sums of squares are never formed, so la
 
 While the buffers of one aggregate fit generated code at Spark's default ``spark.sql.codegen.maxFields``, Spark's own
 functions are used. Beyond that Spark would interpret the aggregate row by row, so each task instead folds its Arrow
-batches into p x p matrices about a common centre, taken from the first rows; sums about one centre simply add, so the
-partial rows of all tasks are merged by a plain aggregate. Both forms give the same rows.
+batches into p x p matrices, per group about the group's own means, and hands on one row per pair. Partial rows of a pair
+meet in one task by the hash of group and pair, where a window gives their common mean and their sums are merged with the
+correction for the difference of the means. Nothing is read while the plan is built, and both forms give the same rows
+wherever the values of a group lie and however the table is sorted.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,8 +32,6 @@ from statloom.sources.tables import literal_rows
 
 # Buffer fields up to which the aggregate stays in generated code.
 NATIVE_FIELDS = 100
-# Rows that give the common centre.
-CENTRE_ROWS = 1000
 # Groups one task keeps before it hands on its partial sums, and how many matrix cells they may take together.
 GROUPS_IN_MEMORY, CELLS_IN_MEMORY = 256, 8_000_000
 
@@ -141,36 +141,56 @@ def _batched(frame: DataFrame, pairs: list[tuple[int, int]], grouped: bool) -> D
     first, second = (np.array(side) for side in zip(*pairs))
     most = max(1, min(GROUPS_IN_MEMORY, CELLS_IN_MEMORY // len(names) ** 2))
 
-    near = frame.select(*names).limit(CENTRE_ROWS).agg(*[F.avg(n).alias(n) for n in names]).first()
-    centre = np.array([near[n] if near[n] is not None and np.isfinite(near[n]) else 0.0 for n in names])
-
-    # Defined here, not at module level, so that it travels to the workers by value: they need numpy and pyarrow
+    # Defined here, not at module level, so that they travel to the workers by value: they need numpy and pyarrow
     # but not this package.
+    def centred(values: np.ndarray, present: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Counts, means and sums about them for every pair of columns, over the rows in which both are present.
+
+        Entry (i, j) belongs to column i among the rows that have j too.
+        """
+        if present.all():
+            mean = values.mean(0)
+            shifted = values - mean
+            product = shifted.T @ shifted
+            square = np.full_like(product, len(values))
+            return square, np.repeat(mean[:, None], len(mean), 1), np.repeat(np.diag(product)[:, None], len(mean), 1), product
+        both = present.astype(float)
+        n = both.T @ both
+        known = np.maximum(n, 1.0)
+        values = np.where(present, values, 0.0)
+        middle = values.sum(0) / np.diag(known)
+        shifted = np.where(present, values - middle, 0.0)
+        off = shifted.T @ both / known  # mean of i among the rows of (i, j), from the mean of i
+        raw = (shifted ** 2).T @ both
+        sxx, sxy = raw - n * off * off, shifted.T @ shifted - n * off * off.T
+        # Where rows with both values lie far from the rest of their column, the differences above lose digits.
+        for i, j in zip(*np.nonzero((sxx < 1e-6 * raw) & (n > 0))):
+            rows = present[:, i] & present[:, j]
+            x, y = shifted[rows, i], shifted[rows, j]
+            x, y = x - x.mean(), y - y.mean()
+            sxx[i, j], sxx[j, i], sxy[i, j] = x @ x, y @ y, x @ y
+            sxy[j, i] = sxy[i, j]
+        return n, middle[:, None] + off, sxx, sxy
+
     class Sums:
-        """Sums of one group in one task about the common centre, which is near the data so that no digits are lost."""
+        """Moments of one group in one task about the group's own means so far."""
 
         def __init__(self):
-            self.n, self.sx, self.sxx, self.sxy = (np.zeros((len(names),) * 2) for _ in range(4))
+            self.n, self.mean, self.sxx, self.sxy = (np.zeros((len(names),) * 2) for _ in range(4))
 
         def add(self, values: np.ndarray, present: np.ndarray) -> None:
-            if present.all():
-                shifted = values - centre
-                self.n += len(values)
-                self.sx += shifted.sum(0)[:, None]
-                product = shifted.T @ shifted
-                self.sxx += np.diag(product)[:, None]
-            else:
-                shifted = np.where(present, values - centre, 0.0)
-                both = present.astype(float)
-                self.n += both.T @ both
-                self.sx += shifted.T @ both
-                product = shifted.T @ shifted
-                self.sxx += (shifted ** 2).T @ both
-            self.sxy += product
+            n, mean, sxx, sxy = centred(values, present)
+            total = np.maximum(self.n + n, 1.0)
+            gap = np.where(n > 0, mean - self.mean, 0.0)
+            weight = self.n * (n / total)
+            self.sxx += sxx + gap * gap * weight
+            self.sxy += sxy + gap * gap.T * weight
+            self.mean += gap * (n / total)
+            self.n += n
 
         def rows(self, i: np.ndarray, j: np.ndarray) -> dict[str, np.ndarray]:
             return {"i": i.astype(np.int32), "j": j.astype(np.int32), "n": self.n[i, j].astype(np.int64),
-                    "sx": self.sx[i, j], "sy": self.sx[j, i], "sxx": self.sxx[i, j], "syy": self.sxx[j, i],
+                    "mean_x": self.mean[i, j], "mean_y": self.mean[j, i], "sxx": self.sxx[i, j], "syy": self.sxx[j, i],
                     "sxy": self.sxy[i, j]}
 
     def matrix(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -219,22 +239,32 @@ def _batched(frame: DataFrame, pairs: list[tuple[int, int]], grouped: bool) -> D
         yield from emit(sums, part_type)
 
     part_field = f"part {frame.schema['part'].dataType.simpleString()}, " if grouped else ""
-    sums = "n long, sx double, sy double, sxx double, syy double, sxy double"
-    partial = frame.mapInArrow(fold, f"{part_field}i int, j int, {sums}")
+    partial = frame.mapInArrow(fold, f"{part_field}i int, j int, {PAIR_FIELDS}")
     if not grouped:  # a table without rows still gets a row per pair, with n = 0
         listed = literal_rows(frame.sparkSession, pairs, "i int, j int")
         partial = partial.unionByName(listed.withColumn("n", F.lit(0).cast("long")), allowMissingColumns=True)
-    total = partial.groupBy(*(["part"] if grouped else []), "i", "j").agg(
-        *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
-    known, n, sx, sy = F.col("n") > 0, F.col("n"), F.col("sx"), F.col("sy")
-    at = F.array(*[F.lit(float(c)) for c in centre])
-    return total.select(
-        *(["part"] if grouped else []), "i", "j", "n",
-        F.when(known, F.get(at, F.col("i")) + sx / n).alias("mean_x"),
-        F.when(known, F.get(at, F.col("j")) + sy / n).alias("mean_y"),
-        F.when(known, F.greatest(F.col("sxx") - sx * sx / n, F.lit(0.0))).alias("sxx"),
-        F.when(known, F.greatest(F.col("syy") - sy * sy / n, F.lit(0.0))).alias("syy"),
-        F.when(known, F.col("sxy") - sx * sy / n).alias("sxy"))
+    return _merged(partial, [*(["part"] if grouped else []), "i", "j"])
+
+
+def _merged(partial: DataFrame, keys: list[str]) -> DataFrame:
+    """Partial moments ``keys, n, mean_x, mean_y, sxx, syy, sxy`` of the same keys as one row each.
+
+    The common mean is taken relative to one of the partial means, and what each part adds for lying beside it is a product
+    of differences: no large squares are subtracted. Window and aggregate share one shuffle; a key has at most a few rows
+    per task of the scan.
+    """
+    same, n = Window.partitionBy(*keys), F.col("n")
+    partial = partial.withColumns({c: F.when(n > 0, F.col(c)) for c in ("mean_x", "mean_y", "sxx", "syy", "sxy")})
+    near = {f"near_{c}": F.min(f"mean_{c}").over(same) for c in "xy"}
+    gaps = {f"gap_{c}": F.col(f"mean_{c}") - F.col(f"near_{c}") for c in "xy"}
+    shifts = {f"shift_{c}": F.sum(n * F.col(f"gap_{c}")).over(same) / F.nullif(F.sum("n").over(same), F.lit(0)) for c in "xy"}
+    beside = {f"gap_{c}": F.col(f"gap_{c}") - F.col(f"shift_{c}") for c in "xy"}
+    parts = partial.withColumns(near).withColumns(gaps).withColumns(shifts).withColumns(beside)
+    x, y = F.col("gap_x"), F.col("gap_y")
+    return parts.groupBy(*keys).agg(
+        F.sum("n").alias("n"), *[F.first(F.col(f"near_{c}") + F.col(f"shift_{c}")).alias(f"mean_{c}") for c in "xy"],
+        F.sum(F.col("sxx") + n * x * x).alias("sxx"), F.sum(F.col("syy") + n * y * y).alias("syy"),
+        F.sum(F.col("sxy") + n * x * y).alias("sxy"))
 
 
 def column_moments(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int, float | None, float | None]]:

@@ -193,6 +193,45 @@ def test_both_forms_of_grouped_moments_agree(spark, monkeypatch):
             assert (x is None) == (y is None) and (x is None or y == pytest.approx(x, rel=1e-9, abs=1e-6)), key
 
 
+@pytest.mark.parametrize("columns", [2, 8])
+def test_far_groups_in_both_forms(spark, monkeypatch, columns):
+    """Groups around 0, 1e9 and -1e9, sorted, with gaps that leave some pairs far from the rest of their columns."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from statloom.operators import moments
+    names = [f"c{i}" for i in range(columns)]
+    far = (F.col("id") % 3 - 1) * 1_000_000_000
+    df = spark.range(6000).select((F.col("id") % 3).alias("g"), *[
+        F.when((F.col("id") * (i + 3)) % 11 != 0, F.col("id") * (i + 1) % 97 + far).cast("double").alias(c) for i, c in enumerate(names)])
+    for by in ("g", None):
+        frame = (df if by else df.withColumn("c0", F.when(F.col("g") == 1, F.col("c0")))).sortWithinPartitions("g")
+        table = frame.toPandas()
+        found = {}
+        for fields in (0, 10 ** 6):
+            monkeypatch.setattr(moments, "NATIVE_FIELDS", fields)
+            got = moments.pair_moments(frame, names, by).collect()
+            found[fields] = {(r["part"] if by else None, r["col_x"], r["col_y"]): tuple(r)[-6:] for r in got}
+        assert found[0].keys() == found[10 ** 6].keys() and len(found[0]) == columns * (columns + 1) // 2 * (3 if by else 1)
+        for (part, a, b), values in found[0].items():
+            rows = (table if part is None else table[table.g == part])[[a, b]].dropna().to_numpy()
+            rows = rows.astype(np.longdouble)
+            mean = rows.mean(0)
+            (xx, xy), (_, yy) = (rows - mean).T @ (rows - mean)
+            for form in (values, found[10 ** 6][part, a, b]):
+                assert form[0] == len(rows)
+                assert form[1:] == pytest.approx([float(v) for v in (*mean, xx, yy, xy)], rel=1e-9, abs=1e-6 * float(xx * yy) ** 0.5)
+
+
+def test_wide_moments_start_no_job_while_planned(spark):
+    from statloom.operators import moments
+    df = spark.range(100).selectExpr("id % 3 AS g", *[f"cast(id * {i} as double) AS c{i}" for i in range(9)])
+    spark.sparkContext.setJobGroup("planning", "")
+    moments.pair_moments(df, [f"c{i}" for i in range(9)], "g")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_many_groups_are_fast(spark):
     import time
 
