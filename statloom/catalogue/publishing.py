@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statloom.catalogue.common import Query, r, rounded, table
@@ -11,7 +13,8 @@ from statloom.operators.features import vectors_from_array
 from statloom.session import scratch_path
 from statloom.sinks.external import publish_csv, use_database
 from statloom.sinks.files import save_csv, save_parquet
-from statloom.sinks.keyed import change_keyed, create_keyed, delete, drop_table, insert, read_keyed, update, upsert
+from statloom.sinks.keyed import (change_keyed, create_keyed, delete, drop_table, find_keyed, insert, merge_keyed, read_keyed, update,
+                                  upsert)
 from statloom.sources.tables import read_csv, read_parquet, zipped
 
 
@@ -121,6 +124,35 @@ def _stored(spark, folder):
     return rounded(read_keyed(spark, name), {"c_acctbal": 2})
 
 
+def _orders(spark, folder):
+    return table(spark, folder, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+
+
+def _lookup(spark, folder):
+    """Rows of a table of 64 buckets by key: those of listed keys, and those that line items ask for."""
+    name, orders = _name("lookup"), _orders(spark, folder)
+    create_keyed(orders, name, ["o_orderkey"], scratch_path(spark, name), buckets=64)
+    listed = [r[0] for r in orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).select(F.explode(F.array("min(o_orderkey)", "max(o_orderkey)"))).collect()]
+    asked = table(spark, folder, "lineitem", "l_orderkey", "l_quantity").where("l_quantity = 50").withColumnRenamed("l_orderkey", "o_orderkey")
+    return (read_keyed(spark, name, {"o_orderkey": [*listed, -1]}).withColumn("by", F.lit("listed"))
+            .unionByName(find_keyed(spark, name, asked).withColumn("by", F.lit("asked"))))
+
+
+def _delta(spark, folder):
+    """Small changes beside the stored rows, before and after they are merged into them, and the table as it was at first."""
+    name, orders = _name("delta"), _orders(spark, folder)
+    create_keyed(orders, name, ["o_orderkey"], scratch_path(spark, name), buckets=16)
+    dear = orders.where("o_totalprice > 400000")
+    change_keyed(spark, name, dear.withColumn("o_orderstatus", F.lit("dear")), merge=False)
+    change_keyed(spark, name, dear.where("o_custkey % 2 = 0").withColumn("o_orderstatus", F.lit("even")), "update", merge=False)
+    change_keyed(spark, name, dear.where("o_custkey % 3 = 0"), "delete", merge=False)
+    change_keyed(spark, name, dear.where("o_custkey % 6 = 0").withColumn("o_orderstatus", F.lit("back")), "insert", merge=False)
+    before = read_keyed(spark, name)
+    merge_keyed(spark, name, ratio=0)
+    states = (("first", read_keyed(spark, name, version=1)), ("before", before), ("after", read_keyed(spark, name)))
+    return reduce(DataFrame.unionByName, [df.withColumn("state", F.lit(s)) for s, df in states])
+
+
 def _dropped(spark, folder):
     """A keyed table before and after it is dropped, with what the drop says, and what is left of its database."""
     name, path = _name("dropped"), scratch_path(spark, "dropped")
@@ -174,6 +206,17 @@ QUERIES: dict[str, Query] = {
         UNION ALL SELECT * EXCLUDE c_nationkey FROM {_CHANGED} WHERE c_nationkey >= 12
         UNION ALL SELECT c_custkey, c_name, 1.0 FROM customer WHERE c_nationkey < 5
         UNION ALL SELECT * FROM {_NEW})"""),
+    "keyed_lookup": (_lookup, """
+        WITH o AS (SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders)
+        SELECT *, 'listed' AS by FROM o WHERE o_orderkey IN (SELECT min(o_orderkey) FROM o UNION ALL SELECT max(o_orderkey) FROM o)
+        UNION ALL SELECT *, 'asked' FROM o WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity = 50)"""),
+    "keyed_delta": (_delta, """
+        WITH o AS (SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders),
+        changed AS (
+          SELECT o_orderkey, o_custkey, o_totalprice, CASE WHEN o_totalprice <= 400000 THEN o_orderstatus
+            WHEN o_custkey % 6 = 0 THEN 'back' WHEN o_custkey % 2 = 0 THEN 'even' ELSE 'dear' END AS o_orderstatus
+          FROM o WHERE o_totalprice <= 400000 OR o_custkey % 3 <> 0 OR o_custkey % 6 = 0)
+        SELECT *, 'first' AS state FROM o UNION ALL SELECT *, 'before' FROM changed UNION ALL SELECT *, 'after' FROM changed"""),
     "keyed_drop": (_dropped, """SELECT CAST(count(*) AS BIGINT) AS rows, true AS first, false AS second, false AS exists,
                                        true AS listed FROM customer"""),
     "zipped_lists": (_zipped, " UNION ALL ".join(

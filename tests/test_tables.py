@@ -9,8 +9,8 @@ from statloom.plans.ingest import ingest
 from statloom.session import scratch_path, shared_folder
 from statloom.sinks.external import create_external_csv, publish_csv, publishable, use_database, write_external_csv
 from statloom.sinks.files import save_csv, save_parquet, written_rows
-from statloom.sinks.keyed import (change_keyed, create_keyed, delete, drop_table, insert, key_of, read_keyed, update,
-                                  upsert)
+from statloom.sinks.keyed import (Conflict, Store, change_keyed, clean_keyed, create_keyed, delete, drop_table, due, find_keyed, insert,
+                                  key_of, merge_keyed, open_keyed, read_keyed, update, upsert)
 from statloom.sources.tables import (literal_rows, query, read_csv, read_parquet, read_source, register, row_count, schema_ddl,
                                      schema_rows, zipped)
 
@@ -215,20 +215,163 @@ def test_null_keys_are_refused(spark, tmp_path):
     drop_table(spark, "keyed_good", purge=True)
 
 
-def test_a_change_reads_and_writes_touched_buckets_only(spark, tmp_path):
-    df = spark.range(1000).selectExpr("id as k", "cast(id as string) as v")
-    create_keyed(df, "keyed_touch", ["k"], str(tmp_path / "t"), buckets=64)
-    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "t").rglob("*.parquet")}
-    touched = change_keyed(spark, "keyed_touch", df.limit(10).withColumn("v", F.lit("x")))
-    after = set((tmp_path / "t").rglob("*.parquet"))
-    assert 1 <= len(touched) <= 10
-    assert len(set(before) - after) == len(after - set(before)) == len(touched)
-    assert read_keyed(spark, "keyed_touch").where("v = 'x'").count() == 10 and read_keyed(spark, "keyed_touch").count() == 1000
-    plan = spark.table("keyed_touch").where(F.col("__bucket").isin(touched))._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [__bucket" in plan.replace("isnotnull(__bucket#", "__bucket#")
-    change_keyed(spark, "keyed_touch", df.withColumn("v", F.lit("y")))
-    assert len(list((tmp_path / "t").glob("v-*"))) == 1  # nothing is left of replaced versions
-    drop_table(spark, "keyed_touch", purge=True)
+@pytest.fixture()
+def stored(spark, tmp_path):
+    """1,000 rows in 16 buckets; the name of the table and its folder."""
+    name, folder = f"keyed_{tmp_path.name.replace('-', '_')}", tmp_path / "t"
+    drop_table(spark, name)
+    create_keyed(spark.range(1000).selectExpr("id as k", "cast(id as string) as v"), name, ["k"], str(folder), buckets=16)
+    yield name, folder
+    drop_table(spark, name, purge=True)
+
+
+def as_dict(df):
+    found = df.collect()
+    assert len({r["k"] for r in found}) == len(found)
+    return {r["k"]: r["v"] for r in found}
+
+
+def row_counts(files):
+    import pyarrow.parquet as pq
+    return sum(pq.read_metadata(f).num_rows for f in files)
+
+
+def test_a_small_change_writes_small_parts(spark, stored):
+    name, folder = stored
+    before = set(folder.rglob("*.parquet"))
+    touched = change_keyed(spark, name, spark.range(10).selectExpr("id as k", "'x' as v"), merge=False)
+    after = set(folder.rglob("*.parquet"))
+    assert before < after and 1 <= len(touched) <= 10 and len(after - before) == len(touched) and row_counts(after - before) == 10
+    assert as_dict(read_keyed(spark, name)) == {k: "x" if k < 10 else str(k) for k in range(1000)}
+
+
+def test_merging_by_size_and_number(spark, stored):
+    name, folder = stored
+    change_keyed(spark, name, spark.range(700).selectExpr("id as k", "'most' as v"), merge=False)
+    wanted = as_dict(read_keyed(spark, name))
+    merged = merge_keyed(spark, name)  # a few small buckets may have too little change
+    assert len(merged) > 12 and as_dict(read_keyed(spark, name)) == wanted and merge_keyed(spark, name) == []
+    assert len(merged) + len(merge_keyed(spark, name, ratio=0)) == 16 and merge_keyed(spark, name, ratio=0) == []
+    for i in range(10):  # one row each time: merged for the number of parts only
+        change_keyed(spark, name, spark.createDataFrame([(7, str(i))], "k long, v string"), merge=False)
+    assert len(merge_keyed(spark, name)) == 1
+    wanted[7] = "9"
+    assert as_dict(read_keyed(spark, name)) == wanted
+    change_keyed(spark, name, spark.range(1000).selectExpr("id as k"), "delete")
+    assert read_keyed(spark, name).isEmpty()
+    assert clean_keyed(spark, name) > 2 and not list(folder.rglob("*.parquet"))
+
+
+def test_a_lookup_reads_one_bucket(spark, stored):
+    name, _ = stored
+    change_keyed(spark, name, spark.createDataFrame([(77, "new"), (78, "new")], "k long, v string"), merge=False)
+    change_keyed(spark, name, spark.createDataFrame([(78,)], "k long"), "delete", merge=False)
+    found = read_keyed(spark, name, {"k": [77]})
+    assert as_dict(found) == {77: "new"} and as_dict(read_keyed(spark, name, {"k": [78, 5000]})) == {}
+    assert {f.rsplit("__bucket=", 1)[1].split("/")[0] for f in found.inputFiles()} == {str(found_bucket(spark, 77))}
+    plan = read_keyed(spark, name, {"k": [5]})._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(k,5)" in plan or "In(k, [5])" in plan
+    assert as_dict(find_keyed(spark, name, spark.createDataFrame([(77,), (3,), (3,), (-1,)], "k int"))) == {77: "new", 3: "3"}
+    assert as_dict(read_keyed(spark, name, {"k": []})) == {}
+    with pytest.raises(ValueError, match="needed"):
+        read_keyed(spark, name, {"v": ["x"]})
+
+
+def found_bucket(spark, key):
+    return spark.sql(f"SELECT pmod(xxhash64(cast({key} as bigint)), 16)").head()[0]
+
+
+def test_two_part_keys(spark, tmp_path):
+    df = spark.range(60).selectExpr("id % 6 as a", "cast(id div 6 as string) as b", "id as v")
+    drop_table(spark, "keyed_pair")
+    create_keyed(df, "keyed_pair", ["a", "b"], str(tmp_path / "t"), buckets=7)
+    found = read_keyed(spark, "keyed_pair", {"a": [1, 2], "b": ["3", "9"]}).collect()
+    assert sorted((r["a"], r["b"], r["v"]) for r in found) == [(1, "3", 19), (1, "9", 55), (2, "3", 20), (2, "9", 56)]
+    drop_table(spark, "keyed_pair", purge=True)
+
+
+def test_a_reader_stays_at_its_version(spark, stored):
+    name, _ = stored
+    first = read_keyed(spark, name)
+    change_keyed(spark, name, spark.range(1000).selectExpr("id as k", "'new' as v"))
+    assert set(as_dict(first).values()) == {str(k) for k in range(1000)} == set(as_dict(read_keyed(spark, name, version=1)).values())
+    assert set(as_dict(read_keyed(spark, name)).values()) == {"new"}
+    with pytest.raises(ValueError, match="no version"):
+        read_keyed(spark, name, version=99)
+
+
+def test_concurrent_changes(spark, stored):
+    """Upserts of one bucket end one after the other; of two inserts of one key one is refused, whichever comes second."""
+    from multiprocessing.pool import ThreadPool
+
+    def attempt(args):
+        how, key, value = args
+        try:
+            change_keyed(spark, name, spark.createDataFrame([(key, value)], "k long, v string"), how, merge=how == "upsert")
+            return True
+        except (Conflict, ValueError):
+            return False
+
+    name, folder = stored
+    with ThreadPool(6) as pool:
+        assert all(pool.map(attempt, [("upsert", 5, f"u{i}") for i in range(6)], chunksize=1))
+        assert as_dict(read_keyed(spark, name))[5] in {f"u{i}" for i in range(6)}
+        done = pool.map(attempt, [("insert", 5000, f"i{i}") for i in range(4)], chunksize=1)
+    rows = as_dict(read_keyed(spark, name))
+    assert sum(done) == 1 and rows[5000] == f"i{done.index(True)}" and len(rows) == 1001
+    versions = open_keyed(spark, name).versions()
+    assert versions == list(range(1, len(versions) + 1)) and not list((folder / "log").glob("_*"))
+
+
+def test_a_strict_change_is_refused_after_another(spark, stored):
+    name, _ = stored
+    store = open_keyed(spark, name)
+    seen, state = store.state()
+    bucket = found_bucket(spark, 5)
+    change_keyed(spark, name, spark.createDataFrame([(5, "x")], "k long, v string"), merge=False)
+    late = {"part": "pnone", "rows": {bucket: 1}, "base": False, "merged": None}
+    with pytest.raises(Conflict):
+        store.commit(seen, late, strict=True)
+    merge_keyed(spark, name, ratio=0)
+    seen, _ = store.state()
+    assert store.commit(seen, {**late, "rows": {}}, strict=True) == seen + 1
+
+
+def test_a_merge_keeps_what_is_committed_meanwhile(spark, stored, monkeypatch):
+    name, _ = stored
+    change_keyed(spark, name, spark.range(900).selectExpr("id as k", "'a' as v"), merge=False)
+    assert len(due(open_keyed(spark, name).state()[1])) == 16
+    write = Store.write
+
+    def late(self, *args, **named):
+        counts = write(self, *args, **named)
+        monkeypatch.setattr(Store, "write", write)
+        change_keyed(spark, name, spark.createDataFrame([(5, "late"), (950, "late")], "k long, v string"), merge=False)
+        return counts
+
+    monkeypatch.setattr(Store, "write", late)
+    assert len(merge_keyed(spark, name)) == 16
+    assert as_dict(read_keyed(spark, name)) == {k: "late" if k in (5, 950) else "a" if k < 900 else str(k) for k in range(1000)}
+
+
+def test_many_commits_use_the_written_state(spark, stored):
+    name, folder = stored
+    for i in range(20):
+        change_keyed(spark, name, spark.createDataFrame([(i % 3, f"c{i}")], "k long, v string"))
+    assert list((folder / "log").glob("*-full.json"))
+    rows = as_dict(read_keyed(spark, name))
+    assert (rows[0], rows[1], rows[2], len(rows)) == ("c18", "c19", "c17", 1000)
+
+
+def test_a_failed_change_leaves_nothing(spark, stored):
+    name, folder = stored
+    before = set(folder.rglob("*"))
+    bad = spark.range(3).selectExpr("id as k", "raise_error('no') as v")
+    with pytest.raises(Exception, match="no"):
+        change_keyed(spark, name, bad)
+    assert {f for f in folder.rglob("*") if not f.name.endswith(".crc")} == {f for f in before if not f.name.endswith(".crc")}
+    with pytest.raises(Exception, match="read_keyed"):
+        spark.table(name).collect()
 
 
 def test_scratch_folder_is_the_checkpoint_folder(spark):
