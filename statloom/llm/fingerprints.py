@@ -51,31 +51,31 @@ def bytes_of(text: Column) -> Column:
     return text.cast("binary")
 
 
-def byte_minima(data: Column, gram: int = BYTES, window: int = SPAN) -> Column:
-    """The selected k-gram of every window over bytes, in the form and with the ties of ``winnow``.
+def byte_grams(data: Column, gram: int = BYTES, shift: Column | int = 0) -> Column:
+    """The k-grams of bytes in the form of ``winnow``, their positions ``shift`` further on.
 
-    Fewer than ``gram`` bytes are one k-gram, fewer than ``window``
-    k-grams one window, no bytes none. Each k-gram is hashed anew, since expressions carry nothing from one position
-    to the next; minima of 2, 4, 8 ... positions give that of the window.
+    Fewer than ``gram`` bytes are one k-gram, no bytes none. Each k-gram is hashed anew, since expressions carry nothing
+    from one position to the next.
     """
-    def grams(b: Column) -> Column:
-        return F.when(F.octet_length(b) > 0, F.transform(
-            F.sequence(F.lit(1), F.greatest(F.octet_length(b) - (gram - 1), F.lit(1))),
-            lambda i: F.xxhash64(F.substring(b, i, F.lit(gram))).bitwiseAND(F.lit(HASH)).bitwiseOR(F.lit(POSITION + 1) - i))) \
-            .otherwise(F.array().cast("array<bigint>"))
+    last = F.lit(POSITION + 1) - shift
+    return let(data, lambda b: F.when(F.octet_length(b) > 0, F.transform(
+        F.sequence(F.lit(1), F.greatest(F.octet_length(b) - (gram - 1), F.lit(1))),
+        lambda i: F.xxhash64(F.substring(b, i, F.lit(gram))).bitwiseAND(F.lit(HASH)).bitwiseOR(last - i)))
+        .otherwise(F.array().cast("array<bigint>")))
 
-    def ahead(e: Column, by: int) -> Column:
-        """The smaller of each element and the one ``by`` further on, where there is one."""
-        return let(e, lambda x: F.zip_with(x, F.slice(x, F.lit(by + 1), F.size(x)), lambda a, b: F.least(a, b)))
 
-    def minima(e: Column) -> Column:
-        least, reach = e, 1
-        while reach < window:
-            by = min(reach, window - reach)
-            least, reach = ahead(least, by), reach + by
-        return F.slice(least, F.lit(1), F.greatest(F.size(e) - (window - 1), F.lit(1)))
+def window_minima(grams: Column, window: int = SPAN) -> Column:
+    """The least k-gram of every window, with the ties of ``winnow``; fewer than ``window`` k-grams are one window."""
+    if window == 1:
+        return grams
+    return let(grams, lambda e: F.when(F.size(e) > 0, F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size(e) - window, F.lit(0))),
+        lambda j: F.least(*[F.get(e, j + k if k else j) for k in range(window)]))).otherwise(e))
 
-    return let(let(data, grams), minima)
+
+def byte_minima(data: Column, gram: int = BYTES, window: int = SPAN) -> Column:
+    """The selected k-gram of every window over bytes."""
+    return window_minima(byte_grams(data, gram), window)
 
 
 def winnow_bytes(text: Column, gram: int = BYTES, window: int = SPAN) -> Column:
@@ -83,6 +83,32 @@ def winnow_bytes(text: Column, gram: int = BYTES, window: int = SPAN) -> Column:
     return F.array_distinct(byte_minima(bytes_of(text), gram, window))
 
 
+def both_byte_fingerprints(rows: DataFrame, text: Column, dropped: Column, added: Column, gram: int = BYTES,
+                           window: int = SPAN) -> DataFrame:
+    """``rows`` with ``own`` and ``changed``: the ``winnow_bytes`` of a text, and of the same text with its end ``dropped``
+    replaced by ``added``.
+
+    K-grams and windows that lie in the bytes both have in common are taken from the one to the other; only those that
+    reach into what was added are made anew.
+    """
+    kept, grams, minima, shared = F.col("_kept"), F.col("_grams"), F.col("_minima"), F.col("_shared")
+    none = F.array().cast("array<bigint>")
+    rows = rows.withColumns({"_bytes": bytes_of(text), "_added": bytes_of(added), "_dropped": F.octet_length(bytes_of(dropped))})
+    rows = rows.withColumns({"_grams": byte_grams(F.col("_bytes"), gram), "_kept": F.octet_length("_bytes") - F.col("_dropped")})
+    # Whole k-grams of the kept bytes, and the bytes that those to come begin with.
+    rows = rows.withColumns({"_minima": window_minima(grams, window), "_shared": F.greatest(kept - (gram - 1), F.lit(0)),
+                             "_rest": F.concat(F.substring("_bytes", F.greatest(kept - (gram - 2), F.lit(1)),
+                                                           F.least(kept, F.lit(gram - 1))), F.col("_added"))})
+    fresh = F.when((shared > 0) & (F.octet_length("_added") == 0), none).otherwise(byte_grams(F.col("_rest"), gram, shared))
+    whole_windows = F.greatest(shared - (window - 1), F.lit(0))
+    open_ = F.slice(grams, whole_windows + 1, shared - whole_windows)  # k-grams whose windows reach further
+    rows = rows.withColumn("_open", F.concat(open_, fresh))
+    more = F.when((whole_windows > 0) & (F.size("_open") < window), none).otherwise(window_minima(F.col("_open"), window))
+    changed = F.concat(F.slice(minima, F.lit(1), whole_windows), more)
+    return (rows.withColumns({"own": F.array_distinct(minima), "changed": F.array_distinct(changed)})
+            .drop("_bytes", "_added", "_dropped", "_grams", "_kept", "_minima", "_shared", "_rest", "_open"))
+
+
 def hashes(selected: Column) -> Column:
     """The distinct hashes of a fingerprint."""
     return F.array_distinct(F.transform(selected, lambda x: F.shiftright(x, 31)))
@@ -151,6 +177,7 @@ def edited_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text",
     it as a next document, and every row has the next id as its next document. A single id is its own next document.
     ``select`` is ``winnow`` (words) or ``winnow_bytes``.
 
+    With ``winnow_bytes``, the k-grams and windows that the edited text has in common with the text are computed once.
     Texts are shuffled once by id and once more to the document before, where they take less room than their hashes.
     """
     key = F.coalesce(F.concat(F.lit("i"), col(id).cast("string")), F.lit(""))
@@ -165,17 +192,22 @@ def edited_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text",
              .select(F.col("before").alias("key"), "text")
              .groupBy("key").agg(F.first("text").alias("next")))
     size = F.char_length("text")
-    edited = F.concat(F.substring("text", F.lit(1), size - quarter), F.substring("next", F.lit(1), quarter))
-    rows = (base.join(heads, "key")
-            .select(F.when(F.col("key") != "", F.substring("key", F.lit(2), F.length("key")).cast(docs.schema[id].dataType))
-                    .alias(id), size.cast("long").alias("n_chars"), edited.alias("edited"),
-                    select(F.col("text")).alias("own"), hashes(select(F.col("next"))).alias("next_hashes"))
-            .withColumn("changed", select(F.col("edited"))))
-    own = hashes(F.col("own"))
-    return rows.select(id, "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-                       as_text(F.col("own")).alias("fingerprint"), as_text(F.col("changed")).alias("edited_fingerprint"),
-                       likeness(own, hashes(F.col("changed"))).alias("near_edited"),
-                       likeness(own, F.col("next_hashes")).alias("near_next"))
+    kept, added = F.substring("text", F.lit(1), size - quarter), F.substring("next", F.lit(1), quarter)
+    rows = base.join(heads, "key")
+    first = [F.when(F.col("key") != "", F.substring("key", F.lit(2), F.length("key")).cast(docs.schema[id].dataType)).alias(id),
+             size.cast("long").alias("n_chars"), F.sha2(F.concat(kept, added), 256).alias("edited_sha256")]
+    if select is winnow_bytes:
+        rows = both_byte_fingerprints(rows, F.col("text"), F.substring("text", size - quarter + 1, quarter), added)
+        rows = rows.select(*first, "own", "changed", hashes(select(F.col("next"))).alias("next_hashes"))
+    else:
+        rows = (rows.select(*first, F.concat(kept, added).alias("edited"), select(F.col("text")).alias("own"),
+                            hashes(select(F.col("next"))).alias("next_hashes"))
+                .withColumn("changed", select(F.col("edited"))))
+    rows = rows.withColumn("own_hashes", hashes(F.col("own")))
+    return rows.select(id, "n_chars", "edited_sha256", as_text(F.col("own")).alias("fingerprint"),
+                       as_text(F.col("changed")).alias("edited_fingerprint"),
+                       likeness(F.col("own_hashes"), hashes(F.col("changed"))).alias("near_edited"),
+                       likeness(F.col("own_hashes"), F.col("next_hashes")).alias("near_next"))
 
 
 def op2_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -149,3 +149,16 @@ def test_short_and_unspaced_texts_stay_alike(spark, tmp_path):
     found = {r["doc_id"]: r for r in op2_winnow(spark, str(tmp_path)).collect()}
     assert all(found[i]["near_edited"] > 0 for i in range(7)) and all(found[i]["near_next"] > 0 for i in range(3))
     assert all(len(found[i]["fingerprint"].split()) > 20 for i in (4, 5, 6))
+
+
+def test_shared_grams_change_nothing(spark):
+    """Texts of every length with every cut: the edited text's fingerprint is that of the text written out."""
+    from pyspark.sql import functions as F
+
+    from statloom.llm.fingerprints import both_byte_fingerprints, winnow_bytes
+    texts = ["", " ", "a", "ab cd", "abcdef", "The quick brown fox jumps", "aaaaaaaaaaaaaaaaaaaa", "ü😀 Ä b c d e f", "x" * 11, "y z" * 9]
+    rows = [(t, t[:len(t) - cut], t[len(t) - cut:], more) for t in texts for cut in range(len(t) + 1) for more in ("", " ", "Q", "new Text", "aaaaaaa")]
+    df = spark.createDataFrame(rows, "text string, kept string, dropped string, added string")
+    found = both_byte_fingerprints(df, F.col("text"), F.col("dropped"), F.col("added"))
+    wrong = found.where((F.col("own") != winnow_bytes(F.col("text"))) | (F.col("changed") != winnow_bytes(F.concat("kept", "added"))))
+    assert wrong.isEmpty() and found.count() == len(rows)
