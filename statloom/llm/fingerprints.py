@@ -86,7 +86,7 @@ def winnow_bytes(text: Column, gram: int = BYTES, window: int = SPAN) -> Column:
 def both_byte_fingerprints(rows: DataFrame, text: Column, dropped: Column, added: Column, gram: int = BYTES,
                            window: int = SPAN) -> DataFrame:
     """``rows`` with ``own`` and ``changed``: the ``winnow_bytes`` of a text, and of the same text with its end ``dropped``
-    replaced by ``added``.
+    replaced by ``added``; the first ``same`` entries of both are equal.
 
     K-grams and windows that lie in the bytes both have in common are taken from the one to the other; only those that
     reach into what was added are made anew.
@@ -104,9 +104,9 @@ def both_byte_fingerprints(rows: DataFrame, text: Column, dropped: Column, added
     open_ = F.slice(grams, whole_windows + 1, shared - whole_windows)  # k-grams whose windows reach further
     rows = rows.withColumn("_open", F.concat(open_, fresh))
     more = F.when((whole_windows > 0) & (F.size("_open") < window), none).otherwise(window_minima(F.col("_open"), window))
-    changed = F.concat(F.slice(minima, F.lit(1), whole_windows), more)
-    return (rows.withColumns({"own": F.array_distinct(minima), "changed": F.array_distinct(changed)})
-            .drop("_bytes", "_added", "_dropped", "_grams", "_kept", "_minima", "_shared", "_rest", "_open"))
+    rows = rows.withColumn("_same", F.array_distinct(F.slice(minima, F.lit(1), whole_windows)))
+    return (rows.withColumns({"own": F.array_distinct(minima), "changed": F.array_distinct(F.concat("_same", more)), "same": F.size("_same")})
+            .drop("_bytes", "_added", "_dropped", "_grams", "_kept", "_minima", "_shared", "_rest", "_open", "_same"))
 
 
 def hashes(selected: Column) -> Column:
@@ -118,11 +118,15 @@ def positions(selected: Column) -> Column:
     return F.transform(selected, lambda x: (F.lit(POSITION) - x.bitwiseAND(F.lit(POSITION))).cast("int"))
 
 
-def as_text(selected: Column) -> Column:
-    """``hash@position`` in order of position, with 8 hexadecimal digits of hash."""
-    return F.array_join(F.transform(selected, lambda x: F.concat(
-        F.lpad(F.lower(F.hex(F.shiftright(x, 31))), 8, "0"), F.lit("@"),
-        F.lit(POSITION) - x.bitwiseAND(F.lit(POSITION)))), " ")
+def written(selected: Column) -> Column:
+    """Each selected k-gram as ``HASH@position``, with 8 hexadecimal digits of hash."""
+    return F.transform(selected, lambda x: F.concat(
+        F.lpad(F.hex(F.shiftright(x, 31)), 8, "0"), F.lit("@"), F.lit(POSITION) - x.bitwiseAND(F.lit(POSITION))))
+
+
+def as_text(parts: Column) -> Column:
+    """What ``written`` gives, in order of position and small letters."""
+    return F.lower(F.array_join(parts, " "))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -198,14 +202,15 @@ def edited_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text",
              size.cast("long").alias("n_chars"), F.sha2(F.concat(kept, added), 256).alias("edited_sha256")]
     if select is winnow_bytes:
         rows = both_byte_fingerprints(rows, F.col("text"), F.substring("text", size - quarter + 1, quarter), added)
-        rows = rows.select(*first, "own", "changed", hashes(select(F.col("next"))).alias("next_hashes"))
+        rows = rows.select(*first, "own", "changed", "same", hashes(select(F.col("next"))).alias("next_hashes"))
     else:
         rows = (rows.select(*first, F.concat(kept, added).alias("edited"), select(F.col("text")).alias("own"),
                             hashes(select(F.col("next"))).alias("next_hashes"))
-                .withColumn("changed", select(F.col("edited"))))
-    rows = rows.withColumn("own_hashes", hashes(F.col("own")))
-    return rows.select(id, "n_chars", "edited_sha256", as_text(F.col("own")).alias("fingerprint"),
-                       as_text(F.col("changed")).alias("edited_fingerprint"),
+                .withColumns({"changed": select(F.col("edited")), "same": F.lit(0)}))
+    rows = rows.withColumns({"own_hashes": hashes(F.col("own")), "own_written": written(F.col("own"))})
+    more = written(F.slice("changed", F.col("same") + 1, F.size("changed")))
+    return rows.select(id, "n_chars", "edited_sha256", as_text(F.col("own_written")).alias("fingerprint"),
+                       as_text(F.concat(F.slice("own_written", F.lit(1), F.col("same")), more)).alias("edited_fingerprint"),
                        likeness(F.col("own_hashes"), hashes(F.col("changed"))).alias("near_edited"),
                        likeness(F.col("own_hashes"), F.col("next_hashes")).alias("near_next"))
 
