@@ -50,6 +50,17 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
 
 
+def no_key_twice(df: DataFrame, key: str) -> Column:
+    """True, or an error when it is computed, should a key be held by more than one row.
+
+    A subquery of one row inside the plan: nothing runs before the action, and other filters still reach the scan.
+    """
+    twice = duplicate_keys(df, [key]).agg(F.count(F.lit(1)).alias("keys"), F.min(col(key)).alias("least"))
+    text = F.concat(F.lit(f"{key} is not unique: "), F.col("least").cast("string").substr(1, 100), F.lit(" ..."))
+    return twice.select(F.when(F.col("keys") == 0, F.lit(True)).otherwise(
+        F.raise_error(F.coalesce(text, F.lit(f"{key} is not unique: null"))).cast("boolean"))).scalar()
+
+
 def keep_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the one that is largest by ``order``, ties settled by the other columns.
 
@@ -81,7 +92,8 @@ def _unordered(kind: T.DataType) -> bool:
 class Detail:
     """A table to be joined to the base, and what to do when its key is not unique.
 
-    ``unique``: "raise" checks and fails, "latest" keeps the largest row by ``order``, "trust" does neither.
+    ``unique``: "raise" fails when rows are read and a key comes twice, "latest" keeps the largest row by ``order``,
+    "trust" does neither.
     """
 
     table: DataFrame
@@ -96,10 +108,7 @@ class Detail:
         if self.unique == "latest":
             return keep_latest(self.table, [self.detail_key], list(self.order))
         if self.unique == "raise":
-            twice = duplicate_keys(self.table, [self.detail_key]).limit(3).collect()
-            if twice:
-                raise ValueError(f"{self.detail_key} is not unique: {[r[0] for r in twice]}, ...")
-            return self.table
+            return self.table.where(no_key_twice(self.table, self.detail_key))
         raise ValueError(f"unique must be 'raise', 'latest' or 'trust', not {self.unique!r}")
 
 

@@ -46,8 +46,8 @@ def test_wide_join_keeps_base_rows(base, detail):
 def test_duplicate_detail_keys(spark, base, detail):
     twice = detail.unionByName(spark.createDataFrame([(1, 11)], "key int, size int"))
     assert rows(duplicate_keys(twice, ["key"])) == [(1, 2)]
-    with pytest.raises(ValueError, match="not unique"):
-        wide_join(base, [Detail(twice, "id", "key")])
+    with pytest.raises(Exception, match="not unique: 1"):
+        wide_join(base, [Detail(twice, "id", "key")]).collect()
     latest = wide_join(base, [Detail(twice, "id", "key", "latest", ("size",))])
     assert rows(latest.filter("id = 1").select("size")) == [(11,)]
     assert wide_join(base, [Detail(twice, "id", "key", "trust")]).count() == 5
