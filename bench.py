@@ -19,7 +19,7 @@ from statloom.session import build_session  # noqa: E402
 HEADLINE = ["wide_prepare", "pair_covariance", "pair_correlation", "correlation_report_large", "wide_covariance",
             "ols_lines", "ols_t_tests", "partial_f", "leverage", "best_subset_lines", "pca_embeddings", "cv_grid",
             "predict_evaluate", "evaluate_by_slice", "linear_metrics", "least_squares_metrics", "tree_metrics",
-            "forest_metrics", "gbt_metrics", "forest_importance", "kmeans_profile", "kmeans_assign", "kmeans_cost", "gmm_components",
+            "forest_metrics", "gbt_metrics", "forest_importance", "kmeans_profile", "kmeans_assign", "kmeans_cost", "kmeans_elbow", "gmm_components",
             "keyed_upsert", "keyed_stored", "csv_external_roundtrip", "parquet_roundtrip"]
 SLOW = {"gbt_metrics", "kmeans_assign", "kmeans_cost", "gmm_components", "kmeans_profile", "forest_metrics", "forest_importance"}
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from statloom.catalogue.common import NET, Query, fit_sql, lines, r, rounded, table, train_sql
 from statloom.operators.cluster import Clustering, elbow
 from statloom.operators.features import vectors_from_array
+from statloom.operators.lloyd import fit_centres
 from statloom.operators.mixture import Mixture
 from statloom.operators.moments import column_moments
 from statloom.operators.split import portable_key, stable_layout
@@ -124,7 +125,7 @@ def _kmeans_totals(spark, folder):
 
 
 def _kmeans_centres(spark, folder):
-    return Clustering.fit(_slice(spark, folder), GROUPED, 10, center=False).centres(spark)
+    return fit_centres(_keyed_slice(spark, folder), GROUPED, [10], LINE_KEY, center=False).centres(spark)
 
 
 def _from_centres(spark, found, rows):
@@ -176,8 +177,53 @@ def _kmeans_exact(spark, folder):
                     F.lit(round(found.cost, 9) + 0.0).alias("cost")))
 
 
+LINE_KEY = ["l_orderkey", "l_linenumber"]
+# Starts in the units of the columns, k times (quantity, discount, tax), and moves of the compared fits.
+FIXED_STARTS = {2: [(10, 0.02, 0.02), (40, 0.08, 0.06)],
+                5: [(5, 0.01, 0.07), (15, 0.09, 0.01), (25, 0.05, 0.04), (35, 0.02, 0.02), (45, 0.08, 0.06)]}
+FIXED_MOVES = 5
+
+
+def _keyed_slice(spark, folder):
+    return slice_of(table(spark, folder, "lineitem", *GROUPED, *LINE_KEY, *SLICE), SLICE)
+
+
+def _sweep_fixed(spark, folder):
+    """Centres, sizes and costs of two fits that share their passes, from given starts."""
+    fits = fit_centres(_keyed_slice(spark, folder), GROUPED, list(FIXED_STARTS), starts=FIXED_STARTS,
+                       max_iter=FIXED_MOVES, tol=0.0)
+    wide = fits.centres(spark).groupBy("k", "cluster", "rows").pivot("feature", GROUPED).agg(F.first("value"))
+    return rounded(wide.join(fits.costs(spark), "k"), {**dict.fromkeys(GROUPED, 6), "cost": 4})
+
+
+def _sweep_assign(spark, folder):
+    """The cluster of every line under the larger of the two fits."""
+    rows = _keyed_slice(spark, folder)
+    fits = fit_centres(rows, GROUPED, list(FIXED_STARTS), starts=FIXED_STARTS, max_iter=FIXED_MOVES, tol=0.0)
+    return fits.assign(rows, 5).select(*LINE_KEY, "cluster")
+
+
 def _elbow(spark, folder):
-    return elbow(_slice(spark, folder), GROUPED)
+    return elbow(_keyed_slice(spark, folder), GROUPED, keys=LINE_KEY)
+
+
+def _sweep_costs(spark, folder):
+    """The whole sweep from drawn starts, against the costs of its own centres measured by SQL functions alone."""
+    rows = _keyed_slice(spark, folder)
+    fits = fit_centres(rows, GROUPED, [5, 10, 20, 40], LINE_KEY)
+    stats = column_moments(rows, GROUPED)
+    scaled = [((F.col(c) - F.lit(stats[c][1])) / F.lit(stats[c][2])).alias(c) for c in GROUPED]
+    points = rows.groupBy(*scaled).agg(F.count(F.lit(1)).alias("n"))
+    listed = (fits.centres(spark).groupBy("k", "cluster").pivot("feature", GROUPED).agg(F.first("value"))
+              .groupBy("k").agg(F.collect_list(F.struct(*GROUPED)).alias("centres")))
+    by_k = {r["k"]: r["centres"] for r in listed.collect()}
+    nearest = {k: F.array_min(F.transform(
+        F.array(*[F.struct(*[F.lit(c[f]).alias(f) for f in GROUPED]) for c in centres]),
+        lambda c: sum((F.pow(F.col(f) - c[f], 2) for f in GROUPED), F.lit(0.0)))) for k, centres in by_k.items()}
+    again = points.agg(F.sum("n").alias("rows"), *[F.sum(d * F.col("n")).alias(f"c{k}") for k, d in nearest.items()])
+    same = [F.struct(F.lit(k).alias("k"), (F.abs(F.col(f"c{k}") / F.lit(fits.cost[k]) - 1) < 1e-9).alias("agrees"))
+            for k in by_k]
+    return again.select("rows", F.explode(F.array(*same)).alias("e")).select("rows", "e.*")
 
 
 def _elbow_embeddings(spark, folder):
@@ -265,6 +311,7 @@ def _study(spark, folder):
 # -- SQL -------------------------------------------------------------------------------------------------------
 
 _SLICED = "lineitem WHERE l_returnflag = 'N' AND l_linestatus = 'O'"
+_SLICED_K = "lineitem, (VALUES (5), (10), (20), (40)) AS v(k) WHERE l_returnflag = 'N' AND l_linestatus = 'O'"
 _ORDERS = f"(SELECT l_orderkey, sum({NET}) AS net FROM lineitem GROUP BY l_orderkey)"
 
 _TOTALS = f"""(SELECT l_orderkey, sum({NET}) AS net, sum(l_extendedprice) AS price, avg(l_discount) AS discount,
@@ -297,6 +344,36 @@ _ROOT = f"rows AS (SELECT {', '.join(GROUPED)}, {NET} AS net FROM lineitem), " +
 _TWO_LEVELS = f"""WITH {_ROOT}, {_best_split('b', 'a', 'net', 'a_side')}
     SELECT {r('b_p', 3, 'prediction')}, CAST(count(*) AS BIGINT) AS rows FROM b GROUP BY 1"""
 
+
+
+def _fixed_fits() -> str:
+    """CTEs: scaled points with their counts, then assignment and centres in turn; ``end_a`` holds the last assignment."""
+    values = ", ".join(f"({k}, {i}, {', '.join(f'{v}::DOUBLE' for v in start)})" for k, starts in FIXED_STARTS.items()
+                       for i, start in enumerate(starts))
+    z = {c: f"({c} - m_{c}) / s_{c}" for c in GROUPED}
+    apart = " + ".join(f"(p.{c} - c.{c}) * (p.{c} - c.{c})" for c in GROUPED)
+    listed = ", ".join(GROUPED)
+
+    def assigned(name: str, centres: str) -> str:
+        return f"""{name} AS (SELECT c.k, {', '.join('p.' + c for c in GROUPED)}, any_value(p.n) AS n, min({apart}) AS d,
+        arg_min(c.cluster, struct_pack(d := round({apart}, 9), c := c.cluster)) AS cluster
+        FROM points p, {centres} c GROUP BY c.k, {', '.join('p.' + c for c in GROUPED)})"""
+
+    steps = ["stats AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in GROUPED)
+             + f" FROM {_SLICED})",
+             "points AS (SELECT " + ", ".join(f"{z[c]} AS {c}" for c in GROUPED) + ", count(*)::DOUBLE AS n FROM "
+             f"(SELECT * FROM {_SLICED}), stats GROUP BY 1, 2, 3)",
+             f"c0 AS (SELECT k, cluster, {', '.join(f'{z[c]} AS {c}' for c in GROUPED)} FROM (VALUES {values}) "
+             f"AS v(k, cluster, {listed}), stats)"]
+    for i in range(FIXED_MOVES):
+        steps += [assigned(f"a{i}", f"c{i}"), f"""c{i + 1} AS (SELECT o.k, o.cluster, """ + ", ".join(
+            f"coalesce(any_value(m.{c}), any_value(o.{c})) AS {c}" for c in GROUPED) + f""" FROM c{i} o LEFT JOIN
+            (SELECT k, cluster, {', '.join(f'sum(n * {c}) / sum(n) AS {c}' for c in GROUPED)} FROM a{i} GROUP BY 1, 2) m
+            ON o.k = m.k AND o.cluster = m.cluster GROUP BY 1, 2)"""]
+    steps.append(assigned("end_a", f"c{FIXED_MOVES}"))
+    return "WITH " + ", ".join(steps)
+
+
 QUERIES: dict[str, Query] = {
     "linear_metrics": (_linear_metrics, _LINEAR_METRICS),
     "least_squares_metrics": (_least_squares_metrics, _LINEAR_METRICS),
@@ -335,6 +412,17 @@ QUERIES: dict[str, Query] = {
         FROM lineitem GROUP BY l_tax"""),
     "gmm_responsibilities": (_gmm_responsibilities, f"SELECT l_orderkey, l_linenumber, true AS agrees FROM {_SLICED}"),
     "kmeans_elbow": (_elbow, None),
+    "kmeans_sweep_fixed": (_sweep_fixed, f"""{_fixed_fits()}
+        SELECT c.k::INTEGER AS k, c.cluster::INTEGER AS cluster, coalesce(sum(a.n), 0)::BIGINT AS rows,
+               {', '.join(f'round(any_value(c.{c}), 6) AS {c}' for c in GROUPED)}, any_value(round(t.cost, 4)) AS cost
+        FROM c{FIXED_MOVES} c LEFT JOIN end_a a ON a.k = c.k AND a.cluster = c.cluster
+        JOIN (SELECT k, sum(n * d) AS cost FROM end_a GROUP BY k) t ON t.k = c.k GROUP BY c.k, c.cluster"""),
+    "kmeans_sweep_assign": (_sweep_assign, f"""{_fixed_fits()}
+        SELECT l_orderkey, l_linenumber, a.cluster::INTEGER AS cluster
+        FROM (SELECT * FROM {_SLICED}) l, stats JOIN end_a a ON a.k = 5 AND {' AND '.join(
+            f'a.{c} = (l.{c} - m_{c}) / s_{c}' for c in GROUPED)}"""),
+    "kmeans_sweep_costs": (_sweep_costs, f"""
+        SELECT CAST(count(*) AS BIGINT) AS rows, k, true AS agrees FROM {_SLICED_K} GROUP BY k"""),
     "kmeans_elbow_embeddings": (_elbow_embeddings, None),
     "array_vectors": (_array_vectors, f"""
         SELECT vec_id, CAST(len(embedding) AS INTEGER) AS length,

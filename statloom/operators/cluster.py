@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import vector_to_array
@@ -17,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statloom.functions.columns import col
-from statloom.operators.features import feature_stages, fit_stages
+from statloom.operators.features import feature_stages
+from statloom.operators.lloyd import fit_centres
 from statloom.operators.moments import complete_rows
 from statloom.operators.split import SEED
 from statloom.sources.tables import literal_rows
@@ -44,11 +43,11 @@ def squared_distances(features: str, centres: Sequence[np.ndarray]) -> Column:
     return distances(vector_to_array(F.col(features)))
 
 
-def total_cost(scaled: DataFrame, features: str, centres: Sequence[np.ndarray], weight: Column | None = None) -> float:
+def total_cost(scaled: DataFrame, features: str, centres: Sequence[np.ndarray]) -> float:
     """Sum of the squared distances to the nearest centre. What k-means reports belongs to the centres before their
     last move, so it is measured anew."""
     nearest = F.array_min(squared_distances(features, centres))
-    total = scaled.select((nearest if weight is None else nearest * weight).alias("d")).agg(F.sum("d")).first()[0]
+    total = scaled.select(nearest.alias("d")).agg(F.sum("d")).first()[0]
     return float(total or 0.0)
 
 
@@ -101,34 +100,13 @@ def cluster_profile(assigned: DataFrame, row_id: str, features: Sequence[str], c
 
 
 def elbow(df: DataFrame, predictors: Sequence[str], ks: Sequence[int] = SWEEP, center: bool = True,
-          seed: int = SEED, max_iter: int = MAX_ITER, tol: float = TOLERANCE, parallelism: int = 4,
-          merge_equal_rows: bool = False) -> DataFrame:
-    """``k, cost`` for every k. The columns are read and their scale is fitted once for all k.
+          seed: int = SEED, max_iter: int = MAX_ITER, tol: float = TOLERANCE, merge_equal_rows: bool = False,
+          keys: Sequence[str] | None = None) -> DataFrame:
+    """``k, cost`` for every k, all fitted in the same passes over the rows; see ``fit_centres``.
 
-    What is kept are the plain columns; each fit keeps its own vectors while it iterates.
-
-    ``merge_equal_rows`` replaces equal vectors by one weighted row. The cost is defined alike, and columns with
+    ``merge_equal_rows`` replaces equal rows by one weighted row. The cost is defined alike, and columns with
     few distinct values shrink to a small table; leave it off for continuous columns.
     """
-    rows = complete_rows(df, predictors).select(*[col(p) for p in predictors])
-    stages, features = feature_stages(predictors, "z" if center else "sd")
-    weight = {}
-    if not merge_equal_rows:
-        rows.persist(StorageLevel.MEMORY_AND_DISK)
-    scaler = fit_stages(rows, stages)
-    if merge_equal_rows:
-        rows = rows.groupBy(*[col(p) for p in predictors]).agg(F.count(F.lit(1)).cast("double").alias("__weight"))
-        weight = {"weightCol": "__weight"}
-        rows.persist(StorageLevel.MEMORY_AND_DISK)
-    scaled = scaler.transform(rows).select(features, *weight.values())
-
-    def cost(k: int) -> tuple[int, float]:
-        model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol=features, **weight).fit(scaled)
-        return k, total_cost(scaled, features, model.clusterCenters(), F.col("__weight") if weight else None)
-
-    try:
-        with ThreadPool(max(1, min(parallelism, len(ks)))) as pool:
-            found = pool.map(inheritable_thread_target(df.sparkSession)(cost), list(ks), chunksize=1)
-    finally:
-        rows.unpersist()
-    return literal_rows(df.sparkSession, found, "k int, cost double")
+    fits = fit_centres(df, predictors, ks, keys, center, seed=seed, max_iter=max_iter, tol=tol,
+                       merge_equal_rows=merge_equal_rows)
+    return fits.costs(df.sparkSession)

@@ -8,6 +8,7 @@ from statloom.operators.cluster import Clustering, cluster_profile, elbow
 from statloom.operators.features import feature_stages, fit_stages, normalize_l1, standardize
 from statloom.operators.linear import (ElasticNet, coefficient_summary, cross_validate, fit_linear, grid_report,
                                        linear_stage, moment_grid_search, parameter_docs, training_summary)
+from statloom.operators.lloyd import fit_centres
 from statloom.operators.mixture import Mixture
 from statloom.operators.moments import collect_moments
 from statloom.operators.ols import LeastSquares
@@ -207,6 +208,60 @@ def test_elbow(spark, data):
     assert uncentred.cost == pytest.approx(Clustering.fit(data, GROUPED, 4).cost, rel=0.1)
 
 
+def lloyd(x, centres, most, tol=1e-5):
+    """Plain k-means from given starts."""
+    for _ in range(most):
+        own = ((x[:, None] - centres) ** 2).sum(2).round(9).argmin(1)
+        new = np.array([x[own == c].mean(0) if (own == c).any() else centres[c] for c in range(len(centres))])
+        done = ((new - centres) ** 2).sum(1).max() <= tol ** 2
+        centres = new
+        if done:
+            break
+    return centres, ((x[:, None] - centres) ** 2).sum(2).min(1).sum()
+
+
+def test_fits_in_shared_passes(data):
+    values = np.array(data.select(*GROUPED).collect(), float)
+    z = (values - values.mean(0)) / values.std(0, ddof=1)
+    starts = {k: values[:: len(values) // k][:k] for k in (1, 3, 7)}
+    fits = fit_centres(data, GROUPED, [1, 3, 7], starts=starts, max_iter=12)
+    for k, first in starts.items():
+        centres, cost = lloyd(z, (first - values.mean(0)) / values.std(0, ddof=1), 12)
+        assert fits.fitted[k] == pytest.approx(centres, abs=1e-8) and fits.cost[k] == pytest.approx(cost, rel=1e-9)
+    assert fits.sizes[7].sum() == len(values) and fits.moves[1] == 2
+    one = fit_centres(data, GROUPED, [3], starts=starts, max_iter=12)
+    assert np.array_equal(one.fitted[3], fits.fitted[3])
+    moved = fit_centres(data, GROUPED, [3], starts=starts, max_iter=12, center=False)
+    assert moved.cost[3] == pytest.approx(fits.cost[3])
+    assert {r["feature"]: r["value"] for r in moved.centres(data.sparkSession).filter("cluster = 0").collect()} == (
+        pytest.approx(dict(zip(GROUPED, fits.fitted[3][0] + values.mean(0) / values.std(0, ddof=1)))))
+
+
+def test_starts_do_not_depend_on_the_layout(data):
+    keys = ["l_orderkey", "l_linenumber"]
+    found = [fit_centres(data.repartition(n), GROUPED, [4, 9], keys) for n in (3, 17)]
+    for k in (4, 9):
+        assert np.array_equal(found[0].fitted[k], found[1].fitted[k]) and found[0].moves[k] == found[1].moves[k]
+        assert len(np.unique(found[0].fitted[k], axis=0)) == k
+    assert not np.array_equal(fit_centres(data, GROUPED, [4], keys, seed=5).fitted[4], found[0].fitted[4])
+    own = [{(r["l_orderkey"], r["l_linenumber"]): r["cluster"] for r in f.assign(data, 9).collect()} for f in found]
+    assert own[0] == own[1] and set(own[0].values()) == set(range(9))
+    # As good as Spark's own fit, give or take a local optimum.
+    assert found[0].cost[9] < 1.15 * Clustering.fit(data, GROUPED, 9).cost
+
+
+def test_fits_of_few_rows(spark):
+    df = spark.createDataFrame([(1.0, 5.0), (1.0, 5.0), (3.0, 5.0), (None, 1.0)], "x double, y double")
+    fits = fit_centres(df, ["x", "y"], [1, 2, 6])
+    assert [len(fits.fitted[k]) for k in (1, 2, 6)] == [1, 2, 2]
+    assert fits.cost[2] == fits.cost[6] == pytest.approx(0, abs=1e-12)
+    assert fits.assign(df, 2).count() == 3
+    none = fit_centres(df.limit(0), ["x", "y"], [2])
+    assert none.cost == {2: 0.0} and none.centres(spark).count() == 0 and none.assign(df, 2).count() == 3
+    with pytest.raises(ValueError):
+        fit_centres(df, ["x", "y"], [0])
+
+
 def test_mixture(spark, data):
     found = Mixture.fit(data, ["l_extendedprice", *GROUPED], k=3, max_iter=10)
     components = found.components(spark).collect()
