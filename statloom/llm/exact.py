@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from statloom.catalogue.common import table
 from statloom.functions.columns import col
-from statloom.llm.text import staged, whole
+from statloom.llm.text import one_of_each, staged, unused, whole
 
 COUNTERS = 1024
 
@@ -83,12 +83,17 @@ def exact_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", keep:
 
 def exact_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", keep: str = "max",
                 counters: int = COUNTERS) -> DataFrame:
-    """The documents that stay, with all their columns; see ``exact_groups``."""
+    """The documents that stay, with all their columns, whatever their names; see ``exact_groups``.
+
+    Of rows with the same id and text (null is the empty text) that differ elsewhere, the one with the least hash of
+    its columns stays.
+    """
     groups = exact_groups(docs, id, text, keep, counters)
-    stays = groups.where("kept").select(col(id).alias("_stay_id"), F.col("digest").alias("_stay_digest"))
-    digest = F.unhex(F.sha2(whole(text), 256))
-    kept = docs.join(stays, (digest == F.col("_stay_digest")) & col(id).eqNullSafe(F.col("_stay_id")), "left_semi")
-    return kept.dropDuplicates([id, text])
+    stay_id, stay_digest, own_id, own = unused(docs, "stay_id", "stay_digest", "own_id", "own_digest")
+    stays = groups.where("kept").select(col(id).alias(stay_id), F.col("digest").alias(stay_digest))
+    named = docs.withColumns({own_id: col(id), own: F.unhex(F.sha2(whole(text), 256))})
+    at = (F.col(own) == F.col(stay_digest)) & F.col(own_id).eqNullSafe(F.col(stay_id))
+    return one_of_each(named.join(stays, at, "left_semi"), own_id, own)
 
 
 def op6_exact(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from statloom.catalogue.common import table
 from statloom.functions.columns import col
-from statloom.llm.text import SPACES, ascii_lower, staged, whole
+from statloom.llm.text import SPACES, ascii_lower, staged, unused, whole
 
 LEAST_CHARS, LEAST_DOCS = 10, 2
 
@@ -74,13 +74,14 @@ def line_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", least_ch
 
     Each text is moved once, to meet the positions it loses.
     """
+    gone_id, gone_seal, dropped, made = unused(docs, "gone_id", "gone_seal", "dropped", "made")
     gone = repeated_lines(docs, id, text, least_chars, least_docs).select(
-        F.col("id").alias("_gone_id"), F.col("seal").alias("_gone_seal"), F.col("dropped").alias("_dropped"))
-    at = col(id).eqNullSafe(F.col("_gone_id")) & (F.xxhash64(whole(text)) == F.col("_gone_seal"))
-    done = docs.join(gone, at, "left").withColumn("_done", _without(whole(text), F.col("_dropped")))
-    return (done.withColumns({text: F.col("_done.text"), "n_lines": F.col("_done.n_lines"),
-                              "n_dropped": F.col("_done.n_dropped")})
-            .drop("_gone_id", "_gone_seal", "_dropped", "_done"))
+        F.col("id").alias(gone_id), F.col("seal").alias(gone_seal), F.col("dropped").alias(dropped))
+    at = col(id).eqNullSafe(F.col(gone_id)) & (F.xxhash64(whole(text)) == F.col(gone_seal))
+    done = docs.join(gone, at, "left").withColumn(made, _without(whole(text), F.col(dropped)))
+    return (done.withColumns({text: F.col(made)["text"], "n_lines": F.col(made)["n_lines"],
+                              "n_dropped": F.col(made)["n_dropped"]})
+            .drop(gone_id, gone_seal, dropped, made))
 
 
 def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

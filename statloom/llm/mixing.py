@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from statloom.catalogue.common import table
 from statloom.functions.columns import col
-from statloom.llm.text import staged, whole, word_count
+from statloom.llm.text import staged, unused, whole, word_count
 
 WEIGHTS, SHARE, MOST_COPIES, SEED = (5.0, 2.0, 1.0), 1.0, 3, 17
 CELLS = 1 << 16  # of the histogram that finds where a source's sample ends
@@ -108,12 +108,13 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
         weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: int = MOST_COPIES,
         seed: int = SEED) -> DataFrame:
     """The mixed documents with the columns they had, each row as often as it is taken; see ``mix_counts``."""
+    mix_id, mix_seal, copies, copy = unused(docs, "mix_id", "mix_seal", "copies", "copy")
     counts = (mix_counts(docs, id, text, source, weights, share, most, seed).where("copies > 0")
-              .select(col(id).alias("_mix_id"), F.col("seal").alias("_mix_seal"), F.col("copies").alias("_copies"))
-              .dropDuplicates(["_mix_id", "_mix_seal"]))
-    at = col(id).eqNullSafe(F.col("_mix_id")) & (F.md5(whole(text)) == F.col("_mix_seal"))
-    return (docs.join(counts, at).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-            .drop("_mix_id", "_mix_seal", "_copies", "_copy"))
+              .select(col(id).alias(mix_id), F.col("seal").alias(mix_seal), F.col("copies").alias(copies))
+              .dropDuplicates([mix_id, mix_seal]))
+    at = col(id).eqNullSafe(F.col(mix_id)) & (F.md5(whole(text)) == F.col(mix_seal))
+    return (docs.join(counts, at).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
+            .drop(mix_id, mix_seal, copies, copy))
 
 
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

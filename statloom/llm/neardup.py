@@ -14,7 +14,7 @@ from statloom.catalogue.common import table
 from statloom.functions.columns import col
 from statloom.llm.components import components
 from statloom.llm.sketch import COORDINATES, Shingler, band_keys, sketches
-from statloom.llm.text import staged, whole
+from statloom.llm.text import one_of_each, staged, unused, whole
 
 WIDTH, PERCENT = 5, 80
 BAND_ROWS = 5  # 32 bands of 5 coordinates; see near_groups for what they miss
@@ -198,11 +198,16 @@ def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", width:
 
 def near_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = WIDTH,
                percent: int = PERCENT) -> DataFrame:
-    """The kept documents with all their columns; see ``near_groups``. Rows equal in id and text count once."""
+    """The kept documents with all their columns, whatever their names; see ``near_groups``.
+
+    Rows equal in id and text (null is the empty text) count once: the one with the least hash of its columns stays.
+    """
+    kept_id, kept_seal, own_id, own = unused(docs, "kept_id", "kept_seal", "own_id", "own_seal")
     kept = near_groups(docs, id, text, width, percent).where("kept").select(
-        col(id).alias("_kept_id"), F.col("seal").alias("_kept_seal"))
-    at = col(id).eqNullSafe(F.col("_kept_id")) & (F.xxhash64(whole(text)) == F.col("_kept_seal"))
-    return docs.join(kept, at, "left_semi").dropDuplicates([id, text])
+        col(id).alias(kept_id), F.col("seal").alias(kept_seal))
+    named = docs.withColumns({own_id: col(id), own: F.xxhash64(whole(text))})
+    at = F.col(own_id).eqNullSafe(F.col(kept_id)) & (F.col(own) == F.col(kept_seal))
+    return one_of_each(named.join(kept, at, "left_semi"), own_id, own)
 
 
 def op9_near(spark: SparkSession, sf_dir: str) -> DataFrame:

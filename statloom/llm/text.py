@@ -37,6 +37,26 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """For each name one that no column of the frame has, in any case, so that helper columns cannot clash."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+def one_of_each(df: DataFrame, *by: str) -> DataFrame:
+    """One row per value of the ``by`` columns, with all other columns: of different rows the one with the least hash of
+    all its columns, so that reruns agree. ``by`` is dropped. Maps cannot be hashed and do not count."""
+    others = [c for c in df.columns if c not in by]
+    hashable = [col(c) for c in others if "map<" not in dict(df.dtypes)[c]]
+    picked = F.min_by(F.struct(*[col(c) for c in others]), F.xxhash64(*hashable)).alias("picked")
+    return df.groupBy(*by).agg(picked).select("picked.*")
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value computed once per row, however often the body names it."""
     return F.transform(F.array(value), body)[0]

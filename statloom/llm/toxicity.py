@@ -111,8 +111,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text
     marked = staged(marked, "labels")
     share = min(1.0, sample / max(1, marked.count()))
     chosen = marked.where(F.pmod(F.xxhash64("_label_id"), F.lit(1 << 32)) < int(share * (1 << 32)))
-    found = docs.join(F.broadcast(chosen), col(id) == F.col("_label_id"))  # the bound makes the broadcast safe
-    return staged(found.groupBy(whole(text).alias("text")).agg(F.max("toxic").alias("toxic")), "sample")
+    texts = docs.select(col(id).alias("own_id"), whole(text).alias("text"))
+    found = texts.join(F.broadcast(chosen), F.col("own_id") == F.col("_label_id"))  # the bound makes the broadcast safe
+    return staged(found.groupBy("text").agg(F.max("toxic").alias("toxic")), "sample")
 
 
 def _entries(words: set[str]) -> set[str]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from statloom.catalogue.common import table
 from statloom.functions.columns import col
-from statloom.llm.text import ascii_lower, let, whole
+from statloom.llm.text import ascii_lower, let, unused, whole
 from statloom.sources.tables import literal_rows
 
 ALLOW, BLOCK = "allow", "block"
@@ -71,27 +71,27 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
              .withColumn("full", F.sha2(expression(F.col("rule_host"), F.col("rule_path")), 256))
              .withColumn("short", F.substring("full", 1, PREFIX_DIGITS)))
     lengths = sorted(r[0] for r in known.select(F.length("rule_path")).distinct().collect())
-    host, path = host_and_path(F.col("_url"))
-    urls = (pages.select(col(url).alias("_url")).distinct().select("_url", host.alias("_host"), path.alias("_path")))
-    asked = (urls.select("_url", F.explode(expressions(F.col("_host"), F.col("_path"), lengths)).alias("e"))
-             .select("_url", F.sha2(expression(F.col("e.h"), F.col("e.p")), 256).alias("asked"))
+    asked_url, best_rule, *made = unused(pages, "asked_url", "best_rule", "made_host", "made_path", "made_rule", "made_verdict")
+    host, path = host_and_path(F.col(asked_url))
+    urls = pages.select(col(url).alias(asked_url)).distinct().select(asked_url, host.alias("h"), path.alias("p"))
+    asked = (urls.select(asked_url, F.explode(expressions(F.col("h"), F.col("p"), lengths)).alias("e"))
+             .select(asked_url, F.sha2(expression(F.col("e.h"), F.col("e.p")), 256).alias("asked"))
              .withColumn("short", F.substring("asked", 1, PREFIX_DIGITS))) if lengths else None
     order = F.struct(F.length("rule_host") + F.length("rule_path"), F.length("rule_host"), "rule_verdict",
                      F.concat("rule_host", "rule_path").alias("rule"))
     new = ["host", "path", "rule", "verdict"]
-    kept = pages.drop(*[c for c in new if c in pages.columns and c != url])
     host, path = host_and_path(whole(url))
-    kept = kept.withColumns({"_host": host, "_path": path})
     if asked is None:
-        judged = kept.withColumns({"_rule": F.lit(None).cast("string"), "_verdict": F.lit(default)})
+        judged = pages.withColumns(dict(zip(made, [host, path, F.lit(None).cast("string"), F.lit(default)])))
     else:
         best = (asked.join(known, "short").where(F.col("asked") == F.col("full"))
-                .groupBy("_url").agg(F.max(order).alias("_best")))
-        judged = (kept.join(best, col(url).eqNullSafe(F.col("_url")), "left")
-                  .withColumns({"_rule": F.col("_best.rule"),
-                                "_verdict": F.coalesce(F.col("_best.rule_verdict"), F.lit(default))})
-                  .drop("_url", "_best"))
-    return judged.withColumnsRenamed({f"_{c}": c for c in new})
+                .groupBy(asked_url).agg(F.max(order).alias(best_rule)))
+        verdict = F.coalesce(F.col(best_rule)["rule_verdict"], F.lit(default))
+        judged = (pages.join(best, col(url).eqNullSafe(F.col(asked_url)), "left")
+                  .withColumns(dict(zip(made, [host, path, F.col(best_rule)["rule"], verdict])))
+                  .drop(asked_url, best_rule))
+    kept = [col(c) for c in pages.columns if c.lower() not in new]
+    return judged.select(*kept, *[F.col(m).alias(n) for m, n in zip(made, new)])
 
 
 def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,6 +13,10 @@ ROWS = [
     (8, "word " * 30_000, "c"), (9, "ünïcödé 😀 text " * 3, "a"),
 ]
 NAMES = "doc_id long, text string, source string"
+CLASHES = """id row digest size key n_lines bucket host seal label node toxic shard score weight words hits bytes place block
+gone_id gone_seal dropped made stay_id stay_digest own_id own_digest own_seal kept_id kept_seal mix_id mix_seal copies copy
+shard_id asked_url best_rule made_host made_path made_rule made_verdict picked _gone_id _dropped _done _stay_id _kept_id _mix_id
+_copies _copy _url _host _path _rule _verdict _best _shard_id _label_id""".split()
 
 
 @pytest.fixture(scope="session")
@@ -20,7 +24,7 @@ def odd(spark):
     """Odd rows, with extra columns that clash with names used inside."""
     from pyspark.sql import functions as F
     df = spark.createDataFrame(ROWS, NAMES)
-    return df.withColumns({c: F.lit("x") for c in ("id", "row", "digest", "size", "key", "n_lines", "bucket", "host")})
+    return df.withColumns({c: F.lit("x") for c in CLASHES})
 
 
 @pytest.fixture(scope="session")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .conftest import ROWS
 from statloom.llm.exact import exact_dedup, exact_groups, misra_gries
 from statloom.llm.lines import line_dedup
+from statloom.llm.neardup import near_dedup
 
 
 def test_misra_gries_keeps_every_frequent_key():
@@ -45,6 +46,15 @@ def test_exact_dedup(odd, none):
         exact_groups(odd, keep="first")
 
 
+def test_dedup_picks_the_marked_row(spark):
+    """Null is the empty text, also among rows of one id; of rows that differ elsewhere the same one stays each time."""
+    docs = spark.createDataFrame([(1, None, "a"), (1, "", "b"), (2, "long text", "c"), (2, "long text", "d")],
+                                 "doc_id long, text string, note string")
+    for dedup in (exact_dedup, near_dedup):
+        found = [sorted((r["doc_id"], r["note"]) for r in dedup(docs.repartition(n)).collect()) for n in (1, 2, 4)]
+        assert found[0] == found[1] == found[2] and [i for i, _ in found[0]] == [1, 2]
+
+
 def test_line_dedup(odd, none):
     holders = defaultdict(set)
     spaces = " \t\n\x0b\x0c\r"

@@ -2,6 +2,7 @@ import hashlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from statloom.llm.mixing import mix, mix_counts
 from statloom.llm.shards import hash_bits, shard_map, write_shards
@@ -45,15 +46,35 @@ def test_shards_empty_and_written(spark, none, odd, tmp_path):
         shard_map(odd, limit=0)
 
 
+def test_shards_read_back_by_name(spark, odd, tmp_path):
+    """Folder names stay text; a repeated id keeps each row once; a small table has one named shard."""
+    for limit in (100, 10 ** 9):
+        path = str(tmp_path / f"out{limit}")
+        write_shards(odd, path, limit=limit)
+        back = spark.read.parquet(path)
+        assert sorted(map(repr, (r["doc_id"] for r in back.collect()))) == sorted(repr(r[0]) for r in ROWS)
+        assert {r[0] for r in back.select("shard").distinct().collect()} == {
+            "s" + r["shard"] for r in shard_map(odd, limit=limit)[1].collect() if r["docs"]}
+        assert set(back.columns) == set(odd.columns)
+
+
+def test_judged_pages_with_clashing_names(spark, odd):
+    pages = odd.withColumn("url", F.lit("http://www.example.net/en/a"))
+    found = judge_urls(pages, rule_table(spark, RULES))
+    assert found.columns == [c for c in pages.columns if c != "host"] + ["host", "path", "rule", "verdict"]
+    assert {tuple(r) for r in found.select("host", "path", "rule", "verdict", "_host", "made_host").collect()} == {
+        ("www.example.net", "/en/a", "example.net/en/", "allow", "x", "x")}
+    assert found.count() == len(ROWS)
+
+
 def test_write_a_whole_table(spark, tmp_path):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     limit, path = 1 << 18, str(tmp_path / "out")
     write_shards(docs, path, limit=limit)
-    from pyspark.sql import functions as F
     back = spark.read.option("recursiveFileLookup", "true").parquet(path)
     assert back.columns == docs.columns and back.count() == docs.count()
     assert back.exceptAll(docs).isEmpty() and docs.exceptAll(back).isEmpty()
-    place = F.regexp_extract(F.input_file_name(), "/shard=([^/]*)/", 1)
+    place = F.regexp_extract(F.input_file_name(), "/shard=s([^/]*)/", 1)
     found = {(r["doc_id"], r["shard"]) for r in back.select("doc_id", place.alias("shard")).collect()}
     rows, leaves = shard_map(docs, limit=limit)
     placed = {(r["doc_id"], r["shard"]) for r in rows.collect()}
