@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from statloom.session import build_session  # noqa: E402
 
 HEADLINE = ["wide_prepare", "pair_covariance", "pair_correlation", "correlation_report_large", "wide_covariance",
-            "ols_lines", "ols_t_tests", "partial_f", "leverage", "best_subset_lines", "pca_embeddings", "cv_grid",
+            "ols_lines", "ols_t_tests", "partial_f", "leverage", "best_subset_lines", "best_subset_sweep", "ols_illconditioned", "pca_embeddings", "cv_grid",
             "predict_evaluate", "evaluate_by_slice", "linear_metrics", "least_squares_metrics", "tree_metrics",
             "forest_metrics", "gbt_metrics", "forest_importance", "kmeans_profile", "kmeans_assign", "kmeans_cost", "kmeans_elbow", "gmm_components",
             "keyed_upsert", "keyed_stored", "csv_external_roundtrip", "parquet_roundtrip"]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from math import comb
-
 from pyspark.sql import functions as F
 
 from statloom.catalogue.common import (LINE_PREDICTORS, NET, Query, fit_sql, lines, position_sql, r, rounded, table,
@@ -116,17 +114,29 @@ def _best_subset_lines(spark, folder):
     return rounded(ranked(found), {"r2": 8, "rmse": 4, "mae": 4})
 
 
-THIRTEEN = [f"e{i}" for i in range(13)]
+def _embedding_subsets(p):
+    """Every set of the first ``p`` entries of the embeddings, the next entry as target."""
+    def run(spark, folder):
+        df = table(spark, folder, "embeddings", "vec_id", "embedding")
+        df = df.select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(p + 1)])
+        return rounded(best_subset(df, f"e{p}", [f"e{i}" for i in range(p)], portable_key("vec_id")), SUBSET_DIGITS)
+    return run
+
+
+DAY, MIDDLE, UNIT = "1600-01-01", 145_000, 1_000  # for the cubic trend: first day, and origin and unit of the SQL
 
 
-def _best_subset_wide(spark, folder):
-    """Thirteen predictors: all 8,191 sets, each with its size, and the metrics of the largest one."""
-    df = table(spark, folder, "embeddings", "vec_id", "embedding")
-    df = df.select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(n) for i, n in enumerate(THIRTEEN)],
-                   F.get("embedding", F.lit(13)).cast("double").alias("target"))
-    found = best_subset(df, "target", THIRTEEN, portable_key("vec_id"))
-    best = F.when(F.col("num_preds") == 13, F.col("r2"))
-    return found.groupBy("num_preds").agg(F.count(F.lit(1)).alias("sets"), F.round(F.max(best), 8).alias("r2"))
+def _ols_illconditioned(spark, folder):
+    """A cubic trend in days since 1600: the three powers have a condition of about a million."""
+    df = table(spark, folder, "lineitem", "l_shipdate", "l_extendedprice")
+    days = F.date_diff(F.col("l_shipdate").cast("date"), F.lit(DAY).cast("date")).cast("double")
+    df = df.select("l_extendedprice", days.alias("d1"), (days * days).alias("d2"), (days * days * days).alias("d3"))
+    found = LeastSquares.fit(df, "l_extendedprice", ["d1", "d2", "d3"], method="qr").t_tests(spark)
+    power = F.substring("term", 2, 1).cast("int")
+    scale = F.pow(F.lit(float(UNIT)), power) / F.pow(F.lit(MIDDLE / UNIT), F.lit(3) - power)
+    found = found.filter("term like 'd%'").select("term", (F.col("estimate") * scale).alias("estimate"),
+                                                   (F.col("std_error") * scale).alias("std_error"), "t_value")
+    return rounded(found, {"estimate": 4, "std_error": 4, "t_value": 6})
 
 
 def _best_subset_collinear(spark, folder):
@@ -312,13 +322,64 @@ def _ols_lines_sql() -> str:
                round((syy - sse) / 4 / (sse / (n - 5)), 2) AS f_value, 'Reject Null Hyp' AS significance FROM e"""
 
 
-def _wide_subset() -> str:
-    names = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS {n}" for i, n in enumerate([*THIRTEEN, "target"]))
-    text, name = fit_sql("w", "rows", "target", THIRTEEN)
-    sizes = ", ".join(f"({k}::DOUBLE, {comb(13, k)}::BIGINT)" for k in range(1, 14))
-    return f"""WITH rows AS (SELECT vec_id, {names}, {train_sql('vec_id')} AS train FROM embeddings), {text}
-        SELECT num_preds, sets, CASE WHEN num_preds = 13 THEN r2 END AS r2 FROM (VALUES {sizes}) AS s(num_preds, sets),
-        (SELECT {r("1 - avg((target - w_p) * (target - w_p)) / var_pop(target)", 8, "r2")} FROM {name} WHERE NOT train)"""
+def _swept(source: str, values: list[str], limit: str) -> str:
+    """CTEs: ``swept(members, a)`` holds the covariance matrix of ``values`` (row by row in a list; the last is the
+    target) after sweeping the members, for every set of members that meets the condition ``limit`` of a step."""
+    q = len(values)
+    pairs = ", ".join(f"covar_pop({x}, {y})" for x in values for y in values)
+    i, k = f"((t - 1) // {q} + 1)", f"((t - 1) % {q} + 1)"
+
+    def at(i, k):
+        return f"a[({i} - 1) * {q} + {k}]"
+
+    return f"""
+swept AS (
+  SELECT 0 AS last, CAST([] AS BIGINT[]) AS members, (SELECT [{pairs}] FROM {source}) AS a
+  UNION ALL
+  SELECT j AS last, list_append(members, j), list_transform(a, lambda v, t: CASE
+      WHEN {i} = j AND {k} = j THEN -1 / v
+      WHEN {i} = j OR {k} = j THEN v / {at('j', 'j')}
+      ELSE v - {at(i, 'j')} * {at('j', k)} / {at('j', 'j')} END)
+  FROM swept, (SELECT unnest(range(1, {q})) AS j) WHERE j > last AND {limit})"""
+
+
+def _embedding_subsets_sql(p: int) -> str:
+    """Every set fitted by sweeps along a tree of sets, and measured on the rows."""
+    q = p + 1
+    values = [f"CAST(embedding[{i}] AS DOUBLE)" for i in range(1, q + 1)]
+    train = f"(SELECT * FROM embeddings WHERE {train_sql('vec_id')})"
+    return f"""WITH RECURSIVE {_swept(train, values, 'true')},
+        means AS (SELECT [{', '.join(f'avg({v})' for v in values)}] AS m FROM {train}),
+        fits AS (SELECT members, list_transform(range(1, {q + 1}), lambda i: CASE WHEN i = {q} THEN 1.0
+                   WHEN list_contains(members, i) THEN -a[i * {q}] ELSE 0.0 END)::DOUBLE[{q}] AS c
+                 FROM swept WHERE len(members) > 0),
+        held AS (SELECT [{', '.join(f'{v} - m[{i}]' for i, v in enumerate(values, 1))}]::DOUBLE[{q}] AS v
+                 FROM embeddings, means WHERE NOT {train_sql('vec_id')}),
+        total AS (SELECT count(*) AS n, var_pop(v[{q}]) AS spread FROM held),
+        errors AS (SELECT members, avg(pow(array_inner_product(c, v), 2)) AS square, avg(abs(array_inner_product(c, v))) AS mae
+                   FROM fits, held GROUP BY members)
+        SELECT row_number() OVER (ORDER BY len(members), members) - 1 AS id,
+            array_to_string(list_transform(members, lambda i: 'e' || (i - 1)), ', ') AS preds,
+            CAST(len(members) AS DOUBLE) AS num_preds, {r('1 - square / spread', 8, 'r2')}, {r('sqrt(square)', 7, 'rmse')},
+            {r('mae', 7, 'mae')} FROM errors, total"""
+
+
+def _ols_illconditioned_sql() -> str:
+    """The trend in u = (day - MIDDLE) / UNIT, whose powers are well conditioned, as a polynomial of the day."""
+    day = f"(date_diff('day', DATE '{DAY}', CAST(l_shipdate AS DATE)) - {MIDDLE}) / {UNIT}.0::DOUBLE"
+    c, powers = MIDDLE / UNIT, ["u", "u * u", "u * u * u"]
+    terms = [("d1", (1.0, -2 * c, 3 * c * c)), ("d2", (0.0, 1.0, -3 * c)), ("d3", (0.0, 0.0, 1.0))]
+    rows = []
+    for power, (name, g) in enumerate(terms, 1):
+        estimate = " + ".join(f"{x!r} * a[{4 * i}]" for i, x in enumerate(g, 1))
+        variance = " + ".join(f"{x * y!r} * -a[{4 * (i - 1) + k}]" for i, x in enumerate(g, 1) for k, y in enumerate(g, 1))
+        scale = f"pow({c!r}, {3 - power})"
+        rows.append(f"""SELECT '{name}' AS term, {r(f'({estimate}) / {scale}', 4, 'estimate')},
+            {r(f'sqrt(({variance}) * a[16] / (n - 4)) / {scale}', 4, 'std_error')},
+            {r(f'({estimate}) / sqrt(({variance}) * a[16] / (n - 4))', 6, 't_value')} FROM swept, counted WHERE len(members) = 3""")
+    return f"""WITH RECURSIVE days AS (SELECT {day} AS u, l_extendedprice FROM lineitem),
+        counted AS (SELECT count(*) AS n FROM days), {_swept('days', [*powers, 'l_extendedprice'], 'j = last + 1')}
+        """ + " UNION ALL ".join(rows)
 
 
 def _area(t: str) -> str:
@@ -410,7 +471,9 @@ QUERIES: dict[str, Query] = {
         UNION ALL SELECT 'rmse', * FROM subsets WHERE rmse = (SELECT min(rmse) FROM subsets)
         UNION ALL SELECT 'mae', * FROM subsets WHERE mae = (SELECT min(mae) FROM subsets)"""),
     "best_subset_lines": (_best_subset_lines, _line_subsets()),
-    "best_subset_wide": (_best_subset_wide, _wide_subset()),
+    "best_subset_wide": (_embedding_subsets(13), _embedding_subsets_sql(13)),
+    "best_subset_sweep": (_embedding_subsets(16), _embedding_subsets_sql(16)),
+    "ols_illconditioned": (_ols_illconditioned, _ols_illconditioned_sql()),
     "best_subset_collinear": (_best_subset_collinear, f"{_SUBSETS} " + " UNION ALL ".join(
         f"SELECT CAST({i} AS BIGINT) AS id, '{names}' AS preds, CAST({k} AS DOUBLE) AS num_preds, r2, rmse, mae FROM subsets "
         f"WHERE id = {same}" for i, names, k, same in (

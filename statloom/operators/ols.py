@@ -1,13 +1,14 @@
 """Least squares with its tests, from one pass of moments.
 
 No row reaches the driver and no n x n matrix is formed: with S the centred scatter of the predictors, the slopes
-solve S b = s_xy, and every sum of squares, F, t and partial F follows from S, s_xy and s_yy.
+solve S b = s_xy, and every sum of squares, F, t and partial F follows from S, s_xy and s_yy. For predictors that are
+nearly collinear, such as the powers of a date, ``method="qr"`` takes the same from a triangular factor of the rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 import numpy as np
@@ -18,11 +19,13 @@ from statloom.functions.columns import col
 from statloom.functions.products import row_products
 from statloom.functions.distributions import f_quantile, f_upper_p, t_quantile, t_two_sided_p
 from statloom.operators.association import KEEP, REJECT, UNDEFINED
+from statloom.operators.factor import Factor, collect_factor
 from statloom.operators.moments import Moments, collect_moments, complete_rows
 from statloom.sources.tables import literal_rows
 
 INTERCEPT = "(intercept)"
 SINGULAR = 1e-10  # smallest eigenvalue of the correlation matrix that still counts as independent predictors
+SINGULAR_FACTOR = 1e-11  # the same for the smallest singular value of a factor, the root of such an eigenvalue
 
 
 def solve_slopes(scatter: np.ndarray, cross: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -37,6 +40,16 @@ def solve_slopes(scatter: np.ndarray, cross: np.ndarray) -> tuple[np.ndarray, np
     return np.linalg.solve(correlation, cross / scale) / scale, inverse
 
 
+def factor_of_inverse(upper: np.ndarray) -> np.ndarray:
+    """F with F F' the inverse scatter, from the factor of the predictors; raises when they are collinear."""
+    scale = np.linalg.norm(upper, axis=0)
+    if not np.all(scale > 0):
+        raise ValueError("a predictor is constant")
+    if np.linalg.svd(upper / scale, compute_uv=False)[-1] < SINGULAR_FACTOR:
+        raise ValueError("the predictors are collinear")
+    return np.linalg.inv(upper / scale) / scale[:, None]
+
+
 @dataclass(frozen=True)
 class LeastSquares:
     """A fitted equation ``target = b0 + sum b_j x_j``."""
@@ -45,30 +58,45 @@ class LeastSquares:
     predictors: tuple[str, ...]
     moments: Moments
     residual_ss: float | None = None  # exact residual sum of squares where one was taken from the rows
+    upper: np.ndarray | None = None  # triangular factor of the predictors and, last, the target
 
     @classmethod
     def fit(cls, df: DataFrame, target: str, predictors: Sequence[str], on_null: str = "drop",
-            refine: bool = False) -> "LeastSquares":
+            refine: bool = False, method: str = "moments") -> "LeastSquares":
         """Fit on the complete rows. ``refine`` sums the squared residuals in a second pass, which keeps digits
-        when the fit is almost perfect."""
+        when the fit is almost perfect. ``method="qr"`` keeps them, in one pass, there and where predictors are nearly
+        collinear: up to a condition of 1e11 of the scaled columns, against 1e5 for moments."""
+        if method not in ("moments", "qr"):
+            raise ValueError(f"method must be 'moments' or 'qr', not {method!r}")
         predictors = tuple(predictors)
         if not predictors or target in predictors:
             raise ValueError("predictors must be given and must not hold the target")
         columns = (*predictors, target)
-        found = collect_moments(df, columns, on_null=on_null)
-        if None not in found:
-            raise ValueError("no complete row to fit")
-        model = cls.from_moments(found[None], target, predictors)
+        if method == "qr":
+            factor = collect_factor(df, columns, on_null)
+            if factor is None:
+                raise ValueError("no complete row to fit")
+            model = cls.from_factor(factor, target, predictors)
+        else:
+            found = collect_moments(df, columns, on_null=on_null)
+            if None not in found:
+                raise ValueError("no complete row to fit")
+            model = cls.from_moments(found[None], target, predictors)
         if refine:
             rows = complete_rows(df, columns, on_null)
             error = col(target).cast("double") - model.prediction
-            model = cls(target, predictors, model.moments, rows.agg(F.sum(error * error)).head()[0])
+            model = replace(model, residual_ss=rows.agg(F.sum(error * error)).head()[0])
         return model
 
     @classmethod
     def from_moments(cls, moments: Moments, target: str, predictors: Sequence[str]) -> "LeastSquares":
         return cls(target, tuple(predictors), moments)
 
+    @classmethod
+    def from_factor(cls, factor: Factor, target: str, predictors: Sequence[str]) -> "LeastSquares":
+        at = [factor.columns.index(c) for c in (*predictors, target)]
+        return cls(target, tuple(predictors), factor.moments, upper=np.linalg.qr(factor.upper[:, at], mode="r"))
+
     @property
     def n(self) -> int:
         return self.moments.n
@@ -81,9 +109,21 @@ class LeastSquares:
     def _solved(self) -> tuple[np.ndarray, np.ndarray]:
         if self.dof_error < 0:
             raise ValueError(f"{self.n} rows cannot fit {len(self.predictors) + 1} coefficients")
+        if self.upper is not None:
+            k = len(self.predictors)
+            inverse = self._inverse_factor
+            return inverse @ self.upper[:k, k], inverse @ inverse.T
         x, y = self.moments.at(self.predictors), self.moments.at([self.target])[0]
         return solve_slopes(self.moments.scatter[np.ix_(x, x)], self.moments.scatter[x, y])
 
+    @cached_property
+    def _inverse_factor(self) -> np.ndarray:
+        """F with F F' the inverse scatter of the predictors."""
+        if self.upper is None:
+            return np.linalg.cholesky(self._solved[1])
+        k = len(self.predictors)
+        return factor_of_inverse(self.upper[:k, :k])
+
     @property
     def slopes(self) -> np.ndarray:
         return self._solved[0]
@@ -105,12 +145,18 @@ class LeastSquares:
     def ss_regression(self) -> float:
         if self.residual_ss is not None:
             return self.ss_total - self.residual_ss
+        if self.upper is not None:
+            return float(np.sum(self.upper[:-1, -1] ** 2))
         x, y = self.moments.at(self.predictors), self.moments.at([self.target])[0]
         return float(self.slopes @ self.moments.scatter[x, y])
 
     @property
     def ss_error(self) -> float:
-        return self.residual_ss if self.residual_ss is not None else max(self.ss_total - self.ss_regression, 0.0)
+        if self.residual_ss is not None:
+            return self.residual_ss
+        if self.upper is not None:
+            return float(self.upper[-1, -1] ** 2)
+        return max(self.ss_total - self.ss_regression, 0.0)
 
     @property
     def ms_error(self) -> float:
@@ -196,7 +242,12 @@ class LeastSquares:
             at = [self.predictors.index(x) for x in dict.fromkeys(names)]
             # Extra sum of squares of the dropped terms, without the cancellation of a difference of two fits.
             slopes, inverse = self._solved
-            extra = float(slopes[at] @ np.linalg.solve(inverse[np.ix_(at, at)], slopes[at]))
+            if self.upper is not None:
+                kept = [i for i in range(len(slopes)) if i not in at]
+                turned = np.linalg.qr(self.upper[:, [*kept, *at, len(slopes)]], mode="r")
+                extra = float(np.sum(turned[len(kept):-1, -1] ** 2))
+            else:
+                extra = float(slopes[at] @ np.linalg.solve(inverse[np.ix_(at, at)], slopes[at]))
             r, dof = len(at), self.dof_error
             f = _divide(extra / r, self.ms_error)
             tested = dof > 0 and np.isfinite(f)
@@ -213,7 +264,7 @@ class LeastSquares:
 
     def leverage(self, df: DataFrame, name: str = "leverage") -> DataFrame:
         """Each row's diagonal entry of the hat matrix, 1/n + |L'(x - mean)|^2 with L L' the inverse scatter."""
-        factor = np.linalg.cholesky(self._solved[1])
+        factor = self._inverse_factor
         parts = row_products(self.predictors, factor, -np.asarray(self.means) @ factor)
         value = F.lit(1.0 / self.n) + F.aggregate(parts, F.lit(0.0), lambda total, part: total + part * part)
         return df.withColumn(name, value)

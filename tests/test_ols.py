@@ -1,3 +1,5 @@
+from fractions import Fraction
+
 import numpy as np
 import pytest
 from pyspark.ml.regression import LinearRegression
@@ -5,6 +7,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from statloom.catalogue.common import LINE_PREDICTORS, lines
+from statloom.operators.factor import collect_factor
 from statloom.operators.ols import LeastSquares
 
 
@@ -80,6 +83,81 @@ def test_refined_residuals(spark):
     assert refined.ss_regression + refined.ss_error == pytest.approx(plain.ss_total)
 
 
+def exact_fit(rows):
+    """Slopes, residual sum of squares and inverse scatter of ``(*x, y)`` rows in rational arithmetic."""
+    rows = [[Fraction(v) for v in row] for row in rows]
+    n, k = len(rows), len(rows[0]) - 1
+    mean = [sum(c) / n for c in zip(*rows)]
+    rows = [[v - m for v, m in zip(row, mean)] for row in rows]
+    s = [[sum(row[i] * row[j] for row in rows) for j in range(k + 1)] for i in range(k + 1)]
+    table = [[*s[i][:k], s[i][k], *[Fraction(int(i == j)) for j in range(k)]] for i in range(k)]
+    for i in range(k):
+        table[i] = [v / table[i][i] for v in table[i]]
+        for j in range(k):
+            if j != i:
+                table[j] = [a - table[j][i] * b for a, b in zip(table[j], table[i])]
+    slopes = [row[k] for row in table]
+    return slopes, s[k][k] - sum(b * s[i][k] for i, b in enumerate(slopes)), [row[k + 1:] for row in table], s[k][k]
+
+
+def test_nearly_collinear_against_rational_arithmetic(spark):
+    """Powers of numbers near 100,000: a condition of some 1e6, where moments refuse to answer."""
+    xs = [100_000 + i * 7 % 601 for i in range(600)]
+    rows = [(float(x), float(x ** 2), float(x ** 3), float((x - 100_300) ** 3 // 1000 + x % 11 - 3 * (x % 5))) for x in xs]
+    df = spark.createDataFrame(rows, "a double, b double, c double, y double").repartition(7)
+    scaled = np.array(rows)[:, :3] - np.array(rows)[:, :3].mean(0)
+    assert np.linalg.cond(scaled / np.linalg.norm(scaled, axis=0)) > 1e5
+    with pytest.raises(ValueError, match="collinear"):
+        LeastSquares.fit(df, "y", ["a", "b", "c"]).slopes
+    found = LeastSquares.fit(df, "y", ["a", "b", "c"], method="qr")
+    slopes, rss, inverse, total = exact_fit(rows)
+    assert list(found.slopes) == pytest.approx([float(b) for b in slopes], rel=1e-8)
+    assert found.ss_error == pytest.approx(float(rss), rel=1e-8)
+    assert found.ss_total == pytest.approx(float(total), rel=1e-12)
+    mse = float(rss) / 596
+    for row, name, b, v in zip(found.t_tests(spark).collect()[1:], "abc", slopes, (inverse[i][i] for i in range(3))):
+        assert row["term"] == name
+        assert row["std_error"] == pytest.approx((mse * float(v)) ** 0.5, rel=1e-8)
+        assert row["t_value"] == pytest.approx(float(b) / (mse * float(v)) ** 0.5, rel=1e-8)
+    without = exact_fit([(a, y) for a, _, _, y in rows])[1]
+    partial = found.partial_f(spark, [["b", "c"], ["c"]]).collect()
+    assert partial[0]["extra_ss"] == pytest.approx(float(without - rss), rel=1e-8)
+    assert partial[1]["extra_ss"] == pytest.approx(float(slopes[2] ** 2 / inverse[2][2]), rel=1e-8)
+    assert found.f_value == pytest.approx(float((total - rss) / 3) / mse, rel=1e-8)
+
+
+def test_both_methods_agree(spark, folder):
+    df = lines(spark, folder).withColumn("net", F.when(F.col("l_quantity") != 7, F.col("net")))
+    plain, qr = (LeastSquares.fit(df, "net", LINE_PREDICTORS, method=m) for m in ("moments", "qr"))
+    assert plain.n == qr.n
+    assert list(qr.estimates) == pytest.approx(list(plain.estimates), rel=1e-8)
+    assert qr.anova(spark).head()["f_value"] == pytest.approx(plain.anova(spark).head()["f_value"], rel=1e-8)
+    assert qr.covariance == pytest.approx(plain.covariance, rel=1e-7)
+    ours, theirs = (m.leverage(df.na.drop()).agg(F.sum("leverage"), F.max("leverage")).head() for m in (qr, plain))
+    assert list(ours) == pytest.approx(list(theirs), rel=1e-8)
+
+
+def test_factor_of_far_parts(spark):
+    """Rows sorted so that tasks lie far apart, a few rows only in some, none in others."""
+    df = spark.range(0, 3000, 1, 40).selectExpr("id", "1e9 + 1e6 * floor(id / 100) + id % 7 as a", "id % 13 - 1e8 as b",
+                                                "sin(id) as y")
+    found = collect_factor(df.filter("id < 1000 or id > 2997"), ["a", "b", "y"])
+    rows = np.array([r[1:] for r in df.filter("id < 1000 or id > 2997").collect()])
+    centred = rows - rows.mean(0)
+    assert found.n == len(rows)
+    assert found.mean == pytest.approx(rows.mean(0), rel=1e-14)
+    assert found.moments.scatter == pytest.approx(centred.T @ centred, rel=1e-9)
+    assert collect_factor(df.filter("id < 0"), ["a", "b"]) is None
+    with pytest.raises(ValueError):
+        collect_factor(df, ["a", "a"])
+    with pytest.raises(ValueError, match="method"):
+        LeastSquares.fit(df, "y", ["a"], method="lu")
+    with pytest.raises(ValueError, match="collinear"):
+        LeastSquares.fit(df.selectExpr("a", "2 * a as c", "y"), "y", ["a", "c"], method="qr").slopes
+    with pytest.raises(ValueError, match="constant"):
+        LeastSquares.fit(df.selectExpr("a", "3.5D as c", "y"), "y", ["a", "c"], method="qr").slopes
+
+
 def test_errors(spark):
     df = spark.range(20).selectExpr("cast(id as double) a", "2 * id + 1 as b", "1.0D one", "id * id as y")
     with pytest.raises(ValueError, match="collinear"):

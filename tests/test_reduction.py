@@ -9,6 +9,7 @@ from statloom.operators.evaluate import evaluate
 from statloom.operators.linear import fit_linear
 from statloom.operators.pca import Components
 from statloom.operators.split import hash_split
+from statloom.operators.sweep import set_numbers
 from statloom.operators.subsets import best_subset, column_pairs, column_subsets, equal_to_extreme, ranked, winners
 
 
@@ -34,6 +35,49 @@ def test_best_subset_against_separate_fits(spark, folder):
         assert row["num_preds"] == len(chosen)
 
 
+def test_every_subset_against_least_norm_fits(spark):
+    """Eleven columns in two runs of sweeps; one is constant, one the sum of two others, one nearly a copy."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 11)) * 10.0 ** rng.integers(-3, 4, 11) + 1e4
+    x[:, 4], x[:, 7], x[:, 9] = 3.0, x[:, 1] + x[:, 2], x[:, 0] + 3e-4 * (x[:, 3] - 1e4) * x[:, 0].std() / x[:, 3].std()
+    y = x[:, 0] / x[:, 0].std() - x[:, 6] / x[:, 6].std() + rng.normal(size=400)
+    names = [f"c{i}" for i in range(11)]
+    df = spark.createDataFrame([(i, *map(float, row), float(v)) for i, (row, v) in enumerate(zip(x, y))],
+                               "id long, " + ", ".join(f"{c} double" for c in names) + ", y double")
+    found = best_subset(df, "y", names, ["id"])
+    rows = sorted(found.collect(), key=lambda r: r["id"])
+    assert [r["preds"] for r in rows] == [", ".join(s) for s in column_subsets(names)]
+    assert [r["id"] for r in rows] == list(range(2 ** 11 - 1))
+    kept = {r["id"] for r in hash_split(df, ["id"])[0].collect()}
+    train = np.array([i in kept for i in range(400)])
+    spread = ((y[~train] - y[~train].mean()) ** 2).sum()
+    for row in rows[::7] + rows[-200:]:
+        at = [names.index(c) for c in row["preds"].split(", ")]
+        middle, deviation = x[train][:, at].mean(0), x[train][:, at].std(0)
+        z = (x[:, at] - middle) / np.where(deviation > 1e-9, deviation, 1.0)
+        b = np.linalg.lstsq(z[train], y[train] - y[train].mean(), rcond=1e-5)[0]
+        missed = (y - y[train].mean() - z @ b)[~train]
+        assert row["r2"] == pytest.approx(1 - (missed ** 2).sum() / spread, abs=1e-6)
+        assert row["rmse"] == pytest.approx(np.sqrt((missed ** 2).mean()), rel=1e-6)
+        assert row["mae"] == pytest.approx(np.abs(missed).mean(), rel=1e-6)
+    plain = {r["id"]: r for r in best_subset(df.repartition(5), "y", names, ["id"], mae=False).collect()}
+    assert all(plain[r["id"]]["mae"] is None and plain[r["id"]]["r2"] == pytest.approx(r["r2"], abs=1e-7) for r in rows)
+
+
+def test_numbers_of_sets():
+    for p in (1, 2, 5, 8):
+        sets = [()] + column_subsets([str(i) for i in range(p)])
+        chosen = np.array([[str(i) in s for i in range(p)] for s in sets])
+        assert list(set_numbers(p)(chosen)) == list(range(-1, 2 ** p - 1))
+
+
+def test_subsets_refuse_too_many(spark):
+    df = spark.range(10).selectExpr("id", "id as y", *[f"id * {i} as c{i}" for i in range(31)])
+    for names, limit in (([], None), ([f"c{i}" for i in range(31)], None), (["c1", "c2"], 1)):
+        with pytest.raises(ValueError, match="limit"):
+            best_subset(df, "y", names, ["id"], limit=limit)
+
+
 def test_winners_and_ties(spark):
     rows = [(0, "a", 1.0, 0.5, 2.0, 1.0), (1, "b", 1.0, 0.7, 1.5, 1.0), (2, "a, b", 2.0, 0.7, 1.4, 1.2)]
     table = spark.createDataFrame(rows, "id long, preds string, num_preds double, r2 double, rmse double, mae double")
