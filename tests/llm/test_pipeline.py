@@ -93,15 +93,29 @@ def test_mix(steps):
     want = Counter()
     for s in names:
         r = target[s] / total[s]
-        certain, p = int(r), r - int(r)
+        certain = int(r)
+        goal = target[s] - certain * total[s]
+        full, open_docs = set(), by_source[s]  # documents in full get a whole copy more
+        while open_docs:
+            level = goal / max(1, sum(size[i] * size[i].bit_length() for i, _ in open_docs))
+            over = {i for i, _ in open_docs if level * max(1, size[i].bit_length()) > 1}
+            top = max(size[i].bit_length() for i, _ in open_docs)
+            over = {i for i in over if size[i].bit_length() == top}
+            if not over:
+                break
+            full |= over
+            goal -= sum(size[i] for i in over)
+            open_docs = [d for d in open_docs if d[0] not in over]
         order = []
         for id, text in by_source[s]:
+            want[id] += certain + (id in full)
+            p = 0.0 if id in full or goal <= 0 else level * max(1, size[id].bit_length())
             digest = hashlib.md5(f"17:{id}:{hashlib.md5(text.encode()).hexdigest()}".encode()).hexdigest()
             u = (int(digest[:13], 16) + 0.5) / 2 ** 52
-            order.append((u / (1 - u) * (1 - p) / p if p > 0 else math.inf, id))
-            want[id] += certain
-        done, goal = 0, target[s] - certain * total[s]
-        for _, id in sorted(order) if p > 0 else ():
+            if p > 0:
+                order.append((u / (1 - u) * (1 - p) / p, id))
+        done = 0
+        for _, id in sorted(order):
             if done + size[id] / 2 <= goal:
                 want[id] += 1
             done += size[id]

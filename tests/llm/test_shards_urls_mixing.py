@@ -4,8 +4,9 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from statloom.llm.mixing import mix, mix_counts
+from statloom.llm.mixing import inclusion, mix, mix_counts, source_targets
 from statloom.llm.shards import hash_bits, shard_map, write_shards
+from statloom.llm.text import word_count
 from statloom.llm.urls import RULES, judge_urls, rule_table
 
 from .conftest import ROWS
@@ -153,3 +154,29 @@ def test_mix_targets(spark):
     for s in names:
         assert target[s] == pytest.approx(want[s])
         assert abs(taken[s] - target[s]) <= biggest[s] / 2 + 1e-6
+
+
+def test_inclusion_follows_p(spark):
+    """Three sources whose documents have 1 to 200 words: over seeds, the share of documents that get one copy more than
+    the certain ones is that of their size class, and the words of every source meet its target."""
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.element_at(F.array(*map(F.lit, ("a", "b", "b", "b", "c"))),
+                                    (F.col("id") % 5 + 1).cast("int")).alias("source"),
+                                    F.repeat(F.lit("w "), (F.col("id") * 7919 % 200 + 1).cast("int")).alias("text"))
+    size = {i: i * 7919 % 200 + 1 for i in range(6000)}
+    sizes = docs.select("source", word_count(F.col("text")).alias("size"))
+    wanted = {(r["source"], r["class"]): r for r in inclusion(sizes, source_targets(sizes)).collect()}
+    for name in "abc":  # expected words are the target
+        total = sum((r["certain"] + r["p"]) * sum(size[i] for i in size if "abbbc"[i % 5] == s and size[i].bit_length() == k)
+                    for (s, k), r in wanted.items() if s == name)
+        assert total == pytest.approx(next(r["target"] for (s, _), r in wanted.items() if s == name))
+    assert len({round(r["p"], 6) for (s, _), r in wanted.items() if s == "b"}) > 3  # not one number per source
+    more, seen = Counter(), Counter()
+    for seed in range(6):
+        for r in mix_counts(docs, seed=seed).collect():
+            key = ("abbbc"[r["doc_id"] % 5], size[r["doc_id"]].bit_length())
+            more[key] += r["copies"] - wanted[key]["certain"]
+            seen[key] += 1
+            assert r["copies"] - wanted[key]["certain"] in (0, 1)
+    for key, n in seen.items():
+        p = wanted[key]["p"]
+        assert abs(more[key] / n - p) <= 4.5 * (p * (1 - p) / n) ** 0.5 + 1e-9, key
