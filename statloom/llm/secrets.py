@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator, Sequence
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -42,40 +44,6 @@ ALLOW = (r"(?<![0-9A-Za-z])[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a
          r"(?i:(?:0123456789)?abcdefghijklmnopqrstuvwxyz(?:0123456789)?|0123456789(?:abcdef)?|(?:1234567890){2,})")
 
 
-def high_entropy(string: str, threshold: float, window: int = WINDOW) -> list[tuple[int, int]]:
-    """Joined spans of the windows whose Shannon entropy reaches the threshold and that mix letters and digits.
-
-    Counts move with the window: each step changes two of them, so the cost does not depend on the window.
-    H = log2(w) - sum(c * log2(c)) / w.
-    """
-    if len(string) < window or threshold == math.inf:
-        return []
-    plogp = [0.0] + [c * math.log2(c) for c in range(1, window + 2)]
-    counts: dict[str, int] = {}
-    total, digits, letters, spans = 0.0, 0, 0, []
-    most = (math.log2(window) - threshold) * window + 1e-9
-    for at, char in enumerate(string):
-        n = counts.get(char, 0)
-        total += plogp[n + 1] - plogp[n]
-        counts[char] = n + 1
-        digits += "0" <= char <= "9"
-        letters += char.isalpha()
-        if at >= window:
-            old = string[at - window]
-            n = counts[old]
-            total += plogp[n - 1] - plogp[n]
-            counts[old] = n - 1
-            digits -= "0" <= old <= "9"
-            letters -= old.isalpha()
-        if at >= window - 1 and total <= most and digits and letters:
-            start, end = at - window + 1, at + 1
-            if spans and spans[-1][1] >= start:
-                spans[-1] = (spans[-1][0], end)
-            else:
-                spans.append((start, end))
-    return spans
-
-
 def _threshold(alphabet: int, window: int = WINDOW) -> float:
     """Expected entropy of ``window`` random characters of an alphabet, less ``MARGIN`` standard deviations.
 
@@ -136,7 +104,8 @@ def window_threshold(kinds: Sequence[int], pairs: int) -> float:
 def random_windows(string: str, window: int = WINDOW) -> list[tuple[int, int]]:
     """Joined spans of the windows whose entropy reaches the threshold of their own alphabet.
 
-    Entropy and alphabet move with the window, as in ``high_entropy``.
+    Counts move with the window: each step changes two of them, so the cost does not depend on the window.
+    H = log2(w) - sum(c * log2(c)) / w; the kinds of characters and the common pairs are counted likewise.
     """
     if len(string) < window:
         return []
@@ -191,14 +160,19 @@ def pieces(string: str, allow: re.Pattern | None) -> Iterator[tuple[int, int]]:
 
 
 def entropy_spans(text: str, base: Sequence[tuple[int, int, int]], allow: re.Pattern | None) -> list[tuple[int, int, int]]:
-    """Spans the method adds: windows of high entropy that no base span touches, outside what the allow-list matches."""
+    """Spans the method adds: windows of high entropy that no base span touches, outside what the allow-list matches.
+
+    ``base`` is in order of start.
+    """
     found = []
+    starts, reach = [s for s, _, _ in base], list(accumulate((e for _, _, e in base), max))
     for m in CANDIDATE.finditer(text):
         string = m.group()
         for first, stop in pieces(string, allow):
             for start, end in random_windows(string[first:stop]):
                 start, end = start + first + m.start(), end + first + m.start()
-                if all(end <= s or start >= e for s, _, e in base):
+                before = bisect_left(starts, end)  # of the base spans that start before the end, does one reach the start?
+                if not before or reach[before - 1] <= start:
                     found.append((start, 3, end))
     return found
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -86,7 +88,9 @@ def weigh(folded: str, machine: ahocorasick.Automaton | None) -> tuple[float, in
     for end, (length, weight) in machine.iter(folded):
         (spared if weight is None else hits).append((end - length + 1, end, weight))
     if spared:
-        hits = [h for h in hits if not any(a <= h[0] and h[1] <= b for a, b, _ in spared)]
+        spared.sort(key=lambda s: s[0])
+        starts, reach = [s[0] for s in spared], list(accumulate((s[1] for s in spared), max))
+        hits = [h for h in hits if not (k := bisect_right(starts, h[0])) or reach[k - 1] < h[1]]
     return sum(h[2] for h in hits), len(hits)
 
 
@@ -218,8 +222,10 @@ def learn_lexicon(sample: DataFrame, exceptions: Sequence[str] = ()) -> Lexicon:
     kept = {e for e, _ in candidates}
     counts = candidates + _counted(sample, words, kept, label=0)
     weights = choose(counts, toxic, clean, max(1, len(kept)))
-    around = _counted(sample, _phrases(weights))
-    spared = tuple(sorted(p for p in {p for p, _ in around} if around[p, 0] >= SUPPORT and around[p, 0] >= 9 * around[p, 1]))
+    phrases = _phrases(weights)
+    often = _counted(sample, phrases, label=0, support=SUPPORT)
+    around = often + _counted(sample, phrases, {p for p, _ in often}, label=1)
+    spared = tuple(sorted(p for p, _ in often if around[p, 0] >= 9 * around[p, 1]))
     lexicon = Lexicon(weights, given + spared)
     rows = [(r["weight"], r["words"], r["toxic"]) for r in _weighed(sample, lexicon, "toxic").collect()]
     x = np.array([features(w, n) for w, n, _ in rows])

@@ -4,6 +4,7 @@ import random
 import re
 import subprocess
 import sys
+import time
 from collections import Counter
 
 import pytest
@@ -18,21 +19,40 @@ def entropy(window):
     return -sum(n / len(window) * math.log2(n / len(window)) for n in Counter(window).values())
 
 
-def test_sliding_entropy_equals_the_definition():
+def test_sliding_windows_equal_the_definition():
+    """Every window on its own: its entropy, its kinds of characters and its common pairs counted anew."""
     random.seed(3)
-    for k in range(200):
-        alphabet = random.choice(["0123456789abcdef", "abc1", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"])
-        string = "".join(random.choice(alphabet) for _ in range(random.randint(5, 90)))
-        threshold = random.choice([2.0, 3.2, 3.7])
+    alphabets = ["0123456789abcdef", "abc1", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "0123456789", "etaoinshr", "thehein-1/",
+                 "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"]
+    hits = 0
+    for _ in range(400):
+        string = "".join("".join(random.choices(random.choice(alphabets), k=random.randint(3, 50))) for _ in range(3))
         marked = [False] * len(string)
         for i in range(len(string) - 19):
             w = string[i:i + 20]
-            if entropy(w) >= threshold - 1e-9 and re.search("[0-9]", w) and re.search("[A-Za-z]", w):
+            kinds = Counter(S.CHARACTERS[c] for c in w)
+            pairs = sum(w[j:j + 2].lower() in S.PAIRS for j in range(19))
+            if entropy(w) >= S.window_threshold([kinds[k] for k in range(8)], pairs) - 1e-9:
                 marked[i:i + 20] = [True] * 20
         got = [False] * len(string)
-        for start, end in S.high_entropy(string, threshold):
+        for start, end in S.random_windows(string):
             got[start:end] = [True] * (end - start)
         assert got == marked
+        hits += any(got)
+    assert 50 < hits < 400
+
+
+def test_many_spans_in_one_text():
+    """100,000 spans: linear but for a binary search, and none of the added ones touches a base one."""
+    text = ("password=hunter2x key zK8x0Qp2Lm9Rt4Vw7YbN3cHd token:zK8x0Qp2Lm9Rt4Vw7YbN3cHd " + "0a" * 14 + "\n") * 25_000
+    base_spans = S.base_spans(text)
+    start = time.process_time()
+    added = S.entropy_spans(text, base_spans, None)
+    assert time.process_time() - start < 30
+    assert len(base_spans) == 75_000 and len(added) == 25_000
+    small = text[:2000]
+    base_spans = S.base_spans(small)
+    assert all(e <= s or b >= t for b, _, e in S.entropy_spans(small, base_spans, None) for s, _, t in base_spans)
 
 
 SLOW = [("assign", re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)),

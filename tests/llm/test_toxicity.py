@@ -1,4 +1,6 @@
 import math
+import random
+import time
 import zlib
 from collections import Counter
 
@@ -36,6 +38,18 @@ def test_weigh(text, weight):
     assert T.weigh(folded, LEXICON.automaton()) == pytest.approx(plain_weight(folded, LEXICON))
 
 
+def test_weigh_many_phrases_in_one_text():
+    """Hits and exception phrases that overlap, against the definition; 100,000 of them in time."""
+    lexicon = T.Lexicon({" a": 1.0, " a b": 2.0, " b ": 4.0, " c a": 8.0}, (" a b c ", " c a ", " b c a b "), (-3.0, 1.0, 2.0))
+    random.seed(8)
+    for _ in range(200):
+        folded = " " + " ".join(random.choices("abcd", k=random.randint(1, 40))) + " "
+        assert T.weigh(folded, lexicon.automaton()) == plain_weight(folded, lexicon)
+    folded, start = T.fold("a b c " * 50_000 + "d b"), time.process_time()
+    assert T.weigh(folded, lexicon.automaton()) == (4.0, 1)
+    assert time.process_time() - start < 10
+
+
 def test_scores_equal_the_definition(spark, texts):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     found = {r["doc_id"]: r for r in T.score_toxicity(docs, LEXICON).collect()}
