@@ -14,8 +14,9 @@ from statloom.sources.tables import literal_rows
 
 # Labels of the report.
 REJECT, KEEP, UNDEFINED = "Reject Null Hyp", "Fail to Reject", "Undefined"
-# 1 - r^2 below this is rounding noise of a perfect correlation.
-PERFECT = 1e-14
+# 1 - r^2 below this is rounding noise of a perfect correlation. It grows with the rows that one task adds up: the second
+# value is for each of them, up to the third.
+PERFECT, NOISE, NOISY_ROWS = 1e-14, 2.0 ** -55, 1 << 22
 
 
 def pairs_of(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -75,11 +76,12 @@ def report_on(pairs: DataFrame, alpha: float = 0.05, test: str = "two-sided", mo
     elif mode == "exact":  # the pairs are few; taken once, they serve the quantiles and the report
         pairs = literal_rows(pairs.sparkSession, pairs.collect(), f"col_x string, col_y string, {PAIR_FIELDS}")
     r, t, critical = F.col("Corr"), F.col("tValue"), F.col("critical")
+    noise = F.greatest(F.lit(PERFECT), F.least(F.col("n"), F.lit(NOISY_ROWS)) * F.lit(NOISE))
     scored = (pairs
               .select(F.concat_ws(" vs ", "col_x", "col_y").alias("Columns"), "n", _pearson().alias("Corr"))
               .withColumn("CoefDet", F.pow(r, F.lit(2.0)))
               .withColumn("dof", F.col("n") - 2)
-              .withColumn("tValue", F.when((F.col("dof") >= 1) & (1.0 - F.col("CoefDet") > PERFECT),
+              .withColumn("tValue", F.when((F.col("dof") >= 1) & (1.0 - F.col("CoefDet") > noise),
                                            r * F.sqrt(F.col("dof") / (1.0 - F.col("CoefDet")))))
               .withColumn("abs_tValue", F.abs(t)))
     rejected = {"two-sided": F.abs(t) > critical, "upper one-sided": t > critical,

@@ -242,3 +242,11 @@ def test_many_groups_are_fast(spark):
     start = time.time()
     assert pair_moments(df, [f"c{i}" for i in range(8)], "id").count() == 40_000 * 36
     assert time.time() - start < 60
+
+
+def test_a_perfect_pair_of_many_rows_is_undefined(spark):
+    """Added up in one task, 600,000 rows leave 1 - r^2 at 6e-12; what lies above the noise is still tested."""
+    df = spark.range(1, 600_001, 1, 1).select(F.col("id").alias("x"), (F.col("id") * 0.1).alias("z"),
+                                              (F.col("id") + 5.0 * F.pmod("id", F.lit(2))).alias("near"))
+    found = {r["Columns"]: r["Significance"] for r in correlation_report(df).collect()}
+    assert found == {"x vs z": "Undefined", "x vs near": "Reject Null Hyp", "z vs near": "Reject Null Hyp"}
