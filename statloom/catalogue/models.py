@@ -271,26 +271,30 @@ def _gmm_responsibilities(spark, folder):
     columns = [*MIXED, "l_orderkey", "l_linenumber"]
     rows = slice_of(table(spark, folder, "lineitem", *columns, *SLICE), SLICE)
     found = Mixture.fit(rows, MIXED)
-    k = len(found.model.stages[-1].weights)
+    listed = found.components(spark).collect()
+    k = len(listed) // len(MIXED)
     weights, means, covariances = np.zeros(k), np.zeros((k, len(MIXED))), np.zeros((k, len(MIXED), len(MIXED)))
-    for row in found.components(spark).collect():
+    for row in listed:
         weights[row["component"]] = row["weight"]
         means[row["component"], MIXED.index(row["feature"])] = row["mean"]
     for row in found.covariances(spark).collect():
         covariances[row["component"], MIXED.index(row["feature_x"]), MIXED.index(row["feature_y"])] = row["cov"]
+    # In units of the deviations over all components, no feature's digits are lost beside those of a larger one.
+    beside = means - weights @ means
+    unit = np.sqrt(weights @ (np.diagonal(covariances, axis1=1, axis2=2) + beside ** 2))
 
     def apart(batches):
         # Features that sum to 1 make every covariance singular; as in the fit, null directions do not count.
         parts = []
         for w, m, cov in zip(weights, means, covariances):
-            values, vectors = np.linalg.eigh(cov)
-            used = values > np.finfo(float).eps * len(MIXED) * values.max()
+            values, vectors = np.linalg.eigh(cov / np.outer(unit, unit))
+            used = np.arange(len(values)) > 0  # one direction: the sum of the features
             parts.append((np.log(w) - np.log(values[used]).sum() / 2, m,
                           vectors[:, used] / np.sqrt(values[used])))
         for batch in batches:
             x = batch[MIXED].to_numpy(float)
             x = x / np.abs(x).sum(1, keepdims=True)
-            logs = np.column_stack([c - (((x - m) @ root) ** 2).sum(1) / 2 for c, m, root in parts])
+            logs = np.column_stack([c - (((x - m) / unit @ root) ** 2).sum(1) / 2 for c, m, root in parts])
             p = np.exp(logs - logs.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
             gap = np.abs(p - np.stack(batch["probability"].to_numpy())).max(1)

@@ -274,6 +274,38 @@ def test_mixture(spark, data):
     assert assigned.select(F.aggregate("probability", F.lit(0.0), lambda a, v: a + v)).head()[0] == pytest.approx(1.0)
 
 
+def test_mixture_does_not_depend_on_layout_or_copies(data):
+    columns = ["l_extendedprice", *GROUPED]
+    once = Mixture.fit(data, columns, k=3, max_iter=12, tol=0.0)
+    for other in (data.repartition(7), data.union(data).union(data).coalesce(2)):
+        again = Mixture.fit(other, columns, k=3, max_iter=12, tol=0.0)
+        assert again.fitted.weights == pytest.approx(once.fitted.weights, rel=1e-6)
+        assert again.fitted.means == pytest.approx(once.fitted.means, rel=1e-6, abs=1e-6)
+    assert once.space.basis.shape == (4, 3)  # shares of one whole: a direction without variance is left out
+
+
+def test_mixture_finds_separate_groups(spark):
+    draw = np.random.default_rng(3)
+    truth = {0: ((0.0, 0.0, 7.0), 500), 1: ((40.0, 1.0, 7.0), 300), 2: ((0.0, 9.0, 7.0), 200)}
+    rows = [(g, float(a + x), float(b + y), c) for g, ((a, b, c), n) in truth.items() for x, y in draw.normal(0, 1, (n, 2))]
+    df = spark.createDataFrame([*rows, (3, None, 1.0, 7.0)], "g int, a double, b double, c double")
+    found = Mixture.fit(df, ["a", "b", "c"], k=3, scale=None)
+    pairs = found.assign(df).groupBy("g", "component").count().collect()
+    assert sorted(r["count"] for r in pairs) == [200, 300, 500] and len({r["component"] for r in pairs}) == 3
+    of = {r["component"]: r["g"] for r in pairs}
+    for r in found.components(spark).collect():
+        (a, b, c), n = truth[of[r["component"]]]
+        assert r["mean"] == pytest.approx({"a": a, "b": b, "c": c}[r["feature"]], abs=0.3)
+        assert r["weight"] == pytest.approx(n / 1000, abs=1e-3)
+    for r in found.covariances(spark).collect():
+        constant = "c" in (r["feature_x"], r["feature_y"])
+        assert r["cov"] == pytest.approx(0.0 if constant or r["feature_x"] != r["feature_y"] else 1.0, abs=0.35)
+    same = Mixture.fit(df.select(*[F.lit(2.0).alias(c) for c in "abc"]), ["a", "b", "c"], k=2)
+    assert sum(same.fitted.weights) == pytest.approx(1.0) and same.assign(df).count() == 1000
+    with pytest.raises(ValueError, match="no row"):
+        Mixture.fit(df.limit(0), ["a"], k=2)
+
+
 def test_feature_study(data):
     found = feature_study(data, "net", LINE_PREDICTORS, ["l_orderkey"])
     assert found.covariance.count() == 10 and found.correlation.count() == 10
