@@ -5,21 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from statloom.functions.columns import col
-from statloom.operators.features import feature_stages
-from statloom.operators.lloyd import fit_centres
-from statloom.operators.moments import complete_rows
+from statloom.operators.lloyd import CentreFits, fit_centres
 from statloom.operators.split import SEED
-from statloom.sources.tables import literal_rows
 
 CLUSTER = "cluster"
 # Settings of the k-means runs and range of the sweep.
@@ -27,71 +18,43 @@ MAX_ITER, TOLERANCE = 40, 1e-5
 SWEEP = range(5, 91)
 
 
-def squared_distances(features: str, centres: Sequence[np.ndarray]) -> Column:
-    """Squared distances of a vector column to every centre, as an array, one matrix product per Arrow batch."""
-    matrix = np.asarray(centres, float)
-
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def distances(vectors: pd.Series) -> pd.Series:
-        if not len(vectors):
-            return pd.Series([], dtype=object)
-        x = np.stack(vectors.to_numpy())
-        step = max(1, 2_000_000 // matrix.size)
-        parts = [((x[i:i + step, None, :] - matrix[None]) ** 2).sum(2) for i in range(0, len(x), step)]
-        return pd.Series(list(np.concatenate(parts)))
-
-    return distances(vector_to_array(F.col(features)))
-
-
-def total_cost(scaled: DataFrame, features: str, centres: Sequence[np.ndarray]) -> float:
-    """Sum of the squared distances to the nearest centre. What k-means reports belongs to the centres before their
-    last move, so it is measured anew."""
-    nearest = F.array_min(squared_distances(features, centres))
-    total = scaled.select(nearest.alias("d")).agg(F.sum("d")).first()[0]
-    return float(total or 0.0)
-
-
 @dataclass(frozen=True)
 class Clustering:
-    model: PipelineModel
-    predictors: tuple[str, ...]
-    cost: float  # within-cluster sum of squares in scaled space, about the final centres
+    """One k-means of ``fit_centres``: the same centres on any layout, and all points where there are at most k."""
+
+    fits: CentreFits
+    k: int
+    cluster: str = CLUSTER
 
     @classmethod
     def fit(cls, df: DataFrame, predictors: Sequence[str], k: int, center: bool = True, seed: int = SEED,
             max_iter: int = MAX_ITER, tol: float = TOLERANCE, cluster: str = CLUSTER) -> "Clustering":
-        stages, features = feature_stages(predictors, "z" if center else "sd")
-        algorithm = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol=features, predictionCol=cluster)
-        rows = complete_rows(df, predictors)
-        model = Pipeline(stages=[*stages, algorithm]).fit(rows)
-        scaled = PipelineModel(model.stages[:-1]).transform(rows).select(features)
-        return cls(model, tuple(predictors), total_cost(scaled, features, model.stages[-1].clusterCenters()))
+        return cls(fit_centres(df, predictors, [k], center=center, seed=seed, max_iter=max_iter, tol=tol), k, cluster)
+
+    @property
+    def predictors(self) -> tuple[str, ...]:
+        return self.fits.predictors
+
+    @property
+    def cost(self) -> float:
+        """Within-cluster sum of squares in scaled space, about the final centres."""
+        return self.fits.cost[self.k]
 
     def assign(self, df: DataFrame) -> DataFrame:
-        """The complete rows with their cluster number; the vector columns are not kept."""
-        stages = self.model.stages
-        vectors = [s.getOutputCol() for s in stages[:-1]]
-        return self.model.transform(complete_rows(df, self.predictors)).drop(*vectors)
+        """The complete rows with their cluster number."""
+        return self.fits.assign(df, self.k, self.cluster)
 
     def distances(self, df: DataFrame) -> DataFrame:
         """The assigned rows with ``distance`` (squared, scaled, to the own centre) and ``nearest`` (to any centre)."""
-        algorithm = self.model.stages[-1]
-        features = algorithm.getFeaturesCol()
-        rows = self.model.transform(complete_rows(df, self.predictors))
-        rows = rows.withColumn("__all", squared_distances(features, algorithm.clusterCenters()))
-        vectors = [s.getOutputCol() for s in self.model.stages[:-1]]
-        return rows.withColumns({"distance": F.get("__all", col(algorithm.getPredictionCol())),
-                                 "nearest": F.array_min("__all")}).drop("__all", *vectors)
+        return self.fits.distances(self.assign(df), self.k, self.cluster)
 
     def centres(self, spark: SparkSession) -> DataFrame:
         """``cluster, feature, value`` in scaled space."""
-        rows = [(i, f, float(v)) for i, centre in enumerate(self.model.stages[-1].clusterCenters())
-                for f, v in zip(self.predictors, centre)]
-        return literal_rows(spark, rows, "cluster int, feature string, value double")
+        return self.fits.centres(spark).select("cluster", "feature", "value")
 
     def profile(self, df: DataFrame, row_id: str) -> DataFrame:
         """Rows and averages of the unscaled features per cluster."""
-        return cluster_profile(self.assign(df), row_id, self.predictors, self.model.stages[-1].getPredictionCol())
+        return cluster_profile(self.assign(df), row_id, self.predictors, self.cluster)
 
 
 def cluster_profile(assigned: DataFrame, row_id: str, features: Sequence[str], cluster: str = CLUSTER) -> DataFrame:
@@ -100,12 +63,12 @@ def cluster_profile(assigned: DataFrame, row_id: str, features: Sequence[str], c
 
 
 def elbow(df: DataFrame, predictors: Sequence[str], ks: Sequence[int] = SWEEP, center: bool = True,
-          seed: int = SEED, max_iter: int = MAX_ITER, tol: float = TOLERANCE, merge_equal_rows: bool = False,
+          seed: int = SEED, max_iter: int = MAX_ITER, tol: float = TOLERANCE, merge_equal_rows: bool = True,
           keys: Sequence[str] | None = None) -> DataFrame:
     """``k, cost`` for every k, all fitted in the same passes over the rows; see ``fit_centres``.
 
-    ``merge_equal_rows`` replaces equal rows by one weighted row. The cost is defined alike, and columns with
-    few distinct values shrink to a small table; leave it off for continuous columns.
+    ``merge_equal_rows`` replaces equal rows by one weighted row first. The costs are the same, and columns with few
+    distinct values shrink to a small table; turn it off where hardly any rows are equal.
     """
     fits = fit_centres(df, predictors, ks, keys, center, seed=seed, max_iter=max_iter, tol=tol,
                        merge_equal_rows=merge_equal_rows)

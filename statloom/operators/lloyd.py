@@ -99,18 +99,20 @@ def _totals(rows: DataFrame, scale: Scale, fits: Sequence[np.ndarray], measure:
     return total
 
 
-def _drawn(rows: DataFrame, scale: Scale, known: np.ndarray, many: int, turn: int, seed: int) -> np.ndarray:
-    """``many`` distinct rows, drawn in proportion to weight x squared distance to the nearest known candidate.
+def _drawn(rows: DataFrame, scale: Scale, known: np.ndarray, many: int, turn: int) -> np.ndarray:
+    """``many`` distinct points, drawn in proportion to weight x squared distance to the nearest known candidate.
 
-    Each row waits -log(1 - u) / (weight x distance) with u from the hash of its key; the first to come are the sample. So
-    one pass finds it, a task keeps ``many`` rows, and the same rows are drawn on any layout.
+    Each row waits -log(1 - u) / distance with u from the hash of its key; a point comes with the first of its rows, and the
+    first points to come are the sample. So one pass finds it, a task keeps ``many`` points, the same ones are drawn on any
+    layout and whether equal rows were merged or not, and a table with at most ``many`` points gives all of them.
     """
     width = len(scale.mean)
     names = ["wait", *[f"x{j}" for j in range(width)]]
 
     def first(waits: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        both = np.unique(np.column_stack([waits, x]), axis=0)[:many]
-        return both[:, 0], both[:, 1:]
+        order = np.argsort(waits, kind="stable")
+        soonest = order[np.sort(np.unique(x[order], axis=0, return_index=True)[1])[:many]]
+        return waits[soonest], x[soonest]
 
     def per_task(batches):
         waits, points = np.zeros(0), np.zeros((0, width))
@@ -120,25 +122,25 @@ def _drawn(rows: DataFrame, scale: Scale, known: np.ndarray, many: int, turn: in
                 if len(known):
                     far = _nearness(x, known).min(1) / EQUAL + (x ** 2).sum(1)
                 out = far > 1e-8  # what lies on a candidate is not drawn again
-                u = ((more["draw"][out] & ((1 << 52) - 1)) + 0.5) / (1 << 52)
-                wait = -np.log1p(-u) / (more["weight"][out] * far[out])
+                u = (more[f"draw{turn}"][out] + 0.5) / (1 << 52)
+                wait = -np.log1p(-u) / far[out]
                 wait = wait.astype(np.float32).astype(float)  # the same whatever the order of sums
                 soon = wait <= waits[-1] if len(waits) == many else np.ones(len(wait), bool)
-                waits, points = first(np.concatenate([waits, wait[soon]]), np.concatenate([points, x[out][soon]]))
+                if soon.any():
+                    waits, points = first(np.concatenate([waits, wait[soon]]), np.concatenate([points, x[out][soon]]))
         yield pa.RecordBatch.from_arrays([pa.array(waits), *[pa.array(v) for v in points.T]], names=names)
 
-    turned = rows.withColumn("draw", F.xxhash64("draw", F.lit(seed), F.lit(turn)))
-    parts = turned.mapInArrow(per_task, ", ".join(f"{n} double" for n in names))
-    chosen = parts.distinct().orderBy(*names).limit(many).toPandas()
+    parts = rows.mapInArrow(per_task, ", ".join(f"{n} double" for n in names))
+    chosen = parts.groupBy(*names[1:]).agg(F.min("wait").alias("wait")).orderBy(*names).limit(many).toPandas()
     return chosen[names[1:]].to_numpy(float).reshape(-1, width)
 
 
 def _starts(rows: DataFrame, scale: Scale, ks: Sequence[int], seed: int) -> list[np.ndarray]:
     """k-means|| once for the largest k: few rounds of candidates, weighted by the rows nearest to them; each fit then
     takes its k among the candidates, one after another by weight x squared distance."""
-    candidates = _drawn(rows, scale, np.zeros((0, len(scale.mean))), 1, 0, seed)
+    candidates = _drawn(rows, scale, np.zeros((0, len(scale.mean))), 1, 0)
     for turn in range(1, ROUNDS + 1):
-        more = _drawn(rows, scale, candidates, max(ks), turn, seed) if len(candidates) else candidates
+        more = _drawn(rows, scale, candidates, max(ks), turn) if len(candidates) else candidates
         candidates = np.concatenate([candidates, more])
         if not len(more):
             break
@@ -194,22 +196,40 @@ class CentreFits:
         return complete_rows(df, self.predictors).withColumn(
             cluster, nearest(*[col(p).cast("double") for p in self.predictors]))
 
+    def distances(self, assigned: DataFrame, k: int, cluster: str = "cluster") -> DataFrame:
+        """Assigned rows with ``distance`` (squared, scaled, to the own centre) and ``nearest`` (to any centre)."""
+        scale, centres = self.scale, self.fitted[k]
+
+        @F.pandas_udf("distance double, nearest double")
+        def apart(own: pd.Series, *values: pd.Series) -> pd.DataFrame:
+            x = scale.apply(np.column_stack([v.to_numpy(float) for v in values]))
+            near = [((x - c) ** 2).sum(1) for c in centres]
+            all_ = np.stack(near, 1) if len(x) else np.zeros((0, len(centres)))
+            return pd.DataFrame({"distance": all_[np.arange(len(x)), own.to_numpy(int)], "nearest": all_.min(1)})
+
+        found = assigned.withColumn("__apart", apart(col(cluster), *[col(p).cast("double") for p in self.predictors]))
+        return found.withColumns({n: F.col(f"__apart.{n}") for n in ("distance", "nearest")}).drop("__apart")
+
 
-def _plain(df: DataFrame, predictors: Sequence[str], keys: Sequence[str]) -> list[Column]:
+def _plain(df: DataFrame, predictors: Sequence[str], keys: Sequence[str], seed: int) -> list[Column]:
+    """The predictors, and 52 bits for each turn of drawing starts."""
+    draw = F.xxhash64(*[col(k) for k in keys])
     return [*[col(p).cast("double").alias(f"x{j}") for j, p in enumerate(predictors)],
-            F.xxhash64(*[col(k) for k in keys]).alias("draw")]
+            *[F.pmod(F.xxhash64(draw, F.lit(seed), F.lit(turn)), F.lit(1 << 52)).alias(f"draw{turn}")
+              for turn in range(ROUNDS + 1)]]
 
 
 def fit_centres(df: DataFrame, predictors: Sequence[str], ks: Sequence[int], keys: Sequence[str] | None = None,
                 center: bool = True, starts: Mapping[int, Sequence[Sequence[float]]] | None = None, seed: int = SEED,
-                max_iter: int = 40, tol: float = 1e-5, merge_equal_rows: bool = False) -> CentreFits:
+                max_iter: int = 40, tol: float = 1e-5, merge_equal_rows: bool = True) -> CentreFits:
     """k-means for every k in ``ks``, on scaled columns, all in the same passes over the rows.
 
     A pass gives each task one matrix of all centres that still move; it returns weight and sums per centre. A fit stops
     when no centre moves by more than ``tol``, or after ``max_iter`` moves; a centre without rows stays where it is. One
     more pass measures all costs. ``keys`` names what tells rows apart when starts are drawn; without it the predictors
     do, and equal rows draw as one. ``starts`` gives centres for each k instead, in the units of the columns.
-    ``merge_equal_rows`` replaces equal rows by one weighted row first, for columns with few distinct values.
+    Equal rows are replaced by one weighted row first, in one shuffle: no sum and no start changes, and columns with few
+    distinct values shrink to a small table. ``merge_equal_rows=False`` saves the shuffle where hardly any rows are equal.
 
     Rows with a missing predictor do not count. With fewer distinct rows than k a fit has as many centres as were found;
     a table without rows gives fits without centres at cost 0. Rows are kept (memory, then disk) between the passes; what
@@ -220,10 +240,11 @@ def fit_centres(df: DataFrame, predictors: Sequence[str], ks: Sequence[int], key
         raise ValueError("ks must hold whole numbers from 1 on")
     rows = complete_rows(df, predictors)
     scale = Scale.of(rows, predictors, center)
-    rows = rows.select(*_plain(rows, predictors, keys or predictors))
+    rows = rows.select(*_plain(rows, predictors, keys or predictors, seed))
     if merge_equal_rows:
         rows = rows.groupBy(*[f"x{j}" for j in range(len(predictors))]).agg(
-            F.min("draw").alias("draw"), F.count(F.lit(1)).cast("double").alias("weight"))
+            *[F.min(f"draw{turn}").alias(f"draw{turn}") for turn in range(ROUNDS + 1)],
+            F.count(F.lit(1)).cast("double").alias("weight"))
     else:
         rows = rows.withColumn("weight", F.lit(1.0))
     rows.persist(StorageLevel.MEMORY_AND_DISK)

@@ -250,6 +250,25 @@ def test_starts_do_not_depend_on_the_layout(data):
     assert found[0].cost[9] < 1.15 * Clustering.fit(data, GROUPED, 9).cost
 
 
+def test_equal_rows_change_nothing(data):
+    """Merged or not, the same centres and costs from the same drawn starts."""
+    keys = ["l_orderkey", "l_linenumber"]
+    one, other = (fit_centres(data, GROUPED, [4, 9], keys, merge_equal_rows=m) for m in (True, False))
+    for k in (4, 9):
+        assert np.array_equal(one.fitted[k], other.fitted[k]) and one.cost[k] == pytest.approx(other.cost[k], rel=1e-9)
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_as_many_centres_as_points(spark, parts):
+    """All points are found, also near ones that have next to no share of the squared distances."""
+    power = F.pow(F.lit(3.0), F.pmod("id", F.lit(9)))
+    df = spark.range(4000).select(power.alias("a"), (1 - 2 * power).alias("b")).repartition(parts)
+    found = Clustering.fit(df, ["a", "b"], 9)
+    assert found.centres(spark).count() == 18 and found.cost == pytest.approx(0.0, abs=1e-9)
+    apart = found.distances(df).agg(F.max("distance"), F.max("nearest"), F.count_distinct("cluster")).head()
+    assert apart[0] == apart[1] < 1e-12 and apart[2] == 9
+
+
 def test_fits_of_few_rows(spark):
     df = spark.createDataFrame([(1.0, 5.0), (1.0, 5.0), (3.0, 5.0), (None, 1.0)], "x double, y double")
     fits = fit_centres(df, ["x", "y"], [1, 2, 6])
