@@ -12,7 +12,7 @@ from statloom.operators.features import vectors_from_array
 from statloom.operators.lloyd import fit_centres
 from statloom.operators.mixture import Mixture
 from statloom.operators.moments import column_moments
-from statloom.operators.split import portable_key, stable_layout
+from statloom.operators.split import portable_key
 from statloom.operators.trees import fit_tree, forest_importance, importance_table, tree_settings
 from statloom.plans.clustering import run_clustering, slice_of
 from statloom.plans.regression import run_regression
@@ -79,7 +79,7 @@ def _settings(spark, folder):
 
 def _saved(spark, folder):
     """A saved and reloaded model predicts what the fitted one does."""
-    df = stable_layout(_orders(spark, folder), ["l_orderkey"], 4)
+    df = _orders(spark, folder)
     model = fit_tree(df, "tree", "net", ORDER_PREDICTORS)
     path = scratch_path(spark, "model")
     save_model(model, path)

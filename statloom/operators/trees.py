@@ -8,6 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 
+from statloom.functions.columns import col
 from statloom.operators.features import feature_stages
 from statloom.operators.linear import prediction_name
 from statloom.operators.moments import complete_rows
@@ -16,6 +17,7 @@ from statloom.sources.tables import literal_rows
 
 KINDS = {"tree": DecisionTreeRegressor, "forest": RandomForestRegressor, "boosted": GBTRegressor}
 # Settings of the importance forest.
+ROWS_A_TASK = 1_000_000  # of a training table; a task of a fit keeps its rows as objects
 IMPORTANCE_FOREST = {"maxBins": 32, "maxDepth": 5, "numTrees": 20, "featureSubsetStrategy": "onethird"}
 
 
@@ -30,8 +32,19 @@ def tree_pipeline(kind: str, target: str, predictors: Sequence[str], scale: str
         labelCol=target, featuresCol=features, predictionCol=prediction or prediction_name(target), **settings)])
 
 
+def spread(rows: DataFrame, most: int | None = None) -> DataFrame:
+    """The rows over so many tasks that none holds more than about ``most``; few rows stay as they lie.
+
+    A few columns of a file split are many rows, and every pass of a tree fit reads them as objects.
+    """
+    tasks = -(-rows.count() // (most or ROWS_A_TASK))
+    return rows.repartition(tasks) if tasks > 1 else rows
+
+
 def fit_tree(df: DataFrame, kind: str, target: str, predictors: Sequence[str], **settings) -> PipelineModel:
-    return tree_pipeline(kind, target, predictors, **settings).fit(complete_rows(df, [*predictors, target]))
+    pipeline = tree_pipeline(kind, target, predictors, **settings)
+    rows = complete_rows(df, [*predictors, target])
+    return pipeline.fit(spread(rows.select(*[col(c) for c in dict.fromkeys([*predictors, target])])))
 
 
 def importance_table(model: PipelineModel, predictors: Sequence[str], spark: SparkSession) -> DataFrame:

@@ -12,8 +12,9 @@ from statloom.operators.lloyd import fit_centres
 from statloom.operators.mixture import Mixture
 from statloom.operators.moments import collect_moments
 from statloom.operators.ols import LeastSquares
+from statloom.operators import trees
 from statloom.operators.split import hash_split, portable_key, random_split, split_number, stable_layout, with_fold
-from statloom.operators.trees import fit_tree, forest_importance, tree_settings, tree_text
+from statloom.operators.trees import fit_tree, forest_importance, spread, tree_settings, tree_text
 from statloom.plans.clustering import run_clustering
 from statloom.plans.regression import run_regression
 from statloom.plans.study import feature_study
@@ -177,6 +178,18 @@ def test_same_layout_same_model(spark, data, tmp_path):
     assert all(a == b for a, b in pairs)
 
 
+def test_no_task_of_a_tree_fit_holds_more_than_its_rows(data, monkeypatch):
+    n, held = data.count(), []
+    one = data.coalesce(1)
+    assert spread(one).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(trees, "ROWS_A_TASK", 500)
+    sizes = spread(one).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(sizes) == -(-n // 500) and max(r["count"] for r in sizes) < 600
+    monkeypatch.setattr(trees, "spread", lambda rows, most=None: held.append(spread(rows, most)) or held[0])
+    fit_tree(one, "tree", "net", LINE_PREDICTORS, maxDepth=2)
+    assert held[0].rdd.getNumPartitions() == len(sizes)
+
+
 GROUPED = ["l_quantity", "l_discount", "l_tax"]
 
 
