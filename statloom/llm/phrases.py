@@ -22,10 +22,10 @@ from statloom.functions.columns import col
 from statloom.llm.text import staged, whole
 
 SUPPORT, SHARE, TOP = 10, 50, 2000  # least count of a phrase; percent of it that a longer one covers; rows per language
-BUDGET = 1_000_000  # suffixes of one group
+BUDGET = 400_000  # suffixes of one group
 CELLS = 1 << 16  # cells of one-word and of two-word prefixes
 SLOTS = 1 << 23  # bits that tell which words may be frequent
-BATCH_BYTES = 4 << 20  # text handled at a time, unless one text is longer
+BATCH_BYTES = 2 << 20  # text handled at a time, unless one text is longer
 SEED = "\x00"  # between language and word in the hash of a word
 
 # Classes of bytes: 0 part of a word (also all bytes of letters beyond ASCII), 1 between words, 2 between pieces.

@@ -7,6 +7,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import pyarrow as pa
+
+from statloom.llm import phrases
 from statloom.llm import phrases
 from statloom.llm.phrases import collocations, phrase_counts, words_of
 
@@ -93,3 +96,10 @@ def test_words_of():
     words, pieces = words_of(pa.array(["A b.c", "", "d", " É, x"], pa.large_string()))
     assert words.to_pylist() == ["a", "b", "c", "d", "É", "x"]
     assert [len(set(pieces[i:j])) for i, j in ((0, 2), (0, 3), (2, 4), (4, 6))] == [1, 2, 2, 2]
+
+
+def test_text_is_handled_in_portions_of_two_megabytes():
+    """A worker's arrays are many times the portion; with 4 MB the executors came to their limit."""
+    batch = pa.RecordBatch.from_pydict({"lang": ["a", "b"] * 3000, "text": ["word " * 400] * 6000})
+    sizes = [sum(map(len, texts.to_pylist())) for _, texts in phrases.by_language(batch)]
+    assert sum(sizes) == 12_000_000 and max(sizes) <= (2 << 20) + 2000
