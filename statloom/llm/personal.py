@@ -44,10 +44,10 @@ FEATURES = ("email", "ip", "card", "phone", "length", "digits", "letters", "spac
             "first_group", "last_group", "longest_group", "shortest_group", "distinct_digits", "check_digit", "in_range", "written_sign", "glued_before",
             "glued_after", "digits_before", "digits_after", "letters_before", "letters_after", "quote_before", "equals_before",
             "colon_before", "hex_before", "line_start", "line_end")
-SAMPLE = 20_000  # candidates of each kind and label from which the trees are fitted, about
+EVEN = 20_000  # candidates of a kind and label weigh as so many where there are more
 OPEN = 2  # label of candidates about which the base rules say nothing
 TREES, DEPTH = 20, 4
-HELD = 4  # one in so many documents of the sample calibrates the thresholds
+HELD = 4  # one in so many documents calibrates the thresholds
 PRECISION = 0.95  # what the spans above a threshold must reach on the calibration share
 LEAST = 20  # calibration candidates from a threshold up, with fewer of which it is not trusted
 BINS = 200
@@ -190,26 +190,35 @@ def propose(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFram
     return staged(made.withColumn("row", F.monotonically_increasing_id()), "spans")
 
 
-def sampled(proposed: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``row, kind, label, features`` (a vector), about ``sample`` of each kind and label, by the hash of their place."""
+def sampled(proposed: DataFrame, sample: int | None = None) -> DataFrame:
+    """``row, kind, label, features`` (a vector) of every labelled candidate; with ``sample`` only about so many of each kind and
+    label, by the hash of their place."""
     every = proposed.select("row", F.explode("candidates").alias("c")).select("row", "c.*").where(F.col("label") != OPEN)
-    counts = every.groupBy("kind", "label").agg(F.count(F.lit(1)).alias("rows")).collect()  # at most 8 rows
-    share = F.lit(0.0)
-    for r in counts:
-        share = F.when((F.col("kind") == r["kind"]) & (F.col("label") == r["label"]), min(1.0, sample / r["rows"])).otherwise(share)
-    drawn = F.pmod(F.xxhash64("row", "start", "end", F.lit("sample")), F.lit(1 << 30)) < share * (1 << 30)
-    return every.where(drawn).select("row", "kind", "label", array_to_vector(F.col("features").cast("array<double>")).alias("features"))
+    if sample is not None:
+        counts = every.groupBy("kind", "label").agg(F.count(F.lit(1)).alias("rows")).collect()  # at most 8 rows
+        share = F.lit(0.0)
+        for r in counts:
+            share = F.when((F.col("kind") == r["kind"]) & (F.col("label") == r["label"]), min(1.0, sample / r["rows"])).otherwise(share)
+        drawn = F.pmod(F.xxhash64("row", "start", "end", F.lit("sample")), F.lit(1 << 30)) < share * (1 << 30)
+        every = every.where(drawn)
+    return every.select("row", "kind", "label", array_to_vector(F.col("features").cast("array<double>")).alias("features"))
 
 
 def fit_trees(train: DataFrame) -> GBTClassificationModel | None:
-    """Boosted trees over the labelled candidates, both labels weighing alike; none where one label is missing."""
-    rows = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
-    if len(rows) < 2:
+    """Boosted trees over all labelled candidates, both labels weighing alike; none where one label is missing.
+
+    Within a label a kind weighs as its rows, but as ``EVEN`` of them at most, so that a frequent kind does not decide alone.
+    """
+    cells = {(r["kind"], r["label"]): r["count"] for r in train.groupBy("kind", "label").count().collect()}  # at most 8
+    totals = {label: sum(min(n, EVEN) for (_, l), n in cells.items() if l == label) for _, label in cells}
+    if len(totals) < 2:
         return None
-    total = sum(rows.values())
-    weight = F.when(F.col("label") == 1, total / (2 * rows[1])).otherwise(total / (2 * rows[0]))
+    weight = F.lit(0.0)
+    for (kind, label), n in cells.items():
+        weight = F.when((F.col("kind") == kind) & (F.col("label") == label),
+                        min(n, EVEN) / n * sum(totals.values()) / (2 * totals[label])).otherwise(weight)
     algorithm = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, seed=11)
-    return algorithm.fit(train.withColumn("weight", weight).coalesce(2))  # a bounded sample: few tasks
+    return algorithm.fit(train.withColumn("weight", weight))
 
 
 def _score() -> Column:
@@ -262,12 +271,12 @@ def added_spans(proposed: DataFrame, model: GBTClassificationModel, thresholds:
     return chosen.groupBy("row").agg(F.collect_list("span").alias("spans")).select("row", apart("spans").alias("added"))
 
 
-def find_personal(docs: DataFrame, id: str = "doc_id", text: str = "text", sample: int = SAMPLE,
+def find_personal(docs: DataFrame, id: str = "doc_id", text: str = "text", sample: int | None = None,
                   precision: float = PRECISION) -> DataFrame:
     """One row per document: ``id, base, added`` (arrays of kind, start, end; code points, end exclusive), in order of start.
 
     ``base`` has the spans of the fixed patterns. Generators that accept more propose overlapping candidates; trees,
-    boosted on a bounded sample of them that carries the base spans as labels, score every other candidate by format
+    boosted on those that carry a label from the base spans (all of them unless ``sample`` bounds each kind and label), score every other candidate by format
     and context, and those above the threshold of their kind, calibrated on documents outside the fit, are ``added``;
     they never touch a base span or each other. Where a table has too few spans of a kind to calibrate it, none of it is added.
 
@@ -275,7 +284,7 @@ def find_personal(docs: DataFrame, id: str = "doc_id", text: str = "text", sampl
     columns are not read. Whole texts; what is shuffled are the added spans and a short row per document.
     """
     proposed = propose(docs, id, text)
-    rows = staged(sampled(proposed, sample), "sample")
+    rows = staged(sampled(proposed, sample), "labelled")
     held = F.pmod(F.xxhash64("row", F.lit("held")), F.lit(HELD)) == 0
     model = fit_trees(rows.where(~held))
     thresholds = calibrate(model, rows.where(held), precision) if model else {}

@@ -7,9 +7,6 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-import pyarrow as pa
-
-from statloom.llm import phrases
 from statloom.llm import phrases
 from statloom.llm.phrases import collocations, phrase_counts, words_of
 
