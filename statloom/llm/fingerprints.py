@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -9,13 +10,14 @@ from pyspark.sql import functions as F
 
 from statloom.catalogue.common import table
 from statloom.functions.columns import col
-from statloom.llm.text import SPACES, WORD, ascii_lower, let, staged, whole
+from statloom.llm.text import LOWER, SPACES, UPPER, WORD, ascii_lower, let, staged, whole
 
 GRAM, WINDOW = 5, 16  # words: every shared run of GRAM + WINDOW - 1 = 20 words leaves a shared fingerprint
 # Bytes without spaces: every shared run of BYTES + SPAN - 1 = 11 bytes leaves a shared fingerprint.
 BYTES, SPAN = 6, 6
 POSITION = (1 << 31) - 1
 HASH = ((1 << 32) - 1) << 31
+BLOCK = 1 << 20  # bytes of text of the neighbouring documents that are put in order together
 
 
 def winnow(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
@@ -45,10 +47,9 @@ def winnow(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
 
 def bytes_of(text: Column) -> Column:
     """The UTF-8 bytes of a text, A-Z in small letters, without spaces."""
-    text = ascii_lower(text)
-    for space in SPACES:
-        text = F.replace(text, F.lit(space), F.lit(""))
-    return text.cast("binary")
+    plain = F.octet_length(text) == F.char_length(text)
+    return (F.when(plain, F.translate(F.lower(text), SPACES, "")).otherwise(F.translate(text, UPPER + SPACES, LOWER))
+            .cast("binary"))
 
 
 def byte_grams(data: Column, gram: int = BYTES, shift: Column | int = 0) -> Column:
@@ -65,12 +66,22 @@ def byte_grams(data: Column, gram: int = BYTES, shift: Column | int = 0) -> Colu
 
 
 def window_minima(grams: Column, window: int = SPAN) -> Column:
-    """The least k-gram of every window, with the ties of ``winnow``; fewer than ``window`` k-grams are one window."""
-    if window == 1:
-        return grams
-    return let(grams, lambda e: F.when(F.size(e) > 0, F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size(e) - window, F.lit(0))),
-        lambda j: F.least(*[F.get(e, j + k if k else j) for k in range(window)]))).otherwise(e))
+    """The least k-gram of every window, with the ties of ``winnow``; fewer than ``window`` k-grams are one window.
+
+    The least of some neighbours first, then the least of several of those, which together cover a window: for 6, of
+    3 and then of 2. Behind the end ``get`` gives null, which ``least`` skips; the windows there are cut off.
+    """
+    part = math.ceil(math.sqrt(window))
+    offsets = sorted({*range(part, window - part, part), window - part} - {0})
+
+    def least(e: Column, steps) -> Column:
+        return F.transform(e, lambda x, i: F.least(x, *[F.get(e, i + k) for k in steps])) if steps else e
+
+    def whole_windows(e: Column) -> Column:
+        found = let(least(e, range(1, part)), lambda p: least(p, offsets))
+        return F.slice(found, F.lit(1), F.greatest(F.size(e) - (window - 1), F.least(F.size(e), F.lit(1))))
+
+    return let(grams, whole_windows)
 
 
 def byte_minima(data: Column, gram: int = BYTES, window: int = SPAN) -> Column:
@@ -83,30 +94,39 @@ def winnow_bytes(text: Column, gram: int = BYTES, window: int = SPAN) -> Column:
     return F.array_distinct(byte_minima(bytes_of(text), gram, window))
 
 
+def kept_byte_fingerprints(rows: DataFrame, text: Column, dropped: Column, gram: int = BYTES, window: int = SPAN) -> DataFrame:
+    """``rows`` with ``own``, the ``winnow_bytes`` of a text, and what ``changed_byte_fingerprints`` needs of it when its
+    end ``dropped`` gives way to another: ``same`` entries of ``own`` stay, those of the ``at`` windows that end before
+    ``dropped``; ``tail`` is the kept bytes from where the next window begins, fewer than a window has.
+    """
+    run = gram + window - 1  # bytes of a window
+    kept, at = F.col("_kept"), F.col("at")
+    rows = rows.withColumns({"_bytes": bytes_of(text), "_dropped": F.octet_length(F.translate(dropped, SPACES, ""))})
+    rows = rows.withColumn("_kept", F.octet_length("_bytes") - F.col("_dropped")).withColumn("at", F.greatest(kept - (run - 1), F.lit(0)))
+    rows = rows.withColumns({
+        "own": F.array_distinct(byte_minima(F.col("_bytes"), gram, window)), "tail": F.substring("_bytes", at + 1, kept - at),
+        "_last": F.array_min(byte_grams(F.substring("_bytes", at, F.lit(run)), gram, at - 1))})
+    same = F.when(at > 0, F.array_position("own", F.col("_last"))).otherwise(0).cast("int")
+    return rows.withColumn("same", same).drop("_bytes", "_dropped", "_kept", "_last")
+
+
+def changed_byte_fingerprints(added: Column, gram: int = BYTES, window: int = SPAN) -> Column:
+    """The ``winnow_bytes`` of a kept text that goes on with ``added``, from ``kept_byte_fingerprints``; only the windows that
+    reach into what was added are made anew."""
+    def more(data: Column) -> Column:
+        none = F.array().cast("array<bigint>")
+        return F.when((F.col("at") > 0) & (F.octet_length(data) < gram + window - 1), none).otherwise(
+            window_minima(byte_grams(data, gram, F.col("at")), window))
+
+    return F.array_distinct(F.concat(F.slice("own", F.lit(1), F.col("same")), let(F.concat("tail", bytes_of(added)), more)))
+
+
 def both_byte_fingerprints(rows: DataFrame, text: Column, dropped: Column, added: Column, gram: int = BYTES,
                            window: int = SPAN) -> DataFrame:
     """``rows`` with ``own`` and ``changed``: the ``winnow_bytes`` of a text, and of the same text with its end ``dropped``
-    replaced by ``added``; the first ``same`` entries of both are equal.
-
-    K-grams and windows that lie in the bytes both have in common are taken from the one to the other; only those that
-    reach into what was added are made anew.
-    """
-    kept, grams, minima, shared = F.col("_kept"), F.col("_grams"), F.col("_minima"), F.col("_shared")
-    none = F.array().cast("array<bigint>")
-    rows = rows.withColumns({"_bytes": bytes_of(text), "_added": bytes_of(added), "_dropped": F.octet_length(bytes_of(dropped))})
-    rows = rows.withColumns({"_grams": byte_grams(F.col("_bytes"), gram), "_kept": F.octet_length("_bytes") - F.col("_dropped")})
-    # Whole k-grams of the kept bytes, and the bytes that those to come begin with.
-    rows = rows.withColumns({"_minima": window_minima(grams, window), "_shared": F.greatest(kept - (gram - 1), F.lit(0)),
-                             "_rest": F.concat(F.substring("_bytes", F.greatest(kept - (gram - 2), F.lit(1)),
-                                                           F.least(kept, F.lit(gram - 1))), F.col("_added"))})
-    fresh = F.when((shared > 0) & (F.octet_length("_added") == 0), none).otherwise(byte_grams(F.col("_rest"), gram, shared))
-    whole_windows = F.greatest(shared - (window - 1), F.lit(0))
-    open_ = F.slice(grams, whole_windows + 1, shared - whole_windows)  # k-grams whose windows reach further
-    rows = rows.withColumn("_open", F.concat(open_, fresh))
-    more = F.when((whole_windows > 0) & (F.size("_open") < window), none).otherwise(window_minima(F.col("_open"), window))
-    rows = rows.withColumn("_same", F.array_distinct(F.slice(minima, F.lit(1), whole_windows)))
-    return (rows.withColumns({"own": F.array_distinct(minima), "changed": F.array_distinct(F.concat("_same", more)), "same": F.size("_same")})
-            .drop("_bytes", "_added", "_dropped", "_grams", "_kept", "_minima", "_shared", "_rest", "_open", "_same"))
+    replaced by ``added``; the first ``same`` entries of both are equal."""
+    rows = kept_byte_fingerprints(rows, text, dropped, gram, window)
+    return rows.withColumn("changed", changed_byte_fingerprints(added, gram, window)).drop("at", "tail")
 
 
 def hashes(selected: Column) -> Column:
@@ -170,8 +190,45 @@ def neighbours(keys: DataFrame) -> DataFrame:
             .select("key", last["key"].alias("before"), last["ask"].alias("before_ask")))
 
 
+def block_starts(rows: DataFrame, size: int = BLOCK) -> DataFrame:
+    """One row with ``starts``: the first ids, ascending, of blocks of about ``size`` bytes of the texts of ``rows`` (id, text).
+    Rows of one id share a block.
+
+    Ids are range partitioned and cut by the running sum of bytes inside a partition; staged, a value per block.
+    """
+    room = F.octet_length("text") + F.lit(64)  # empty texts take room as well
+    parts = rows.select("id", room.alias("room")).repartitionByRange("id").withColumn("part", F.spark_partition_id())
+    run = F.sum("room").over(Window.partitionBy("part").orderBy("id"))  # the same for all rows of an id
+    cuts = (parts.select("id", "part", F.floor(run / size).alias("cut"))
+            .groupBy("part", "cut").agg(F.min(F.struct("id")).alias("start")))
+    starts = F.array_distinct(F.transform(F.sort_array(F.collect_list("start")), lambda s: s["id"]))
+    return staged(cuts.agg(starts.alias("starts")), "blocks")
+
+
+def block_of(id: Column, starts: Column) -> Column:
+    """The last of ``starts`` that is not above ``id``, by binary search; the first one where there is none, or for null."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(24))])
+    return F.aggregate(steps, F.lit(0), lambda at, s: F.when(F.get(starts, at + s) <= id, at + s).otherwise(at))
+
+
+def in_blocks(rows: DataFrame, size: int = BLOCK) -> DataFrame:
+    """``rows`` (id, text) by ``block`` of neighbouring ids, with ``seal``, the hash of the text, ``stands`` for the one row of
+    an id with the smallest seal, and ``after``: false, or true for a copy of the row that stands for the first id of the
+    next block (behind the last one, the first). So every row finds the row that stands for the next id in its block."""
+    starts = F.col("starts")
+    rows = rows.crossJoin(F.broadcast(block_starts(rows, size))).withColumn("block", block_of(F.col("id"), starts))
+    here = F.struct("block", F.lit(False).alias("after"))
+    before = F.struct(F.pmod(F.col("block") - 1, F.size(starts)).alias("block"), F.lit(True).alias("after"))
+    is_start = F.get(starts, F.col("block")).eqNullSafe(F.col("id"))
+    places = F.explode(F.when(is_start, F.array(here, before)).otherwise(F.array(here)))
+    rows = rows.select("id", "text", F.xxhash64("text").alias("seal"), places.alias("place")).select("id", "text", "seal", "place.*")
+    rows = rows.repartition("block")  # serves both orders, by id in this place and by block; Spark would shuffle for each
+    least = F.row_number().over(Window.partitionBy("block", "after", "id").orderBy("seal")) == 1
+    return rows.withColumn("stands", least).where(F.col("stands") | ~F.col("after"))
+
+
 def edited_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text",
-                        select: Callable[[Column], Column] = winnow) -> DataFrame:
+                        select: Callable[[Column], Column] = winnow, block: int = BLOCK) -> DataFrame:
     """``id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``, a row per document.
 
     The edited text has the last floor(n_chars / 4) code points replaced by the first as many (or all) of the next
@@ -181,35 +238,30 @@ def edited_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text",
     it as a next document, and every row has the next id as its next document. A single id is its own next document.
     ``select`` is ``winnow`` (words) or ``winnow_bytes``.
 
-    With ``winnow_bytes``, the k-grams and windows that the edited text has in common with the text are computed once.
-    Texts are shuffled once by id and once more to the document before, where they take less room than their hashes.
+    Texts are shuffled once, into blocks of neighbouring ids of about ``block`` bytes, and winnowed once: a row hands its
+    hashes on to the rows before it. With ``winnow_bytes``, the windows that the edited text has in common with the text
+    are not made again either. All rows of one id are in one block, so in one task.
     """
-    key = F.coalesce(F.concat(F.lit("i"), col(id).cast("string")), F.lit(""))
-    quarter = F.floor(F.char_length("text") / 4).cast("int")
-    keys = docs.select(key.alias("key"), col(id).alias("id"), whole(text).alias("text")).groupBy("key", "id").agg(F.max(quarter).alias("ask"), F.min(F.xxhash64("text")).alias("seal"))
-    keys = staged(keys, "keys")
-    chain = neighbours(keys.drop("seal")).join(keys.select("key", "seal"), "key")
-    # Both joins below take the same two columns dealt by the same key, so Spark shuffles the texts once and reads that
-    # shuffle twice; an equality of seals would become a second key, so it is written as a plain condition.
-    base = docs.select(key.alias("key"), whole(text).alias("text"))
-    heads = (base.join(chain, "key").where(F.xxhash64("text").bitwiseXOR(F.col("seal")) == 0)
-             .select(F.col("before").alias("key"), "text")
-             .groupBy("key").agg(F.first("text").alias("next")))
+    rows = in_blocks(docs.select(col(id).alias("id"), whole(text).alias("text")), block)
     size = F.char_length("text")
-    kept, added = F.substring("text", F.lit(1), size - quarter), F.substring("next", F.lit(1), quarter)
-    rows = base.join(heads, "key")
-    first = [F.when(F.col("key") != "", F.substring("key", F.lit(2), F.length("key")).cast(docs.schema[id].dataType)).alias(id),
-             size.cast("long").alias("n_chars"), F.sha2(F.concat(kept, added), 256).alias("edited_sha256")]
+    quarter = F.floor(size / 4).cast("int")
+    kept = F.substring("text", F.lit(1), size - quarter)
     if select is winnow_bytes:
-        rows = both_byte_fingerprints(rows, F.col("text"), F.substring("text", size - quarter + 1, quarter), added)
-        rows = rows.select(*first, "own", "changed", "same", hashes(select(F.col("next"))).alias("next_hashes"))
+        rows = kept_byte_fingerprints(rows, F.col("text"), F.substring("text", size - quarter + 1, quarter))
     else:
-        rows = (rows.select(*first, F.concat(kept, added).alias("edited"), select(F.col("text")).alias("own"),
-                            hashes(select(F.col("next"))).alias("next_hashes"))
-                .withColumns({"changed": select(F.col("edited")), "same": F.lit(0)}))
-    rows = rows.withColumns({"own_hashes": hashes(F.col("own")), "own_written": written(F.col("own"))})
+        rows = rows.withColumns({"own": select(F.col("text")), "same": F.lit(0)})
+    rows = rows.withColumn("own_hashes", hashes(F.col("own")))
+    rows = rows.withColumn("handed", F.when(F.col("stands"), F.struct("text", "own_hashes")))
+    following = F.expr("lead(handed) ignore nulls over (partition by block order by after, id, seal)")
+    rows = rows.withColumn("next", following).where(~F.col("after"))
+    rows = rows.withColumn("added", F.substring(F.col("next.text"), F.lit(1), quarter))
+    edited = F.concat(kept, F.col("added"))
+    changed = changed_byte_fingerprints(F.col("added")) if select is winnow_bytes else select(edited)
+    rows = rows.select("id", size.cast("long").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"), "own", "own_hashes",
+                       "same", F.col("next.own_hashes").alias("next_hashes"), changed.alias("changed"))
+    rows = rows.withColumn("own_written", written(F.col("own")))
     more = written(F.slice("changed", F.col("same") + 1, F.size("changed")))
-    return rows.select(id, "n_chars", "edited_sha256", as_text(F.col("own_written")).alias("fingerprint"),
+    return rows.select(F.col("id").alias(id), "n_chars", "edited_sha256", as_text(F.col("own_written")).alias("fingerprint"),
                        as_text(F.concat(F.slice("own_written", F.lit(1), F.col("same")), more)).alias("edited_fingerprint"),
                        likeness(F.col("own_hashes"), hashes(F.col("changed"))).alias("near_edited"),
                        likeness(F.col("own_hashes"), F.col("next_hashes")).alias("near_next"))

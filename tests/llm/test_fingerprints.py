@@ -162,3 +162,51 @@ def test_shared_grams_change_nothing(spark):
     found = both_byte_fingerprints(df, F.col("text"), F.col("dropped"), F.col("added"))
     wrong = found.where((F.col("own") != winnow_bytes(F.col("text"))) | (F.col("changed") != winnow_bytes(F.concat("kept", "added"))))
     assert wrong.isEmpty() and found.count() == len(rows)
+
+
+def test_texts_are_shuffled_and_winnowed_once(spark):
+    """The hashes of the next document come from its own row: no text is joined to another, nor shuffled again."""
+    plan = op2_winnow(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_blocks_of_every_size(spark):
+    """The next document is found within a block, across blocks and behind the last one; ids may repeat or be null."""
+    words = [f"Text {i} of the {'odd' if i % 2 else 'even'} ones: {'word ' * (i % 9)}end {i * i}" for i in range(30)]
+    rows = [(i * 3, t) for i, t in enumerate(words)] + [(9, "another nine"), (9, "another nine"), (12, None), (87, "a last one again")]
+    for extra in ([], [(None, "no id at all"), (None, "nor here")]):
+        every = rows + extra
+        ids = sorted({i for i, _ in every}, key=lambda i: (i is not None, i))
+        stands = {i: min((t or "" for j, t in every if j == i), key=lambda t: h64(t.encode())) for i in ids}
+        want = []
+        for i, t in every:
+            t, after = t or "", stands[ids[(ids.index(i) + 1) % len(ids)]]
+            edited = t[:len(t) - len(t) // 4] + after[:len(t) // 4]
+            own, changed = winnowed_bytes(t), winnowed_bytes(edited)
+            want.append((i, len(t), hashlib.sha256(edited.encode()).hexdigest(), text_of(own), text_of(changed),
+                         round(alike(own, changed), 9), round(alike(own, winnowed_bytes(after)), 9)))
+        docs = spark.createDataFrame(every, "doc_id long, text string").repartition(5)
+        for block in (1, 500, 1 << 20):
+            found = [tuple(r) for r in edited_fingerprints(docs, select=winnow_bytes, block=block).collect()]
+            found = [(*r[:5], round(r[5], 9), round(r[6], 9)) for r in found]
+            assert sorted(found, key=repr) == sorted(want, key=repr)
+
+
+def test_ids_of_other_types(spark):
+    rows = [(f"k{i:02d}", f"some text number {i} and more of it") for i in range(25)]
+    docs = spark.createDataFrame(rows, "name string, body string")
+    want = {i: winnowed_bytes(t) for i, t in rows}
+    for block in (1, 300):
+        found = {r["name"]: r for r in edited_fingerprints(docs, "name", "body", select=winnow_bytes, block=block).collect()}
+        for k, (i, _) in enumerate(rows):
+            after = want[rows[(k + 1) % len(rows)][0]]
+            assert found[i]["fingerprint"] == text_of(want[i]) and abs(found[i]["near_next"] - alike(want[i], after)) < 1e-12
+
+
+def test_windows_of_every_size(spark):
+    rows = list(enumerate(["", "a", "abc", "A\x00b  c\x00d", "İ\x00 Kelvin K ſ", "the quick brown fox jumps over the lazy dog", "ab" * 40]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for window in (2, 3, 4, 7, 10, 17):
+        found = {r["doc_id"]: list(zip(r["hashes"], r["positions"])) for r in
+                 fingerprints(docs, gram=2, window=window, select=winnow_bytes).collect()}
+        assert found == {i: winnowed_bytes(t, 2, window) for i, t in rows}
