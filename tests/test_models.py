@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from statloom.operators.cluster import Clustering, cluster_profile, elbow
 from statloom.operators.features import feature_stages, fit_stages, normalize_l1, standardize
 from statloom.operators.linear import (ElasticNet, coefficient_summary, cross_validate, fit_linear, grid_report,
                                        linear_stage, moment_grid_search, parameter_docs, training_summary)
-from statloom.operators.lloyd import fit_centres
+from statloom.operators.lloyd import Blocks, Scale, _moved, _nearness, _owners, _Sums, fit_centres
 from statloom.operators.mixture import Mixture
 from statloom.operators.moments import collect_moments
 from statloom.operators.ols import LeastSquares
@@ -294,6 +295,65 @@ def test_fits_of_few_rows(spark):
         fit_centres(df, ["x", "y"], [0])
 
 
+def test_nearest_centres_as_in_double_precision(spark):
+    """Ties, outliers, tiny, huge and shifted numbers: single precision only leaves out what cannot be nearest."""
+    draw = np.random.default_rng(3)
+    plain, grid = draw.normal(size=(3000, 12)), draw.integers(0, 4, size=(3000, 3)).astype(float)
+    far = plain.copy()
+    far[:20] *= 1e4
+    far[5] *= 1e25
+    for x in (plain, grid, far, plain * 1e-7, plain * 1e-30, plain + 1e5, np.ones((50, 2)), plain[:1]):
+        ks = [1, 2, 7, 90, 300]
+        centres = [x[draw.choice(len(x), k)] for k in ks]
+        ends = np.cumsum(ks)
+        spans = [(int(e) - k, int(e)) for e, k in zip(ends, ks)]
+        for f, own in enumerate(_owners(x, np.concatenate(centres), spans)):
+            assert np.array_equal(own, _nearness(x, centres[f]).argmin(1))
+
+
+def test_sums_of_the_rows_that_move(spark):
+    """From pass to pass, with or without keeping, the changes add up to the sums of all rows; so do the slices of tasks."""
+    draw = np.random.default_rng(4)
+    x = draw.integers(0, 50, size=(5000, 3)).astype(float)
+    df = spark.createDataFrame(pd.DataFrame(x, columns=["x0", "x1", "x2"])).repartition(9).withColumns(
+        {"weight": F.lit(2.0), **{f"draw{i}": F.lit(0).cast("long") for i in range(5)}})
+    blocks = Blocks.of(df, Scale(np.zeros(3), np.ones(3), np.zeros(3), len(x)), len(x))
+    blocks.frame.persist()
+    totals, fits = 0.0, {k: x[draw.choice(len(x), k)] for k in (2, 5, 300)}
+    for keep in (False, True, False, True, True, False):
+        change, blocks = _moved(blocks, fits, keep)
+        own = [_nearness(x, c).argmin(1) for c in fits.values()]
+        wanted = np.concatenate([2.0 * np.column_stack([np.bincount(o, minlength=k), *[np.bincount(o, v, k) for v in x.T]])
+                                 for o, k in zip(own, fits)])
+        assert np.array_equal(totals + change, wanted)
+        totals = wanted if keep else totals
+        fits = {k: c + draw.normal(size=c.shape) for k, c in fits.items()}
+    some = _moved(blocks, {5: fits[5]}, False)[0]  # one of the kept fits goes on
+    own = _nearness(x, fits[5]).argmin(1)
+    assert np.array_equal(some[:, 0] + totals[2:7, 0], 2.0 * np.bincount(own, minlength=5))
+    blocks.frame.unpersist()
+    sums, part = _Sums(40, 8, 3), np.arange(320.0).reshape(40, 8)
+    parts = spark.createDataFrame([row for j in range(3) for row in sums.emitted(part + j)], sums.schema)
+    assert parts.count() == 9 and np.array_equal(sums.collected(parts), 3 * part + 3)
+
+
+def test_passes_have_as_many_tasks_as_rows_are_worth(spark):
+    """A task of a pass hands on sums for every centre: few rows on many partitions are few tasks."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 60)
+    spark.sparkContext.setJobGroup("sweep", "sweep")
+    try:
+        df = spark.range(4000).select(F.rand(1).alias("a"), F.rand(2).alias("b")).repartition(40)
+        fits = fit_centres(df, ["a", "b"], [2, 3, 4], max_iter=5)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    jobs = sorted(tracker.getJobIdsForGroup("sweep"))
+    tasks = [tracker.getStageInfo(max(tracker.getJobInfo(j).stageIds)).numTasks for j in jobs[-4:]]
+    assert max(fits.moves.values()) == 5 and tasks and max(tasks) <= 2
+
+
 def test_mixture(spark, data):
     found = Mixture.fit(data, ["l_extendedprice", *GROUPED], k=3, max_iter=10)
     components = found.components(spark).collect()
